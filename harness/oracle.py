@@ -1,0 +1,271 @@
+"""The same queries in plain SQL, trained models included.
+
+ALS needs only sums and, at rank 1 and 2, a closed-form solution, so SQL trains
+the model itself: one common table expression per half-step.
+"""
+
+from __future__ import annotations
+
+from harness.queries import AS_OF, EXACT, K, SEED
+from roamrank.functions.expressions import (
+    HASH_PRIME,
+    ITEM_FACTOR,
+    SEED_FACTOR,
+    USER_FACTOR,
+)
+
+BASE = """
+listings AS (
+  SELECT s_suppkey AS id, CAST(s_nationkey AS BIGINT) AS host_id, s_name AS host_name,
+         n_name AS neighbourhood, s_acctbal
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+areas AS (
+  SELECT n_name AS neighbourhood, r_name AS neighbourhood_group,
+         CAST(row_number() OVER (ORDER BY n_name) - 1 AS BIGINT) AS neighbourhood_id
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+reviews AS (
+  SELECT l_suppkey AS listing_id, strftime(o_orderdate, '%Y-%m-%d') AS date,
+         o_custkey AS reviewer_id, c_name AS reviewer_name,
+         l_orderkey, l_returnflag, l_linestatus
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+listing_area AS (
+  SELECT id, host_id, host_name, neighbourhood, neighbourhood_id
+  FROM listings JOIN areas USING (neighbourhood)),
+visits AS (
+  SELECT host_id, host_name, neighbourhood, neighbourhood_id, listing_id, date,
+         reviewer_id, reviewer_name
+  FROM listing_area JOIN reviews ON id = listing_id),
+reviewers AS (
+  SELECT reviewer_id, max_by(reviewer_name, {'a': date, 'b': reviewer_name}) AS reviewer_name
+  FROM reviews WHERE reviewer_name IS NOT NULL GROUP BY reviewer_id),
+ratings AS MATERIALIZED (
+  SELECT reviewer_id AS u, neighbourhood_id AS i, CAST(count(*) AS DOUBLE) AS rating
+  FROM visits GROUP BY 1, 2)
+"""
+
+BUCKET = (
+    f"((u % {HASH_PRIME}) * {USER_FACTOR} + (i % {HASH_PRIME}) * {ITEM_FACTOR}"
+    f" + {SEED % HASH_PRIME}) % {HASH_PRIME} % 100"
+)
+
+
+def _sql(body: str, *extra: str) -> str:
+    return "WITH " + ",\n".join([BASE, *extra]) + "\n" + body
+
+
+def _rank2(source: str) -> list[str]:
+    """Factors after EXACT.iterations rounds, as tables uf(id, f0, f1) and itf."""
+    shift = SEED % HASH_PRIME * SEED_FACTOR % HASH_PRIME
+
+    def start(d: int) -> str:
+        return f"(((u % {HASH_PRIME}) * {USER_FACTOR * (2 * d + 1)} + {shift}) % {HASH_PRIME} + 1)"
+
+    steps = [
+        f"""u0 AS MATERIALIZED (
+  SELECT u AS id, a / sqrt(a * a + b * b) AS f0, b / sqrt(a * a + b * b) AS f1
+  FROM (SELECT u, {start(0)} / {HASH_PRIME}.0::DOUBLE AS a, {start(1)} / {HASH_PRIME}.0::DOUBLE AS b
+        FROM (SELECT DISTINCT u FROM {source}) AS ids) AS starts)"""
+    ]
+
+    def half_step(name: str, by: str, other: str, factors: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+  SELECT id, (c * r0 - b * r1) / (a * c - b * b) AS f0, (a * r1 - b * r0) / (a * c - b * b) AS f1
+  FROM (SELECT {by} AS id, sum(f0 * f0) + {EXACT.reg} * count(*) AS a, sum(f0 * f1) AS b,
+               sum(f1 * f1) + {EXACT.reg} * count(*) AS c,
+               sum(rating * f0) AS r0, sum(rating * f1) AS r1
+        FROM {source} JOIN {factors} ON {other} = id GROUP BY 1) AS sums)"""
+
+    for n in range(1, EXACT.iterations + 1):
+        steps.append(half_step(f"i{n}", "i", "u", f"u{n - 1}"))
+        steps.append(half_step(f"u{n}", "u", "i", f"i{n}"))
+    steps.append(f"uf AS (SELECT * FROM u{EXACT.iterations})")
+    steps.append(f"itf AS (SELECT * FROM i{EXACT.iterations})")
+    return steps
+
+
+def _rank1() -> list[str]:
+    """Item weights w and user weights p after enough rounds to settle."""
+    rounds = 40
+    steps = ["q0 AS MATERIALIZED (SELECT DISTINCT i AS id, CAST(1 AS DOUBLE) AS f FROM ratings)"]
+    for n in range(1, rounds + 1):
+        steps.append(
+            f"""p{n} AS MATERIALIZED (SELECT u AS id, sum(rating * f) / (sum(f * f) + 0.01 * count(*)) AS f
+  FROM ratings JOIN q{n - 1} ON i = id GROUP BY 1)"""
+        )
+        steps.append(
+            f"""q{n} AS MATERIALIZED (SELECT i AS id, sum(rating * f) / (sum(f * f) + 0.01 * count(*)) AS f
+  FROM ratings JOIN p{n} ON u = id GROUP BY 1)"""
+        )
+    steps.append(f"uf AS (SELECT id, f AS f0, CAST(0 AS DOUBLE) AS f1 FROM p{rounds})")
+    steps.append(f"itf AS (SELECT id, f AS f0, CAST(0 AS DOUBLE) AS f1 FROM q{rounds})")
+    return steps
+
+
+PREDICTED = """predicted AS (
+  SELECT u, i, rating, uf.f0 * itf.f0 + uf.f1 * itf.f1 AS prediction
+  FROM {source} JOIN uf ON u = uf.id JOIN itf ON i = itf.id)"""
+
+SCORED = """scored AS (
+  SELECT uf.id AS u, itf.id AS i, uf.f0 * itf.f0 + uf.f1 * itf.f1 AS score FROM uf CROSS JOIN itf)"""
+
+
+def _best(unseen: bool) -> str:
+    new = "WHERE NOT EXISTS (SELECT 1 FROM ratings WHERE ratings.u = scored.u AND ratings.i = scored.i)"
+    return f"""best AS (
+  SELECT u, i, rk FROM (
+    SELECT u, i, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS rk
+    FROM scored {new if unseen else ''}) AS ranked
+  WHERE rk <= {K})"""
+
+
+RANKED = "SELECT u AS reviewer_id, CAST(rk AS BIGINT) AS rk, i AS neighbourhood_id FROM best"
+
+
+def _named(known: str = "areas") -> str:
+    return f"""
+SELECT uf.id AS "reviewerId", coalesce(reviewer_name, 'empty') AS "reviewerName",
+       coalesce(names, '') AS "neighbourhoodNames", '{AS_OF}' AS date
+FROM uf LEFT JOIN reviewers ON uf.id = reviewer_id
+LEFT JOIN (
+  SELECT u, string_agg(coalesce(neighbourhood, 'empty'), '|' ORDER BY rk) AS names
+  FROM best LEFT JOIN {known} ON i = neighbourhood_id GROUP BY u) AS lists ON uf.id = u"""
+
+
+REVIEW_RECORDS = """
+SELECT listing_id, l_orderkey AS id, date, reviewer_id, reviewer_name,
+       'Line "' || l_returnflag || '", first' || chr(10) || 'and ' || l_linestatus || ' second' AS comments
+FROM reviews"""
+
+MEANS = """
+WITH parts AS (
+  SELECT label, place, avg(CAST(x AS DOUBLE)) AS m
+  FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS place
+        FROM embeddings) AS flat
+  GROUP BY 1, 2),
+means AS (SELECT label, list(m ORDER BY place) AS mean FROM parts GROUP BY 1),
+scored AS (
+  SELECT vec_id, means.label, list_inner_product(CAST(embedding AS DOUBLE[]), mean) AS score
+  FROM embeddings CROSS JOIN means),
+ranked AS (
+  SELECT vec_id, label, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) AS rk
+  FROM scored)
+"""
+
+# What evaluation returns, from the table `predicted`.
+MSE = "round(avg((rating - prediction) * (rating - prediction)), 6) AS mse, count(*) AS n"
+
+
+def queries() -> dict[str, str]:
+    rank2 = _rank2("ratings")
+    rank1 = _rank1()
+    split = f"split AS (SELECT u, i, rating, {BUCKET} < 80 AS fit FROM ratings)"
+    fit_on = "fit_on AS MATERIALIZED (SELECT u, i, rating FROM split WHERE fit)"
+    return {
+        "scan_listings": _sql("SELECT id, host_id, host_name, neighbourhood FROM listings"),
+        "scan_reviews": _sql("SELECT listing_id, date, reviewer_id, reviewer_name FROM reviews"),
+        "area_dim": _sql("SELECT neighbourhood, neighbourhood_id FROM areas"),
+        "csv_roundtrip": _sql(REVIEW_RECORDS),
+        "csv_quarantine": _sql(
+            "SELECT listing_id, CASE WHEN l_returnflag <> 'R' THEN id END AS id, date, reviewer_id,"
+            " reviewer_name, comments, l_returnflag = 'R' AS quarantined FROM ("
+            + REVIEW_RECORDS.replace("AS comments", "AS comments, l_returnflag")
+            + ") AS records"
+        ),
+        "listing_area_join": _sql("SELECT * FROM listing_area"),
+        "visits": _sql("SELECT * FROM visits"),
+        "unmatched_listings": _sql(
+            "SELECT id, host_id, host_name, neighbourhood FROM listings WHERE neighbourhood NOT IN"
+            " (SELECT neighbourhood FROM areas WHERE neighbourhood_group <> 'ASIA')"
+        ),
+        "unmatched_reviews": _sql(
+            "SELECT listing_id, date, reviewer_id, reviewer_name FROM reviews WHERE listing_id NOT IN"
+            " (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)"
+        ),
+        "visit_counts_named": _sql(
+            "SELECT reviewer_id, reviewer_name, neighbourhood_id, neighbourhood, count(*) AS count"
+            " FROM visits GROUP BY 1, 2, 3, 4"
+        ),
+        "ratings": _sql("SELECT u AS reviewer_id, i AS neighbourhood_id, rating FROM ratings"),
+        "reviewer_dim": _sql("SELECT reviewer_id, reviewer_name FROM reviewers"),
+        "dense_reviewer_ids": (
+            "SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS id"
+            " FROM (SELECT DISTINCT c_name FROM customer) AS names"
+        ),
+        "trainer_ids": _sql(
+            'SELECT dense_rank() OVER (ORDER BY u) - 1 AS "user", i AS item, rating FROM ratings'
+        ),
+        "holdout_split": _sql(
+            "SELECT u AS \"user\", i AS item, rating, CASE WHEN fit THEN 'train' ELSE 'test' END AS part"
+            " FROM split",
+            split,
+        ),
+        "evaluate_user_mean": _sql(
+            f"SELECT {MSE} FROM (SELECT rating, avg(rating) OVER (PARTITION BY u) AS prediction"
+            " FROM ratings) AS predicted"
+        ),
+        "als_factors": _sql(
+            "SELECT 'user' AS side, id, round(f0, 4) AS f0, round(f1, 4) AS f1 FROM uf"
+            " UNION ALL SELECT 'item', id, round(f0, 4), round(f1, 4) FROM itf",
+            *rank2,
+        ),
+        "predict_pairs": _sql(
+            'SELECT u AS "user", i AS item, rating, round(prediction, 4) AS prediction FROM predicted',
+            *rank2,
+            PREDICTED.format(source="ratings"),
+        ),
+        "evaluate_mse": _sql(
+            f"SELECT 'train' AS sample, {MSE}, {EXACT.rank} AS rank, {EXACT.iterations} AS iterations,"
+            f" CAST({EXACT.reg} AS DOUBLE) AS reg FROM predicted",
+            *rank2,
+            PREDICTED.format(source="ratings"),
+        ),
+        "evaluate_holdout": _sql(
+            f"SELECT 'holdout' AS sample, {MSE} FROM predicted",
+            split,
+            fit_on,
+            *_rank2("fit_on"),
+            "held AS (SELECT u, i, rating FROM split WHERE NOT fit)",
+            PREDICTED.format(source="held"),
+        ),
+        "recommend_topk": _sql(RANKED, *rank2, SCORED, _best(unseen=False)),
+        "recommend_unseen": _sql(RANKED, *rank2, SCORED, _best(unseen=True)),
+        "recommend_in_chunks": _sql(RANKED, *rank2, SCORED, _best(unseen=True)),
+        "topk_bruteforce": MEANS
+        + f"SELECT vec_id, rk, CAST(label AS BIGINT) AS label FROM ranked WHERE rk <= {K}",
+        "als_rank1_items": _sql(
+            "SELECT id AS neighbourhood_id, row_number() OVER (ORDER BY f0 DESC, id) AS rk FROM itf", *rank1
+        ),
+        "recommend_rank1": _sql(RANKED, *rank1, SCORED, _best(unseen=False)),
+        "recommend_novel": _sql(RANKED, *rank1, SCORED, _best(unseen=True)),
+        "recommend_named": _sql(
+            _named("(SELECT * FROM areas WHERE neighbourhood_group <> 'ASIA') AS known"),
+            *rank1,
+            SCORED,
+            _best(unseen=False),
+        ),
+        "recommend_shape": _sql(
+            f"SELECT u AS reviewer_id, least({K}, (SELECT count(DISTINCT i) FROM ratings)) AS n,"
+            " TRUE AS distinct_items, TRUE AS descending FROM (SELECT DISTINCT u FROM ratings) AS rated"
+        ),
+        "publish_named": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
+        "publish_novel": _sql(_named(), *rank2, SCORED, _best(unseen=True)),
+        "sink_parquet_overwrite": _sql("SELECT reviewer_id, reviewer_name FROM reviewers"),
+        "preview_recommendations": _sql(
+            _named() + "\nORDER BY uf.id LIMIT 10", *rank2, SCORED, _best(unseen=False)
+        ),
+        "metrics_table": _sql(
+            f"SELECT 'train' AS sample, mse, n, {SEED} AS seed, 'sums' AS solver FROM"
+            f" (SELECT {MSE} FROM predicted) AS metric, (VALUES (1), (2)) AS runs(run)",
+            *rank2,
+            PREDICTED.format(source="ratings"),
+        ),
+        # Invariants: SQL states what must hold for whom; it doesn't refit.
+        "als_normal_equations": _sql(
+            "SELECT u AS reviewer_id, TRUE AS ok FROM (SELECT DISTINCT u FROM ratings) AS rated"
+        ),
+        "model_roundtrip": _sql(
+            "SELECT 'user' AS side, u AS id, TRUE AS ok FROM (SELECT DISTINCT u FROM ratings) AS rated"
+            " UNION ALL SELECT 'item', i, TRUE FROM (SELECT DISTINCT i FROM ratings) AS visited"
+        ),
+        "als_rank10_quality": _sql("SELECT count(*) AS n, TRUE AS ok FROM ratings"),
+    }
