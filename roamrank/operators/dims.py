@@ -15,12 +15,17 @@ INT_MIN = -(2**31)
 
 def dense_id(keys: DataFrame, key: str, name: str, single_task_keys: int | None = None) -> DataFrame:
     """Number the distinct non-null values of ``key`` from 0 in their order."""
-    limit = SINGLE_TASK_KEYS if single_task_keys is None else single_task_keys
     values = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    if values.count() <= limit:
-        order = Window.orderBy(key)
-        return values.select(key, (F.row_number().over(order) - 1).cast("bigint").alias(name))
-    return _dense_id_by_range(values, key, name)
+    return _numbered(values, values.count(), key, name, single_task_keys)
+
+
+def _numbered(
+    values: DataFrame, count: int, key: str, name: str, single_task_keys: int | None = None
+) -> DataFrame:
+    if count > (SINGLE_TASK_KEYS if single_task_keys is None else single_task_keys):
+        return _dense_id_by_range(values, key, name)
+    order = Window.orderBy(key)
+    return values.select(key, (F.row_number().over(order) - 1).cast("bigint").alias(name))
 
 
 def _dense_id_by_range(values: DataFrame, key: str, name: str) -> DataFrame:
@@ -55,15 +60,18 @@ def area_dim(areas: DataFrame) -> DataFrame:
     The name alone is the join key, so a name that stands in two groups would
     double every count below it; that is an error here.
     """
-    names = areas
-    if "neighbourhood_group" in areas.columns:
-        names = areas.select("neighbourhood_group", "neighbourhood").distinct()
-        shared = names.groupBy("neighbourhood").count().where("count > 1").select("neighbourhood")
-        doubled = [row.neighbourhood for row in shared.limit(5).collect()]
-        if doubled:
-            raise ValueError(f"areas listed in more than one group, for example: {doubled}")
-        names = names.drop("neighbourhood_group")
-    return dense_id(names, "neighbourhood", "neighbourhood_id")
+    group = F.coalesce("neighbourhood_group", F.lit("")) if "neighbourhood_group" in areas.columns else F.lit("")
+    names = (
+        areas.where(F.col("neighbourhood").isNotNull())
+        .withColumn("group", group)
+        .groupBy("neighbourhood")
+        .agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    )
+    doubled = F.when(F.col("low") != F.col("high"), F.col("neighbourhood"))
+    found = names.agg(F.count("*").alias("areas"), F.min(doubled).alias("doubled")).first()
+    if found["doubled"] is not None:
+        raise ValueError(f"area in more than one group: {found['doubled']!r}")
+    return _numbered(names.select("neighbourhood"), found["areas"], "neighbourhood", "neighbourhood_id")
 
 
 def reviewer_dim(reviews: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roamrank.functions.expressions import dot
 from roamrank.operators.joins import lookup_join
 from roamrank.operators.normal_equations import fit_by_sums
+from roamrank.workspace import shared_dir
 
 # Ratings that one block of MLlib's ALS should hold.
 RATINGS_PER_BLOCK = 2_000_000
@@ -112,6 +113,7 @@ def fit_mllib(ratings: DataFrame, config: AlsConfig, stats: RatingStats | None =
 
 def train(ratings: DataFrame, config: AlsConfig) -> FactorModel:
     """Fit (user, item, rating). Pass a stored table: it is read several times."""
+    shared_dir(ratings.sparkSession)  # where ALS may checkpoint
     stats = rating_stats(ratings)
     if stats.ratings == 0:
         raise ValueError("no ratings to train on")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,45 +77,50 @@ def _best_in_chunk(
         visited = visited.groupBy("user").agg(F.collect_set("item").alias("seen"))
         users = users.join(visited, "user", "left")
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return users.mapInArrow(_scorer(shared, rank, k), f"user int, items {RECOMMENDED}")
+
+
+def _scorer(shared: Broadcast, rank: int, k: int) -> Callable:
+    """The task-side scoring of users against one chunk of items.
+
+    Nested functions travel to the executors by value, so those need no copy of
+    this package.
+    """
+
+    def best(batch: pa.RecordBatch) -> pa.RecordBatch:
         item_ids, matrix = shared.value
-        step = max(1, SCORES_IN_MEMORY // len(item_ids))
+        count = batch.num_rows
+        features = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+        scores = features.astype(np.float64).reshape(count, rank) @ matrix
+        seen = batch.column("seen")
+        lengths = seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        owners = np.repeat(np.arange(count), lengths)
+        visited = seen.flatten().to_numpy(zero_copy_only=False)
+        scores[owners, np.searchsorted(item_ids, visited)] = -np.inf
+        # Everything not below the k-th best, so that ties are settled by item id.
+        below = len(item_ids) - min(k, len(item_ids))
+        bar = np.partition(scores, below, axis=1)[:, below]
+        user, place = np.nonzero((scores >= bar[:, None]) & (scores > -np.inf))
+        value = scores[user, place]
+        order = np.lexsort((place, -value, user))
+        user, place, value = user[order], place[order], value[order]
+        keep = np.arange(len(user)) - np.searchsorted(user, user) < k
+        user, place, value = user[keep], place[keep], value[keep]
+        offsets = np.searchsorted(user, np.arange(count + 1)).astype(np.int32)
+        found = pa.StructArray.from_arrays(
+            [pa.array(item_ids[place], pa.int32()), pa.array(value, pa.float64())],
+            ["item", "score"],
+        )
+        lists = pa.ListArray.from_arrays(pa.array(offsets), found)
+        return pa.RecordBatch.from_arrays([batch.column("user"), lists], ["user", "items"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, SCORES_IN_MEMORY // len(shared.value[0]))
         for batch in batches:
             for start in range(0, batch.num_rows, step):
-                yield _score_batch(batch.slice(start, step), item_ids, matrix, rank, k)
-
-    return users.mapInArrow(score, f"user int, items {RECOMMENDED}")
-
-
-def _score_batch(
-    batch: pa.RecordBatch, item_ids: np.ndarray, matrix: np.ndarray, rank: int, k: int
-) -> pa.RecordBatch:
-    """Score one batch of users against all items of a chunk."""
-    count = batch.num_rows
-    features = batch.column("features").flatten().to_numpy(zero_copy_only=False)
-    scores = features.astype(np.float64).reshape(count, rank) @ matrix
-    seen = batch.column("seen")
-    lengths = seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    owners = np.repeat(np.arange(count), lengths)
-    visited = seen.flatten().to_numpy(zero_copy_only=False)
-    scores[owners, np.searchsorted(item_ids, visited)] = -np.inf
-    width = min(k, len(item_ids))
-    # Everything not below the k-th best, so that ties are settled by item id.
-    bar = np.partition(scores, len(item_ids) - width, axis=1)[:, len(item_ids) - width]
-    user, place = np.nonzero((scores >= bar[:, None]) & (scores > -np.inf))
-    value = scores[user, place]
-    order = np.lexsort((place, -value, user))
-    user, place, value = user[order], place[order], value[order]
-    first = np.searchsorted(user, np.arange(count))
-    keep = np.arange(len(user)) - first[user] < k
-    user, place, value = user[keep], place[keep], value[keep]
-    offsets = np.searchsorted(user, np.arange(count + 1)).astype(np.int32)
-    found = pa.StructArray.from_arrays(
-        [pa.array(item_ids[place], pa.int32()), pa.array(value, pa.float64())], ["item", "score"]
-    )
-    return pa.RecordBatch.from_arrays(
-        [batch.column("user"), pa.ListArray.from_arrays(pa.array(offsets), found)], ["user", "items"]
-    )
+                yield best(batch.slice(start, step))
+
+    return score
 
 
 def exploded(recommended: DataFrame) -> DataFrame:
@@ -139,19 +145,21 @@ def attach_names(
     ``users`` maps trainer ids back to reviewer ids where they differ. A name
     nobody knows becomes ``"empty"``; the order of the areas is kept.
     """
-    rows = recommended.select("user", F.posexplode_outer("items").alias("place", "best"))
-    rows = rows.select("user", "place", F.col("best.item").cast("bigint").alias("neighbourhood_id"))
+    if users is None:
+        owned = recommended.withColumn("reviewer_id", F.col("user").cast("bigint"))
+    else:
+        owned = recommended.join(users, "user")
+    # From here on everything is grouped and joined on reviewer_id: one shuffle.
+    rows = owned.select("reviewer_id", F.posexplode_outer("items").alias("place", "best")).select(
+        "reviewer_id", "place", F.col("best.item").cast("bigint").alias("neighbourhood_id")
+    )
     named = lookup_join(rows, areas, "neighbourhood_id", "left")
     entry = F.when(
         F.col("place").isNotNull(),
         F.struct("place", F.coalesce("neighbourhood", F.lit(EMPTY)).alias("name")),
     )
     # collect_list skips the null of a user without recommendations.
-    lists = named.groupBy("user").agg(F.sort_array(F.collect_list(entry)).alias("places"))
-    if users is None:
-        lists = lists.withColumn("reviewer_id", F.col("user").cast("bigint"))
-    else:
-        lists = lists.join(users, "user")
+    lists = named.groupBy("reviewer_id").agg(F.sort_array(F.collect_list(entry)).alias("places"))
     return lists.join(reviewers, "reviewer_id", "left").select(
         F.col("reviewer_id").alias("reviewerId"),
         F.coalesce("reviewer_name", F.lit(EMPTY)).alias("reviewerName"),
