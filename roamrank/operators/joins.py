@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roamrank.workspace import write_table
+
 # A side is broadcast only after its payload was measured to be at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 2_000_000
 # Keys beyond the most frequent MAX_HOT_KEYS own less than 1/MAX_HOT_KEYS of
 # the rows each, so they need no spreading; it also bounds the broadcast.
-MAX_HOT_KEYS = 1_000
+MAX_HOT_KEYS = 50_000
 
 SALT = "_salt"
 FAN_OUT = "_fan_out"
@@ -98,10 +100,8 @@ def hot_keys(fact: DataFrame, key: str, rows_per_task: int | None = None) -> Hot
         .limit(MAX_HOT_KEYS)
         .select(key, F.ceil(F.col("n") / share).cast("bigint").alias(FAN_OUT))
     )
-    rows = frequent.collect()
-    if not rows:
-        return HotKeys(key, None)
-    return HotKeys(key, fact.sparkSession.createDataFrame(rows, frequent.schema))
+    table = write_table(frequent, "hot-keys")
+    return HotKeys(key, None if table.isEmpty() else table)
 
 
 def lookup_join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,8 +20,11 @@ from roamrank.workspace import write_table
 
 # Item vectors sent to the tasks at a time, in numbers: 64 MB of doubles.
 CHUNK_NUMBERS = 8_000_000
-# Scores a task holds at a time.
-SCORES_IN_MEMORY = 4_000_000
+# Scores a task holds at a time: few enough to stay in the processor's cache.
+SCORES_IN_MEMORY = 100_000
+# Scores worth a task of its own, and the most a task should compute.
+SCORES_PER_TASK = 100_000_000
+MOST_SCORES_PER_TASK = 4_000_000_000
 RECOMMENDED = "array<struct<item:int,score:double>>"
 EMPTY = "empty"
 
@@ -39,15 +43,15 @@ def recommend_topk(
     that size, and a user's best of each chunk are merged.
     """
     chunk = chunk_items or max(1, CHUNK_NUMBERS // model.rank)
-    users = model.user_factors.select(F.col("id").alias("user"), "features")
     items = model.item_factors.select(F.col("id").alias("item"), "features")
-    if items.count() <= chunk:
+    count = items.count()
+    users = _spread(model.user_factors.select(F.col("id").alias("user"), "features"), min(count, chunk))
+    if count <= chunk:
         return _best_in_chunk(users, items, seen, model.rank, k)
     places = dense_id(items, "item", "place")
     numbered = write_table(items.join(places, "item"), "numbered-items")
-    chunks = -(-numbered.count() // chunk)
     best = None
-    for number in range(chunks):
+    for number in range(math.ceil(count / chunk)):
         part = numbered.where(F.floor(F.col("place") / chunk) == number).drop("place")
         found = _best_in_chunk(users, part, seen, model.rank, k)
         best = found if best is None else best.union(found)
@@ -55,6 +59,16 @@ def recommend_topk(
     return merged.select("user", _best_first(F.col("items"), k).alias("items"))
 
 
+def _spread(users: DataFrame, items: int) -> DataFrame:
+    """Split users by the scoring ahead: their file is small for the work it means."""
+    work = users.count() * items
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    tasks = max(
+        math.ceil(work / MOST_SCORES_PER_TASK), min(2 * cores, math.ceil(work / SCORES_PER_TASK))
+    )
+    return users.repartition(tasks, "user") if tasks > 1 else users
+
+
 def _best_first(items: Column, k: int) -> Column:
     keyed = F.transform(items, lambda x: F.struct((-x["score"]).alias("below"), x["item"].alias("item")))
     best = F.slice(F.sort_array(keyed), 1, k)
@@ -87,38 +101,52 @@ def _scorer(shared: Broadcast, rank: int, k: int) -> Callable:
     this package.
     """
 
-    def best(batch: pa.RecordBatch) -> pa.RecordBatch:
-        item_ids, matrix = shared.value
-        count = batch.num_rows
-        features = batch.column("features").flatten().to_numpy(zero_copy_only=False)
-        scores = features.astype(np.float64).reshape(count, rank) @ matrix
-        seen = batch.column("seen")
-        lengths = seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        owners = np.repeat(np.arange(count), lengths)
-        visited = seen.flatten().to_numpy(zero_copy_only=False)
-        scores[owners, np.searchsorted(item_ids, visited)] = -np.inf
+    def best(factors: np.ndarray, owners: np.ndarray, visited: np.ndarray) -> tuple:
+        """User, item place and score of each user's best, in that order."""
+        matrix = shared.value[1]
+        scores = factors @ matrix
+        scores[owners, visited] = -np.inf
         # Everything not below the k-th best, so that ties are settled by item id.
-        below = len(item_ids) - min(k, len(item_ids))
+        count = matrix.shape[1]
+        below = count - min(k, count)
         bar = np.partition(scores, below, axis=1)[:, below]
-        user, place = np.nonzero((scores >= bar[:, None]) & (scores > -np.inf))
+        user, place = np.divmod(np.flatnonzero(scores >= bar[:, None]), count)
         value = scores[user, place]
+        new = value > -np.inf
+        user, place, value = user[new], place[new], value[new]
         order = np.lexsort((place, -value, user))
         user, place, value = user[order], place[order], value[order]
         keep = np.arange(len(user)) - np.searchsorted(user, user) < k
-        user, place, value = user[keep], place[keep], value[keep]
-        offsets = np.searchsorted(user, np.arange(count + 1)).astype(np.int32)
-        found = pa.StructArray.from_arrays(
-            [pa.array(item_ids[place], pa.int32()), pa.array(value, pa.float64())],
-            ["item", "score"],
-        )
-        lists = pa.ListArray.from_arrays(pa.array(offsets), found)
-        return pa.RecordBatch.from_arrays([batch.column("user"), lists], ["user", "items"])
+        return user[keep], place[keep], value[keep]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, SCORES_IN_MEMORY // len(shared.value[0]))
+        item_ids = shared.value[0]
+        step = max(1, SCORES_IN_MEMORY // len(item_ids))
         for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                yield best(batch.slice(start, step))
+            rows = batch.num_rows
+            if rows == 0:
+                continue
+            features = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+            factors = features.astype(np.float64).reshape(rows, rank)
+            seen = batch.column("seen")
+            lengths = seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            owners = np.repeat(np.arange(rows), lengths)
+            visited = np.searchsorted(item_ids, seen.flatten().to_numpy(zero_copy_only=False))
+            parts = []
+            for low in range(0, rows, step):
+                high = min(low + step, rows)
+                mine = slice(ends[low], ends[high])
+                user, place, value = best(factors[low:high], owners[mine] - low, visited[mine])
+                parts.append((user + low, place, value))
+            user, place, value = (np.concatenate(column) for column in zip(*parts))
+            offsets = np.searchsorted(user, np.arange(rows + 1)).astype(np.int32)
+            found = pa.StructArray.from_arrays(
+                [pa.array(item_ids[place], pa.int32()), pa.array(value, pa.float64())],
+                ["item", "score"],
+            )
+            lists = pa.ListArray.from_arrays(pa.array(offsets), found)
+            yield pa.RecordBatch.from_arrays([batch.column("user"), lists], ["user", "items"])
 
     return score
 

@@ -1,0 +1,79 @@
+"""Hazards of the raw files: line breaks, quotes, bad values, short records."""
+
+import pytest
+
+from roamrank.sources import csv, schemas
+from tests.conftest import rows
+
+RECORDS = '''listing_id,id,date,reviewer_id,reviewer_name,comments
+1,10,2019-01-01,100,Ann,"Great, place"
+1,11,2019-01-02,101,Bob,"line one
+line two, with comma
+7,8,2019-09-09,9,fake,tail"
+2,12,2019-01-03,102,Cy,3.5
+2,13,2019-01-04,103,,"He said ""wow"" ok"
+3,14,2019-01-05,5000000000,Dee,nice
+x,15,2019-01-06,105,Eve,nice
+3,16,2019-01-06,106,Fay
+3,z17,2019-01-07,107,Gus,bad pruned id
+'''
+
+
+@pytest.fixture()
+def landed(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text(RECORDS)
+    return csv.land_csv(
+        spark, str(tmp_path / "reviews.csv"), schemas.REVIEWS, str(tmp_path / "landed")
+    )
+
+
+def test_good_records(landed):
+    assert rows(landed.good.select("id")) == [(10,), (11,), (12,), (13,), (14,)]
+    assert landed.good.count() == 5
+
+
+def test_bad_value_in_a_pruned_column_is_still_bad(landed):
+    kept = rows(csv.scan_reviews(landed.good).select("reviewer_id"))
+    assert kept == [(100,), (101,), (102,), (103,), (5000000000,)]
+
+
+def test_quarantine_keeps_the_raw_record(landed):
+    raw = [row[csv.CORRUPT].strip() for row in landed.quarantined.collect()]
+    assert sorted(raw) == [
+        "3,16,2019-01-06,106,Fay",
+        "3,z17,2019-01-07,107,Gus,bad pruned id",
+        "x,15,2019-01-06,105,Eve,nice",
+    ]
+    assert landed.quarantined.count() == 3
+
+
+def test_text_survives(landed):
+    comments = dict(rows(landed.good.select("id", "comments")))
+    assert comments[10] == "Great, place"
+    assert comments[11] == "line one\nline two, with comma\n7,8,2019-09-09,9,fake,tail"
+    assert comments[13] == 'He said "wow" ok'
+
+
+def test_landing_again_replaces(spark, tmp_path):
+    (tmp_path / "areas.csv").write_text("neighbourhood_group,neighbourhood\n,Ada\n,Bea\n")
+    for _ in range(2):
+        landed = csv.land_csv(
+            spark, str(tmp_path / "areas.csv"), schemas.AREAS, str(tmp_path / "landed")
+        )
+    assert rows(landed.good) == [(None, "Ada"), (None, "Bea")]
+
+
+def test_listings_schema(spark, tmp_path):
+    header = ",".join(schemas.LISTINGS.names)
+    (tmp_path / "listings.csv").write_text(
+        header
+        + '\n1,"Flat, big",9,Hal,,Ada,35.6,139.7,Entire home/apt,100,2,3,2019-01-01,0.5,1,300\n'
+        + "2,Room,9,Hal,,Bea,35.6,139.7,Private room,free,2,3,2019-01-01,0.5,1,300\n"
+    )
+    assert rows(csv.load_listings(spark, str(tmp_path / "listings.csv"))) == [(1, 9, "Hal", "Ada")]
+
+
+def test_single_line_mode_matches_on_plain_files(spark, tmp_path):
+    (tmp_path / "areas.csv").write_text("neighbourhood_group,neighbourhood\nG,Ada\nG,Bea\n")
+    path = str(tmp_path / "areas.csv")
+    assert rows(csv.load_areas(spark, path, multi_line=False)) == rows(csv.load_areas(spark, path))

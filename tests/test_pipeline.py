@@ -1,0 +1,115 @@
+"""The whole job from CSV files, and the session's shared folder."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from roamrank import AlsConfig, FactorModel, Inputs, Outputs, run, workspace
+from roamrank.operators.dims import reviewer_dim
+from roamrank.plans.pipeline import recommend_from
+from roamrank.sources import csv, schemas
+from tests.conftest import rows
+
+OFFSET = 5_000_000_000
+
+
+@pytest.fixture(scope="module")
+def files(spark, tmp_path_factory):
+    """12 areas, 60 listings, 40 people with long ids and multi-line comments."""
+    base = tmp_path_factory.mktemp("raw")
+    areas = "".join(f"G,Area {n:02d}\n" for n in range(12))
+    (base / "areas.csv").write_text("neighbourhood_group,neighbourhood\n" + areas)
+    listings = "".join(
+        f'{n},"Flat, {n}",{n % 9},Host {n % 9},G,Area {n % 13:02d},1.5,2.5,Room,10,1,1,2019-01-01,0.1,1,1\n'
+        for n in range(60)
+    )
+    (base / "listings.csv").write_text(",".join(schemas.LISTINGS.names) + "\n" + listings)
+    reviews = "".join(
+        f'{n * 7 % 61},{n},2019-01-{n % 28 + 1:02d},{OFFSET + n % 40},Person {n % 40},"Nice,\n""really"" {n}"\n'
+        for n in range(1200)
+    )
+    reviews += "x,1,2019-01-01,1,Bad,none\n"
+    (base / "reviews.csv").write_text(",".join(schemas.REVIEWS.names) + "\n" + reviews)
+    return Inputs(*(str(base / f"{name}.csv") for name in ("reviews", "listings", "areas")))
+
+
+@pytest.mark.parametrize("exclude_seen", [False, True])
+def test_run(spark, files, tmp_path, exclude_seen):
+    outputs = Outputs(*(str(tmp_path / name) for name in ("model", "result", "metrics")))
+    config = AlsConfig(seed=42)
+    published = run(
+        spark, files, outputs, config, k=5, exclude_seen=exclude_seen, as_of="2019-07-01"
+    )
+    # The same paths again: replaced, not added to; metrics are a log.
+    published = run(
+        spark, files, outputs, config, k=5, exclude_seen=exclude_seen, as_of="2019-07-01"
+    )
+    result = spark.read.parquet(outputs.result)
+    assert rows(result) == rows(published.recommendations)
+    assert sorted(row["reviewerId"] for row in result.collect()) == [OFFSET + n for n in range(40)]
+    assert spark.read.parquet(outputs.metrics).count() == 4
+    metrics = {row["sample"]: row for row in published.metrics.collect()}
+    assert set(metrics) == {"train", "holdout"}
+    assert metrics["train"]["mse"] < metrics["holdout"]["mse"]
+
+    visited = {}
+    for n in range(1200):
+        listing = n * 7 % 61
+        if listing < 60 and listing % 13 < 12:
+            visited.setdefault(OFFSET + n % 40, set()).add(f"Area {listing % 13:02d}")
+    assert metrics["train"]["n"] == sum(map(len, visited.values()))
+    for row in result.collect():
+        names = row["neighbourhoodNames"]
+        assert row["reviewerName"] == f"Person {row['reviewerId'] - OFFSET}"
+        assert row["date"] == "2019-07-01"
+        assert len(set(names)) == len(names)
+        if exclude_seen:
+            assert len(names) == min(5, 12 - len(visited[row["reviewerId"]]))
+            assert not visited[row["reviewerId"]] & set(names)
+        else:
+            assert len(names) == 5
+
+    # What is stored is enough to recommend again, under the first ids.
+    people = reviewer_dim(csv.load_reviews(spark, files.reviews))
+    if not exclude_seen:
+        again = recommend_from(outputs.model, people, 5, as_of="2019-07-01")
+        assert rows(again) == rows(result)
+    assert FactorModel.load(spark, outputs.model).rank == 10
+
+
+class FakeSession:
+    """Session and context in one, as far as ``shared_dir`` looks."""
+
+    def __init__(self, master, setting=None, folder=None):
+        self.sparkContext = self.conf = self
+        self.master, self.setting, self.folder = master, setting, folder
+
+    def get(self, name, default):
+        return self.setting if name == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_comes_from_the_session():
+    session = FakeSession("spark://somewhere:7077", setting="hdfs:///shared")
+    assert workspace.shared_dir(session) == "hdfs:///shared" == session.folder
+    session = FakeSession("spark://somewhere:7077", folder="hdfs:///shared/one")
+    assert workspace.shared_dir(session) == "hdfs:///shared/one"
+
+
+def test_shared_folder_where_none_is_set():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(FakeSession("spark://somewhere:7077"))
+    session = FakeSession("local[2]")
+    assert workspace.shared_dir(session) == session.folder
+
+
+def test_write_table(spark):
+    stored = workspace.write_table(spark.range(5), "numbers")
+    assert stored.count() == 5
+    assert stored.inputFiles()[0].split("/roamrank/")[1].startswith("numbers-")
+    empty = workspace.write_table(spark.range(5).where(F.col("id") > 9), "nothing")
+    assert empty.dtypes == [("id", "bigint")] and empty.isEmpty()
