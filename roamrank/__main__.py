@@ -15,7 +15,8 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="roamrank")
     for name in ("reviews", "listings", "areas", "model", "result"):
         parser.add_argument(f"--{name}", required=True)
-    parser.add_argument("--metrics")
+    parser.add_argument("--metrics", help="table to append the error figures to")
+    parser.add_argument("--rejects", help="folder for malformed and unmatched records")
     parser.add_argument("--seed", type=int, required=True)
     parser.add_argument("--rank", type=int, default=10)
     parser.add_argument("--iterations", type=int, default=3)
@@ -31,7 +32,7 @@ def main() -> None:
     published = run(
         spark,
         Inputs(args.reviews, args.listings, args.areas, not args.single_line),
-        Outputs(args.model, args.result, args.metrics),
+        Outputs(args.model, args.result, args.metrics, args.rejects),
         AlsConfig(args.seed, args.rank, args.iterations, args.reg),
         args.k,
         args.exclude_seen,

@@ -6,16 +6,15 @@ import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roamrank import sinks
 from roamrank.operators.dims import area_dim, reviewer_dim
 from roamrank.operators.model import AlsConfig, FactorModel, evaluate, train
 from roamrank.operators.ratings import build_ratings, holdout_split, to_trainer
 from roamrank.operators.recommend import attach_names, recommend_topk
-from roamrank.operators.visits import join_listing_area
+from roamrank.operators.visits import join_listing_area, unmatched_listings, unmatched_reviews
 from roamrank.sources import csv
-from roamrank.workspace import new_path, write_table
+from roamrank.workspace import new_path, scratch_tables, write_table
 
 
 @dataclass(frozen=True)
@@ -30,9 +29,12 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Outputs:
+    """Where to write; ``rejects`` gets the malformed and the unmatched records."""
+
     model: str
     result: str
     metrics: str | None = None
+    rejects: str | None = None
 
 
 @dataclass(frozen=True)
@@ -52,12 +54,25 @@ def run(
     as_of: datetime.date | str | None = None,
 ) -> Published:
     """Load the CSV files, then train, store, evaluate and publish."""
-    reviews = csv.load_reviews(spark, inputs.reviews, multi_line=inputs.multi_line)
-    listings = csv.load_listings(spark, inputs.listings, multi_line=inputs.multi_line)
-    areas = csv.load_areas(spark, inputs.areas, multi_line=inputs.multi_line)
-    return publish(
-        reviews, listings, areas, outputs, config, k, exclude_seen, holdout, as_of
-    )
+    with scratch_tables(spark):
+        reviews = csv.load_reviews(spark, inputs.reviews, multi_line=inputs.multi_line)
+        listings = csv.load_listings(spark, inputs.listings, multi_line=inputs.multi_line)
+        areas = csv.load_areas(spark, inputs.areas, multi_line=inputs.multi_line)
+        if outputs.rejects:
+            for name, landed in (("reviews", reviews), ("listings", listings), ("areas", areas)):
+                bad = landed.quarantined.write.mode("overwrite")
+                bad.parquet(f"{outputs.rejects}/malformed_{name}")
+        return publish(
+            csv.scan_reviews(reviews.good),
+            csv.scan_listings(listings.good),
+            areas.good,
+            outputs,
+            config,
+            k,
+            exclude_seen,
+            holdout,
+            as_of,
+        )
 
 
 def publish(
@@ -71,38 +86,57 @@ def publish(
     holdout: bool = True,
     as_of: datetime.date | str | None = None,
 ) -> Published:
-    """The same from DataFrames in the readers' form.
+    """The same from DataFrames in the scans' form.
 
     Ratings are written once and the model is stored before use, so no later
     step goes back to the reviews or refits after losing executors. Names and
     id mappings are stored beside the model: it can't be read without them.
     """
-    dim = area_dim(areas)
-    dim.write.mode("overwrite").parquet(f"{outputs.model}/areas")
-    dim = reviews.sparkSession.read.parquet(f"{outputs.model}/areas")
-    listing_area = join_listing_area(listings, dim)
-    counted = write_table(build_ratings(listing_area, reviews), "ratings")
-    keyed = to_trainer(counted)
-    ratings = keyed.ratings if keyed.users is None else write_table(keyed.ratings, "keyed-ratings")
-
-    model = train(ratings, config)
-    model.save(outputs.model)
-    users = keyed.users
+    spark = reviews.sparkSession
+    with scratch_tables(spark):
+        areas_path = f"{outputs.model}/areas"
+        area_dim(areas).write.mode("overwrite").parquet(areas_path)
+        dim = spark.read.parquet(areas_path)
+        listing_area = join_listing_area(listings, dim)
+        if outputs.rejects:
+            _write_unmatched(listings, dim, listing_area, reviews, outputs.rejects)
+
+        counted = write_table(build_ratings(listing_area, reviews), "ratings")
+        keyed = to_trainer(counted)
+        ratings = keyed.ratings
+        if keyed.users is not None:
+            ratings = write_table(ratings, "keyed-ratings")
+        model = train(ratings, config)
+        model.save(outputs.model)
+        _save_users(keyed.users, spark, outputs.model)
+
+        metrics = _metrics(ratings, outputs.model, config, holdout)
+        if outputs.metrics:
+            sinks.write_metrics(metrics, outputs.metrics)
+        named = recommend_from(
+            outputs.model, reviewer_dim(reviews), k, ratings if exclude_seen else None, as_of
+        )
+        return Published(sinks.write_result(named, outputs.result), metrics)
+
+
+def _write_unmatched(
+    listings: DataFrame, dim: DataFrame, listing_area: DataFrame, reviews: DataFrame, path: str
+) -> None:
+    lost = unmatched_listings(listings, dim)
+    lost.write.mode("overwrite").parquet(f"{path}/unmatched_listings")
+    lost = unmatched_reviews(listing_area, reviews)
+    lost.write.mode("overwrite").parquet(f"{path}/unmatched_reviews")
+
+
+def _save_users(users: DataFrame | None, spark: SparkSession, path: str) -> None:
     if users is None:
-        # Keep the layout: an earlier model at this path may have had a mapping.
-        users = reviews.sparkSession.createDataFrame([], "reviewer_id bigint, user bigint")
-    users.write.mode("overwrite").parquet(f"{outputs.model}/users")
-
-    metrics = _metrics(ratings, outputs.model, config, holdout)
-    if outputs.metrics:
-        sinks.write_metrics(metrics, outputs.metrics)
-    stored = recommend_from(
-        outputs.model, reviewer_dim(reviews), k, ratings if exclude_seen else None, as_of
-    )
-    return Published(sinks.write_result(stored, outputs.result), metrics)
+        # Written all the same: an earlier model at this path may have had one.
+        users = spark.createDataFrame([], "reviewer_id bigint, user bigint")
+    users.write.mode("overwrite").parquet(f"{path}/users")
 
 
 def _metrics(ratings: DataFrame, path: str, config: AlsConfig, holdout: bool) -> DataFrame:
+    """One row per sample, held by the driver."""
     spark = ratings.sparkSession
     rows = evaluate(FactorModel.load(spark, path), ratings, config, "train")
     if holdout:
@@ -110,7 +144,7 @@ def _metrics(ratings: DataFrame, path: str, config: AlsConfig, holdout: bool) ->
         aside = new_path(spark, "holdout-model")
         train(fit_on, config).save(aside)
         rows = rows.union(evaluate(FactorModel.load(spark, aside), held, config, "holdout"))
-    return write_table(rows.coalesce(1), "metrics")
+    return spark.createDataFrame(rows.collect(), rows.schema)
 
 
 def recommend_from(
@@ -124,8 +158,6 @@ def recommend_from(
     spark = reviewers.sparkSession
     users = spark.read.parquet(f"{path}/users")
     best = recommend_topk(FactorModel.load(spark, path), k, seen)
-    areas = spark.read.parquet(f"{path}/areas").select(
-        F.col("neighbourhood_id"), F.col("neighbourhood")
-    )
+    areas = spark.read.parquet(f"{path}/areas")
     mapping = None if users.isEmpty() else users
     return attach_names(best, areas, reviewers, mapping, as_of)

@@ -68,18 +68,19 @@ def scan_listings(listings: DataFrame) -> DataFrame:
 
 def load_reviews(
     spark: SparkSession, path: str | list[str], landed: str | None = None, multi_line: bool = True
-) -> DataFrame:
-    return scan_reviews(land_csv(spark, path, schemas.REVIEWS, landed, multi_line).good)
+) -> Landed:
+    """Reviews with their id and comments; ``scan_reviews`` keeps what visits need."""
+    return land_csv(spark, path, schemas.REVIEWS, landed, multi_line)
 
 
 def load_listings(
     spark: SparkSession, path: str | list[str], landed: str | None = None, multi_line: bool = True
-) -> DataFrame:
-    return scan_listings(land_csv(spark, path, schemas.LISTINGS, landed, multi_line).good)
+) -> Landed:
+    return land_csv(spark, path, schemas.LISTINGS, landed, multi_line)
 
 
 def load_areas(
     spark: SparkSession, path: str | list[str], landed: str | None = None, multi_line: bool = True
-) -> DataFrame:
+) -> Landed:
     """Areas with their group; ``area_dim`` drops the group and adds the id."""
-    return land_csv(spark, path, schemas.AREAS, landed, multi_line).good
+    return land_csv(spark, path, schemas.AREAS, landed, multi_line)

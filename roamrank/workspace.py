@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, the same on every node.
@@ -32,7 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/roamrank/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/roamrank/{name}-{uuid.uuid4().hex}"
+    created = _scratch.get()
+    if created is not None:
+        created.append(path)
+    return path
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -41,3 +50,21 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the paths handed out inside the block when it ends.
+
+    DataFrames that read them can't be used afterwards.
+    """
+    created: list[str] = []
+    token = _scratch.set(created)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for name in created:
+            path = hadoop.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -70,10 +70,13 @@ def test_listings_schema(spark, tmp_path):
         + '\n1,"Flat, big",9,Hal,,Ada,35.6,139.7,Entire home/apt,100,2,3,2019-01-01,0.5,1,300\n'
         + "2,Room,9,Hal,,Bea,35.6,139.7,Private room,free,2,3,2019-01-01,0.5,1,300\n"
     )
-    assert rows(csv.load_listings(spark, str(tmp_path / "listings.csv"))) == [(1, 9, "Hal", "Ada")]
+    landed = csv.load_listings(spark, str(tmp_path / "listings.csv"))
+    assert rows(csv.scan_listings(landed.good)) == [(1, 9, "Hal", "Ada")]
+    assert landed.quarantined.count() == 1
 
 
 def test_single_line_mode_matches_on_plain_files(spark, tmp_path):
     (tmp_path / "areas.csv").write_text("neighbourhood_group,neighbourhood\nG,Ada\nG,Bea\n")
     path = str(tmp_path / "areas.csv")
-    assert rows(csv.load_areas(spark, path, multi_line=False)) == rows(csv.load_areas(spark, path))
+    plain = csv.load_areas(spark, path, multi_line=False).good
+    assert rows(plain) == rows(csv.load_areas(spark, path).good) == [("G", "Ada"), ("G", "Bea")]

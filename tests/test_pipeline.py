@@ -1,5 +1,7 @@
 """The whole job from CSV files, and the session's shared folder."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def files(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("exclude_seen", [False, True])
 def test_run(spark, files, tmp_path, exclude_seen):
-    outputs = Outputs(*(str(tmp_path / name) for name in ("model", "result", "metrics")))
+    outputs = Outputs(*(str(tmp_path / name) for name in ("model", "result", "metrics", "rejects")))
     config = AlsConfig(seed=42)
     published = run(
         spark, files, outputs, config, k=5, exclude_seen=exclude_seen, as_of="2019-07-01"
@@ -69,12 +71,22 @@ def test_run(spark, files, tmp_path, exclude_seen):
             assert len(names) == 5
 
     # What is stored is enough to recommend again, under the first ids.
-    people = reviewer_dim(csv.load_reviews(spark, files.reviews))
+    people = reviewer_dim(csv.load_reviews(spark, files.reviews).good)
     if not exclude_seen:
         again = recommend_from(outputs.model, people, 5, as_of="2019-07-01")
         assert rows(again) == rows(result)
     assert FactorModel.load(spark, outputs.model).rank == 10
 
+    rejects = {path.name: spark.read.parquet(str(path)).count() for path in (tmp_path / "rejects").iterdir()}
+    lost = [n for n in range(1200) if n * 7 % 61 == 60 or n * 7 % 61 % 13 == 12]
+    assert rejects == {
+        "malformed_reviews": 1,
+        "malformed_listings": 0,
+        "malformed_areas": 0,
+        "unmatched_listings": 4,
+        "unmatched_reviews": len(lost),
+    }
+
 
 class FakeSession:
     """Session and context in one, as far as ``shared_dir`` looks."""
@@ -107,6 +119,15 @@ def test_shared_folder_where_none_is_set():
     assert workspace.shared_dir(session) == session.folder
 
 
+def test_scratch_tables_are_deleted(spark):
+    kept = workspace.write_table(spark.range(3), "kept")
+    with workspace.scratch_tables(spark):
+        gone = workspace.write_table(spark.range(3), "gone")
+        folder = pathlib.Path(gone.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists()
+    assert not folder.exists() and kept.count() == 3
+
+
 def test_write_table(spark):
     stored = workspace.write_table(spark.range(5), "numbers")
     assert stored.count() == 5
