@@ -11,8 +11,8 @@ import time
 
 from pyspark.sql import SparkSession
 
-from harness import tables
-from harness.queries import FULL, K, QUERIES
+from roamrank.checks import tables
+from roamrank.checks.queries import FULL, K, QUERIES
 from roamrank.operators import model, recommend
 
 HEADLINE = [

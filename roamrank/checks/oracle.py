@@ -6,7 +6,7 @@ the model itself: one common table expression per half-step.
 
 from __future__ import annotations
 
-from harness.queries import AS_OF, EXACT, K, SEED
+from roamrank.checks.queries import AS_OF, EXACT, K, SEED
 from roamrank.functions.expressions import (
     HASH_PRIME,
     ITEM_FACTOR,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness import tables
+from roamrank.checks import tables
 from roamrank import sinks
 from roamrank.operators import dims, model, normal_equations, ratings, recommend, visits
 from roamrank.operators.model import AlsConfig, FactorModel
@@ -18,7 +18,7 @@ from roamrank.workspace import new_path, write_table
 SEED = 42
 K = 5
 AS_OF = "2019-07-01"
-# The reference configuration: rank 10, three rounds, ridge 0.01.
+# The default configuration: rank 10, three rounds, ridge 0.01.
 FULL = AlsConfig(SEED)
 # Rank 2 has a closed form, so plain SQL can train the same model.
 EXACT = AlsConfig(SEED, rank=2, solver="sums")
@@ -303,7 +303,7 @@ def publish_novel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job at the reference configuration, with both metrics."""
+    """The whole job at the default configuration, with both metrics."""
     return _published(spark, sf_dir, FULL)
 
 

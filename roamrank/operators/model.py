@@ -15,9 +15,11 @@ from roamrank.operators.normal_equations import fit_by_sums
 from roamrank.workspace import shared_dir
 
 # Ratings that one block of MLlib's ALS should hold. Its shuffle makes a buffer
-# for each pair of blocks, so one side's number of blocks is limited.
-RATINGS_PER_BLOCK = 5_000_000
+# for each pair of blocks, so the numbers of blocks are limited. They depend on
+# the ratings alone, never on the cluster: the start vectors depend on them.
+RATINGS_PER_BLOCK = 1_000_000
 MIN_BLOCKS = 10
+MAX_USER_BLOCKS = 20_000
 MAX_ITEM_BLOCKS = 200
 # MLlib keeps an id's ratings in one task's arrays, 12 bytes each and copied
 # while sorting. With more ratings on one id the summing solver trains instead.
@@ -93,7 +95,8 @@ def rating_stats(ratings: DataFrame) -> RatingStats:
 def block_counts(stats: RatingStats) -> tuple[int, int]:
     """User and item blocks: enough that each holds a task's share of ratings."""
     wanted = max(MIN_BLOCKS, math.ceil(stats.ratings / RATINGS_PER_BLOCK))
-    return wanted, min(wanted, MAX_ITEM_BLOCKS, max(MIN_BLOCKS, stats.items // 4))
+    user_blocks = min(wanted, MAX_USER_BLOCKS)
+    return user_blocks, min(wanted, MAX_ITEM_BLOCKS, max(MIN_BLOCKS, stats.items // 4))
 
 
 def fit_mllib(ratings: DataFrame, config: AlsConfig, stats: RatingStats | None = None) -> ALSModel:

@@ -69,3 +69,18 @@ def test_plan_broadcasts_small_and_shuffles_large(spark, fact, dim, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "fact"))
     assert "BroadcastHashJoin" in plan(joins.lookup_join(stored, dim, "key"))
     assert "PushedFilters: [IsNotNull(key)]" in plan(joins.lookup_join(stored, dim, "key"))
+
+
+def test_hot_keys_are_found_in_part_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_TO_TELL", 1000)
+    many = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("key")
+    )
+    hot = joins.hot_keys(many, "key", rows_per_task=20_000)
+    assert [(row["key"], row[joins.FAN_OUT]) for row in hot.table.collect()] in ([(7, 5)], [(7, 6)])
+
+
+def test_salted_plan_hashes_everything(fact, dim):
+    salted = joins.lookup_join(fact, dim, "key", broadcast_bytes=0, rows_per_task=50)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

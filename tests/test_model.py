@@ -138,5 +138,5 @@ def test_unknown_solver(planted):
 def test_blocks_grow_with_the_ratings():
     assert model.block_counts(model.RatingStats(1000, 25, 100, 25)) == (10, 10)
     users, items = model.block_counts(model.RatingStats(10**10, 100_000, 10**8, 100_000))
-    assert (users, items) == (2000, 200)
-    assert model.block_counts(model.RatingStats(10**10, 25, 10**9, 25)) == (2000, 10)
+    assert (users, items) == (10_000, 200)
+    assert model.block_counts(model.RatingStats(10**10, 25, 10**9, 25)) == (10_000, 10)

@@ -59,7 +59,7 @@ def test_query_by_the_ways_for_large_data(spark, tables, name, monkeypatch):
     compare(contract.queries()[name](spark, SF_DIR), tables, contract.oracle_sql()[name])
 
 
-def test_whole_job_at_the_reference_configuration(spark):
+def test_whole_job_at_the_default_configuration(spark):
     result = contract.entry(spark)
     assert result.columns == ["reviewerId", "reviewerName", "neighbourhoodNames", "date"]
     assert result.count() == 150
