@@ -166,7 +166,7 @@ def queries() -> dict[str, str]:
         "area_dim": _sql("SELECT neighbourhood, neighbourhood_id FROM areas"),
         "csv_roundtrip": _sql(REVIEW_RECORDS),
         "csv_quarantine": _sql(
-            "SELECT listing_id, CASE WHEN l_returnflag <> 'R' THEN id END AS id, date, reviewer_id,"
+            "SELECT listing_id, CASE WHEN l_returnflag <> 'R' THEN id ELSE -1 END AS id, date, reviewer_id,"
             " reviewer_name, comments, l_returnflag = 'R' AS quarantined FROM ("
             + REVIEW_RECORDS.replace("AS comments", "AS comments, l_returnflag")
             + ") AS records"
@@ -249,6 +249,7 @@ def queries() -> dict[str, str]:
         ),
         "publish_named": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
         "publish_novel": _sql(_named(), *rank2, SCORED, _best(unseen=True)),
+        "jdbc_rows": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
         "sink_parquet_overwrite": _sql("SELECT reviewer_id, reviewer_name FROM reviewers"),
         "preview_recommendations": _sql(
             _named() + "\nORDER BY uf.id LIMIT 10", *rank2, SCORED, _best(unseen=False)

@@ -73,7 +73,7 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _land(spark, broken.drop("l_returnflag"))
     good = landed.good.withColumn("quarantined", F.lit(False))
     bad = landed.quarantined.drop(csv.CORRUPT).withColumn("quarantined", F.lit(True))
-    return tables.date_text(good.union(bad))
+    return tables.date_text(good.union(bad).fillna(-1, ["id"]))
 
 
 def listing_area_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,12 +124,19 @@ def trainer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviewer ids above an int's range train under dense ids."""
     counted = write_table(tables.ratings(spark, sf_dir), "ratings")
     moved = counted.withColumn("reviewer_id", F.col("reviewer_id") + 5_000_000_000)
-    return ratings.to_trainer(moved).ratings
+    return _wide(ratings.to_trainer(moved).ratings)
+
+
+def _wide(rated: DataFrame) -> DataFrame:
+    """Trainer ids as bigint, as SQL has them."""
+    return rated.withColumn("user", F.col("user").cast("bigint")).withColumn(
+        "item", F.col("item").cast("bigint")
+    )
 
 
 def holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = ratings.holdout_split(tables.trainer_ratings(spark, sf_dir), seed=SEED)
-    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return _wide(train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test"))))
 
 
 def evaluate_user_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,9 +170,7 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated, fitted = _exact_model(spark, sf_dir)
-    return model.predict(fitted, rated).select(
-        "user", "item", "rating", F.round("prediction", 4).alias("prediction")
-    )
+    return _wide(model.predict(fitted, rated)).withColumn("prediction", F.round("prediction", 4))
 
 
 def evaluate_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,6 +312,18 @@ def publish_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, sf_dir, FULL)
 
 
+def jdbc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``write_jdbc`` sends; the database itself is the caller's."""
+    _, fitted = _exact_model(spark, sf_dir)
+    named = recommend.attach_names(
+        recommend.recommend_topk(fitted, K),
+        dims.area_dim(tables.areas(spark, sf_dir)),
+        dims.reviewer_dim(tables.reviews(spark, sf_dir)),
+        as_of=AS_OF,
+    )
+    return sinks.jdbc_rows(named, separator="|")
+
+
 def sink_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice to one path; the second run replaces the first."""
     named = reviewer_dim(spark, sf_dir)
@@ -407,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_named": publish_named,
     "publish_novel": publish_novel,
     "publish_full": publish_full,
+    "jdbc_rows": jdbc_rows,
     "sink_parquet_overwrite": sink_parquet_overwrite,
     "preview_recommendations": preview_recommendations,
     "metrics_table": metrics_table,

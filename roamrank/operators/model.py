@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,8 @@ RATINGS_PER_BLOCK = 1_000_000
 MIN_BLOCKS = 10
 MAX_USER_BLOCKS = 20_000
 MAX_ITEM_BLOCKS = 200
+# Beyond this many ratings in one item's block, more blocks are taken after all.
+MAX_RATINGS_PER_BLOCK = 50_000_000
 # MLlib keeps an id's ratings in one task's arrays, 12 bytes each and copied
 # while sorting. With more ratings on one id the summing solver trains instead.
 MAX_RATINGS_PER_ID = 100_000_000
@@ -56,6 +58,7 @@ class FactorModel:
     rank: int
     user_factors: DataFrame
     item_factors: DataFrame
+    solver: str = "mllib"
 
     @classmethod
     def from_mllib(cls, model: ALSModel) -> FactorModel:
@@ -66,15 +69,17 @@ class FactorModel:
         self.user_factors.write.mode("overwrite").parquet(f"{path}/user_factors")
         self.item_factors.write.mode("overwrite").parquet(f"{path}/item_factors")
         spark = self.user_factors.sparkSession
-        about = spark.createDataFrame([(self.rank,)], "rank int")
+        about = spark.createDataFrame([(self.rank, self.solver)], "rank int, solver string")
         about.coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FactorModel:
+        about = spark.read.parquet(f"{path}/about").first()
         return cls(
-            spark.read.parquet(f"{path}/about").first()["rank"],
+            about["rank"],
             spark.read.parquet(f"{path}/user_factors"),
             spark.read.parquet(f"{path}/item_factors"),
+            about["solver"],
         )
 
 
@@ -96,7 +101,8 @@ def block_counts(stats: RatingStats) -> tuple[int, int]:
     """User and item blocks: enough that each holds a task's share of ratings."""
     wanted = max(MIN_BLOCKS, math.ceil(stats.ratings / RATINGS_PER_BLOCK))
     user_blocks = min(wanted, MAX_USER_BLOCKS)
-    return user_blocks, min(wanted, MAX_ITEM_BLOCKS, max(MIN_BLOCKS, stats.items // 4))
+    most = max(MAX_ITEM_BLOCKS, math.ceil(stats.ratings / MAX_RATINGS_PER_BLOCK))
+    return user_blocks, min(user_blocks, most, max(MIN_BLOCKS, stats.items // 4))
 
 
 def fit_mllib(ratings: DataFrame, config: AlsConfig, stats: RatingStats | None = None) -> ALSModel:
@@ -132,7 +138,7 @@ def train(ratings: DataFrame, config: AlsConfig) -> FactorModel:
         users, items = fit_by_sums(
             ratings, config.rank, config.iterations, config.reg, config.seed
         )
-        return FactorModel(config.rank, users, items)
+        return FactorModel(config.rank, users, items, solver)
     raise ValueError(f"unknown solver {config.solver!r}")
 
 
@@ -154,5 +160,6 @@ def mean_squared_error(predicted: DataFrame) -> DataFrame:
 def evaluate(model: FactorModel, ratings: DataFrame, config: AlsConfig, sample: str) -> DataFrame:
     """The metric as a row of the metrics table, with the parameters behind it."""
     metrics = mean_squared_error(predict(model, ratings))
-    settings = [F.lit(value).alias(name) for name, value in asdict(config).items()]
+    used = replace(config, solver=model.solver)
+    settings = [F.lit(value).alias(name) for name, value in asdict(used).items()]
     return metrics.select(F.lit(sample).alias("sample"), "mse", "n", *settings)

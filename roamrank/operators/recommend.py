@@ -53,7 +53,8 @@ def recommend_topk(
     best = None
     for number in range(math.ceil(count / chunk)):
         part = numbered.where(F.floor(F.col("place") / chunk) == number).drop("place")
-        found = _best_in_chunk(users, part, seen, model.rank, k)
+        # Written, so that no more than one chunk is in memory at a time.
+        found = write_table(_best_in_chunk(users, part, seen, model.rank, k), "best-of-chunk")
         best = found if best is None else best.union(found)
     merged = best.groupBy("user").agg(F.flatten(F.collect_list("items")).alias("items"))
     return merged.select("user", _best_first(F.col("items"), k).alias("items"))

@@ -76,9 +76,11 @@ def test_sums_solver_against_numpy(spark, planted):
 
 def test_hot_ids_switch_solver(planted, monkeypatch):
     config = AlsConfig(seed=1, rank=2, iterations=1)
-    assert dict(model.train(planted, config).user_factors.dtypes)["features"] == "array<float>"
+    assert model.train(planted, config).solver == "mllib"
     monkeypatch.setattr(model, "MAX_RATINGS_PER_ID", 150)
-    assert dict(model.train(planted, config).user_factors.dtypes)["features"] == "array<double>"
+    fitted = model.train(planted, config)
+    assert fitted.solver == "sums"
+    assert model.evaluate(fitted, planted, config, "train").first()["solver"] == "sums"
 
 
 def test_same_seed_same_model(planted):
@@ -139,4 +141,5 @@ def test_blocks_grow_with_the_ratings():
     assert model.block_counts(model.RatingStats(1000, 25, 100, 25)) == (10, 10)
     users, items = model.block_counts(model.RatingStats(10**10, 100_000, 10**8, 100_000))
     assert (users, items) == (10_000, 200)
+    assert model.block_counts(model.RatingStats(10**11, 10**6, 10**8, 10**6)) == (20_000, 2000)
     assert model.block_counts(model.RatingStats(10**10, 25, 10**9, 25)) == (10_000, 10)
