@@ -81,8 +81,7 @@ def listing_area_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visits_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = visits.join_reviews(tables.listing_area(spark, sf_dir), tables.reviews(spark, sf_dir))
-    return tables.date_text(joined)
+    return tables.date_text(tables.visits(spark, sf_dir))
 
 
 def unmatched_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,15 +94,15 @@ def unmatched_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of suppliers in debt, when only the others are listed."""
     solvent = tables.read(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
     left_out = visits.unmatched_reviews(
-        solvent.select(F.col("s_suppkey").alias("id")), tables.reviews(spark, sf_dir)
+        solvent.select(F.col("s_suppkey").alias("id")),
+        tables.reviews(spark, sf_dir),
+        frequencies=tables.listing_frequencies(spark, sf_dir),
     )
     return tables.date_text(left_out.select("listing_id", "date", "reviewer_id", "reviewer_name"))
 
 
 def visit_counts_named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings.visit_counts_named(
-        visits.join_reviews(tables.listing_area(spark, sf_dir), tables.reviews(spark, sf_dir))
-    )
+    return ratings.visit_counts_named(tables.visits(spark, sf_dir))
 
 
 def ratings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,7 +284,7 @@ def recommend_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published(spark: SparkSession, sf_dir: str, config: AlsConfig, **options) -> DataFrame:
     outputs = Outputs(new_path(spark, "model"), new_path(spark, "result"))
     published = publish(
-        tables.reviews(spark, sf_dir),
+        write_table(tables.reviews(spark, sf_dir), "reviews"),
         tables.listings(spark, sf_dir),
         tables.areas(spark, sf_dir),
         outputs,

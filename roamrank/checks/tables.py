@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamrank.operators.dims import area_dim
-from roamrank.operators.joins import lookup_join
+from roamrank.operators.joins import fits_broadcast, lookup_join
 from roamrank.operators.ratings import build_ratings, to_trainer
-from roamrank.operators.visits import join_listing_area
+from roamrank.operators.visits import join_listing_area, join_reviews
 from roamrank.workspace import write_table
 
 
@@ -54,7 +54,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("date"),
     )
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return lookup_join(lookup_join(lines, orders, "l_orderkey"), customers, "c_custkey")
+    # Orders get their names first: they are fewer than lines. With them they are
+    # larger than without, so no look is needed where they were too large before.
+    limit = None if fits_broadcast(orders) else 0
+    named = lookup_join(orders, customers, "c_custkey")
+    return lookup_join(lines, named, "l_orderkey", broadcast_bytes=limit)
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +70,29 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listing_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each listing is reviewed, without the joins behind ``reviews``."""
+    return read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("listing_id"))
+
+
 def listing_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_listing_area(listings(spark, sf_dir), area_dim(areas(spark, sf_dir)))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_ratings(listing_area(spark, sf_dir), reviews(spark, sf_dir))
+    return build_ratings(
+        listing_area(spark, sf_dir),
+        reviews(spark, sf_dir),
+        frequencies=listing_frequencies(spark, sf_dir),
+    )
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_reviews(
+        listing_area(spark, sf_dir),
+        reviews(spark, sf_dir),
+        frequencies=listing_frequencies(spark, sf_dir),
+    )
 
 
 def trainer_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

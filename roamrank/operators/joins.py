@@ -52,7 +52,9 @@ def payload_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return payload_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    """Measure ``df`` against the limit; a limit of 0 says no without a look."""
+    limit = BROADCAST_BYTES if limit is None else limit
+    return limit > 0 and payload_bytes(df) <= limit
 
 
 @dataclass(frozen=True)
@@ -125,6 +127,7 @@ def lookup_join(
     broadcast_bytes: int | None = None,
     rows_per_task: int | None = None,
     hot: HotKeys | None = None,
+    frequencies: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large table to a lookup table on a column both call ``key``.
 
@@ -132,10 +135,17 @@ def lookup_join(
     shuffled at all. A larger one takes a shuffled join in which hot keys are
     salted on one side and repeated on the other, so no task gets a whole hot
     key. ``how`` is inner, left, left_semi or left_anti.
+
+    Hot keys are looked for in ``fact`` unless they are given as ``hot``, or
+    ``frequencies`` names a cheaper table in which keys are about as frequent.
     """
     if fits_broadcast(dim, broadcast_bytes):
         return fact.join(F.broadcast(dim), key, how)
-    hot = hot or hot_keys(fact, key, rows_per_task)
+    if how in ("inner", "left_semi"):
+        # Said here, because no filter is pushed below a salt.
+        fact = fact.where(F.col(key).isNotNull())
+    if hot is None:
+        hot = hot_keys(fact if frequencies is None else frequencies, key, rows_per_task)
     if hot.table is None:
         return fact.join(dim, key, how)
     return hot.salt(fact).join(hot.fan_out(dim), [key, SALT], how).drop(SALT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roamrank.operators.joins import HotKeys, lookup_join
+from roamrank.operators.joins import lookup_join
 
 VISIT_COLUMNS = [
     "host_id",
@@ -41,12 +41,10 @@ def unmatched_reviews(listing_area: DataFrame, reviews: DataFrame, **options) ->
     return lookup_join(reviews, known, "listing_id", "left_anti", **options)
 
 
-def area_of_reviews(
-    listing_area: DataFrame, reviews: DataFrame, hot: HotKeys | None = None, **options
-) -> DataFrame:
+def area_of_reviews(listing_area: DataFrame, reviews: DataFrame, **options) -> DataFrame:
     """(reviewer_id, neighbourhood_id) per review: all that ratings need."""
     listings = listing_area.select(F.col("id").alias("listing_id"), "neighbourhood_id")
     visits = reviews.where(F.col("reviewer_id").isNotNull()).select("listing_id", "reviewer_id")
-    return lookup_join(visits, listings, "listing_id", hot=hot, **options).select(
+    return lookup_join(visits, listings, "listing_id", **options).select(
         "reviewer_id", "neighbourhood_id"
     )

@@ -86,7 +86,8 @@ def publish(
     holdout: bool = True,
     as_of: datetime.date | str | None = None,
 ) -> Published:
-    """The same from DataFrames in the scans' form.
+    """The same from DataFrames in the scans' form, best stored ones: the reviews
+    are read twice, for ratings and for names.
 
     Ratings are written once and the model is stored before use, so no later
     step goes back to the reviews or refits after losing executors. Names and
