@@ -18,8 +18,9 @@ from roamrank.operators.joins import lookup_join
 from roamrank.operators.model import FactorModel
 from roamrank.workspace import write_table
 
-# Item vectors sent to the tasks at a time, in numbers: 64 MB of doubles.
-CHUNK_NUMBERS = 8_000_000
+# Item vectors sent to the tasks at a time, in numbers: 16 MB of doubles, which
+# every Python worker holds. At rank 10 that is 200,000 items.
+CHUNK_NUMBERS = 2_000_000
 # Scores a task holds at a time: few enough to stay in the processor's cache.
 SCORES_IN_MEMORY = 100_000
 # Scores worth a task of its own, and the most a task should compute.
@@ -49,10 +50,12 @@ def recommend_topk(
     if count <= chunk:
         return _best_in_chunk(users, items, seen, model.rank, k)
     places = dense_id(items, "item", "place")
-    numbered = write_table(items.join(places, "item"), "numbered-items")
+    # In the order of the places, so that a chunk is read from its own files.
+    ordered = items.join(places, "item").repartitionByRange("place").sortWithinPartitions("place")
+    numbered = write_table(ordered, "numbered-items")
     best = None
-    for number in range(math.ceil(count / chunk)):
-        part = numbered.where(F.floor(F.col("place") / chunk) == number).drop("place")
+    for first in range(0, count, chunk):
+        part = numbered.where(F.col("place").between(first, first + chunk - 1)).drop("place")
         # Written, so that no more than one chunk is in memory at a time.
         found = write_table(_best_in_chunk(users, part, seen, model.rank, k), "best-of-chunk")
         best = found if best is None else best.union(found)
