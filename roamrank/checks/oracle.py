@@ -250,6 +250,13 @@ def queries() -> dict[str, str]:
         "publish_named": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
         "publish_novel": _sql(_named(), *rank2, SCORED, _best(unseen=True)),
         "jdbc_rows": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
+        # Who is served, under which name and with how many areas; not which ones.
+        "publish_full": _sql(
+            f"""SELECT u AS "reviewerId", coalesce(reviewer_name, 'empty') AS "reviewerName",
+       least({K}, (SELECT count(DISTINCT i) FROM ratings)) AS n_names, TRUE AS distinct_names,
+       FALSE AS unnamed, '{AS_OF}' AS date
+FROM (SELECT DISTINCT u FROM ratings) AS rated LEFT JOIN reviewers ON u = reviewer_id"""
+        ),
         "sink_parquet_overwrite": _sql("SELECT reviewer_id, reviewer_name FROM reviewers"),
         "preview_recommendations": _sql(
             _named() + "\nORDER BY uf.id LIMIT 10", *rank2, SCORED, _best(unseen=False)

@@ -306,11 +306,24 @@ def publish_novel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.jdbc_rows(_published(spark, sf_dir, EXACT, exclude_seen=True, holdout=False))
 
 
-def publish_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job at the default configuration, with both metrics."""
     return _published(spark, sf_dir, FULL)
 
 
+def publish_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job, reduced to what doesn't depend on MLlib's start vectors."""
+    names = F.col("neighbourhoodNames")
+    return recommendations(spark, sf_dir).select(
+        "reviewerId",
+        "reviewerName",
+        F.size(names).cast("bigint").alias("n_names"),
+        (F.size(F.array_distinct(names)) == F.size(names)).alias("distinct_names"),
+        F.array_contains(names, recommend.EMPTY).alias("unnamed"),
+        "date",
+    )
+
+
 def jdbc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What ``write_jdbc`` sends; the database itself is the caller's."""
     _, fitted = _exact_model(spark, sf_dir)
