@@ -55,9 +55,14 @@ def run(
 ) -> Published:
     """Load the CSV files, then train, store, evaluate and publish."""
     with scratch_tables(spark):
-        reviews = csv.load_reviews(spark, inputs.reviews, multi_line=inputs.multi_line)
-        listings = csv.load_listings(spark, inputs.listings, multi_line=inputs.multi_line)
-        areas = csv.load_areas(spark, inputs.areas, multi_line=inputs.multi_line)
+        lines = inputs.multi_line
+        reviews = csv.load_reviews(
+            spark, inputs.reviews, multi_line=lines, keep=csv.REVIEW_COLUMNS
+        )
+        listings = csv.load_listings(
+            spark, inputs.listings, multi_line=lines, keep=csv.LISTING_COLUMNS
+        )
+        areas = csv.load_areas(spark, inputs.areas, multi_line=lines)
         if outputs.rejects:
             for name, landed in (("reviews", reviews), ("listings", listings), ("areas", areas)):
                 bad = landed.quarantined.write.mode("overwrite")

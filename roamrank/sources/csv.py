@@ -2,13 +2,15 @@
 
 Which fields Spark parses in a CSV record depends on the columns a query asks
 for, so filtering a raw scan on its corrupt-record column gives different rows
-for different projections. Every file is therefore landed as Parquet with all
-its columns first, and split into good and quarantined rows from there.
+for different projections. Every file is therefore landed as Parquet by a query
+that asks for all columns, and split into good and quarantined rows from there.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,10 @@ from roamrank.sources import schemas
 from roamrank.workspace import new_path
 
 CORRUPT = "_corrupt_record"
+EMPTY_FIELDS = "_empty_fields"
+# What the job needs of the wider files.
+REVIEW_COLUMNS = ["listing_id", "date", "reviewer_id", "reviewer_name"]
+LISTING_COLUMNS = ["id", "host_id", "host_name", "neighbourhood"]
 
 
 @dataclass(frozen=True)
@@ -32,12 +38,14 @@ def land_csv(
     schema: StructType,
     landed: str | None = None,
     multi_line: bool = True,
+    keep: list[str] | None = None,
 ) -> Landed:
     """Land CSV files with a header under ``schema`` and split off bad records.
 
-    A file whose quoted fields may hold line breaks can't be split, so each
-    such file is one task: give a folder of many files. ``multi_line=False``
-    makes files without such breaks splittable.
+    ``keep`` names the columns to store; all are parsed and checked either way,
+    and a bad record's text is stored whole. A file whose quoted fields may hold
+    line breaks can't be split, so each such file is one task: give a folder of
+    many files. ``multi_line=False`` makes files without such breaks splittable.
     """
     full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
     raw = (
@@ -49,38 +57,35 @@ def land_csv(
         .option("escape", '"')
         .csv(path)
     )
+    # The number of empty fields depends on every column, so each gets parsed.
+    empty = reduce(add, [F.col(name).isNull().cast("int") for name in schema.names])
+    table = raw.select(*(keep or schema.names), CORRUPT, empty.alias(EMPTY_FIELDS))
     target = landed or new_path(spark, "landed")
-    raw.write.mode("overwrite").parquet(target)
-    table = spark.read.schema(full).parquet(target)
+    table.write.mode("overwrite").parquet(target)
+    stored = spark.read.schema(table.schema).parquet(target).drop(EMPTY_FIELDS)
     return Landed(
-        good=table.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
-        quarantined=table.where(F.col(CORRUPT).isNotNull()),
+        good=stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
+        quarantined=stored.where(F.col(CORRUPT).isNotNull()),
     )
 
 
 def scan_reviews(reviews: DataFrame) -> DataFrame:
-    return reviews.select("listing_id", "date", "reviewer_id", "reviewer_name")
+    return reviews.select(*REVIEW_COLUMNS)
 
 
 def scan_listings(listings: DataFrame) -> DataFrame:
-    return listings.select("id", "host_id", "host_name", "neighbourhood")
+    return listings.select(*LISTING_COLUMNS)
 
 
-def load_reviews(
-    spark: SparkSession, path: str | list[str], landed: str | None = None, multi_line: bool = True
-) -> Landed:
+def load_reviews(spark: SparkSession, path: str | list[str], **options) -> Landed:
     """Reviews with their id and comments; ``scan_reviews`` keeps what visits need."""
-    return land_csv(spark, path, schemas.REVIEWS, landed, multi_line)
+    return land_csv(spark, path, schemas.REVIEWS, **options)
 
 
-def load_listings(
-    spark: SparkSession, path: str | list[str], landed: str | None = None, multi_line: bool = True
-) -> Landed:
-    return land_csv(spark, path, schemas.LISTINGS, landed, multi_line)
+def load_listings(spark: SparkSession, path: str | list[str], **options) -> Landed:
+    return land_csv(spark, path, schemas.LISTINGS, **options)
 
 
-def load_areas(
-    spark: SparkSession, path: str | list[str], landed: str | None = None, multi_line: bool = True
-) -> Landed:
+def load_areas(spark: SparkSession, path: str | list[str], **options) -> Landed:
     """Areas with their group; ``area_dim`` drops the group and adds the id."""
-    return land_csv(spark, path, schemas.AREAS, landed, multi_line)
+    return land_csv(spark, path, schemas.AREAS, **options)

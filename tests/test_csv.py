@@ -19,11 +19,15 @@ x,15,2019-01-06,105,Eve,nice
 '''
 
 
-@pytest.fixture()
-def landed(spark, tmp_path):
+@pytest.fixture(params=[None, ["id", *csv.REVIEW_COLUMNS, "comments"]])
+def landed(spark, tmp_path, request):
     (tmp_path / "reviews.csv").write_text(RECORDS)
     return csv.land_csv(
-        spark, str(tmp_path / "reviews.csv"), schemas.REVIEWS, str(tmp_path / "landed")
+        spark,
+        str(tmp_path / "reviews.csv"),
+        schemas.REVIEWS,
+        str(tmp_path / "landed"),
+        keep=request.param,
     )
 
 
@@ -37,6 +41,19 @@ def test_bad_value_in_a_pruned_column_is_still_bad(landed):
     assert kept == [(100,), (101,), (102,), (103,), (5000000000,)]
 
 
+def test_bad_value_in_a_column_not_stored_is_still_bad(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text(RECORDS)
+    landed = csv.load_reviews(spark, str(tmp_path / "reviews.csv"), keep=csv.REVIEW_COLUMNS)
+    assert landed.good.columns == csv.REVIEW_COLUMNS
+    assert rows(landed.good.select("reviewer_id")) == [(100,), (101,), (102,), (103,), (5000000000,)]
+    raw = [row[csv.CORRUPT].strip() for row in landed.quarantined.collect()]
+    assert sorted(raw) == [
+        "3,16,2019-01-06,106,Fay",
+        "3,z17,2019-01-07,107,Gus,bad pruned id",
+        "x,15,2019-01-06,105,Eve,nice",
+    ]
+
+
 def test_quarantine_keeps_the_raw_record(landed):
     raw = [row[csv.CORRUPT].strip() for row in landed.quarantined.collect()]
     assert sorted(raw) == [
