@@ -163,7 +163,8 @@ def recommend_from(
     """Named recommendations from a model that ``publish`` stored."""
     spark = reviewers.sparkSession
     users = spark.read.parquet(f"{path}/users")
-    best = recommend_topk(FactorModel.load(spark, path), k, seen)
+    # Scoring is the costly part: written, it isn't repeated for the joins below.
+    best = write_table(recommend_topk(FactorModel.load(spark, path), k, seen), "best")
     areas = spark.read.parquet(f"{path}/areas")
     mapping = None if users.isEmpty() else users
     return attach_names(best, areas, reviewers, mapping, as_of)
