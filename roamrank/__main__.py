@@ -13,8 +13,10 @@ from roamrank.sinks import preview
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="roamrank")
-    for name in ("reviews", "listings", "areas", "model", "result"):
-        parser.add_argument(f"--{name}", required=True)
+    for name in ("reviews", "listings", "areas"):
+        parser.add_argument(f"--{name}", required=True, nargs="+", help="CSV files or folders")
+    for name in ("model", "result"):
+        parser.add_argument(f"--{name}", required=True, help="folder to replace")
     parser.add_argument("--metrics", help="table to append the error figures to")
     parser.add_argument("--rejects", help="folder for malformed and unmatched records")
     parser.add_argument("--seed", type=int, required=True)

@@ -19,11 +19,11 @@ from roamrank.workspace import new_path, scratch_tables, write_table
 
 @dataclass(frozen=True)
 class Inputs:
-    """CSV paths: a file, a folder or a glob each."""
+    """CSV paths: a file, a folder, a glob, or a list of them each."""
 
-    reviews: str
-    listings: str
-    areas: str
+    reviews: str | list[str]
+    listings: str | list[str]
+    areas: str | list[str]
     multi_line: bool = True
 
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from roamrank.checks import oracle, queries
 from roamrank.operators import dims, joins, recommend
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -47,6 +48,24 @@ def test_query(spark, tables, name):
     compare(contract.queries()[name](spark, SF_DIR), tables, contract.oracle_sql()[name])
 
 
+def test_rank1_order_is_no_luck(spark, tables):
+    """Gaps between neighbouring weights dwarf the two engines' difference."""
+    _, fitted = queries._converged_model(spark, SF_DIR)
+    mine = {row["id"]: abs(row["features"][0]) for row in fitted.item_factors.collect()}
+    sql = oracle._sql("SELECT id, f0 FROM itf", *oracle._rank1())
+    theirs = {row[0]: abs(row[1]) for row in tables.execute(sql).fetchall()}
+    assert mine.keys() == theirs.keys()
+
+    def scaled(weights):
+        length = math.sqrt(sum(w * w for w in weights.values()))
+        return {key: w / length for key, w in weights.items()}
+
+    mine, theirs = scaled(mine), scaled(theirs)
+    difference = max(abs(mine[key] - theirs[key]) for key in mine)
+    ordered = sorted(theirs.values())
+    assert min(b - a for a, b in zip(ordered, ordered[1:])) > 5 * difference
+
+
 LARGE = ["visits", "ratings", "unmatched_reviews", "trainer_ids", "predict_pairs", "publish_novel"]
 
 
