@@ -37,6 +37,7 @@ class AlsConfig:
     """
 
     seed: int
+    # The defaults of rank, iterations and reg.
     rank: int = 10
     iterations: int = 3
     reg: float = 0.01

@@ -27,6 +27,7 @@ SCORES_IN_MEMORY = 100_000
 SCORES_PER_TASK = 100_000_000
 MOST_SCORES_PER_TASK = 4_000_000_000
 RECOMMENDED = "array<struct<item:int,score:double>>"
+# Fixed value: what stands for an unknown name.
 EMPTY = "empty"
 
 
@@ -192,6 +193,7 @@ def attach_names(
     )
     # collect_list skips the null of a user without recommendations.
     lists = named.groupBy("reviewer_id").agg(F.sort_array(F.collect_list(entry)).alias("places"))
+    # The names of the result's columns.
     return lists.join(reviewers, "reviewer_id", "left").select(
         F.col("reviewer_id").alias("reviewerId"),
         F.coalesce("reviewer_name", F.lit(EMPTY)).alias("reviewerName"),
