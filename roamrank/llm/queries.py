@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import pii
+from roamrank.llm import pii, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,15 +22,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts of base spans, their digest, and all spans."""
     found = pii.detect(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
     base = F.filter("pii", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
     counts = [
-        F.size(F.filter("pii", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{kind}")
-        for kind in pii.KINDS
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS
     ]
     return found.select(
         "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans")
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.judge(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_toxicity": op3_toxicity,
 }
