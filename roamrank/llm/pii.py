@@ -233,7 +233,8 @@ def _silver(batches):
                     label = piece.count("@") == 1 and bool(re.search(r"\.[A-Za-z]{2,}$", piece)) and " " not in piece
                 if label is not None:
                     out.append((features(text, kind, start, end), int(label)))
-        yield pd.DataFrame({"x": [[float(v) for v in f] for f, _ in out], "y": [v for _, v in out]}).astype({"y": "int32"})
+        x = pd.Series([[float(v) for v in f] for f, _ in out], dtype=object)
+        yield pd.DataFrame({"x": x, "y": pd.Series([v for _, v in out], dtype="int32")})
 
 
 def fit(docs: DataFrame, seed: int = 7) -> Model:

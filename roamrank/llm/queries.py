@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import pii, toxicity
+from roamrank.llm import packing, pii, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +39,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(read(spark, sf_dir, "documents"), path, keep_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
+    "op7_packing": op7_packing,
 }

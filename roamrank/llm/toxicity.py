@@ -129,13 +129,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None
 def _hashed(batches):
     hasher = Hasher()
     for pdf in batches:
-        yield pd.DataFrame(
-            {
-                "rank": pdf["rank"],
-                "toxic": pdf["toxic"],
-                "columns": [np.unique(hasher.columns(t)).astype(np.int32) for t in pdf["text"]],
-            }
-        )
+        columns = pd.Series([np.unique(hasher.columns(t)).astype(np.int32) for t in pdf["text"]], dtype=object)
+        yield pd.DataFrame({"rank": pdf["rank"], "toxic": pdf["toxic"], "columns": columns})
 
 
 def _train(share: float):
