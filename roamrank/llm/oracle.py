@@ -1,3 +1,19 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+ORACLE: dict[str, str] = {
+    "op5_warc": f"""
+        WITH own AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hexed FROM pages
+        ), firsts AS (SELECT hexed, min(page_id) AS first FROM own GROUP BY hexed)
+        SELECT page_id,
+            octet_length(payload) AS payload_bytes,
+            array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}', 1 + CAST(
+                (CAST('0x' || substr(hexed, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS INT)) & 31 AS INT),
+                1)), '') AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM own JOIN firsts USING (hexed)
+    """,
+}

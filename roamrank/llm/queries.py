@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import packing, pii, toxicity
+from roamrank.llm import packing, pii, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,28 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back: responses with payload, revisits by header alone."""
+    path = warc.write_pages(read(spark, sf_dir, "pages"))
+    full = warc.scan(spark, path).where("record_type = 'response'")
+    brief = warc.scan(spark, path, "record_id", "record_type", "refers_to", "payload_digest", "payload_length")
+    responses = full.select(
+        warc.page_id(F.col("record_id")).alias("page_id"),
+        F.length("payload").cast("bigint").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        F.lit(None).cast("bigint").alias("refers_to"),
+    )
+    revisits = brief.where("record_type = 'revisit'").select(
+        warc.page_id(F.col("record_id")).alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
+    return responses.unionByName(revisits)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -48,5 +70,6 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
+    "op5_warc": op5_warc,
     "op7_packing": op7_packing,
 }
