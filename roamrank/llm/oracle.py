@@ -16,4 +16,18 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id <> first THEN first END AS refers_to
         FROM own JOIN firsts USING (hexed)
     """,
+    "op6_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
+            FROM v q, v d WHERE q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+            vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
 }

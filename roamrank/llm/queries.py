@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import packing, pii, toxicity, warc
+from roamrank.llm import inverted_multi_index, packing, pii, topk_blocks, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,15 +61,28 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.unionByName(revisits)
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows, by the product of integer components, for every fiftieth vector."""
+    found = topk_blocks.search(read(spark, sf_dir, "embeddings"))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(read(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest rows found for every twentieth vector."""
+    return inverted_multi_index.search(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
     "op5_warc": op5_warc,
+    "op6_topk": op6_topk,
     "op7_packing": op7_packing,
+    "op8_ann": op8_ann,
 }
