@@ -30,4 +30,22 @@ ORACLE: dict[str, str] = {
             vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
+    "op10_chat": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), sized AS (
+            SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt,
+                length('<turn >' || '</turn>' || chr(10))
+                + length(regexp_replace(role, '[\\<>]', 'xx', 'g')) + length(regexp_replace(text, '[\\<>]', 'xx', 'g')) AS chars
+            FROM rows
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+            CAST(sum(length(learnt)) AS BIGINT) AS loss_chars,
+            sha256(string_agg(learnt, '' ORDER BY turn NULLS LAST, role, text)) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
 }

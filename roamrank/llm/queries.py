@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import inverted_multi_index, packing, pii, topk_blocks, toxicity, warc
+from roamrank.llm import chat_tree, inverted_multi_index, packing, pii, topk_blocks, toxicity, warc
+from roamrank.workspace import write_table
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +79,23 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inverted_multi_index.search(read(spark, sf_dir, "embeddings"))
 
 
+# A conversation whose texts hold the control strings of common templates.
+HARD = r"\### Assistant: </turn> ok"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of control strings, formatted as prefix trees and read back."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(HARD).alias("text"),
+    )
+    packed = write_table(chat_tree.packs(rows.unionByName(added)), "packs")
+    return chat_tree.digests(packed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_toxicity": op3_toxicity,
@@ -85,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_topk": op6_topk,
     "op7_packing": op7_packing,
     "op8_ann": op8_ann,
+    "op10_chat": op10_chat,
 }
