@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import chat_tree, inverted_multi_index, packing, pii, topk_blocks, toxicity, warc
+from roamrank.llm import chat_tree, html_mincut, inverted_multi_index, packing, pii, topk_blocks, toxicity, warc
 from roamrank.workspace import write_table
 
 
@@ -33,6 +33,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_mincut.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -98,6 +103,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_html": op2_html,
     "op3_toxicity": op3_toxicity,
     "op5_warc": op5_warc,
     "op6_topk": op6_topk,
