@@ -3,6 +3,40 @@
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 ORACLE: dict[str, str] = {
+    "op4_mixing": r"""
+        WITH own AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS hashed
+            FROM documents
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_id
+            FROM own GROUP BY source
+        ), weighed AS (
+            SELECT *, CAST([3, 1, 2][1 + source_id % 3] AS BIGINT) AS weight FROM sources
+        ), levels AS (
+            SELECT *, 2 * source_size / weight AS ratio,
+                (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (
+                    ORDER BY 2 * source_size / weight, source_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(weight) OVER (
+                    ORDER BY 2 * source_size / weight, source_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM weighed
+        ), final AS (
+            SELECT level AS final FROM levels WHERE ratio >= level ORDER BY ratio, source_id LIMIT 1
+        ), goals AS (
+            SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0
+                ELSE least(CAST(2 * source_size AS DOUBLE), coalesce((SELECT final FROM final), 1e300) * weight) END AS target
+            FROM levels
+        ), begun AS (
+            SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY hashed, doc_id, size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+            FROM own
+        )
+        SELECT doc_id, size, source_size, target, CAST(
+            greatest(0, least(size, CAST(floor(target) AS BIGINT) - begin))
+            + greatest(0, least(size, CAST(floor(target) AS BIGINT) - begin - source_size)) AS BIGINT) AS taken
+        FROM begun JOIN goals ON begun.source IS NOT DISTINCT FROM goals.source
+    """,
     "op5_warc": f"""
         WITH own AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hexed FROM pages

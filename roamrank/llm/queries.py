@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import chat_tree, html_mincut, inverted_multi_index, packing, pii, topk_blocks, toxicity, warc
+from roamrank.llm import chat_tree, html_mincut, inverted_multi_index, mixing, packing, pii, topk_blocks, toxicity, warc
 from roamrank.workspace import write_table
 
 
@@ -45,6 +45,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of one and a half times all words takes of every document, in training order."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), light=True)
+    return mixing.in_order(mixed).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back: responses with payload, revisits by header alone."""
     path = warc.write_pages(read(spark, sf_dir, "pages"))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
     "op3_toxicity": op3_toxicity,
+    "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
     "op6_topk": op6_topk,
     "op7_packing": op7_packing,
