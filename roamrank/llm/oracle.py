@@ -64,6 +64,29 @@ ORACLE: dict[str, str] = {
             vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
+    "op9_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS MATERIALIZED (
+            SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + 4], ' ')) AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+        ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+            JOIN sizes a ON a.doc_id = x.doc_id JOIN sizes b ON b.doc_id = y.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 180 * count(*) >= 80 * (a.n + b.n)
+        ), reach AS (
+            SELECT doc_id AS origin, doc_id AS node FROM sizes
+            UNION SELECT origin, b FROM reach JOIN links ON a = node
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id)
+        LEFT JOIN (SELECT origin AS doc_id, min(node) AS component_id FROM reach GROUP BY origin) c USING (doc_id)
+    """,
     "op10_chat": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.llm import chat_tree, html_mincut, inverted_multi_index, mixing, packing, pii, topk_blocks, toxicity, warc
+from roamrank.llm import (
+    chat_tree,
+    html_mincut,
+    inverted_multi_index,
+    jaccard_join,
+    mixing,
+    packing,
+    pii,
+    topk_blocks,
+    toxicity,
+    warc,
+)
 from roamrank.workspace import write_table
 
 
@@ -90,6 +101,11 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inverted_multi_index.search(read(spark, sf_dir, "embeddings"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set and the smallest id that links reach."""
+    return jaccard_join.grouped(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # A conversation whose texts hold the control strings of common templates.
 HARD = r"\### Assistant: </turn> ok"
 
@@ -116,5 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_topk": op6_topk,
     "op7_packing": op7_packing,
     "op8_ann": op8_ann,
+    "op9_jaccard": op9_jaccard,
     "op10_chat": op10_chat,
 }
