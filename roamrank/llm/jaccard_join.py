@@ -523,10 +523,10 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     kept = kept.unionByName(named.where("root IS NULL").select("key"))
     once = named.groupBy("key").agg(F.count("*").alias("many"), F.max("n").alias("n"))
     kept = write_table(lookup_join(kept.distinct(), once, "key"), "kept")
-    keyed = docs.withColumn("key", document_key(docs))
-    single = lookup_join(keyed, kept.where("many = 1 OR n = 0").select("key"), "key", "left_semi").drop("key")
+    keyed = docs.select(document_key(docs).alias("key"), F.struct("*").alias("document"))
+    single = lookup_join(keyed, kept.where("many = 1 OR n = 0").select("key"), "key", "left_semi")
     repeated = kept.where("many > 1 AND n > 0").select("key")
     if repeated.isEmpty():
-        return single
-    again = lookup_join(keyed, repeated, "key", "left_semi").dropDuplicates(["key"]).drop("key")
-    return single.unionByName(again)
+        return single.select("document.*")
+    again = lookup_join(keyed, repeated, "key", "left_semi").dropDuplicates(["key"])
+    return single.unionByName(again).select("document.*")

@@ -99,8 +99,9 @@ def mix(
     ``copies`` lists the position and words of each time that a document is taken. With
     ``light`` only doc_id and source are kept of the input, and texts are read once.
     """
-    docs = docs.drop(*ADDED).withColumn("size", size_of(F.col("text")))
-    own = docs.withColumn("_key", _key(F.col("source"))).withColumn("_hash", _hash(F.col("doc_id")))
+    kept = [] if light else [F.struct(*[c for c in docs.columns if c not in ADDED]).alias("_document")]
+    own = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), *kept)
+    own = own.withColumn("_key", _key(F.col("source"))).withColumn("_hash", _hash(F.col("doc_id")))
     # What the plan reads again and again is small; texts are read once more, at the end.
     slim = write_table(own.select("doc_id", "source", "size", "_key", "_hash"), "sizes")
     sources = targets(slim, weights, slopes, share, cap)
@@ -135,8 +136,7 @@ def mix(
     placed = placed.withColumn("copies", F.when(F.col("size") > 0, F.filter(turns, lambda c: c["words"] > 0)))
     placed = placed.withColumn("copies", F.coalesce("copies", F.array().cast("array<struct<position:double,words:bigint>>")))
     taken = F.aggregate("copies", F.lit(0).cast("bigint"), lambda a, c: a + c["words"])
-    kept = ["doc_id", "source"] if light else [c for c in docs.columns if c != "size"]
-    return placed.withColumn("taken", taken).select(*kept, *ADDED)
+    return placed.withColumn("taken", taken).select(*(["doc_id", "source"] if light else ["_document.*"]), *ADDED)
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
@@ -145,7 +145,8 @@ def in_order(mixed: DataFrame) -> DataFrame:
     return mixed.orderBy(first.asc_nulls_last(), "doc_id")
 
 
-def training_rows(mixed: DataFrame) -> DataFrame:
-    """One row for each copy, sorted by training position; documents not taken go."""
-    copies = mixed.withColumn("_copy", F.explode("copies")).drop("copies")
-    return copies.withColumn("position", F.col("_copy.position")).drop("_copy").orderBy("position", "doc_id")
+def training_rows(docs: DataFrame, **options) -> DataFrame:
+    """The documents themselves, a row for each copy taken whole, sorted by training position."""
+    named = docs.select("doc_id", "source", "text", F.struct("*").alias("_row"))
+    copies = mix(named, whole=True, **options).select("doc_id", "_row", F.explode("copies").alias("_copy"))
+    return copies.orderBy("_copy.position", "doc_id").select("_row.*")
