@@ -85,4 +85,4 @@ def test_whole_job_at_the_default_configuration(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(queries.QUERIES) == set(oracle.queries())
