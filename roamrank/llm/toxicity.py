@@ -3,8 +3,8 @@
 Words, word pairs and pairs with one word between are hashed into SPACE columns;
 a document has a column or not. FTRL-proximal gives each column its own rate and
 keeps a weight at zero until the evidence exceeds L1, so the model is some hundred
-weights, which go to the tasks with the code. Scores are calibrated on rows of the
-sample that didn't train, and shifted to the share of toxic rows among all labels.
+weights, which go to the tasks with the code. Scores are calibrated on the sample,
+each row scored without having been trained on, and shifted to the share of toxic rows among all labels.
 
 It may learn from rows whose crc32(doc_id as text) mod 3 is not 1 and is fitted on a
 bounded sample of them: the MAX_TOXIC toxic and MAX_CLEAN clean ids with the
@@ -32,6 +32,7 @@ MAX_TOXIC, MAX_CLEAN = 6_000, 10_000
 SPACE = 1 << 22
 L1, L2, ALPHA, BETA, EPOCHS = 8.0, 1.0, 1.0, 1.0, 4
 CUT = 0.7
+FOLDS = 3
 WORDS = re.compile(r"[^\W_]+")
 #: Words whose hashes a task remembers before it starts over.
 REMEMBERED = 400_000
@@ -139,16 +140,14 @@ def _train(share: float):
         toxic = sum(y for _, y in rows)
         if not 0 < toxic < len(rows):
             return
-        if len(rows) < 50:  # too few to set some aside
-            fit, test = rows, rows
-        else:
-            fit, test = [r for i, r in enumerate(rows) if i % 5], rows[::5]
-        columns, weights, bias = ftrl(fit)
-        model = Model(columns, weights, bias, 1.0, 0.0)
-        table = model.table()
-        margins = np.array([model.margin(c, table) for c, _ in test])
-        truth = np.array([y for _, y in test], dtype=float)
-        slope, shift = boosting.platt(margins, truth) if 0 < truth.sum() < len(truth) else (1.0, 0.0)
+        # Each row is scored by a model that hasn't seen it, for the calibration.
+        margins = np.zeros(len(rows))
+        for fold in range(FOLDS):
+            model = Model(*ftrl([r for i, r in enumerate(rows) if i % FOLDS != fold]), 1.0, 0.0)
+            table = model.table()
+            margins[fold::FOLDS] = [model.margin(c, table) for c, _ in rows[fold::FOLDS]]
+        columns, weights, bias = ftrl(rows)
+        slope, shift = boosting.platt(margins, np.array([y for _, y in rows], dtype=float))
         drawn = toxic / len(rows)
         shift += float(np.log(share / (1 - share)) - np.log(drawn / (1 - drawn)))
         yield pd.DataFrame([{"columns": columns, "weights": weights, "line": [bias, slope, shift]}])
