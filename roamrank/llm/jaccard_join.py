@@ -33,11 +33,13 @@ none. Columns besides doc_id and text are ignored. Whole texts are read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,9 +54,13 @@ OFTEN, FREQUENT = 20, 1_000_000
 LIST = 5_000
 BLOCK = 64
 LAST = 1 << 48  # added to a frequent shingle's hash
-REMEMBERED = 400_000
+#: Bytes of text that are hashed at a time.
+CHUNK = 2 << 20
 
-# Odd multipliers for the places of a shingle's words, and those of a mixing step.
+# Odd numbers: the base of the words' polynomial and its inverse modulo 2**64,
+# multipliers for the places of a shingle's words, and those of a mixing step.
+BASE = 0x9FB21C651E98DF25
+INVERSE = pow(BASE, -1, 1 << 64)
 PLACES = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
@@ -62,28 +68,100 @@ PLACES = np.array(
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-class Shingler(dict):
-    """Texts to sets of shingle hashes; remembers the hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word) - (1 << 63)
-        return found
-
-    def set_of(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
-            return np.zeros(0, dtype=np.int64)
-        own = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)).view(np.uint64)
-        width = min(SHINGLE, len(own))
-        many = len(own) - width + 1
-        h = np.full(many, width, dtype=np.uint64)
-        for k in range(width):
-            h += own[k : k + many] * PLACES[k]
-        h = (h ^ (h >> np.uint64(30))) * MIX[0]
-        h = (h ^ (h >> np.uint64(27))) * MIX[1]
-        return np.unique((h ^ (h >> np.uint64(31))) >> np.uint64(16)).astype(np.int64)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * MIX[0]
+    h = (h ^ (h >> np.uint64(27))) * MIX[1]
+    return h ^ (h >> np.uint64(31))
+
+
+class Shingler:
+    """Texts to sets of shingle hashes, some megabytes of text at a time."""
+
+    def __init__(self) -> None:
+        code = np.arange(256)
+        self.space = (code == 32) | ((code >= 9) & (code <= 13))
+        self.lower = np.where((code >= 65) & (code <= 90), code + 32, code).astype(np.uint8)
+        self.powers = self._powers(BASE, 1 << 16)
+        self.inverses = self._powers(INVERSE, 1 << 16)
+
+    def _powers(self, base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, dtype=np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    def _words(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word begins, and its hash; no word goes across a break."""
+        if len(data) >= len(self.powers):
+            self.powers = self._powers(BASE, 2 * len(data))
+            self.inverses = self._powers(INVERSE, 2 * len(data))
+        inside = ~self.space[data]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        breaks = breaks[(breaks > 0) & (breaks < len(data))]
+        first[breaks] = inside[breaks]
+        last[breaks - 1] = inside[breaks - 1]
+        begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((self.lower[data].astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=total[1:])
+        own = (total[end] - total[begin]) * self.inverses[begin] + (end - begin).astype(np.uint64) * PLACES[0]
+        return begin, _mixed(own)
+
+    def _long(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of the words of one text that is read in several pieces, cut at white space."""
+        found, at = [], 0
+        while at < len(data):
+            end = min(len(data), at + CHUNK)
+            while end < len(data) and not self.space[data[end]]:
+                space = np.flatnonzero(self.space[data[end : end + CHUNK]])
+                end = end + int(space[0]) if len(space) else min(len(data), end + CHUNK)
+            found.append(self._words(data[at:end], np.zeros(0, dtype=np.int64))[1])
+            at = end
+        return np.concatenate(found)
+
+    def sets(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For runs of texts: the first one's number, all sets' hashes in order, and where each set begins."""
+        texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        sizes = np.asarray(pc.binary_length(texts)).astype(np.int64)
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        values = texts.buffers()[2]
+        data = np.frombuffer(values, dtype=np.uint8) if values is not None else np.zeros(0, dtype=np.uint8)
+        at, n = 0, len(texts)
+        ends = np.cumsum(sizes)
+        while at < n:
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+            stop = min(stop, at + 30_000)
+            piece = data[offsets[at] : offsets[stop]]
+            if stop == at + 1 and len(piece) > 2 * CHUNK:
+                words = self._long(piece) if sizes[at] else np.zeros(0, dtype=np.uint64)
+                owner = np.zeros(len(words), dtype=np.int64)
+            else:
+                breaks = offsets[at:stop] - offsets[at]
+                begin, words = self._words(piece, breaks)
+                # Empty texts share their break with the next.
+                owner = np.searchsorted(breaks, begin, "right") - 1
+            yield at, *self._shingles(words, owner, stop - at)
+            at = stop
+
+    def _shingles(self, words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        many = np.bincount(owner, minlength=n)
+        begin = np.cumsum(many) - many
+        found = []
+        for width in range(1, SHINGLE + 1):
+            if width < SHINGLE:  # a short text is one shingle
+                at = begin[many == width]
+            else:
+                left = (begin + many)[owner] - np.arange(len(words))
+                at = np.flatnonzero(left >= SHINGLE)
+            h = np.full(len(at), width, dtype=np.uint64)
+            for k in range(width):
+                h += words[at + k] * PLACES[k]
+            found.append((owner[at].astype(np.uint64) << np.uint64(48)) | (_mixed(h) >> np.uint64(16)))
+        keys = np.sort(np.concatenate(found))
+        keys = keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
+        starts = np.searchsorted(keys, np.arange(n + 1, dtype=np.uint64) << np.uint64(48))
+        return (keys & np.uint64(LAST - 1)).astype(np.int64), starts
 
 
 def class_of(own: np.ndarray) -> int:
@@ -109,24 +187,32 @@ def document_key(docs: DataFrame) -> Column:
 
 
 def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of all prefixes and a little beyond them, with their counts."""
+    """The most frequent shingles of prefixes, with their counts.
+
+    What comes last makes room in prefixes for what follows, so shingles beyond them are
+    counted too, if a batch of documents has them several times.
+    """
 
     def count(batches):
         shingler, seen = Shingler(), set()
-        for pdf in batches:
-            parts = []
-            for text in pdf["text"]:
-                own = shingler.set_of(text)
-                kind = class_of(own)
-                if len(own) and kind not in seen:
-                    seen.add(kind)
-                    n = prefix_length(len(own))
-                    parts.append(own[: n + n // 10 + 1])
-            if parts:
-                shingle, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pd.DataFrame({"shingle": shingle, "n": n})
-
-    counts = docs.select("text").mapInPandas(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+        for batch in batches:
+            near, far = [], []
+            for _, hashes, starts in shingler.sets(batch.column(0)):
+                for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    kind = class_of(hashes[a:b])
+                    if a < b and kind not in seen:
+                        seen.add(kind)
+                        n = prefix_length(b - a)
+                        near.append(hashes[a : min(b, a + n + n // 10 + 1)])
+                        far.append(hashes[min(b, a + n + n // 10 + 1) : min(b, a + 3 * n)])
+            if near:
+                shingle, n = np.unique(np.concatenate(near), return_counts=True)
+                beyond, m = np.unique(np.concatenate(far), return_counts=True)
+                columns = [np.concatenate([shingle, beyond[m > 1]]), np.concatenate([n, m[m > 1]])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "n"])
+
+    counts = docs.select("text").mapInArrow(count, "shingle bigint, n bigint")
+    counts = counts.groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
     top = top.sort_values("shingle")
     return top["shingle"].to_numpy(dtype=np.int64), top["n"].to_numpy(dtype=np.int64)
@@ -139,41 +225,48 @@ def sets(docs: DataFrame) -> DataFrame:
     ``fans`` tells into how many parts each shingle's list is cut.
     """
     often, counts = frequent(docs)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, key bigint, class bigint, n bigint, prefix array<bigint>, fans array<int>"
 
     def describe(batches):
         shingler, seen = Shingler(), set()
-        for pdf in batches:
-            kinds, sizes, prefixes, fans = [], [], [], []
-            for text in pdf["text"]:
-                own = shingler.set_of(text)
-                kinds.append(class_of(own))
-                sizes.append(len(own))
-                if kinds[-1] in seen or not len(own):
-                    prefixes.append(None)
-                    fans.append(None)
-                    continue
-                seen.add(kinds[-1])
-                at = np.minimum(np.searchsorted(often, own), max(len(often) - 1, 0))
-                last = often[at] == own if len(often) else np.zeros(len(own), dtype=bool)
-                order = np.concatenate([np.flatnonzero(~last), np.flatnonzero(last)])[: prefix_length(len(own))]
-                prefixes.append(own[order] + np.where(last[order], LAST, 0))
-                fan = 1 + counts[at[order]] // LIST if len(often) else np.ones(len(order), dtype=np.int64)
-                fans.append(np.where(last[order], fan, 1).astype(np.int32))
-            yield pd.DataFrame(
-                {
-                    "doc_id": pdf["doc_id"],
-                    "key": pdf["key"],
-                    "class": kinds,
-                    "n": np.array(sizes, dtype=np.int64),
-                    "prefix": pd.Series(prefixes, dtype=object, index=pdf.index),
-                    "fans": pd.Series(fans, dtype=object, index=pdf.index),
-                }
+        for batch in batches:
+            kinds, prefixes, fans = [], [], []
+            sizes: list[int] = []
+            for _, hashes, starts in shingler.sets(batch.column(2)):
+                at = np.minimum(np.searchsorted(often, hashes), max(len(often) - 1, 0))
+                last = often[at] == hashes if len(often) else np.zeros(len(hashes), dtype=bool)
+                for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    kinds.append(class_of(hashes[a:b]))
+                    sizes.append(b - a)
+                    if a == b or kinds[-1] in seen:
+                        prefixes.append(None)
+                        fans.append(None)
+                        continue
+                    seen.add(kinds[-1])
+                    n, own = prefix_length(b - a), last[a:b]
+                    if own.any():
+                        order = np.concatenate([np.flatnonzero(~own), np.flatnonzero(own)])[:n] + a
+                        prefixes.append(hashes[order] + np.where(last[order], LAST, 0))
+                        fan = np.where(last[order], 1 + counts[at[order]] // LIST, 1)
+                    else:
+                        prefixes.append(hashes[a : a + n])
+                        fan = np.ones(n, dtype=np.int64)
+                    fans.append(fan.astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(kinds, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(fans, pa.list_(pa.int32())),
+                ],
+                ["doc_id", "key", "class", "n", "prefix", "fans"],
             )
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, key bigint, class bigint, n bigint, prefix array<bigint>, fans array<int>"
     named = docs.select("doc_id", document_key(docs).alias("key"), "text")
-    return write_table(named.mapInPandas(describe, schema), "sets")
+    return write_table(named.mapInArrow(describe, schema), "sets")
 
 
 def index(described: DataFrame) -> DataFrame:
@@ -260,15 +353,40 @@ def candidates(lists: DataFrame, nodes: DataFrame, all_links: bool) -> DataFrame
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
             keys = pdf[["shingle", "i", "j"]].to_numpy()
             start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-            for a, b in zip(start[:-1], start[1:], strict=True):
-                yield from _pairs(pdf.iloc[a:b], all_links)
+            yield from _runs(pdf.iloc[: start[-1]], start, all_links)
             rest = pdf.iloc[start[-1] :]
         if rest is not None:
-            yield from _pairs(rest, all_links)
+            yield from _runs(rest, np.array([0, len(rest)]), all_links)
 
     return _oriented(ordered.mapInPandas(pair, "a bigint, na bigint, b bigint, nb bigint"))
 
 
+def _runs(pdf: pd.DataFrame, start: np.ndarray, all_links: bool):
+    """Pairs of all lists of a batch: short ones of a length at a time, long ones one by one."""
+    kind, n, component, own = (pdf[c].to_numpy() for c in ("class", "n", "component", "own"))
+    left = n - pdf["place"].to_numpy()
+    across = (pdf["i"] != pdf["j"]).to_numpy()
+    many = np.diff(start)
+    for length in np.unique(many):
+        begin = start[:-1][many == length]
+        if length > BLOCK:
+            for a in begin:
+                yield from _pairs(pdf.iloc[a : a + length], all_links)
+            continue
+        first, second = np.triu_indices(length, 1)
+        step = max(1, 500_000 // max(1, len(first)))
+        for some in range(0, len(begin) if len(first) else 0, step):
+            i = (begin[some : some + step, None] + first).ravel()
+            j = (begin[some : some + step, None] + second).ravel()
+            good = (n[i] * 100 >= n[j] * PERCENT) & (kind[i] != kind[j])
+            good &= np.minimum(left[i], left[j]) >= least_overlap(n[i] + n[j])
+            good &= ~across[i] | (own[i] != own[j])
+            if not all_links:
+                good &= component[i] != component[j]
+            if good.any():
+                yield _frame(kind, n, [i[good]], [j[good]])
+
+
 def _pairs(run: pd.DataFrame, all_links: bool):
     """Pairs of one list, which is sorted by size; blocks that can't have a partner are skipped."""
     kind, n, component, own = (run[c].to_numpy() for c in ("class", "n", "component", "own"))
@@ -354,13 +472,14 @@ class Sets:
 
         def whole(batches):
             shingler = Shingler()
-            for pdf in batches:
-                found = [shingler.set_of(t) for t in pdf["text"]]
-                yield pd.DataFrame(
-                    {"class": [class_of(s) for s in found], "members": pd.Series(found, dtype=object)}
-                )
-
-        some = lookup_join(named, chosen, "key", "left_semi").mapInPandas(whole, "class bigint, members array<bigint>")
+            for batch in batches:
+                for _, hashes, starts in shingler.sets(batch.column(1)):
+                    found = [hashes[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+                    columns = [pa.array([class_of(x) for x in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, ["class", "members"])
+
+        some = lookup_join(named, chosen, "key", "left_semi").select("key", "text")
+        some = some.mapInArrow(whole, "class bigint, members array<bigint>")
         some = write_table(some, "members").dropDuplicates(["class"])
         beside = self._beside(pairs, some, "members")
         shared = F.size(F.array_intersect("members_a", "members_b")).cast("bigint")
