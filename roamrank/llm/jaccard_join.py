@@ -55,7 +55,7 @@ LIST = 5_000
 BLOCK = 64
 LAST = 1 << 48  # added to a frequent shingle's hash
 #: Bytes of text that are hashed at a time.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 # Odd numbers: the base of the words' polynomial and its inverse modulo 2**64,
 # multipliers for the places of a shingle's words, and those of a mixing step.
