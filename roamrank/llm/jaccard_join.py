@@ -14,14 +14,17 @@ hashing: a shingle is a 48-bit hash and a set's class a 64-bit one.
     neighbours, so a large group of them is linked up by about as many comparisons
     as it has members. Sets of one component then have nothing to ask of each other, and
     a list with a single component is skipped as a whole.
-4.  What is left are pairs between components. A set that is linked to another takes over
-    that one's answers: what two such reference sets share, and what each lacks of its own,
-    bounds what the pair shares. Only where the bounds don't decide are its sets compared.
-    With ``all_links`` pairs within components go the same way, and all links result.
+4.  What is left are pairs between components. In short lists, a set that is linked to
+    another takes over that one's answers: what two such reference sets share, and what
+    each lacks of its own, bounds what the pair shares. Only where the bounds don't
+    decide are its sets compared. Long lists get their sets, which are compared by
+    products of blocks, and return links alone, so that a group of copies that are near
+    but not near enough makes no rows for its pairs. With ``all_links`` pairs within
+    components go the same ways, and all links result.
 
 Frequencies, components, links and sets are tables; only shingles that are frequent, at
 most FREQUENT of them, come to the driver, and they only set the order. Lists with
-more than LIST entries are cut by a hash, block by block against each other.
+more than LIST entries are cut by a hash, part by part against each other.
 
 Words are runs of bytes other than ASCII white space, with A-Z in lower case. Texts
 with fewer words than a shingle are one shingle; null or empty texts have none, are
@@ -51,8 +54,9 @@ SHINGLE = 5
 PERCENT = 80
 #: How often a shingle is in a prefix to be put last, and how many such at most.
 OFTEN, FREQUENT = 20, 1_000_000
-LIST = 5_000
-BLOCK = 64
+#: A list with more entries than SHORT is compared as a whole, and in parts of LIST.
+SHORT, LIST = 32, 2_000
+BLOCK, COLUMNS = 64, 1_024
 LAST = 1 << 48  # added to a frequent shingle's hash
 #: Bytes of text that are hashed at a time.
 CHUNK = 1 << 19
@@ -330,8 +334,8 @@ def neighbours(lists: DataFrame) -> DataFrame:
     return _oriented(following.where(fits))
 
 
-def candidates(lists: DataFrame, nodes: DataFrame, all_links: bool) -> DataFrame:
-    """Pairs that share a list whose sizes and places allow a link; between components, or all."""
+def open_lists(lists: DataFrame, nodes: DataFrame, all_links: bool) -> DataFrame:
+    """Entries of the lists that hold several components, or of all lists, with ``many``, their list's length."""
     known = lookup_join(lists, nodes.withColumnRenamed("root", "component"), "class", "left")
     known = known.withColumn("component", F.coalesce("component", "class"))
     known = write_table(known.drop("part", "fan"), "lists")
@@ -339,40 +343,34 @@ def candidates(lists: DataFrame, nodes: DataFrame, all_links: bool) -> DataFrame
         F.count("*").alias("many"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     wide = write_table(wide.where("many > 1" if all_links else "low < high").select("shingle", "many"), "open-lists")
-    parts = (1 + F.floor(F.col("many") / LIST)).cast("int")
-    dealt = lookup_join(known, wide, "shingle").withColumn("parts", parts)
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("class", "shingle"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = dealt.select("shingle", "class", "n", "place", "component", "own", other.alias("other"))
-    dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
-    ordered = dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "n", "class")
+    return write_table(lookup_join(known, wide, "shingle"), "open-entries")
+
+
+def candidates(entries: DataFrame, all_links: bool) -> DataFrame:
+    """Pairs that share a short list in which sizes and places allow a link; between components, or all."""
+    ordered = entries.where(F.col("many") <= SHORT).repartition("shingle").sortWithinPartitions("shingle", "n", "class")
 
     def pair(batches):
         rest = None
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            keys = pdf[["shingle", "i", "j"]].to_numpy()
-            start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-            yield from _runs(pdf.iloc[: start[-1]], start, all_links)
+            key = pdf["shingle"].to_numpy()
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            yield from _pairs(pdf.iloc[: start[-1]], start, all_links)
             rest = pdf.iloc[start[-1] :]
         if rest is not None:
-            yield from _runs(rest, np.array([0, len(rest)]), all_links)
+            yield from _pairs(rest, np.array([0, len(rest)]), all_links)
 
     return _oriented(ordered.mapInPandas(pair, "a bigint, na bigint, b bigint, nb bigint"))
 
 
-def _runs(pdf: pd.DataFrame, start: np.ndarray, all_links: bool):
-    """Pairs of all lists of a batch: short ones of a length at a time, long ones one by one."""
-    kind, n, component, own = (pdf[c].to_numpy() for c in ("class", "n", "component", "own"))
-    left = n - pdf["place"].to_numpy()
-    across = (pdf["i"] != pdf["j"]).to_numpy()
+def _pairs(pdf: pd.DataFrame, start: np.ndarray, all_links: bool):
+    """Pairs of short lists, those of a length at a time."""
+    kind, n, component = (pdf[c].to_numpy() for c in ("class", "n", "component"))
+    left = n - pdf["place"].to_numpy()  # what a set has from this shingle on
     many = np.diff(start)
     for length in np.unique(many):
         begin = start[:-1][many == length]
-        if length > BLOCK:
-            for a in begin:
-                yield from _pairs(pdf.iloc[a : a + length], all_links)
-            continue
         first, second = np.triu_indices(length, 1)
         step = max(1, 500_000 // max(1, len(first)))
         for some in range(0, len(begin) if len(first) else 0, step):
@@ -380,52 +378,117 @@ def _runs(pdf: pd.DataFrame, start: np.ndarray, all_links: bool):
             j = (begin[some : some + step, None] + second).ravel()
             good = (n[i] * 100 >= n[j] * PERCENT) & (kind[i] != kind[j])
             good &= np.minimum(left[i], left[j]) >= least_overlap(n[i] + n[j])
-            good &= ~across[i] | (own[i] != own[j])
             if not all_links:
                 good &= component[i] != component[j]
             if good.any():
-                yield _frame(kind, n, [i[good]], [j[good]])
+                i, j = i[good], j[good]
+                yield pd.DataFrame({"a": kind[i], "na": n[i], "b": kind[j], "nb": n[j]})
+
 
+def links_in_long_lists(found: Sets, entries: DataFrame, all_links: bool) -> DataFrame:
+    """Links between the classes of the long lists, whose sets are compared list by list.
+
+    A list is cut into parts by a hash, and each two parts meet in a task, which
+    returns no pair but links: a tree over the components that they join up, or all.
+    """
+    long_ = entries.where(F.col("many") > SHORT)
+    own = F.pmod(F.xxhash64("class", "shingle"), F.col("parts")).cast("int")
+    dealt = long_.withColumn("parts", (1 + F.floor(F.col("many") / LIST)).cast("int")).withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select(
+        "shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "n", "place", "class",
+        "component", "own",
+    )
+    members = found.whole(dealt.select("class").distinct())
+    met = dealt.join(members, "class").repartition("shingle", "i", "j")
+    ordered = met.sortWithinPartitions("shingle", "i", "j", "n", "class").select(
+        "shingle", "i", "j", "class", "n", "place", "component", "own", "members"
+    )
 
-def _pairs(run: pd.DataFrame, all_links: bool):
-    """Pairs of one list, which is sorted by size; blocks that can't have a partner are skipped."""
-    kind, n, component, own = (run[c].to_numpy() for c in ("class", "n", "component", "own"))
-    left = n - run["place"].to_numpy()  # what a set has from this shingle on
-    across = run["i"].iloc[0] != run["j"].iloc[0]
-    starts = np.arange(0, len(n), BLOCK)
-    most_left = np.maximum.reduceat(left, starts)
-    low, high = np.minimum.reduceat(component, starts), np.maximum.reduceat(component, starts)
+    def compare(batches):
+        rest: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
+            start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+            for a, b in zip(start, np.r_[start[1:], len(keys)], strict=True):
+                if last is not None and tuple(keys[a]) != last:
+                    yield from _links(rest, all_links)
+                    rest = []
+                last = tuple(keys[a])
+                rest.append(batch.slice(a, b - a))
+        if rest:
+            yield from _links(rest, all_links)
+
+    return _oriented(ordered.mapInArrow(compare, "a bigint, na bigint, b bigint, nb bigint"))
+
+
+def _links(parts: list[pa.RecordBatch], all_links: bool):
+    """Links of one list, sorted by size; blocks that can have none are skipped."""
+    table = pa.Table.from_batches(parts)
+    kind, n, place, component, own = (table.column(c).to_numpy() for c in ("class", "n", "place", "component", "own"))
+    across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+    members = table.column("members").combine_chunks()
+    members = members.chunk(0) if isinstance(members, pa.ChunkedArray) else members
+    owner = np.repeat(np.arange(len(n)), members.value_lengths().to_numpy())
+    token, column, times = np.unique(members.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    # Only what several sets hold can be shared.
+    several = times[column] > 1
+    owner, column = owner[several], np.unique(column[several], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(n), len(n)), dtype=np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        some = slice(np.searchsorted(column, low), np.searchsorted(column, low + COLUMNS))
+        held = np.zeros((len(n), COLUMNS), dtype=np.float32)
+        held[owner[some], column[some] - low] = 1
+        starts = np.arange(0, len(n), BLOCK)
+        left = np.maximum.reduceat(n - place, starts)
+        for a in range(len(starts)):
+            rows = slice(starts[a], starts[a] + BLOCK)
+            # Later blocks hold larger sets, up to those that are too large; and of a
+            # block that has too little left from this shingle on, none is linked.
+            most = n[min(len(n), starts[a] + BLOCK) - 1] * 100 // PERCENT
+            end = int(np.searchsorted(n, most, "right"))
+            if left[a] < least_overlap(2 * n[starts[a]]):
+                continue
+            shared[rows, starts[a] : end] += held[rows] @ held[starts[a] : end].T
+    linked = (shared >= least_overlap(n[:, None] + n[None, :])) & np.triu(np.ones((len(n), len(n)), dtype=bool), 1)
+    linked &= kind[:, None] != kind[None, :]
+    if across:
+        linked &= own[:, None] != own[None, :]
+    if not all_links:
+        linked &= component[:, None] != component[None, :]
+        linked |= linked.T
+        first, second = _tree(linked, component)
+    else:
+        first, second = np.nonzero(linked)
+    if len(first):
+        columns = [kind[first], n[first], kind[second], n[second]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "na", "b", "nb"])
+
+
+def _tree(linked: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links, enough to join up all components that they join up."""
+    same = {c: np.flatnonzero(component == c) for c in np.unique(component)}
+    reached: set[int] = set()
     first, second = [], []
-    for i in range(len(n)):
-        end = int(np.searchsorted(n, n[i] * 100 // PERCENT, "right"))
-        blocks = np.arange((i + 1) // BLOCK, -(-end // BLOCK))
-        need = least_overlap(n[i] + n[starts[blocks]])
-        keep = (most_left[blocks] >= need) & (left[i] >= need)
-        if not all_links:
-            keep &= (low[blocks] != component[i]) | (high[blocks] != component[i])
-        if not keep.any():
+    for c in same:
+        if c in reached:
             continue
-        j = (starts[blocks[keep]][:, None] + np.arange(BLOCK)).ravel()
-        j = j[(j > i) & (j < end)]
-        need = least_overlap(n[i] + n[j])
-        good = (np.minimum(left[i], left[j]) >= need) & (kind[j] != kind[i])
-        if not all_links:
-            good &= component[j] != component[i]
-        if across:
-            good &= own[j] != own[i]
-        if good.any():
-            second.append(j[good])
-            first.append(np.full(int(good.sum()), i))
-        if sum(map(len, first)) > 100_000:
-            yield _frame(kind, n, first, second)
-            first, second = [], []
-    if first:
-        yield _frame(kind, n, first, second)
-
-
-def _frame(kind, n, first, second) -> pd.DataFrame:
-    i, j = np.concatenate(first), np.concatenate(second)
-    return pd.DataFrame({"a": kind[i], "na": n[i], "b": kind[j], "nb": n[j]})
+        reached.add(c)
+        queue = list(same[c])
+        while queue:
+            i = queue.pop()
+            for j in np.flatnonzero(linked[i]):
+                if component[j] not in reached:
+                    reached.add(component[j])
+                    first.append(i)
+                    second.append(j)
+                    queue.extend(same[component[j]])
+    return np.array(first, dtype=np.int64), np.array(second, dtype=np.int64)
 
 
 @dataclass
@@ -435,9 +498,9 @@ class Sets:
     docs: DataFrame
     described: DataFrame
 
-    def _needed(self, pairs: DataFrame) -> DataFrame:
+    def _classes(self, pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
-        return write_table(both.distinct(), "classes")
+        return both.distinct()
 
     def _beside(self, pairs: DataFrame, own: DataFrame, column: str) -> DataFrame:
         for side in ("a", "b"):
@@ -450,7 +513,7 @@ class Sets:
         Up to the smaller of the prefixes' ends both sets are known.
         """
         some = self.described.where("prefix IS NOT NULL").select("class", "prefix")
-        some = lookup_join(some, self._needed(pairs), "class", "left_semi").dropDuplicates(["class"])
+        some = lookup_join(some, write_table(self._classes(pairs), "classes"), "class", "left_semi").dropDuplicates(["class"])
         beside = self._beside(pairs, some, "prefix")
         end = F.least(F.element_at("prefix_a", -1), F.element_at("prefix_b", -1))
         beyond = [
@@ -463,14 +526,13 @@ class Sets:
             .select(*pairs.columns, "most")
         )
 
-    def overlap(self, pairs: DataFrame) -> DataFrame:
-        """Pairs with ``overlap``, found from the whole sets of the classes they name."""
-        needed = self._needed(pairs)
-        chosen = lookup_join(self.described.select("class", "key"), needed, "class")
+    def whole(self, needed: DataFrame) -> DataFrame:
+        """(class, members): the sets of some classes, each from one document's text."""
+        chosen = lookup_join(self.described.select("class", "key"), write_table(needed, "classes"), "class")
         chosen = write_table(chosen.groupBy("class").agg(F.min("key").alias("key")).select("key"), "chosen")
         named = self.docs.select(document_key(self.docs).alias("key"), "text")
 
-        def whole(batches):
+        def shingle(batches):
             shingler = Shingler()
             for batch in batches:
                 for _, hashes, starts in shingler.sets(batch.column(1)):
@@ -479,9 +541,12 @@ class Sets:
                     yield pa.RecordBatch.from_arrays(columns, ["class", "members"])
 
         some = lookup_join(named, chosen, "key", "left_semi").select("key", "text")
-        some = some.mapInArrow(whole, "class bigint, members array<bigint>")
-        some = write_table(some, "members").dropDuplicates(["class"])
-        beside = self._beside(pairs, some, "members")
+        some = some.mapInArrow(shingle, "class bigint, members array<bigint>")
+        return write_table(some, "members").dropDuplicates(["class"])
+
+    def overlap(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with ``overlap``, found from the whole sets of the classes they name."""
+        beside = self._beside(pairs, self.whole(self._classes(pairs)), "members")
         shared = F.size(F.array_intersect("members_a", "members_b")).cast("bigint")
         return beside.select(*pairs.columns, shared.alias("overlap"))
 
@@ -603,16 +668,19 @@ def join(docs: DataFrame, all_links: bool = False) -> Join:
     columns = ["a", "na", "b", "nb"]
     links = found.compare(write_table(neighbours(lists), "neighbours"))
     nodes = components(links)
-    pairs = write_table(candidates(lists, nodes, all_links), "candidates")
-    if all_links:
-        pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti").select(*columns)
-    links_all = links.select(*columns)
+    entries = open_lists(lists, nodes, all_links)
+    pairs = write_table(candidates(entries, all_links), "candidates")
+    more = links_in_long_lists(found, entries, all_links)
     if not pairs.isEmpty():
-        more = write_table(by_reference(found, pairs, links), "more-links")
-        links_all = links_all.unionByName(more)
-        if not more.isEmpty():
-            tied = nodes.select(F.col("class").alias("a"), F.col("root").alias("b"))
-            nodes = components(tied.unionByName(more.select("a", "b")))
+        more = more.unionByName(by_reference(found, pairs, links))
+    more = more.distinct()
+    if all_links:
+        more = more.join(links.select("a", "b"), ["a", "b"], "left_anti").select(*columns)
+    more = write_table(more, "more-links")
+    if not more.isEmpty():
+        tied = nodes.select(F.col("class").alias("a"), F.col("root").alias("b"))
+        nodes = components(tied.unionByName(more.select("a", "b")))
+    links_all = links.select(*columns).unionByName(more)
     return Join(described.select("doc_id", "key", "class", "n"), links_all, nodes)
 
 

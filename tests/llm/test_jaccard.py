@@ -74,7 +74,7 @@ def test_components(spark, rows):
 
 
 def test_components_with_every_list_cut_and_frequent_shingles(spark, rows, monkeypatch):
-    for name, value in (("LIST", 6), ("OFTEN", 2), ("BLOCK", 4)):
+    for name, value in (("SHORT", 3), ("LIST", 6), ("OFTEN", 2), ("BLOCK", 4), ("COLUMNS", 16)):
         monkeypatch.setattr(jaccard_join, name, value)
     sets, _, component = brute(rows)
     assert found(spark, rows) == sorted((r[0], len(s), c if s else r[0]) for r, s, c in zip(rows, sets, component))
