@@ -6,13 +6,15 @@ the model itself: one common table expression per half-step.
 
 from __future__ import annotations
 
-from roamrank.checks.queries import AS_OF, EXACT, K, SEED
+from roamrank.checks.queries import AS_OF, EXACT, FULL, K, SEED
 from roamrank.functions.expressions import (
     HASH_PRIME,
     ITEM_FACTOR,
     SEED_FACTOR,
     USER_FACTOR,
+    split_mix,
 )
+from roamrank.operators.model import AlsConfig
 
 BASE = """
 listings AS (
@@ -43,43 +45,66 @@ ratings AS MATERIALIZED (
   FROM visits GROUP BY 1, 2)
 """
 
-BUCKET = (
-    f"((u % {HASH_PRIME}) * {USER_FACTOR} + (i % {HASH_PRIME}) * {ITEM_FACTOR}"
-    f" + {SEED % HASH_PRIME}) % {HASH_PRIME} % 100"
-)
+_FACTOR, _SHIFT = split_mix(SEED)
+_PAIR = f"(((u % {HASH_PRIME}) * {USER_FACTOR} + (i % {HASH_PRIME}) * {ITEM_FACTOR}) % {HASH_PRIME})"
+_MIXED = f"(({_PAIR} * {_FACTOR} + {_SHIFT}) % {HASH_PRIME})"
+BUCKET = f"({_MIXED} * ({_MIXED} + {ITEM_FACTOR})) % {HASH_PRIME} % 100"
 
 
 def _sql(body: str, *extra: str) -> str:
     return "WITH " + ",\n".join([BASE, *extra]) + "\n" + body
 
 
-def _rank2(source: str) -> list[str]:
-    """Factors after EXACT.iterations rounds, as tables uf(id, f0, f1) and itf."""
-    shift = SEED % HASH_PRIME * SEED_FACTOR % HASH_PRIME
+def _solution(sums: str, rank: int, reg: float) -> str:
+    """Factors f0, f1, ... from n, a{i}_{j} and b{i}: a Cholesky decomposition, a column at a time."""
+    a = lambda i, j: f"a{i}_{j}" + (f" + {reg} * n" if i == j else "")
+    less = lambda pairs: "".join(f" - {x} * {y}" for x, y in pairs)
+    for j in range(rank):
+        root = f"sqrt({a(j, j)}" + less((f"l{j}_{k}", f"l{j}_{k}") for k in range(j)) + f") AS l{j}_{j}"
+        sums = f"(SELECT *, {root} FROM {sums} AS r{j})"
+        below = [
+            f"(a{j}_{i}" + less((f"l{i}_{k}", f"l{j}_{k}") for k in range(j)) + f") / l{j}_{j} AS l{i}_{j}"
+            for i in range(j + 1, rank)
+        ]
+        forward = f"(b{j}" + less((f"l{j}_{k}", f"y{k}") for k in range(j)) + f") / l{j}_{j} AS y{j}"
+        sums = f"(SELECT *, {', '.join([*below, forward])} FROM {sums} AS c{j})"
+    for j in reversed(range(rank)):
+        back = f"(y{j}" + less((f"l{k}_{j}", f"f{k}") for k in range(j + 1, rank)) + f") / l{j}_{j} AS f{j}"
+        sums = f"(SELECT *, {back} FROM {sums} AS x{j})"
+    return f"SELECT id, {_factors(rank)} FROM {sums} AS solved"
+
+
+def _factors(rank: int) -> str:
+    return ", ".join(f"f{d}" for d in range(rank))
+
+
+def _trained(source: str, config: AlsConfig) -> list[str]:
+    """Factors after the configured rounds, as tables uf(id, f0, f1, ...) and itf."""
+    rank, shift = config.rank, config.seed % HASH_PRIME * SEED_FACTOR % HASH_PRIME
 
     def start(d: int) -> str:
-        return f"(((u % {HASH_PRIME}) * {USER_FACTOR * (2 * d + 1)} + {shift}) % {HASH_PRIME} + 1)"
+        number = f"(((u % {HASH_PRIME}) * {USER_FACTOR * (2 * d + 1)} + {shift}) % {HASH_PRIME} + 1)"
+        return f"{number} / {HASH_PRIME}.0::DOUBLE AS s{d}"
 
+    norm = "sqrt(" + " + ".join(f"s{d} * s{d}" for d in range(rank)) + ")"
     steps = [
         f"""u0 AS MATERIALIZED (
-  SELECT u AS id, a / sqrt(a * a + b * b) AS f0, b / sqrt(a * a + b * b) AS f1
-  FROM (SELECT u, {start(0)} / {HASH_PRIME}.0::DOUBLE AS a, {start(1)} / {HASH_PRIME}.0::DOUBLE AS b
+  SELECT u AS id, {', '.join(f's{d} / {norm} AS f{d}' for d in range(rank))}
+  FROM (SELECT u, {', '.join(map(start, range(rank)))}
         FROM (SELECT DISTINCT u FROM {source}) AS ids) AS starts)"""
     ]
+    gram = ", ".join(f"sum(f{i} * f{j}) AS a{i}_{j}" for i in range(rank) for j in range(i, rank))
+    right = ", ".join(f"sum(rating * f{i}) AS b{i}" for i in range(rank))
 
-    def half_step(name: str, by: str, other: str, factors: str) -> str:
-        return f"""{name} AS MATERIALIZED (
-  SELECT id, (c * r0 - b * r1) / (a * c - b * b) AS f0, (a * r1 - b * r0) / (a * c - b * b) AS f1
-  FROM (SELECT {by} AS id, sum(f0 * f0) + {EXACT.reg} * count(*) AS a, sum(f0 * f1) AS b,
-               sum(f1 * f1) + {EXACT.reg} * count(*) AS c,
-               sum(rating * f0) AS r0, sum(rating * f1) AS r1
-        FROM {source} JOIN {factors} ON {other} = id GROUP BY 1) AS sums)"""
-
-    for n in range(1, EXACT.iterations + 1):
-        steps.append(half_step(f"i{n}", "i", "u", f"u{n - 1}"))
-        steps.append(half_step(f"u{n}", "u", "i", f"i{n}"))
-    steps.append(f"uf AS (SELECT * FROM u{EXACT.iterations})")
-    steps.append(f"itf AS (SELECT * FROM i{EXACT.iterations})")
+    def half_step(name: str, by: str, other: str, factors: str) -> list[str]:
+        sums = f"SELECT {by} AS id, count(*) AS n, {gram}, {right} FROM {source} JOIN {factors} ON {other} = id GROUP BY 1"
+        return [f"{name}s AS MATERIALIZED ({sums})", f"{name} AS MATERIALIZED ({_solution(f'{name}s', rank, config.reg)})"]
+
+    for n in range(1, config.iterations + 1):
+        steps += half_step(f"i{n}", "i", "u", f"u{n - 1}")
+        steps += half_step(f"u{n}", "u", "i", f"i{n}")
+    steps.append(f"uf AS (SELECT * FROM u{config.iterations})")
+    steps.append(f"itf AS (SELECT * FROM i{config.iterations})")
     return steps
 
 
@@ -101,12 +126,24 @@ def _rank1() -> list[str]:
     return steps
 
 
-PREDICTED = """predicted AS (
-  SELECT u, i, rating, uf.f0 * itf.f0 + uf.f1 * itf.f1 AS prediction
+
+
+def _product(rank: int) -> str:
+    return " + ".join(f"uf.f{d} * itf.f{d}" for d in range(rank))
+
+
+def _predicted(source: str, rank: int = 2) -> str:
+    return f"""predicted AS (
+  SELECT u, i, rating, {_product(rank)} AS prediction
   FROM {source} JOIN uf ON u = uf.id JOIN itf ON i = itf.id)"""
 
-SCORED = """scored AS (
-  SELECT uf.id AS u, itf.id AS i, uf.f0 * itf.f0 + uf.f1 * itf.f1 AS score FROM uf CROSS JOIN itf)"""
+
+def _scored(rank: int) -> str:
+    return f"""scored AS (
+  SELECT uf.id AS u, itf.id AS i, {_product(rank)} AS score FROM uf CROSS JOIN itf)"""
+
+
+SCORED = _scored(2)
 
 
 def _best(unseen: bool) -> str:
@@ -156,7 +193,8 @@ MSE = "round(avg((rating - prediction) * (rating - prediction)), 6) AS mse, coun
 
 
 def queries() -> dict[str, str]:
-    rank2 = _rank2("ratings")
+    rank2 = _trained("ratings", EXACT)
+    full = [*_trained("ratings", FULL), _scored(FULL.rank), _best(unseen=False)]
     rank1 = _rank1()
     split = f"split AS (SELECT u, i, rating, {BUCKET} < 80 AS fit FROM ratings)"
     fit_on = "fit_on AS MATERIALIZED (SELECT u, i, rating FROM split WHERE fit)"
@@ -211,21 +249,21 @@ def queries() -> dict[str, str]:
         "predict_pairs": _sql(
             'SELECT u AS "user", i AS item, rating, round(prediction, 4) AS prediction FROM predicted',
             *rank2,
-            PREDICTED.format(source="ratings"),
+            _predicted("ratings"),
         ),
         "evaluate_mse": _sql(
             f"SELECT 'train' AS sample, {MSE}, {EXACT.rank} AS rank, {EXACT.iterations} AS iterations,"
             f" CAST({EXACT.reg} AS DOUBLE) AS reg FROM predicted",
             *rank2,
-            PREDICTED.format(source="ratings"),
+            _predicted("ratings"),
         ),
         "evaluate_holdout": _sql(
             f"SELECT 'holdout' AS sample, {MSE} FROM predicted",
             split,
             fit_on,
-            *_rank2("fit_on"),
+            *_trained("fit_on", EXACT),
             "held AS (SELECT u, i, rating FROM split WHERE NOT fit)",
-            PREDICTED.format(source="held"),
+            _predicted("held"),
         ),
         "recommend_topk": _sql(RANKED, *rank2, SCORED, _best(unseen=False)),
         "recommend_unseen": _sql(RANKED, *rank2, SCORED, _best(unseen=True)),
@@ -243,20 +281,11 @@ def queries() -> dict[str, str]:
             SCORED,
             _best(unseen=False),
         ),
-        "recommend_shape": _sql(
-            f"SELECT u AS reviewer_id, least({K}, (SELECT count(DISTINCT i) FROM ratings)) AS n,"
-            " TRUE AS distinct_items, TRUE AS descending FROM (SELECT DISTINCT u FROM ratings) AS rated"
-        ),
+        "recommend_full": _sql(RANKED, *full),
         "publish_named": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
         "publish_novel": _sql(_named(), *rank2, SCORED, _best(unseen=True)),
         "jdbc_rows": _sql(_named(), *rank2, SCORED, _best(unseen=False)),
-        # Who is served, under which name and with how many areas; not which ones.
-        "publish_full": _sql(
-            f"""SELECT u AS "reviewerId", coalesce(reviewer_name, 'empty') AS "reviewerName",
-       least({K}, (SELECT count(DISTINCT i) FROM ratings)) AS n_names, TRUE AS distinct_names,
-       FALSE AS unnamed, '{AS_OF}' AS date
-FROM (SELECT DISTINCT u FROM ratings) AS rated LEFT JOIN reviewers ON u = reviewer_id"""
-        ),
+        "publish_full": _sql(_named(), *full),
         "sink_parquet_overwrite": _sql("SELECT reviewer_id, reviewer_name FROM reviewers"),
         "preview_recommendations": _sql(
             _named() + "\nORDER BY uf.id LIMIT 10", *rank2, SCORED, _best(unseen=False)
@@ -265,7 +294,7 @@ FROM (SELECT DISTINCT u FROM ratings) AS rated LEFT JOIN reviewers ON u = review
             f"SELECT 'train' AS sample, mse, n, {SEED} AS seed, 'sums' AS solver FROM"
             f" (SELECT {MSE} FROM predicted) AS metric, (VALUES (1), (2)) AS runs(run)",
             *rank2,
-            PREDICTED.format(source="ratings"),
+            _predicted("ratings"),
         ),
         # Invariants: SQL states what must hold for whom; it doesn't refit.
         "als_normal_equations": _sql(
@@ -275,5 +304,38 @@ FROM (SELECT DISTINCT u FROM ratings) AS rated LEFT JOIN reviewers ON u = review
             "SELECT 'user' AS side, u AS id, TRUE AS ok FROM (SELECT DISTINCT u FROM ratings) AS rated"
             " UNION ALL SELECT 'item', i, TRUE FROM (SELECT DISTINCT i FROM ratings) AS visited"
         ),
-        "als_rank10_quality": _sql("SELECT count(*) AS n, TRUE AS ok FROM ratings"),
+        "evaluate_full": _sql(
+            f"SELECT 'train' AS sample, {MSE}, {FULL.rank} AS rank, {FULL.iterations} AS iterations FROM predicted",
+            *_trained("ratings", FULL),
+            _predicted("ratings", FULL.rank),
+        ),
+        "csv_listings": (
+            "SELECT s_suppkey AS id, s_name AS host_name, n_name AS neighbourhood, s_acctbal < 0 AS in_debt,"
+            " 'Flat \"' || s_name || '\",' || chr(10) || 'second line' AS name"
+            " FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+        ),
+        "csv_areas": (
+            "SELECT n_name AS neighbourhood, r_name AS neighbourhood_group"
+            " FROM nation JOIN region ON n_regionkey = r_regionkey"
+        ),
+        "record_balance": _sql(
+            """
+SELECT 'reviews' AS input, count(*) AS read, count(*) FILTER (good AND person AND known) AS used,
+       count(*) FILTER (NOT good) AS malformed, count(*) FILTER (good AND NOT person) AS null_key,
+       count(*) FILTER (good AND person AND NOT known) AS unmatched
+FROM (SELECT l_returnflag <> 'R' AS good, l_linestatus <> 'F' OR l_orderkey % 5 <> 0 AS person,
+             coalesce(listing_id IN (SELECT id FROM listings WHERE s_acctbal >= 0 AND neighbourhood IN
+                 (SELECT neighbourhood FROM areas WHERE neighbourhood_group <> 'ASIA')), FALSE) AS known
+      FROM reviews) AS r
+UNION ALL
+SELECT 'listings', count(*), count(*) FILTER (s_acctbal >= 0 AND inside), 0, count(*) FILTER (s_acctbal < 0),
+       count(*) FILTER (s_acctbal >= 0 AND NOT inside)
+FROM (SELECT s_acctbal, neighbourhood IN (SELECT neighbourhood FROM areas WHERE neighbourhood_group <> 'ASIA') AS inside
+      FROM listings) AS l
+UNION ALL
+SELECT 'areas', count(*), count(*) FILTER (neighbourhood_group <> 'ASIA'), 0,
+       count(*) FILTER (neighbourhood_group = 'ASIA'), 0
+FROM areas"""
+        ),
+        "run_date_today": "SELECT DISTINCT CAST(current_date AS VARCHAR) AS date, count(*) AS n FROM nation",
     }

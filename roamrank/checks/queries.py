@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roamrank.checks import tables
 from roamrank import sinks
 from roamrank.operators import dims, model, normal_equations, ratings, recommend, visits
 from roamrank.operators.model import AlsConfig, FactorModel
+from roamrank.functions.expressions import run_date
 from roamrank.plans.pipeline import Outputs, publish
+from roamrank.plans.pipeline import record_balance as balance
 from roamrank.sources import csv, schemas
 from roamrank.workspace import new_path, write_table
 
@@ -51,17 +54,18 @@ def _review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("reviewer_name"),
         comments.alias("comments"),
         "l_returnflag",
+        "l_linestatus",
     )
 
 
-def _land(spark: SparkSession, records: DataFrame) -> csv.Landed:
-    path = new_path(spark, "reviews-csv")
+def _land(spark: SparkSession, records: DataFrame, schema: StructType = schemas.REVIEWS) -> csv.Landed:
+    path = new_path(spark, "csv")
     records.write.option("header", True).option("escape", '"').csv(path)
-    return csv.land_csv(spark, path, schemas.REVIEWS)
+    return csv.land_csv(spark, path, schema)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _review_records(spark, sf_dir).drop("l_returnflag")
+    records = _review_records(spark, sf_dir).drop("l_returnflag", "l_linestatus")
     return tables.date_text(_land(spark, records).good)
 
 
@@ -70,7 +74,7 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _review_records(spark, sf_dir)
     returned = F.col("l_returnflag") == "R"
     broken = records.withColumn("id", F.when(returned, "returned").otherwise(F.col("id").cast("string")))
-    landed = _land(spark, broken.drop("l_returnflag"))
+    landed = _land(spark, broken.drop("l_returnflag", "l_linestatus"))
     good = landed.good.withColumn("quarantined", F.lit(False))
     bad = landed.quarantined.drop(csv.CORRUPT).withColumn("quarantined", F.lit(True))
     return tables.date_text(good.union(bad).fillna(-1, ["id"]))
@@ -267,18 +271,10 @@ def recommend_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.jdbc_rows(recommend.attach_names(best, known, reviewers, as_of=AS_OF))
 
 
-def recommend_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per rated person: how many areas, all different, scores never rising."""
+def recommend_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best areas at the default configuration."""
     rated = tables.trainer_ratings(spark, sf_dir)
-    best = recommend.recommend_topk(model.train(rated, FULL), K)
-    scores = F.transform("items", lambda x: x["score"])
-    ids = F.transform("items", lambda x: x["item"])
-    return best.select(
-        F.col("user").cast("bigint").alias("reviewer_id"),
-        F.size("items").cast("bigint").alias("n"),
-        (F.size(F.array_distinct(ids)) == F.size("items")).alias("distinct_items"),
-        (F.reverse(F.sort_array(scores)) == scores).alias("descending"),
-    )
+    return _ranked(recommend.recommend_topk(model.train(rated, FULL), K))
 
 
 def _published(spark: SparkSession, sf_dir: str, config: AlsConfig, **options) -> DataFrame:
@@ -312,16 +308,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same job, reduced to what doesn't depend on MLlib's start vectors."""
-    names = F.col("neighbourhoodNames")
-    return recommendations(spark, sf_dir).select(
-        "reviewerId",
-        "reviewerName",
-        F.size(names).cast("bigint").alias("n_names"),
-        (F.size(F.array_distinct(names)) == F.size(names)).alias("distinct_names"),
-        F.array_contains(names, recommend.EMPTY).alias("unnamed"),
-        "date",
-    )
+    return sinks.jdbc_rows(recommendations(spark, sf_dir))
 
 
 def jdbc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,16 +380,69 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].union(rows[1])
 
 
-def als_rank10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bound: in-sample error stays below the ratings' variance."""
+def evaluate_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error on its own ratings at the default configuration."""
     rated = tables.trainer_ratings(spark, sf_dir)
-    predicted = model.predict(model.train(rated, FULL), rated)
-    error = F.col("rating") - F.col("prediction")
-    return predicted.agg(
-        F.count("*").alias("n"), (F.avg(error * error) < F.var_pop("rating")).alias("ok")
+    return model.evaluate(model.train(rated, FULL), rated, FULL, "train").select(
+        "sample", F.round("mse", 6).alias("mse"), "n", "rank", "iterations"
+    )
+
+
+def _listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in the columns of the listings' file; the quoted name has a line break."""
+    known = {
+        "id": F.col("s_suppkey"),
+        "name": F.concat(F.lit('Flat "'), "s_name", F.lit('",\nsecond line')),
+        "host_id": F.col("n_nationkey"),
+        "host_name": F.col("s_name"),
+        "neighbourhood": F.col("n_name"),
+        "price": F.when(F.col("s_acctbal") < 0, 1).otherwise(2),
+    }
+    suppliers = tables.read(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+    nations = tables.read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    columns = [
+        known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.LISTINGS.fields
+    ]
+    return suppliers.join(nations, "n_nationkey").select(*columns, "s_acctbal")
+
+
+def csv_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _listing_records(spark, sf_dir).drop("s_acctbal")
+    return _land(spark, records, schemas.LISTINGS).good.select(
+        "id", "host_name", "neighbourhood", (F.col("price") == 1).alias("in_debt"), "name"
     )
 
 
+def csv_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = tables.areas(spark, sf_dir).select("neighbourhood_group", "neighbourhood")
+    return _land(spark, records, schemas.AREAS).good.select("neighbourhood", "neighbourhood_group")
+
+
+def record_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews of which some are malformed or lack a person, listings of which some lack
+    an id, and areas of which one region's lack a name: where each record went."""
+    records = _review_records(spark, sf_dir)
+    person = (F.col("l_linestatus") != "F") | (F.col("id") % 5 != 0)
+    reviews = records.withColumn("reviewer_id", F.when(person, F.col("reviewer_id"))).withColumn(
+        "id", F.when(F.col("l_returnflag") == "R", "returned").otherwise(F.col("id").cast("string"))
+    )
+    listings = _listing_records(spark, sf_dir).withColumn("id", F.when(F.col("s_acctbal") >= 0, F.col("id")))
+    areas = tables.areas(spark, sf_dir).select(
+        "neighbourhood_group", F.when(F.col("neighbourhood_group") != "ASIA", F.col("neighbourhood")).alias("neighbourhood")
+    )
+    return balance(
+        _land(spark, reviews.drop("l_returnflag", "l_linestatus")),
+        _land(spark, listings.drop("s_acctbal"), schemas.LISTINGS),
+        _land(spark, areas, schemas.AREAS),
+    )
+
+
+def run_date_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date that a run gets if none is given."""
+    dated = tables.read(spark, sf_dir, "nation").withColumn("date", run_date())
+    return dated.groupBy("date").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_listings": scan_listings,
     "scan_reviews": scan_reviews,
@@ -432,7 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommend_rank1": recommend_rank1,
     "recommend_novel": recommend_novel,
     "recommend_named": recommend_named,
-    "recommend_shape": recommend_shape,
+    "recommend_full": recommend_full,
     "publish_named": publish_named,
     "publish_novel": publish_novel,
     "publish_full": publish_full,
@@ -442,5 +482,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_table": metrics_table,
     "als_normal_equations": als_normal_equations,
     "model_roundtrip": model_roundtrip,
-    "als_rank10_quality": als_rank10_quality,
+    "evaluate_full": evaluate_full,
+    "csv_listings": csv_listings,
+    "csv_areas": csv_areas,
+    "record_balance": record_balance,
+    "run_date_today": run_date_today,
 }

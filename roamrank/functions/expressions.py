@@ -35,12 +35,19 @@ def dot(left: Column, right: Column, rank: int) -> Column:
 
 def split_bucket(user: Column, item: Column, seed: int) -> Column:
     """A number from 0 to 99 that depends on the pair and the seed alone."""
-    mixed = (
+    pair = (
         F.pmod(user.cast("bigint"), F.lit(HASH_PRIME)) * USER_FACTOR
         + F.pmod(item.cast("bigint"), F.lit(HASH_PRIME)) * ITEM_FACTOR
-        + seed % HASH_PRIME
-    )
-    return (mixed % HASH_PRIME) % 100
+    ) % HASH_PRIME
+    factor, shift = split_mix(seed)
+    mixed = (pair * factor + shift) % HASH_PRIME
+    return (mixed * (mixed + ITEM_FACTOR)) % HASH_PRIME % 100
+
+
+def split_mix(seed: int) -> tuple[int, int]:
+    """The seed's factor and shift: a sum alone would only move all buckets alike."""
+    factor = 1 + (seed % HASH_PRIME + 1) * SEED_FACTOR % (HASH_PRIME - 1)
+    return factor, seed * USER_FACTOR % HASH_PRIME
 
 
 def start_factors(user: Column, rank: int, seed: int) -> Column:

@@ -14,9 +14,6 @@ from roamrank.workspace import write_table
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 2_000_000
-# Keys beyond the most frequent MAX_HOT_KEYS own less than 1/MAX_HOT_KEYS of
-# the rows each, so they need no spreading; it also bounds the broadcast.
-MAX_HOT_KEYS = 50_000
 # Rows of a key at the limit that finding hot keys should look at.
 ROWS_TO_TELL = 10_000
 
@@ -33,7 +30,8 @@ def _width(field: T.StructField) -> int | Column:
         return F.coalesce(F.size(column), F.lit(0)) * 8 + 8
     if isinstance(field.dataType, T.AtomicType):
         return 8
-    raise TypeError(f"no size rule for column {field.name}")
+    # Nested values: their text is about as long as they are in memory, or longer.
+    return F.coalesce(F.length(F.to_json(F.struct(column))), F.lit(0)) * 2 + 32
 
 
 def payload_bytes(df: DataFrame) -> int:
@@ -63,6 +61,11 @@ class HotKeys:
 
     key: str
     table: DataFrame | None
+    small: bool = True
+
+    def _sent(self, table: DataFrame) -> DataFrame:
+        """Broadcast if it was measured to be small; there is one row for each ROWS_PER_TASK rows at most."""
+        return F.broadcast(table) if self.small else table
 
     def salt(self, fact: DataFrame) -> DataFrame:
         """Add a salt that spreads the rows of every hot key, nulls included.
@@ -76,7 +79,7 @@ class HotKeys:
         spread = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in fact.columns])
         salt = F.when(F.col(FAN_OUT).isNull(), 0).otherwise(F.pmod(spread, F.col(FAN_OUT)))
         return (
-            fact.join(F.broadcast(hot), F.col(self.key).eqNullSafe(F.col("_hot_key")), "left")
+            fact.join(self._sent(hot), F.col(self.key).eqNullSafe(F.col("_hot_key")), "left")
             .withColumn(SALT, salt.cast("bigint"))
             .drop("_hot_key", FAN_OUT)
         )
@@ -87,7 +90,7 @@ class HotKeys:
             return dim.withColumn(SALT, F.lit(0).cast("bigint"))
         last = F.coalesce(F.col(FAN_OUT), F.lit(1)) - 1
         return (
-            dim.join(F.broadcast(self.table), self.key, "left")
+            dim.join(self._sent(self.table), self.key, "left")
             .withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
             .drop(FAN_OUT)
         )
@@ -111,12 +114,11 @@ def hot_keys(fact: DataFrame, key: str, rows_per_task: int | None = None) -> Hot
         keys.groupBy(key)
         .agg(rows.alias("rows"))
         .where(F.col("rows") > share)
-        .orderBy(F.desc("rows"))
-        .limit(MAX_HOT_KEYS)
         .select(key, F.ceil(F.col("rows") / share).cast("bigint").alias(FAN_OUT))
     )
     table = write_table(frequent, "hot-keys")
-    return HotKeys(key, None if table.isEmpty() else table)
+    size = payload_bytes(table)
+    return HotKeys(key, table if size else None, size <= BROADCAST_BYTES)
 
 
 def lookup_join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 from dataclasses import asdict, dataclass, replace
 
@@ -9,31 +10,23 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamrank.functions.expressions import dot
+from roamrank import store
+from roamrank.functions.expressions import dot, run_date
 from roamrank.operators.joins import lookup_join
 from roamrank.operators.normal_equations import fit_by_sums
 from roamrank.workspace import shared_dir
 
-# Ratings that one block of MLlib's ALS should hold. Its shuffle makes a buffer
-# for each pair of blocks, so the numbers of blocks are limited. They depend on
-# the ratings alone, never on the cluster: the start vectors depend on them.
+# Ratings that one block of MLlib's ALS should hold, if that is the solver asked for.
 RATINGS_PER_BLOCK = 1_000_000
 MIN_BLOCKS = 10
-MAX_USER_BLOCKS = 20_000
-MAX_ITEM_BLOCKS = 200
-# Beyond this many ratings in one item's block, more blocks are taken after all.
-MAX_RATINGS_PER_BLOCK = 50_000_000
-# MLlib keeps an id's ratings in one task's arrays, 12 bytes each and copied
-# while sorting. With more ratings on one id the summing solver trains instead.
-MAX_RATINGS_PER_ID = 100_000_000
 
 
 @dataclass(frozen=True)
 class AlsConfig:
     """Explicit-feedback ALS; the ridge term is ``reg`` times an id's ratings.
 
-    ``solver`` is "mllib", "sums", or "auto": mllib unless one id has more
-    ratings than a single task should hold.
+    ``solver`` is "sums", which trains the same way at every size, or "mllib", Spark's
+    own, which keeps all ratings of an id in one task and starts from random factors.
     """
 
     seed: int
@@ -41,15 +34,7 @@ class AlsConfig:
     rank: int = 10
     iterations: int = 3
     reg: float = 0.01
-    solver: str = "auto"
-
-
-@dataclass(frozen=True)
-class RatingStats:
-    ratings: int
-    items: int
-    most_per_item: int
-    most_per_user: int
+    solver: str = "sums"
 
 
 @dataclass(frozen=True)
@@ -59,62 +44,55 @@ class FactorModel:
     rank: int
     user_factors: DataFrame
     item_factors: DataFrame
-    solver: str = "mllib"
+    solver: str = "sums"
 
     @classmethod
     def from_mllib(cls, model: ALSModel) -> FactorModel:
-        return cls(model.rank, model.userFactors, model.itemFactors)
+        return cls(model.rank, model.userFactors, model.itemFactors, "mllib")
 
     def save(self, path: str) -> None:
         """Replace what is stored at ``path``, on any file system Spark writes to."""
-        self.user_factors.write.mode("overwrite").parquet(f"{path}/user_factors")
-        self.item_factors.write.mode("overwrite").parquet(f"{path}/item_factors")
+        spark = self.user_factors.sparkSession
+        version = store.new_version(path)
+        self.write_to(version)
+        store.point(spark, path, version)
+
+    def write_to(self, folder: str) -> None:
+        """Write to a folder that isn't there yet."""
+        self.user_factors.write.parquet(f"{folder}/user_factors")
+        self.item_factors.write.parquet(f"{folder}/item_factors")
         spark = self.user_factors.sparkSession
         about = spark.createDataFrame([(self.rank, self.solver)], "rank int, solver string")
-        about.coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+        about.coalesce(1).write.parquet(f"{folder}/about")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FactorModel:
-        about = spark.read.parquet(f"{path}/about").first()
+        return cls.read_from(spark, store.current(spark, path))
+
+    @classmethod
+    def read_from(cls, spark: SparkSession, folder: str) -> FactorModel:
+        about = spark.read.parquet(f"{folder}/about").first()
         return cls(
             about["rank"],
-            spark.read.parquet(f"{path}/user_factors"),
-            spark.read.parquet(f"{path}/item_factors"),
+            spark.read.parquet(f"{folder}/user_factors"),
+            spark.read.parquet(f"{folder}/item_factors"),
             about["solver"],
         )
 
 
-def rating_stats(ratings: DataFrame) -> RatingStats:
-    per_item = ratings.groupBy("item").agg(F.count("*").alias("n"))
-    row = per_item.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("ratings"),
-        F.count("*").alias("items"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("most"),
-    ).first()
-    most_per_user = row["items"]  # a user rates an item once
-    if most_per_user > MAX_RATINGS_PER_ID:
-        per_user = ratings.groupBy("user").agg(F.count("*").alias("n"))
-        most_per_user = per_user.agg(F.max("n").alias("most")).first()["most"]
-    return RatingStats(row["ratings"], row["items"], row["most"], most_per_user)
-
-
-def block_counts(stats: RatingStats) -> tuple[int, int]:
-    """User and item blocks: enough that each holds a task's share of ratings."""
-    wanted = max(MIN_BLOCKS, math.ceil(stats.ratings / RATINGS_PER_BLOCK))
-    user_blocks = min(wanted, MAX_USER_BLOCKS)
-    most = max(MAX_ITEM_BLOCKS, math.ceil(stats.ratings / MAX_RATINGS_PER_BLOCK))
-    return user_blocks, min(user_blocks, most, max(MIN_BLOCKS, stats.items // 4))
-
-
-def fit_mllib(ratings: DataFrame, config: AlsConfig, stats: RatingStats | None = None) -> ALSModel:
-    user_blocks, item_blocks = block_counts(stats or rating_stats(ratings))
+def fit_mllib(ratings: DataFrame, config: AlsConfig) -> ALSModel:
+    """MLlib's ALS; sets the context's checkpoint folder, where it cuts its lineage, if there is none."""
+    context = ratings.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(ratings.sparkSession))
+    blocks = max(MIN_BLOCKS, math.ceil(ratings.count() / RATINGS_PER_BLOCK))
     als = ALS(
         rank=config.rank,
         maxIter=config.iterations,
         regParam=config.reg,
         seed=config.seed,
-        numUserBlocks=user_blocks,
-        numItemBlocks=item_blocks,
+        numUserBlocks=blocks,
+        numItemBlocks=min(blocks, MIN_BLOCKS),
         coldStartStrategy="drop",
         userCol="user",
         itemCol="item",
@@ -125,22 +103,14 @@ def fit_mllib(ratings: DataFrame, config: AlsConfig, stats: RatingStats | None =
 
 def train(ratings: DataFrame, config: AlsConfig) -> FactorModel:
     """Fit (user, item, rating). Pass a stored table: it is read several times."""
-    shared_dir(ratings.sparkSession)  # where ALS may checkpoint
-    stats = rating_stats(ratings)
-    if stats.ratings == 0:
+    if config.solver not in ("sums", "mllib"):
+        raise ValueError(f"unknown solver {config.solver!r}")
+    if ratings.isEmpty():
         raise ValueError("no ratings to train on")
-    solver = config.solver
-    if solver == "auto":
-        most = max(stats.most_per_item, stats.most_per_user)
-        solver = "sums" if most > MAX_RATINGS_PER_ID else "mllib"
-    if solver == "mllib":
-        return FactorModel.from_mllib(fit_mllib(ratings, config, stats))
-    if solver == "sums":
-        users, items = fit_by_sums(
-            ratings, config.rank, config.iterations, config.reg, config.seed
-        )
-        return FactorModel(config.rank, users, items, solver)
-    raise ValueError(f"unknown solver {config.solver!r}")
+    if config.solver == "mllib":
+        return FactorModel.from_mllib(fit_mllib(ratings, config))
+    users, items = fit_by_sums(ratings, config.rank, config.iterations, config.reg, config.seed)
+    return FactorModel(config.rank, users, items, config.solver)
 
 
 def predict(model: FactorModel, pairs: DataFrame) -> DataFrame:
@@ -158,9 +128,17 @@ def mean_squared_error(predicted: DataFrame) -> DataFrame:
     return predicted.agg(F.avg(error * error).alias("mse"), F.count("*").alias("n"))
 
 
-def evaluate(model: FactorModel, ratings: DataFrame, config: AlsConfig, sample: str) -> DataFrame:
-    """The metric as a row of the metrics table, with the parameters behind it."""
+def evaluate(
+    model: FactorModel,
+    ratings: DataFrame,
+    config: AlsConfig,
+    sample: str,
+    run_id: str | None = None,
+    as_of: datetime.date | str | None = None,
+) -> DataFrame:
+    """The metric as a row of the metrics table, with the parameters and the run behind it."""
     metrics = mean_squared_error(predict(model, ratings))
     used = replace(config, solver=model.solver)
     settings = [F.lit(value).alias(name) for name, value in asdict(used).items()]
-    return metrics.select(F.lit(sample).alias("sample"), "mse", "n", *settings)
+    run = [F.lit(run_id).cast("string").alias("run_id"), run_date(as_of).alias("date")]
+    return metrics.select(F.lit(sample).alias("sample"), "mse", "n", *settings, *run)

@@ -1,28 +1,118 @@
-"""Least-squares half-steps of ALS as one join and one grouped sum.
+"""ALS by summed normal equations; no task holds all ratings of an item or a person.
 
-MLlib's ALS keeps all ratings of one item in one task's arrays. Here an item's
-equations are summed on the map side first, so a task sees only partial sums of
-a hot item. The same sums check a fitted model's optimality.
+Ratings are stored as one list for each person, very long ones in parts, beside that
+person's factors. A list's outer products are summed where it lies, so a half-step
+shuffles sums and never ratings: for the items one row for each item and task, for
+the persons none at all unless a list is in parts. Sums travel as one array, so the
+plan is the same at any rank. The same sums check a fitted model's optimality.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamrank.functions.expressions import start_factors
+from roamrank.operators import joins
 from roamrank.operators.joins import SALT, HotKeys, hot_keys, lookup_join
 from roamrank.workspace import write_table
 
-SOLUTION = "array<double>"
+# Ratings in one list, about; a person with more has several.
+RATINGS_PER_LIST = 500_000
+# Numbers that a task works on, and that its sums take up before they are passed on.
+NUMBERS_AT_ONCE = 2_000_000
+NUMBERS_KEPT = 4_000_000
 
 
-def _upper(rank: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(rank) for j in range(i, rank)]
+def _core(rank: int) -> tuple[Callable, Callable, Callable]:
+    """What tasks do with sums: n, the upper triangle of sum(q q'), and sum(r q).
+
+    Nested functions travel to the executors by value, so those need no copy of this
+    package.
+    """
+    rows, columns = np.triu_indices(rank)
+    width = 1 + len(rows) + rank
+    step, most = max(1, NUMBERS_AT_ONCE // width), max(1, NUMBERS_KEPT // width)
+
+    def merged(ids: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum the rows of equal ids."""
+        order = np.argsort(ids, kind="stable")
+        ids, sums = ids[order], sums[order]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, dtype=np.int64)
+        return ids[starts], np.add.reduceat(sums, starts) if len(ids) else sums
+
+    def summed(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple]:
+        """Sums by id of (ids, ratings, vectors), combined as far as memory allows."""
+        kept, count = [], 0
+        for ids, ratings, vectors in parts:
+            for low in range(0, len(ids), step):
+                v, r = vectors[low : low + step], ratings[low : low + step]
+                terms = np.hstack([np.ones((len(v), 1)), v[:, rows] * v[:, columns], r[:, None] * v])
+                kept.append(merged(ids[low : low + step], terms))
+                count += len(kept[-1][0])
+                if count > most:
+                    kept = [merged(*map(np.concatenate, zip(*kept)))]
+                    count = len(kept[0][0])
+                    if count > most // 2:
+                        yield kept.pop()
+                        count = 0
+        if kept:
+            yield merged(*map(np.concatenate, zip(*kept)))
+
+    def solved(sums: np.ndarray, reg: float) -> np.ndarray:
+        """Factors from ``(gram + reg * n * I) x = right``."""
+        matrix = np.zeros((len(sums), rank, rank))
+        matrix[:, rows, columns] = sums[:, 1 : 1 + len(rows)]
+        matrix[:, columns, rows] = matrix[:, rows, columns]
+        matrix += (reg * sums[:, 0])[:, None, None] * np.eye(rank)
+        return np.linalg.solve(matrix, sums[:, 1 + len(rows) :, None])[:, :, 0]
+
+    return merged, summed, solved
+
+
+def _shippable() -> tuple[Callable, Callable]:
+    """Matrix to column of lists and back, as functions that travel by value."""
+
+    def lists_of(matrix):
+        offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel()))
+
+    def matrix(column):
+        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+
+    return lists_of, matrix
+
+
+def _combined(partial: DataFrame, rank: int, finish: Callable | None, schema: str) -> DataFrame:
+    """Sum partial rows (id, sums) by id, in the order of the ids, and finish each sum."""
+    merged, _, _ = _core(rank)
+    lists_of, matrix = _shippable()
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, sums = batch.column(0).to_numpy(), matrix(batch.column(1))
+            if rest is not None:
+                ids, sums = np.concatenate([rest[0], ids]), np.concatenate([rest[1], sums])
+            ids, sums = merged(ids, sums)
+            rest = ids[-1:], sums[-1:]  # its sum may go on in the next batch
+            yield made(ids[:-1], sums[:-1])
+        if rest is not None:
+            yield made(*rest)
+
+    def made(ids, sums):
+        values = sums if finish is None or not len(sums) else finish(sums)
+        return pa.RecordBatch.from_arrays([pa.array(ids), lists_of(values)], ["id", "values"])
+
+    ordered = partial.repartition("id").sortWithinPartitions("id")
+    return ordered.mapInArrow(combine, schema)
 
 
 def normal_equations(
@@ -33,37 +123,147 @@ def normal_equations(
     ``factors`` (id, features) belongs to the other side of the ratings.
     """
     other = "item" if by == "user" else "user"
-    side = factors.select(
-        F.col("id").alias(other),
-        *[F.col("features")[i].cast("double").alias(f"f{i}") for i in range(rank)],
-    )
+    side = factors.select(F.col("id").alias(other), F.col("features").cast("array<double>").alias("features"))
     joined = lookup_join(ratings, side, other, hot=hot)
-    gram = [F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"a{i}_{j}") for i, j in _upper(rank)]
-    right = [F.sum(F.col("rating") * F.col(f"f{i}")).alias(f"b{i}") for i in range(rank)]
-    sums = joined.groupBy(by).agg(F.count("*").alias("n"), *gram, *right)
+    sums = _combined(_row_sums(joined, by, rank), rank, None, "id int, values array<double>")
+    pairs = rank * (rank + 1) // 2
     return sums.select(
-        F.col(by).alias("id"),
-        "n",
-        F.array(*[f"a{i}_{j}" for i, j in _upper(rank)]).alias("gram"),
-        F.array(*[f"b{i}" for i in range(rank)]).alias("right"),
+        "id",
+        F.col("values")[0].cast("bigint").alias("n"),
+        F.slice("values", 2, pairs).alias("gram"),
+        F.slice("values", 2 + pairs, rank).alias("right"),
     )
 
 
-def solve(equations: DataFrame, rank: int, reg: float) -> DataFrame:
-    """Factors (id, features) from ``(gram + reg * n * I) x = right``."""
-    rows, columns = np.triu_indices(rank)
+def _row_sums(rows: DataFrame, by: str, rank: int) -> DataFrame:
+    """Partial sums (id, sums) of rows that hold a rating and the other side's features."""
+    _, summed, _ = _core(rank)
+    lists_of, matrix = _shippable()
 
-    @F.pandas_udf(SOLUTION)
-    def solved(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for n, gram, right in parts:
-            matrix = np.zeros((len(n), rank, rank))
-            matrix[:, rows, columns] = np.stack(gram.to_numpy())
-            matrix[:, columns, rows] = matrix[:, rows, columns]
-            matrix += (reg * n.to_numpy())[:, None, None] * np.eye(rank)
-            answer = np.linalg.solve(matrix, np.stack(right.to_numpy())[:, :, None])
-            yield pd.Series(list(answer[:, :, 0]))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = ((b.column(0).to_numpy(), b.column(1).to_numpy(), matrix(b.column(2))) for b in batches if b.num_rows)
+        for ids, sums in summed(parts):
+            yield pa.RecordBatch.from_arrays([pa.array(ids), lists_of(sums)], ["id", "sums"])
 
-    return equations.select("id", solved("n", "gram", "right").alias("features"))
+    return rows.select(by, "rating", "features").mapInArrow(add, "id int, sums array<double>")
+
+
+def rating_lists(ratings: DataFrame, rank: int, seed: int) -> tuple[DataFrame, bool]:
+    """(user, split, items, ratings, features) with start factors, and whether any list is in parts."""
+    hot = hot_keys(ratings, "user", RATINGS_PER_LIST)
+    parts = hot.salt(ratings).groupBy("user", SALT)
+    lists = parts.agg(F.sort_array(F.collect_list(F.struct("item", "rating"))).alias("rated"))
+    split = F.lit(False)
+    if hot.table is not None:
+        lists = lists.join(F.broadcast(hot.table.select("user", F.lit(True).alias("split"))), "user", "left")
+        split = F.coalesce("split", F.lit(False))
+    stored = lists.select(
+        "user",
+        split.alias("split"),
+        F.col("rated.item").alias("items"),
+        F.col("rated.rating").alias("ratings"),
+        start_factors(F.col("user"), rank, seed).alias("features"),
+    )
+    return write_table(stored, "rating-lists"), hot.table is not None
+
+
+def _item_sums(lists: DataFrame, rank: int) -> DataFrame:
+    """Partial sums (id, sums) by item, from the persons' factors beside their lists."""
+    _, summed, _ = _core(rank)
+    lists_of, matrix = _shippable()
+
+    def parts(batches):
+        for batch in batches:
+            if batch.num_rows:
+                lengths = batch.column(0).value_lengths().to_numpy(zero_copy_only=False)
+                items = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+                ratings = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                vectors = matrix(batch.column(2))
+                owner = np.repeat(np.arange(batch.num_rows), lengths)
+                # A slice of a batch's ratings at a time, each with its owner's vector.
+                for low in range(0, len(items), 100_000):
+                    some = slice(low, low + 100_000)
+                    yield items[some], ratings[some], vectors[owner[some]]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sums in summed(parts(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(ids), lists_of(sums)], ["id", "sums"])
+
+    return lists.select("items", "ratings", "features").mapInArrow(add, "id int, sums array<double>")
+
+
+def _list_sums(lists: DataFrame, items: DataFrame, rank: int) -> DataFrame:
+    """The lists with the sums of their items' factors, which go to the tasks whole."""
+    _, summed, _ = _core(rank)
+    lists_of, matrix = _shippable()
+    rows = items.orderBy("id").toPandas()  # the caller measured its size
+    told = items.sparkSession.sparkContext.broadcast(
+        (rows["id"].to_numpy(), np.stack(rows["features"].to_numpy()).astype(np.float64))
+    )
+
+    def parts(batch):
+        ids, vectors = told.value
+        lengths = batch.column("items").value_lengths().to_numpy(zero_copy_only=False)
+        place = np.searchsorted(ids, batch.column("items").flatten().to_numpy(zero_copy_only=False))
+        ratings = batch.column("ratings").flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(batch.num_rows), lengths)
+        for low in range(0, len(place), 100_000):
+            some = slice(low, low + 100_000)
+            yield owner[some], ratings[some], vectors[place[some]]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = list(summed(parts(batch)))
+                total = np.zeros((batch.num_rows, found[0][1].shape[1]))
+                for owner, sums in found:
+                    total[owner] += sums
+                columns = [batch.column(n) for n in ("user", "split", "items", "ratings")]
+                yield pa.RecordBatch.from_arrays([*columns, lists_of(total)], ["user", "split", "items", "ratings", "sums"])
+
+    schema = "user int, split boolean, items array<int>, ratings array<double>, sums array<double>"
+    return lists.mapInArrow(add, schema)
+
+
+def _solver(rank: int, reg: float) -> Callable:
+    _, _, solved = _core(rank)
+    return lambda sums: solved(sums, reg)
+
+
+def _user_step(lists: DataFrame, items: DataFrame, rank: int, reg: float, any_split: bool) -> DataFrame:
+    """The lists with the persons' new factors."""
+    finish = _solver(rank, reg)
+    lists_of, matrix = _shippable()
+    factors = "id int, features array<double>"
+    known = lists.drop("features")
+    if not joins.fits_broadcast(items):
+        # More items than tasks should hold: their factors come to the ratings by a
+        # join, and the sums of a list's parts and tasks are added up.
+        rated = known.select("user", F.explode(F.arrays_zip("items", "ratings")).alias("r"))
+        rated = rated.select("user", F.col("r.items").alias("item"), F.col("r.ratings").alias("rating"))
+        joined = lookup_join(rated, items.withColumnRenamed("id", "item"), "item", broadcast_bytes=0)
+        sums = _row_sums(joined.repartition("user", F.pmod("item", F.lit(64))), "user", rank)
+        users = write_table(_combined(sums, rank, finish, factors), "user-factors")
+        return write_table(lookup_join(known, users.withColumnRenamed("id", "user"), "user"), "rating-lists")
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = lists_of(finish(matrix(batch.column("sums"))))
+                columns = [batch.column(n) for n in ("user", "split", "items", "ratings")]
+                yield pa.RecordBatch.from_arrays([*columns, values], [*names, "features"])
+
+    names = ["user", "split", "items", "ratings"]
+    summed = _list_sums(known, items, rank)
+    schema = "user int, split boolean, items array<int>, ratings array<double>, features array<double>"
+    if not any_split:
+        return write_table(summed.mapInArrow(solve, schema), "rating-lists")
+    summed = write_table(summed, "list-sums")
+    parts = summed.where("split")
+    users = _combined(parts.select(F.col("user").alias("id"), "sums"), rank, finish, factors)
+    whole = summed.where("NOT split").mapInArrow(solve, schema)
+    joined = lookup_join(parts.drop("sums"), write_table(users, "user-factors").withColumnRenamed("id", "user"), "user")
+    return write_table(whole.unionByName(joined), "rating-lists")
 
 
 def fit_by_sums(
@@ -72,40 +272,33 @@ def fit_by_sums(
     """User and item factors after ``iterations`` rounds; items go first.
 
     Each half-step's factors are written down, so a lost executor costs at most
-    that half-step. Ratings are stored by user, hot users in several parts, so
-    that summing on the map side leaves about one row per user.
+    that half-step.
     """
-    hot_users, hot_items = hot_keys(ratings, "user"), hot_keys(ratings, "item")
-    by_user = hot_users.salt(ratings).repartition("user", SALT).drop(SALT)
-    ratings = write_table(by_user, "ratings-by-user")
-    users = write_table(
-        ratings.select(F.col("user").alias("id"))
-        .distinct()
-        .withColumn("features", start_factors(F.col("id"), rank, seed)),
-        "user-factors",
-    )
+    lists, any_split = rating_lists(ratings, rank, seed)
     items = None
     for _ in range(iterations):
-        sums = normal_equations(ratings, users, "item", rank, hot_users)
-        items = write_table(solve(sums, rank, reg), "item-factors")
-        sums = normal_equations(ratings, items, "user", rank, hot_items)
-        users = write_table(solve(sums, rank, reg), "user-factors")
-    return users, items
+        sums = _item_sums(lists, rank)
+        items = write_table(
+            _combined(sums, rank, _solver(rank, reg), "id int, features array<double>"), "item-factors"
+        )
+        lists = _user_step(lists, items, rank, reg, any_split)
+    users = lists.select(F.col("user").alias("id"), "features")
+    return (users.dropDuplicates(["id"]) if any_split else users), items
 
 
 def residuals(equations: DataFrame, factors: DataFrame, rank: int, reg: float) -> DataFrame:
     """(id, residual): how far ``factors`` are from solving their equations,
     relative to the right side's length."""
-    place = {pair: k for k, pair in enumerate(_upper(rank))}
+    rows, columns = np.triu_indices(rank)
+    place = np.zeros((rank, rank), dtype=int)
+    place[rows, columns] = place[columns, rows] = np.arange(len(rows))
 
     def line(i: int):
-        terms = [
-            F.col("gram")[place[min(i, j), max(i, j)]] * F.col("features")[j].cast("double")
-            for j in range(rank)
-        ]
-        ridge = F.lit(reg) * F.col("n") * F.col("features")[i].cast("double")
-        return sum(terms, ridge) - F.col("right")[i]
+        gram = F.transform(F.array(*[F.lit(int(x)) for x in place[i]]), lambda k: F.get("gram", k))
+        products = F.zip_with(gram, F.col("features").cast("array<double>"), lambda a, b: a * b)
+        total = F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
+        return total + F.lit(reg) * F.col("n") * F.col("features")[i].cast("double") - F.col("right")[i]
 
     off = sum(F.pow(line(i), 2) for i in range(rank))
-    length = sum(F.pow(F.col("right")[i], 2) for i in range(rank))
+    length = F.aggregate("right", F.lit(0.0), lambda a, b: a + b * b)
     return equations.join(factors, "id").select("id", F.sqrt(off / length).alias("residual"))

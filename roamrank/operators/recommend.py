@@ -7,20 +7,20 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamrank.functions.expressions import run_date
-from roamrank.operators.dims import dense_id
 from roamrank.operators.joins import lookup_join
 from roamrank.operators.model import FactorModel
 from roamrank.workspace import write_table
 
-# Item vectors sent to the tasks at a time, in numbers: 16 MB of doubles, which
-# every Python worker holds. At rank 10 that is 200,000 items.
+# Item vectors in a block, in numbers: 16 MB of doubles. At rank 10 that is 200,000 items.
 CHUNK_NUMBERS = 2_000_000
+# Users scored together against a block of items.
+BUNDLE_USERS = 4096
 # Scores a task holds at a time: few enough to stay in the processor's cache.
 SCORES_IN_MEMORY = 100_000
 # Scores worth a task of its own, and the most a task should compute.
@@ -40,27 +40,36 @@ def recommend_topk(
     before ranking, so a user gets fewer than ``k`` only when fewer are left,
     and an empty array when none is.
 
-    Item vectors of a measured small number go to the tasks whole and users are
-    scored where they lie, without a shuffle. More items are taken in chunks of
-    that size, and a user's best of each chunk are merged.
+    Items are cut into blocks of ``chunk_items``, users into bundles, and each bundle
+    meets each block once, in one job. A single block, whose size is bounded, is
+    broadcast, and users are scored where they lie; of several, a user's best of each
+    are merged.
     """
     chunk = chunk_items or max(1, CHUNK_NUMBERS // model.rank)
     items = model.item_factors.select(F.col("id").alias("item"), "features")
     count = items.count()
-    users = _spread(model.user_factors.select(F.col("id").alias("user"), "features"), min(count, chunk))
-    if count <= chunk:
-        return _best_in_chunk(users, items, seen, model.rank, k)
-    places = dense_id(items, "item", "place")
-    # In the order of the places, so that a chunk is read from its own files.
-    ordered = items.join(places, "item").repartitionByRange("place").sortWithinPartitions("place")
-    numbered = write_table(ordered, "numbered-items")
-    best = None
-    for first in range(0, count, chunk):
-        part = numbered.where(F.col("place").between(first, first + chunk - 1)).drop("place")
-        # Written, so that no more than one chunk is in memory at a time.
-        found = write_table(_best_in_chunk(users, part, seen, model.rank, k), "best-of-chunk")
-        best = found if best is None else best.union(found)
-    merged = best.groupBy("user").agg(F.flatten(F.collect_list("items")).alias("items"))
+    blocks = max(1, math.ceil(count / chunk))
+    users = model.user_factors.select(F.col("id").alias("user"), F.col("features").cast("array<double>").alias("features"))
+    users = _spread(users, count)
+    if seen is None:
+        users = users.withColumn("seen", F.array().cast("array<int>"))
+    else:
+        visited = seen.groupBy("user").agg(F.collect_set("item").alias("seen"))
+        users = users.join(visited, "user", "left")
+    bundles = users.mapInArrow(_bundler(BUNDLE_USERS), "users array<int>, vectors array<double>, seen array<array<int>>")
+    cut = _blocks(items, blocks, model.rank)
+    if blocks == 1:
+        # CHUNK_NUMBERS numbers at most.
+        met = bundles.withColumn("block", F.lit(0)).join(F.broadcast(cut), "block")
+    else:
+        each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        met = bundles.withColumn("block", each).join(write_table(cut, "item-blocks"), "block")
+    found = met.select("users", "vectors", "seen", "ids", "factors").mapInArrow(
+        _scorer(model.rank, k), f"user int, items {RECOMMENDED}"
+    )
+    if blocks == 1:
+        return found
+    merged = found.groupBy("user").agg(F.flatten(F.collect_list("items")).alias("items"))
     return merged.select("user", _best_first(F.col("items"), k).alias("items"))
 
 
@@ -80,35 +89,47 @@ def _best_first(items: Column, k: int) -> Column:
     return F.transform(best, lambda x: F.struct(x["item"].alias("item"), (-x["below"]).alias("score")))
 
 
-def _best_in_chunk(
-    users: DataFrame, items: DataFrame, seen: DataFrame | None, rank: int, k: int
-) -> DataFrame:
-    spark = users.sparkSession
-    rows = items.orderBy("item").toPandas()  # the caller measured its size
-    ids = rows["item"].to_numpy(dtype=np.int64)
-    vectors = np.stack(rows["features"].to_numpy()).astype(np.float64)
-    shared = spark.sparkContext.broadcast((ids, np.ascontiguousarray(vectors.T)))
-    if seen is None:
-        users = users.withColumn("seen", F.array().cast("array<int>"))
-    else:
-        # At most as many as this chunk has items.
-        visited = lookup_join(seen.select("user", "item"), items.select("item"), "item")
-        visited = visited.groupBy("user").agg(F.collect_set("item").alias("seen"))
-        users = users.join(visited, "user", "left")
+def _blocks(items: DataFrame, blocks: int, rank: int) -> DataFrame:
+    """(block, ids, factors): item vectors of about equal shares, each share one row in the order of its ids."""
+
+    def bundle(rows):
+        rows = rows.sort_values("item")
+        vectors = np.stack(rows["features"].to_numpy()).astype(np.float64)
+        own = (int(rows["block"].iloc[0]), rows["item"].to_numpy(np.int32).tolist(), vectors.T.tobytes())
+        return pd.DataFrame([own], columns=["block", "ids", "factors"])
+
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
+    return dealt.groupBy("block").applyInPandas(bundle, "block int, ids array<int>, factors binary")
+
+
+def _bundler(size: int) -> Callable:
+    """Several users in a row; nested, so that it travels to the executors by value."""
 
-    return users.mapInArrow(_scorer(shared, rank, k), f"user int, items {RECOMMENDED}")
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def listed(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        for batch in batches:
+            for low in range(0, batch.num_rows, size):
+                part = batch.slice(low, size)
+                seen = part.column("seen")
+                if seen.null_count:
+                    seen = pa.array([x or [] for x in seen.to_pylist()], pa.list_(pa.int32()))
+                columns = [listed(part.column("user")), listed(part.column("features").flatten()), listed(seen)]
+                yield pa.RecordBatch.from_arrays(columns, ["users", "vectors", "seen"])
+
+    return bundle
 
 
-def _scorer(shared: Broadcast, rank: int, k: int) -> Callable:
-    """The task-side scoring of users against one chunk of items.
+def _scorer(rank: int, k: int) -> Callable:
+    """The task-side scoring of bundles of users against a block of items.
 
     Nested functions travel to the executors by value, so those need no copy of
     this package.
     """
 
-    def best(factors: np.ndarray, owners: np.ndarray, visited: np.ndarray) -> tuple:
+    def best(factors: np.ndarray, matrix: np.ndarray, owners: np.ndarray, visited: np.ndarray) -> tuple:
         """User, item place and score of each user's best, in that order."""
-        matrix = shared.value[1]
         scores = factors @ matrix
         scores[owners, visited] = -np.inf
         # Everything not below the k-th best, so that ties are settled by item id.
@@ -125,33 +146,34 @@ def _scorer(shared: Broadcast, rank: int, k: int) -> Callable:
         return user[keep], place[keep], value[keep]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids = shared.value[0]
-        step = max(1, SCORES_IN_MEMORY // len(item_ids))
         for batch in batches:
-            rows = batch.num_rows
-            if rows == 0:
-                continue
-            features = batch.column("features").flatten().to_numpy(zero_copy_only=False)
-            factors = features.astype(np.float64).reshape(rows, rank)
-            seen = batch.column("seen")
-            lengths = seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            owners = np.repeat(np.arange(rows), lengths)
-            visited = np.searchsorted(item_ids, seen.flatten().to_numpy(zero_copy_only=False))
-            parts = []
-            for low in range(0, rows, step):
-                high = min(low + step, rows)
-                mine = slice(ends[low], ends[high])
-                user, place, value = best(factors[low:high], owners[mine] - low, visited[mine])
-                parts.append((user + low, place, value))
-            user, place, value = (np.concatenate(column) for column in zip(*parts))
-            offsets = np.searchsorted(user, np.arange(rows + 1)).astype(np.int32)
-            found = pa.StructArray.from_arrays(
-                [pa.array(item_ids[place], pa.int32()), pa.array(value, pa.float64())],
-                ["item", "score"],
-            )
-            lists = pa.ListArray.from_arrays(pa.array(offsets), found)
-            yield pa.RecordBatch.from_arrays([batch.column("user"), lists], ["user", "items"])
+            for n in range(batch.num_rows):
+                users, vectors, seen, ids = (batch.column(c)[n].values for c in ("users", "vectors", "seen", "ids"))
+                item_ids = ids.to_numpy(zero_copy_only=False)
+                matrix = np.frombuffer(batch.column("factors")[n].as_buffer(), dtype=np.float64).reshape(rank, -1)
+                yield scored(users, vectors.to_numpy(zero_copy_only=False).reshape(-1, rank), seen, item_ids, matrix)
+
+    def scored(users, factors, seen, item_ids, matrix) -> pa.RecordBatch:
+        rows = len(users)
+        step = max(1, SCORES_IN_MEMORY // len(item_ids))
+        lengths = seen.value_lengths().to_numpy(zero_copy_only=False)
+        owners = np.repeat(np.arange(rows), lengths)
+        flat = seen.flatten().to_numpy(zero_copy_only=False)
+        visited = np.minimum(np.searchsorted(item_ids, flat), len(item_ids) - 1)
+        here = item_ids[visited] == flat  # the others are in other blocks
+        owners, visited = owners[here], visited[here]
+        parts = []
+        for low in range(0, rows, step):
+            high = min(low + step, rows)
+            mine = slice(np.searchsorted(owners, low), np.searchsorted(owners, high))
+            user, place, value = best(factors[low:high], matrix, owners[mine] - low, visited[mine])
+            parts.append((user + low, place, value))
+        user, place, value = (np.concatenate(column) for column in zip(*parts))
+        offsets = np.searchsorted(user, np.arange(rows + 1)).astype(np.int32)
+        found = pa.StructArray.from_arrays(
+            [pa.array(item_ids[place], pa.int32()), pa.array(value, pa.float64())], ["item", "score"]
+        )
+        return pa.RecordBatch.from_arrays([users, pa.ListArray.from_arrays(pa.array(offsets), found)], ["user", "items"])
 
     return score
 

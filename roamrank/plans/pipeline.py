@@ -6,15 +6,21 @@ import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roamrank import sinks
+from roamrank import sinks, store
 from roamrank.operators.dims import area_dim, reviewer_dim
 from roamrank.operators.model import AlsConfig, FactorModel, evaluate, train
 from roamrank.operators.ratings import build_ratings, holdout_split, to_trainer
 from roamrank.operators.recommend import attach_names, recommend_topk
-from roamrank.operators.visits import join_listing_area, unmatched_listings, unmatched_reviews
+from roamrank.operators.visits import (
+    join_listing_area,
+    join_reviews,
+    unmatched_listings,
+    unmatched_reviews,
+)
 from roamrank.sources import csv
-from roamrank.workspace import new_path, scratch_tables, write_table
+from roamrank.workspace import scratch_tables, write_table
 
 
 @dataclass(frozen=True)
@@ -29,7 +35,8 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Outputs:
-    """Where to write; ``rejects`` gets the malformed and the unmatched records."""
+    """Where to write; ``rejects`` gets the malformed and the unmatched
+    records, and those without a key."""
 
     model: str
     result: str
@@ -100,11 +107,17 @@ def publish(
     """
     spark = reviews.sparkSession
     with scratch_tables(spark):
-        areas_path = f"{outputs.model}/areas"
-        area_dim(areas).write.mode("overwrite").parquet(areas_path)
-        dim = spark.read.parquet(areas_path)
-        listing_area = join_listing_area(listings, dim)
+        version = store.new_version(outputs.model)
+        reviews, no_review = csv.split_null_keys(reviews, *csv.REVIEW_KEYS)
+        listings, no_listing = csv.split_null_keys(listings, *csv.LISTING_KEYS)
+        areas, no_area = csv.split_null_keys(areas, *csv.AREA_KEYS)
+        area_dim(areas).write.parquet(f"{version}/areas")
+        dim = spark.read.parquet(f"{version}/areas")
+        # Used for the ratings and the rejects, so it is joined and measured once.
+        listing_area = write_table(join_listing_area(listings, dim), "listing-area")
         if outputs.rejects:
+            for name, lost in (("reviews", no_review), ("listings", no_listing), ("areas", no_area)):
+                lost.write.mode("overwrite").parquet(f"{outputs.rejects}/null_keys_{name}")
             _write_unmatched(listings, dim, listing_area, reviews, outputs.rejects)
 
         counted = write_table(build_ratings(listing_area, reviews), "ratings")
@@ -113,10 +126,11 @@ def publish(
         if keyed.users is not None:
             ratings = write_table(ratings, "keyed-ratings")
         model = train(ratings, config)
-        model.save(outputs.model)
-        _save_users(keyed.users, spark, outputs.model)
+        model.write_to(version)
+        _save_users(keyed.users, spark, version)
+        store.point(spark, outputs.model, version)
 
-        metrics = _metrics(ratings, outputs.model, config, holdout)
+        metrics = _metrics(ratings, version, config, holdout, as_of)
         if outputs.metrics:
             sinks.write_metrics(metrics, outputs.metrics)
         named = recommend_from(
@@ -125,6 +139,37 @@ def publish(
         return Published(sinks.write_result(named, outputs.result), metrics)
 
 
+def record_balance(
+    reviews: csv.Landed, listings: csv.Landed, areas: csv.Landed
+) -> DataFrame:
+    """Where the records of each input went: (input, read, used, malformed, null_key, unmatched)."""
+    good_reviews, null_reviews = csv.split_null_keys(reviews.good, *csv.REVIEW_KEYS)
+    good_listings, null_listings = csv.split_null_keys(listings.good, *csv.LISTING_KEYS)
+    good_areas, null_areas = csv.split_null_keys(areas.good, *csv.AREA_KEYS)
+    dim = write_table(area_dim(good_areas), "areas")
+    listing_area = write_table(join_listing_area(good_listings, dim), "listing-area")
+    used_reviews = join_reviews(listing_area, csv.scan_reviews(good_reviews))
+    lost_reviews = unmatched_reviews(listing_area, csv.scan_reviews(good_reviews))
+    lost_listings = unmatched_listings(good_listings, dim)
+
+    def counted(name: str, landed: csv.Landed, used: DataFrame, null: DataFrame, lost: DataFrame | None):
+        parts = {"used": used, "malformed": landed.quarantined, "null_key": null, "unmatched": lost}
+        rows = landed.good.select(F.lit("read").alias("part")).unionByName(
+            landed.quarantined.select(F.lit("read").alias("part"))
+        )
+        for part, frame in parts.items():
+            if frame is not None:
+                rows = rows.unionByName(frame.select(F.lit(part).alias("part")))
+        count = lambda part: F.count(F.when(F.col("part") == part, 1)).alias(part)
+        return rows.agg(*[count(part) for part in ("read", *parts)]).withColumn("input", F.lit(name))
+
+    return (
+        counted("reviews", reviews, used_reviews, null_reviews, lost_reviews)
+        .unionByName(counted("listings", listings, listing_area, null_listings, lost_listings))
+        .unionByName(counted("areas", areas, good_areas, null_areas, None))
+    )
+
+
 def _write_unmatched(
     listings: DataFrame, dim: DataFrame, listing_area: DataFrame, reviews: DataFrame, path: str
 ) -> None:
@@ -136,20 +181,18 @@ def _write_unmatched(
 
 def _save_users(users: DataFrame | None, spark: SparkSession, path: str) -> None:
     if users is None:
-        # Written all the same: an earlier model at this path may have had one.
         users = spark.createDataFrame([], "reviewer_id bigint, user bigint")
-    users.write.mode("overwrite").parquet(f"{path}/users")
+    users.write.parquet(f"{path}/users")
 
 
-def _metrics(ratings: DataFrame, path: str, config: AlsConfig, holdout: bool) -> DataFrame:
-    """One row per sample, held by the driver."""
+def _metrics(ratings: DataFrame, version: str, config: AlsConfig, holdout: bool, as_of) -> DataFrame:
+    """One row per sample, held by the driver; the run's id is the name of its model's version."""
     spark = ratings.sparkSession
-    rows = evaluate(FactorModel.load(spark, path), ratings, config, "train")
+    run = (version.rpartition("/")[2], as_of)
+    rows = evaluate(FactorModel.read_from(spark, version), ratings, config, "train", *run)
     if holdout:
         fit_on, held = holdout_split(ratings, seed=config.seed)
-        aside = new_path(spark, "holdout-model")
-        train(fit_on, config).save(aside)
-        rows = rows.union(evaluate(FactorModel.load(spark, aside), held, config, "holdout"))
+        rows = rows.union(evaluate(train(fit_on, config), held, config, "holdout", *run))
     return spark.createDataFrame(rows.collect(), rows.schema)
 
 
@@ -162,9 +205,10 @@ def recommend_from(
 ) -> DataFrame:
     """Named recommendations from a model that ``publish`` stored."""
     spark = reviewers.sparkSession
-    users = spark.read.parquet(f"{path}/users")
+    version = store.current(spark, path)
+    users = spark.read.parquet(f"{version}/users")
     # Scoring is the costly part: written, it isn't repeated for the joins below.
-    best = write_table(recommend_topk(FactorModel.load(spark, path), k, seen), "best")
-    areas = spark.read.parquet(f"{path}/areas")
+    best = write_table(recommend_topk(FactorModel.read_from(spark, version), k, seen), "best")
+    areas = spark.read.parquet(f"{version}/areas")
     mapping = None if users.isEmpty() else users
     return attach_names(best, areas, reviewers, mapping, as_of)

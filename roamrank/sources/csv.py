@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,11 @@ EMPTY_FIELDS = "_empty_fields"
 # What the job needs of the wider files.
 REVIEW_COLUMNS = ["listing_id", "date", "reviewer_id", "reviewer_name"]
 LISTING_COLUMNS = ["id", "host_id", "host_name", "neighbourhood"]
+# The columns without which a record can't be used. A listing without an area is
+# among the listings that no area matches.
+REVIEW_KEYS = ["listing_id", "reviewer_id"]
+LISTING_KEYS = ["id"]
+AREA_KEYS = ["neighbourhood"]
 
 
 @dataclass(frozen=True)
@@ -55,6 +60,8 @@ def land_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
         .option("escape", '"')
+        # A header that names other columns, or in another order, is an error.
+        .option("enforceSchema", False)
         .csv(path)
     )
     # The number of empty fields depends on every column, so each gets parsed.
@@ -69,6 +76,12 @@ def land_csv(
     )
 
 
+def split_null_keys(rows: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that have all of the key columns, and those that lack one and can't be used."""
+    lacking = reduce(or_, [F.col(key).isNull() for key in keys])
+    return rows.where(~lacking), rows.where(lacking)
+
+
 def scan_reviews(reviews: DataFrame) -> DataFrame:
     return reviews.select(*REVIEW_COLUMNS)
 

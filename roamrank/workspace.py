@@ -6,7 +6,6 @@ cached or locally checkpointed DataFrame doesn't.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,27 +19,32 @@ _scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, the same on every node.
 
-    Only a local session may go without the setting; it gets a new temporary
-    folder, because there driver and executors are one process.
+    Without the setting it is a folder of the warehouse in a local session, and an
+    error elsewhere, where a warehouse may be a folder of one machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="roamrank-")
-    if not context.getCheckpointDir():
-        # ALS cuts its own lineage only when the context has a checkpoint folder.
-        context.setCheckpointDir(folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return folder
 
 
+def file_system(spark: SparkSession, path: str):
+    """A path for Hadoop, and the file system that it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
+    """A path in the shared folder that nothing else uses; gone when the session ends."""
     path = f"{shared_dir(spark).rstrip('/')}/roamrank/{name}-{uuid.uuid4().hex}"
     created = _scratch.get()
     if created is not None:
         created.append(path)
+    place, system = file_system(spark, path)
+    system.deleteOnExit(place)
     return path
 
 
@@ -64,7 +68,7 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scratch.reset(token)
-        hadoop = spark._jvm.org.apache.hadoop.fs
         for name in created:
-            path = hadoop.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            place, system = file_system(spark, name)
+            system.delete(place, True)
+            system.cancelDeleteOnExit(place)

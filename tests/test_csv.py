@@ -97,3 +97,10 @@ def test_single_line_mode_matches_on_plain_files(spark, tmp_path):
     path = str(tmp_path / "areas.csv")
     plain = csv.load_areas(spark, path, multi_line=False).good
     assert rows(plain) == rows(csv.load_areas(spark, path).good) == [("G", "Ada"), ("G", "Bea")]
+
+
+def test_a_header_of_other_columns_is_an_error(spark, tmp_path):
+    swapped = tmp_path / "areas.csv"
+    swapped.write_text("neighbourhood,neighbourhood_group\nSoho,West\n")
+    with pytest.raises(Exception, match="header"):
+        csv.load_areas(spark, str(swapped)).good.collect()

@@ -1,5 +1,7 @@
 """Both ways of joining give the same rows, skew, copies and nulls included."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,18 +59,33 @@ def test_payload(spark):
     words = spark.createDataFrame([("ab", [1.0, 2.0]), (None, None)], "w string, v array<double>")
     assert joins.payload_bytes(words) == 2 * (16 + 8 + 8) + 2 + 16
     assert joins.payload_bytes(words.limit(0)) == 0
-    with pytest.raises(TypeError):
-        joins.payload_bytes(spark.sql("SELECT map(1, 2) AS m"))
+    nested = spark.sql("SELECT map(1, 'abc') AS m, array('x', 'y') AS a, struct(1 AS n, 'z' AS t) AS s")
+    assert 3 * 32 <= joins.payload_bytes(nested) < 400
+
+
+def executed(df):
+    """The plan that ran, after what Spark changed while it ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
 
+@pytest.fixture
+def no_own_broadcasts(spark):
+    """Spark itself broadcasts nothing, so that what is asked for shows."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
-def test_plan_broadcasts_small_and_shuffles_large(spark, fact, dim, tmp_path):
-    def plan(df):
-        return df._jdf.queryExecution().executedPlan().toString()
 
+def test_plan_broadcasts_small_and_shuffles_large(spark, fact, dim, tmp_path, no_own_broadcasts):
     fact.write.parquet(str(tmp_path / "fact"))
     stored = spark.read.parquet(str(tmp_path / "fact"))
-    assert "BroadcastHashJoin" in plan(joins.lookup_join(stored, dim, "key"))
-    assert "PushedFilters: [IsNotNull(key)]" in plan(joins.lookup_join(stored, dim, "key"))
+    small = executed(joins.lookup_join(stored, dim, "key"))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    assert "PushedFilters: [IsNotNull(key)]" in small
+    large = executed(joins.lookup_join(stored, dim, "key", broadcast_bytes=0))
+    assert "SortMergeJoin" in large and "BroadcastHashJoin" not in large
 
 
 def test_hot_keys_are_found_in_part_of_the_rows(spark, monkeypatch):
@@ -80,7 +97,9 @@ def test_hot_keys_are_found_in_part_of_the_rows(spark, monkeypatch):
     assert [(row["key"], row[joins.FAN_OUT]) for row in hot.table.collect()] in ([(7, 5)], [(7, 6)])
 
 
-def test_salted_plan_hashes_everything(fact, dim):
+def test_salted_join_sorts_and_merges_by_the_salt(fact, dim, no_own_broadcasts):
     salted = joins.lookup_join(fact, dim, "key", broadcast_bytes=0, rows_per_task=50)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
+    plan = executed(salted)
+    assert re.search(rf"SortMergeJoin \[key#\d+L?, {joins.SALT}#\d+L?\]", plan)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert rows(salted) == rows(joins.lookup_join(fact, dim, "key"))

@@ -5,7 +5,8 @@ import pytest
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
-from roamrank.operators import model, normal_equations, ratings
+from roamrank.functions.expressions import start_factors
+from roamrank.operators import joins, model, normal_equations, ratings
 from roamrank.operators.model import AlsConfig, FactorModel
 from tests.conftest import rows
 
@@ -54,7 +55,7 @@ def test_sums_solver_against_numpy(spark, planted):
     data = planted.toPandas()
     start = (
         planted.select("user").distinct().orderBy("user")
-        .select(normal_equations.start_factors(F.col("user"), 3, 5).alias("f")).toPandas()
+        .select(start_factors(F.col("user"), 3, 5).alias("f")).toPandas()
     )
     users = np.stack(start["f"].to_numpy())
     assert np.allclose(np.linalg.norm(users, axis=1), 1) and (users > 0).all()
@@ -74,20 +75,33 @@ def test_sums_solver_against_numpy(spark, planted):
     assert np.allclose([got[n] for n in range(300)], users, atol=1e-8)
 
 
-def test_hot_ids_switch_solver(planted, monkeypatch):
-    config = AlsConfig(seed=1, rank=2, iterations=1)
-    assert model.train(planted, config).solver == "mllib"
-    monkeypatch.setattr(model, "MAX_RATINGS_PER_ID", 150)
-    fitted = model.train(planted, config)
-    assert fitted.solver == "sums"
-    assert model.evaluate(fitted, planted, config, "train").first()["solver"] == "sums"
+def test_lists_in_parts_and_many_items_train_the_same_model(planted, monkeypatch):
+    config = AlsConfig(seed=1, rank=3, iterations=2)
+
+    def factors():
+        fitted = model.train(planted, config)
+        sides = fitted.user_factors, fitted.item_factors
+        return [{r["id"]: r["features"] for r in side.collect()} for side in sides]
+
+    plain = factors()
+    monkeypatch.setattr(normal_equations, "RATINGS_PER_LIST", 10)
+    monkeypatch.setattr(normal_equations, "NUMBERS_AT_ONCE", 300)
+    monkeypatch.setattr(normal_equations, "NUMBERS_KEPT", 200)
+    in_parts = factors()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    joined = factors()
+    for other in (in_parts, joined):
+        for mine, theirs in zip(plain, other):
+            assert mine.keys() == theirs.keys()
+            assert all(np.allclose(mine[n], theirs[n], atol=1e-9) for n in mine)
 
 
 def test_same_seed_same_model(planted):
     config = AlsConfig(seed=9)
     once, again = (model.train(planted.repartition(n), config) for n in (2, 7))
-    assert rows(once.user_factors) == rows(again.user_factors)
-    assert rows(once.item_factors) == rows(again.item_factors)
+    for a, b in ((once.user_factors, again.user_factors), (once.item_factors, again.item_factors)):
+        b = {row["id"]: row["features"] for row in b.collect()}
+        assert all(np.allclose(row["features"], b[row["id"]], atol=1e-9) for row in a.collect())
 
 
 def test_prediction_agrees_with_mllib(planted):
@@ -136,10 +150,3 @@ def test_unknown_solver(planted):
     with pytest.raises(ValueError, match="unknown solver"):
         model.train(planted, AlsConfig(seed=1, solver="other"))
 
-
-def test_blocks_grow_with_the_ratings():
-    assert model.block_counts(model.RatingStats(1000, 25, 100, 25)) == (10, 10)
-    users, items = model.block_counts(model.RatingStats(10**10, 100_000, 10**8, 100_000))
-    assert (users, items) == (10_000, 200)
-    assert model.block_counts(model.RatingStats(10**11, 10**6, 10**8, 10**6)) == (20_000, 2000)
-    assert model.block_counts(model.RatingStats(10**10, 25, 10**9, 25)) == (10_000, 10)

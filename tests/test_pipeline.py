@@ -5,8 +5,9 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from roamrank import AlsConfig, FactorModel, Inputs, Outputs, run, workspace
+from roamrank import AlsConfig, FactorModel, Inputs, Outputs, run, store, workspace
 from roamrank.operators.dims import reviewer_dim
+from roamrank.plans import pipeline
 from roamrank.plans.pipeline import recommend_from
 from roamrank.sources import csv, schemas
 from tests.conftest import rows
@@ -19,7 +20,7 @@ def files(spark, tmp_path_factory):
     """12 areas, 60 listings, 40 people with long ids and multi-line comments."""
     base = tmp_path_factory.mktemp("raw")
     areas = "".join(f"G,Area {n:02d}\n" for n in range(12))
-    (base / "areas.csv").write_text("neighbourhood_group,neighbourhood\n" + areas)
+    (base / "areas.csv").write_text("neighbourhood_group,neighbourhood\n" + areas + "G,\n")
     listings = "".join(
         f'{n},"Flat, {n}",{n % 9},Host {n % 9},G,Area {n % 13:02d},1.5,2.5,Room,10,1,1,2019-01-01,0.1,1,1\n'
         for n in range(60)
@@ -29,7 +30,7 @@ def files(spark, tmp_path_factory):
         f'{n * 7 % 61},{n},2019-01-{n % 28 + 1:02d},{OFFSET + n % 40},Person {n % 40},"Nice,\n""really"" {n}"\n'
         for n in range(1200)
     )
-    reviews += "x,1,2019-01-01,1,Bad,none\n"
+    reviews += "x,1,2019-01-01,1,Bad,none\n" + '1,1,2019-01-01,,Nobody,"a,b"\n' * 5
     (base / "reviews.csv").write_text(",".join(schemas.REVIEWS.names) + "\n" + reviews)
     return Inputs(*(str(base / f"{name}.csv") for name in ("reviews", "listings", "areas")))
 
@@ -83,31 +84,88 @@ def test_run(spark, files, tmp_path, exclude_seen):
         "malformed_reviews": 1,
         "malformed_listings": 0,
         "malformed_areas": 0,
+        "null_keys_reviews": 5,
+        "null_keys_listings": 0,
+        "null_keys_areas": 1,
         "unmatched_listings": 4,
         "unmatched_reviews": len(lost),
     }
 
 
+def test_every_record_has_a_place(spark, files):
+    landed = [load(spark, path) for load, path in (
+        (csv.load_reviews, files.reviews), (csv.load_listings, files.listings), (csv.load_areas, files.areas))]
+    balance = {r["input"]: r for r in pipeline.record_balance(*landed).collect()}
+    for r in balance.values():
+        assert r["read"] == r["used"] + r["malformed"] + r["null_key"] + r["unmatched"]
+    assert balance["reviews"]["read"] == 1206 and balance["reviews"]["null_key"] == 5
+    assert balance["reviews"]["malformed"] == 1 and balance["listings"]["unmatched"] == 4
+    assert balance["areas"]["null_key"] == 1 and balance["areas"]["used"] == 12
+
+
+FAILING = [
+    (pipeline, "area_dim"),
+    (pipeline, "train"),
+    (pipeline, "_save_users"),
+    (FactorModel, "write_to"),
+    (store, "point"),
+]
+
+
+@pytest.mark.parametrize("owner, step", FAILING)
+def test_a_run_that_fails_leaves_the_model_as_it_was(spark, tmp_path, monkeypatch, owner, step):
+    names = [f"Area {n}" for n in range(6)]
+    people = [(1, "2019-01-01", 10 + n, f"P{n}") for n in range(8)]
+    reviews = spark.createDataFrame([(n % 6, *p[1:]) for n in range(6) for p in people],
+                                    "listing_id bigint, date string, reviewer_id bigint, reviewer_name string")
+    listings = spark.createDataFrame([(n, 1, "H", names[n]) for n in range(6)],
+                                     "id bigint, host_id bigint, host_name string, neighbourhood string")
+    outputs = Outputs(str(tmp_path / "model"), str(tmp_path / "result"))
+    config = AlsConfig(seed=1, rank=2, iterations=1)
+
+    def published(areas):
+        frame = spark.createDataFrame([("G", a) for a in areas], "neighbourhood_group string, neighbourhood string")
+        pipeline.publish(reviews, listings, frame, outputs, config, holdout=False, as_of="2019-07-01")
+
+    def recommended():
+        return rows(recommend_from(outputs.model, reviewer_dim(reviews), 3, as_of="2019-07-01"))
+
+    published(names)
+    first = recommended()
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            published(["A new first area", *names])
+    assert recommended() == first
+    # The next run that ends well counts, and older versions go.
+    published(["A new first area", *names])
+    published(["A new first area", *names])
+    assert {r[0] for r in recommended()} == {r[0] for r in first}
+    assert len([p for p in (tmp_path / "model").iterdir() if p.is_dir()]) == 2
+
+
 class FakeSession:
     """Session and context in one, as far as ``shared_dir`` looks."""
 
-    def __init__(self, master, setting=None, folder=None):
+    def __init__(self, master, setting=None, folder=None, warehouse=None):
         self.sparkContext = self.conf = self
-        self.master, self.setting, self.folder = master, setting, folder
+        self.master, self.folder = master, folder
+        self.settings = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": warehouse}
 
-    def get(self, name, default):
-        return self.setting if name == "spark.checkpoint.dir" else default
+    def get(self, name, default=None):
+        return self.settings.get(name) or default
 
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
 
 def test_shared_folder_comes_from_the_session():
     session = FakeSession("spark://somewhere:7077", setting="hdfs:///shared")
-    assert workspace.shared_dir(session) == "hdfs:///shared" == session.folder
+    assert workspace.shared_dir(session) == "hdfs:///shared" and session.folder is None
     session = FakeSession("spark://somewhere:7077", folder="hdfs:///shared/one")
     assert workspace.shared_dir(session) == "hdfs:///shared/one"
 
@@ -115,8 +173,8 @@ def test_shared_folder_comes_from_the_session():
 def test_shared_folder_where_none_is_set():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.shared_dir(FakeSession("spark://somewhere:7077"))
-    session = FakeSession("local[2]")
-    assert workspace.shared_dir(session) == session.folder
+    session = FakeSession("local[2]", warehouse="file:/w/house/")
+    assert workspace.shared_dir(session) == "file:/w/house/_scratch" and session.folder is None
 
 
 def test_scratch_tables_are_deleted(spark):

@@ -132,3 +132,18 @@ def test_sinks(spark, tmp_path):
     sinks.write_metrics(metrics, str(tmp_path / "metrics"))
     sinks.write_metrics(metrics, str(tmp_path / "metrics"))
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
+
+
+def test_one_pass_however_many_blocks(spark):
+    """More blocks of items are more rows to join, not more jobs."""
+    rng = np.random.default_rng(4)
+    users, items = ({n: rng.normal(size=3) for n in range(many)} for many in (50, 40))
+    fitted = factor_model(spark, users, items)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for n, chunk in enumerate((20, 4, 1)):
+        spark.sparkContext.setJobGroup(f"blocks-{n}", "blocks")
+        recommend.recommend_topk(fitted, 5, chunk_items=chunk).collect()
+        jobs.append(len(tracker.getJobIdsForGroup(f"blocks-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(jobs) <= min(jobs) + 2

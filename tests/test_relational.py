@@ -153,3 +153,14 @@ def test_splits_are_whole_and_disjoint(spark):
     other, _ = ratings.holdout_split(rated, seed=2)
     first, _ = ratings.holdout_split(rated, seed=1)
     assert rows(first) == rows(again) != rows(other)
+
+
+def test_split_seeds_are_independent(spark):
+    pairs = spark.range(1500).crossJoin(spark.range(25).withColumnRenamed("id", "item"))
+    rated = pairs.select(F.col("id").alias("user"), "item", F.lit(1.0).alias("rating"))
+    held = {seed: set(map(tuple, ratings.holdout_split(rated, seed=seed)[1].collect())) for seed in (1, 42, 43, 101)}
+    for a in held:
+        assert abs(len(held[a]) / 37_500 - 0.2) < 0.01
+        for b in held:
+            if a != b:
+                assert abs(len(held[a] & held[b]) / len(held[a]) - 0.2) < 0.03
