@@ -58,8 +58,9 @@ OFTEN, FREQUENT = 20, 1_000_000
 SHORT, LIST = 32, 2_000
 BLOCK, COLUMNS = 64, 1_024
 LAST = 1 << 48  # added to a frequent shingle's hash
-#: Bytes of text that are hashed at a time.
+#: Bytes of text that are hashed at a time, and shingles that are counted together.
 CHUNK = 1 << 19
+COUNTED = 2_000_000
 
 # Odd numbers: the base of the words' polynomial and its inverse modulo 2**64,
 # multipliers for the places of a shingle's words, and those of a mixing step.
@@ -200,20 +201,28 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches):
         shingler, seen = Shingler(), set()
         for batch in batches:
-            near, far = [], []
+            near, far, held = [], [], 0
             for _, hashes, starts in shingler.sets(batch.column(0)):
                 for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                     kind = class_of(hashes[a:b])
                     if a < b and kind not in seen:
                         seen.add(kind)
                         n = prefix_length(b - a)
-                        near.append(hashes[a : min(b, a + n + n // 10 + 1)])
-                        far.append(hashes[min(b, a + n + n // 10 + 1) : min(b, a + 3 * n)])
+                        end = min(b, a + n + n // 10 + 1)
+                        near.append(hashes[a:end].copy())
+                        far.append(hashes[end : min(b, a + 3 * n)].copy())
+                        held += len(near[-1]) + len(far[-1])
+                if held > COUNTED:
+                    yield counted(near, far)
+                    near, far, held = [], [], 0
             if near:
-                shingle, n = np.unique(np.concatenate(near), return_counts=True)
-                beyond, m = np.unique(np.concatenate(far), return_counts=True)
-                columns = [np.concatenate([shingle, beyond[m > 1]]), np.concatenate([n, m[m > 1]])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "n"])
+                yield counted(near, far)
+
+    def counted(near, far):
+        shingle, n = np.unique(np.concatenate(near), return_counts=True)
+        beyond, m = np.unique(np.concatenate(far), return_counts=True)
+        columns = [np.concatenate([shingle, beyond[m > 1]]), np.concatenate([n, m[m > 1]])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "n"])
 
     counts = docs.select("text").mapInArrow(count, "shingle bigint, n bigint")
     counts = counts.groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -235,9 +244,8 @@ def sets(docs: DataFrame) -> DataFrame:
     def describe(batches):
         shingler, seen = Shingler(), set()
         for batch in batches:
-            kinds, prefixes, fans = [], [], []
-            sizes: list[int] = []
-            for _, hashes, starts in shingler.sets(batch.column(2)):
+            for first, hashes, starts in shingler.sets(batch.column(2)):
+                kinds, sizes, prefixes, fans = [], [], [], []
                 at = np.minimum(np.searchsorted(often, hashes), max(len(often) - 1, 0))
                 last = often[at] == hashes if len(often) else np.zeros(len(hashes), dtype=bool)
                 for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
@@ -257,17 +265,17 @@ def sets(docs: DataFrame) -> DataFrame:
                         prefixes.append(hashes[a : a + n])
                         fan = np.ones(n, dtype=np.int64)
                     fans.append(fan.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(kinds, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array(fans, pa.list_(pa.int32())),
-                ],
-                ["doc_id", "key", "class", "n", "prefix", "fans"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, len(kinds)),
+                        batch.column(1).slice(first, len(kinds)),
+                        pa.array(kinds, pa.int64()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(prefixes, pa.list_(pa.int64())),
+                        pa.array(fans, pa.list_(pa.int32())),
+                    ],
+                    ["doc_id", "key", "class", "n", "prefix", "fans"],
+                )
 
     named = docs.select("doc_id", document_key(docs).alias("key"), "text")
     return write_table(named.mapInArrow(describe, schema), "sets")

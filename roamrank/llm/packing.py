@@ -33,8 +33,8 @@ CAPACITY = 2048
 END = 0
 #: Pieces of a length that are ranked together, about.
 BUCKET = 20_000
-#: Entries that a task's tokenizer remembers before it starts over.
-REMEMBERED = 500_000
+#: Words, and parts of words, that a task's tokenizer remembers before it starts over.
+WORDS, PARTS = 150_000, 250_000
 
 # A run of basic Latin or Latin-1 letters, then ASCII signs but the apostrophe:
 # the two parts are tokens of their own, and neither changes under NFC.
@@ -68,7 +68,7 @@ class Encoder(dict):
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            if len(self.parts) > REMEMBERED:
+            if len(self.parts) > PARTS:
                 self.parts.clear()
             spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
             ids = [t.id for t in self.model.tokenize(spelled)]
@@ -76,7 +76,7 @@ class Encoder(dict):
         return found
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > REMEMBERED:
+        if len(self) > WORDS:
             self.clear()
         m = PLAIN.fullmatch(word) if len(word) < 200 else None
         if m:

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ CUT = 0.7
 FOLDS = 3
 WORDS = re.compile(r"[^\W_]+")
 #: Words whose hashes a task remembers before it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 class Hasher:
@@ -136,7 +137,11 @@ def _hashed(batches):
 
 def _train(share: float):
     def train(batches):
-        rows = [(c, int(y)) for pdf in batches for c, y in zip(pdf["columns"], pdf["toxic"], strict=True)]
+        rows = []
+        for batch in batches:
+            flat = batch.column(2).flatten().to_numpy()
+            ends = np.cumsum(batch.column(2).value_lengths().to_numpy())
+            rows += zip(np.split(flat, ends[:-1]) if len(ends) else [], batch.column(1).to_pylist(), strict=True)
         toxic = sum(y for _, y in rows)
         if not 0 < toxic < len(rows):
             return
@@ -150,7 +155,9 @@ def _train(share: float):
         slope, shift = boosting.platt(margins, np.array([y for _, y in rows], dtype=float))
         drawn = toxic / len(rows)
         shift += float(np.log(share / (1 - share)) - np.log(drawn / (1 - drawn)))
-        yield pd.DataFrame([{"columns": columns, "weights": weights, "line": [bias, slope, shift]}])
+        yield pa.RecordBatch.from_pylist(
+            [{"columns": columns.tolist(), "weights": weights.tolist(), "line": [bias, slope, shift]}]
+        )
 
     return train
 
@@ -165,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ranked = sample.select(F.xxhash64("doc_id", F.lit(1)).alias("rank"), "toxic", "text")
     hashed = ranked.mapInPandas(_hashed, "rank bigint, toxic int, columns array<int>")
     ordered = hashed.repartition(1).sortWithinPartitions("rank", "toxic", F.hash("columns"))
-    found = ordered.mapInPandas(
+    found = ordered.mapInArrow(
         _train(share), "columns array<bigint>, weights array<double>, line array<double>"
     ).collect()
     if not found:
