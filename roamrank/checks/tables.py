@@ -56,9 +56,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
     # Orders get their names first: they are fewer than lines. With them they are
     # larger than without, so no look is needed where they were too large before.
-    limit = None if fits_broadcast(orders) else 0
-    named = lookup_join(orders, customers, "c_custkey")
-    return lookup_join(lines, named, "l_orderkey", broadcast_bytes=limit)
+    if not fits_broadcast(orders):
+        return lookup_join(lines, lookup_join(orders, customers, "c_custkey"), "l_orderkey", broadcast_bytes=0)
+    return lookup_join(lines, write_table(lookup_join(orders, customers, "c_custkey"), "orders"), "l_orderkey")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,8 @@ def listing_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_listing_area(listings(spark, sf_dir), area_dim(areas(spark, sf_dir)))
+    dim = write_table(area_dim(areas(spark, sf_dir)), "areas")
+    return write_table(join_listing_area(listings(spark, sf_dir), dim), "listing-area")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

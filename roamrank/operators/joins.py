@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from roamrank.workspace import write_table
+from roamrank.workspace import payload_bytes, write_table
 
 # A side is broadcast only after its payload was measured to be at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -21,34 +20,6 @@ SALT = "_salt"
 FAN_OUT = "_fan_out"
 
 
-def _width(field: T.StructField) -> int | Column:
-    """Bytes of one value: a number for fixed-width types, else an expression."""
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
-    if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
-        return F.coalesce(F.size(column), F.lit(0)) * 8 + 8
-    if isinstance(field.dataType, T.AtomicType):
-        return 8
-    # Nested values: their text is about as long as they are in memory, or longer.
-    return F.coalesce(F.length(F.to_json(F.struct(column))), F.lit(0)) * 2 + 32
-
-
-def payload_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` in memory, measured in one distributed pass.
-
-    Without text or array columns it is a plain count, which Parquet answers
-    from its footers.
-    """
-    widths = [_width(field) for field in df.schema.fields]
-    fixed = 16 + sum(w for w in widths if isinstance(w, int))
-    varying = [w for w in widths if not isinstance(w, int)]
-    if not varying:
-        return df.count() * fixed
-    total = F.sum(sum(varying, F.lit(fixed).cast("bigint")))
-    return df.agg(total.alias("n")).first()["n"] or 0
-
-
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Measure ``df`` against the limit; a limit of 0 says no without a look."""
     limit = BROADCAST_BYTES if limit is None else limit

@@ -14,7 +14,7 @@ from roamrank import store
 from roamrank.functions.expressions import dot, run_date
 from roamrank.operators.joins import lookup_join
 from roamrank.operators.normal_equations import fit_by_sums
-from roamrank.workspace import shared_dir
+from roamrank.workspace import shared_dir, sized
 
 # Ratings that one block of MLlib's ALS should hold, if that is the solver asked for.
 RATINGS_PER_BLOCK = 1_000_000
@@ -117,6 +117,7 @@ def predict(model: FactorModel, pairs: DataFrame) -> DataFrame:
     """Append ``prediction``; pairs with an unknown user or item are left out."""
     users = model.user_factors.select(F.col("id").alias("user"), F.col("features").alias("_user"))
     items = model.item_factors.select(F.col("id").alias("item"), F.col("features").alias("_item"))
+    items = sized(items, at_most=model.item_factors)
     known = lookup_join(lookup_join(pairs, items, "item"), users, "user")
     score = dot(F.col("_user"), F.col("_item"), model.rank)
     return known.withColumn("prediction", score).drop("_user", "_item")

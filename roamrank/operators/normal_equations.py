@@ -196,7 +196,7 @@ def _list_sums(lists: DataFrame, items: DataFrame, rank: int) -> DataFrame:
     """The lists with the sums of their items' factors, which go to the tasks whole."""
     _, summed, _ = _core(rank)
     lists_of, matrix = _shippable()
-    rows = items.orderBy("id").toPandas()  # the caller measured its size
+    rows = items.toPandas().sort_values("id")  # the caller measured its size
     told = items.sparkSession.sparkContext.broadcast(
         (rows["id"].to_numpy(), np.stack(rows["features"].to_numpy()).astype(np.float64))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamrank.operators.joins import lookup_join
+from roamrank.workspace import sized
 
 VISIT_COLUMNS = [
     "host_id",
@@ -26,24 +27,26 @@ def join_listing_area(listings: DataFrame, areas: DataFrame, **options) -> DataF
 
 def join_reviews(listing_area: DataFrame, reviews: DataFrame, **options) -> DataFrame:
     """Visits: every review with its listing's host and area."""
-    listings = listing_area.withColumnRenamed("id", "listing_id")
+    listings = sized(listing_area.withColumnRenamed("id", "listing_id"), at_most=listing_area)
     return lookup_join(reviews, listings, "listing_id", **options).select(*VISIT_COLUMNS)
 
 
 def unmatched_listings(listings: DataFrame, areas: DataFrame, **options) -> DataFrame:
     """Listings whose area is null or unknown."""
-    return lookup_join(listings, areas.select("neighbourhood"), "neighbourhood", "left_anti", **options)
+    known = sized(areas.select("neighbourhood"), at_most=areas)
+    return lookup_join(listings, known, "neighbourhood", "left_anti", **options)
 
 
 def unmatched_reviews(listing_area: DataFrame, reviews: DataFrame, **options) -> DataFrame:
     """Reviews whose listing is null or not among the joined listings."""
-    known = listing_area.select(F.col("id").alias("listing_id"))
+    known = sized(listing_area.select(F.col("id").alias("listing_id")), at_most=listing_area)
     return lookup_join(reviews, known, "listing_id", "left_anti", **options)
 
 
 def area_of_reviews(listing_area: DataFrame, reviews: DataFrame, **options) -> DataFrame:
     """(reviewer_id, neighbourhood_id) per review: all that ratings need."""
     listings = listing_area.select(F.col("id").alias("listing_id"), "neighbourhood_id")
+    listings = sized(listings, at_most=listing_area)
     visits = reviews.where(F.col("reviewer_id").isNotNull()).select("listing_id", "reviewer_id")
     return lookup_join(visits, listings, "listing_id", **options).select(
         "reviewer_id", "neighbourhood_id"

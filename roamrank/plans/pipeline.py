@@ -20,7 +20,7 @@ from roamrank.operators.visits import (
     unmatched_reviews,
 )
 from roamrank.sources import csv
-from roamrank.workspace import scratch_tables, write_table
+from roamrank.workspace import scratch_tables, sized, write_table
 
 
 @dataclass(frozen=True)
@@ -112,7 +112,7 @@ def publish(
         listings, no_listing = csv.split_null_keys(listings, *csv.LISTING_KEYS)
         areas, no_area = csv.split_null_keys(areas, *csv.AREA_KEYS)
         area_dim(areas).write.parquet(f"{version}/areas")
-        dim = spark.read.parquet(f"{version}/areas")
+        dim = sized(spark.read.parquet(f"{version}/areas"))
         # Used for the ratings and the rejects, so it is joined and measured once.
         listing_area = write_table(join_listing_area(listings, dim), "listing-area")
         if outputs.rejects:
@@ -130,7 +130,7 @@ def publish(
         _save_users(keyed.users, spark, version)
         store.point(spark, outputs.model, version)
 
-        metrics = _metrics(ratings, version, config, holdout, as_of)
+        metrics = _metrics(model, ratings, version, config, holdout, as_of)
         if outputs.metrics:
             sinks.write_metrics(metrics, outputs.metrics)
         named = recommend_from(
@@ -185,11 +185,13 @@ def _save_users(users: DataFrame | None, spark: SparkSession, path: str) -> None
     users.write.parquet(f"{path}/users")
 
 
-def _metrics(ratings: DataFrame, version: str, config: AlsConfig, holdout: bool, as_of) -> DataFrame:
+def _metrics(
+    fitted: FactorModel, ratings: DataFrame, version: str, config: AlsConfig, holdout: bool, as_of
+) -> DataFrame:
     """One row per sample, held by the driver; the run's id is the name of its model's version."""
     spark = ratings.sparkSession
     run = (version.rpartition("/")[2], as_of)
-    rows = evaluate(FactorModel.read_from(spark, version), ratings, config, "train", *run)
+    rows = evaluate(fitted, ratings, config, "train", *run)
     if holdout:
         fit_on, held = holdout_split(ratings, seed=config.seed)
         rows = rows.union(evaluate(train(fit_on, config), held, config, "holdout", *run))

@@ -11,7 +11,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
 
@@ -48,12 +50,70 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _nested(kind: T.DataType) -> bool:
+    numbers = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType)
+    return not (numbers or isinstance(kind, T.AtomicType))
+
+
+def _width(field: T.StructField) -> int | Column:
+    """Bytes of one value: a number for fixed-width types, else an expression."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(field.dataType, T.ArrayType) and not _nested(field.dataType):
+        return F.coalesce(F.size(column), F.lit(0)) * 8 + 8
+    if not _nested(field.dataType):
+        return 8
+    # Nested values: their text is about as long as they are in memory, or longer.
+    return F.coalesce(F.length(F.to_json(F.struct(column))), F.lit(0)) * 2 + 32
+
+
+def row_bytes(df: DataFrame) -> tuple[int, list[Column]]:
+    """Bytes of a row in memory: what is the same for all, and what depends on the row."""
+    widths = [_width(field) for field in df.schema.fields]
+    return 16 + sum(w for w in widths if isinstance(w, int)), [w for w in widths if not isinstance(w, int)]
+
+
+def payload_bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df`` in memory.
+
+    Known if ``write_table`` wrote it; else measured in one distributed pass, which is
+    a plain count, answered from Parquet's footers, without text or array columns.
+    """
+    known = getattr(df, "_payload_bytes", None)
+    if known is not None:
+        return known
+    fixed, varying = row_bytes(df)
+    if not varying:
+        return df.count() * fixed
+    total = F.sum(sum(varying, F.lit(fixed).cast("bigint")))
+    return df.agg(total.alias("n")).first()["n"] or 0
+
+
+def sized(df: DataFrame, at_most: DataFrame | None = None) -> DataFrame:
+    """``df``, measured once for all that ask; ``at_most`` is a table it has no more of than."""
+    measured = df if at_most is None else at_most
+    measured._payload_bytes = df._payload_bytes = payload_bytes(measured)
+    return df
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a DataFrame that reads the written files."""
+    """Write ``df`` once and return a DataFrame that reads the written files.
+
+    Its size in memory is summed up as it is written, if its columns' are simple sums.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if any(_nested(f.dataType) for f in df.schema.fields):
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    fixed, varying = row_bytes(df)
+    size = Observation()
+    total = F.sum(sum(varying, F.lit(fixed).cast("bigint")))
+    df.observe(size, total.alias("bytes")).write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._payload_bytes = size.get["bytes"] or 0
+    return stored
 
 
 @contextmanager
