@@ -55,8 +55,8 @@ PERCENT = 80
 #: How often a shingle is in a prefix to be put last, and how many such at most.
 OFTEN, FREQUENT = 20, 1_000_000
 #: A list with more entries than SHORT is compared as a whole, and in parts of LIST.
-SHORT, LIST = 32, 2_000
-BLOCK, COLUMNS = 64, 1_024
+SHORT, LIST = 32, 1_000
+BLOCK, COLUMNS = 64, 512
 LAST = 1 << 48  # added to a frequent shingle's hash
 #: Bytes of text that are hashed at a time, and shingles that are counted together.
 CHUNK = 1 << 19
@@ -426,7 +426,8 @@ def links_in_long_lists(found: Sets, entries: DataFrame, all_links: bool) -> Dat
                     yield from _links(rest, all_links)
                     rest = []
                 last = tuple(keys[a])
-                rest.append(batch.slice(a, b - a))
+                # Copied, so that a list's rows don't hold the batch they came in.
+                rest.append(batch.take(pa.array(np.arange(a, b))))
         if rest:
             yield from _links(rest, all_links)
 
@@ -463,16 +464,21 @@ def _links(parts: list[pa.RecordBatch], all_links: bool):
             if left[a] < least_overlap(2 * n[starts[a]]):
                 continue
             shared[rows, starts[a] : end] += held[rows] @ held[starts[a] : end].T
-    linked = (shared >= least_overlap(n[:, None] + n[None, :])) & np.triu(np.ones((len(n), len(n)), dtype=bool), 1)
-    linked &= kind[:, None] != kind[None, :]
-    if across:
-        linked &= own[:, None] != own[None, :]
-    if not all_links:
-        linked &= component[:, None] != component[None, :]
+    linked = np.zeros(shared.shape, dtype=bool)
+    for a in range(len(n)):
+        good = shared[a, a + 1 :] >= least_overlap(n[a] + n[a + 1 :])
+        good &= kind[a + 1 :] != kind[a]
+        if across:
+            good &= own[a + 1 :] != own[a]
+        if not all_links:
+            good &= component[a + 1 :] != component[a]
+        linked[a, a + 1 :] = good
+    del shared
+    if all_links:
+        first, second = np.nonzero(linked)
+    else:
         linked |= linked.T
         first, second = _tree(linked, component)
-    else:
-        first, second = np.nonzero(linked)
     if len(first):
         columns = [kind[first], n[first], kind[second], n[second]]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "na", "b", "nb"])
