@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roamrank.llm.batches import bound_batches
+
 PACK = 200_000
 SEGMENT = 100_000
 SEGMENT_TURNS = 256
@@ -111,6 +113,7 @@ SEGMENTS = "conv_id bigint, segment int, position bigint, key array<binary>, nod
 
 def segments(conversations: DataFrame) -> DataFrame:
     """Conversations' formatted turns with their nodes, read in order and cut into segments."""
+    bound_batches(conversations.sparkSession)
     rows = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
         "turn",

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roamrank.llm.batches import bound_batches
+
 SAMPLE_PAGES, SAMPLE_BLOCKS = 400, 100
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param keygen".split())
@@ -370,6 +372,7 @@ def main_text(html: str | None, weights: np.ndarray = PRIOR) -> str:
 
 def fit(pages: DataFrame) -> np.ndarray:
     """Weights of the classifier from a bounded sample of pages that mark their article."""
+    bound_batches(pages.sparkSession)
     ids = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES)
     # At most SAMPLE_PAGES rows of one number are broadcast.
     some = pages.select("page_id", "html").join(F.broadcast(ids), "page_id", "left_semi").select("html")
@@ -405,6 +408,7 @@ def fit(pages: DataFrame) -> np.ndarray:
 
 def text_of(html: Column, weights: np.ndarray) -> Column:
     """The main text of a column of pages."""
+    bound_batches()
 
     @F.pandas_udf("string")
     def extracted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

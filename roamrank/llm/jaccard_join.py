@@ -47,6 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from roamrank.llm.batches import bound_batches
 from roamrank.operators.joins import lookup_join
 from roamrank.workspace import write_table
 
@@ -676,6 +677,7 @@ class Join:
 
 def join(docs: DataFrame, all_links: bool = False) -> Join:
     """The links that hold the components together, or all of them."""
+    bound_batches(docs.sparkSession)
     described = sets(docs)
     lists = index(described)
     found = Sets(docs, described)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from roamrank.llm.batches import bound_batches
 from roamrank.workspace import write_table
 
 CAPACITY = 2048
@@ -96,6 +97,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
     ``tokenizer`` is the path of a word-BPE file; ``ids`` holds 32-bit little-endian ids.
     """
+    bound_batches(docs.sparkSession)
     size = 4 * capacity
 
     def cut(batches):

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roamrank.llm.batches import bound_batches
 from roamrank.llm import boosting
 
 KINDS = ("email", "ip", "card", "phone")
@@ -244,6 +245,7 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
     candidates the SAMPLE_CANDIDATES with the smallest hashes are used.
     """
     ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    bound_batches(docs.sparkSession)
     # At most SAMPLE_DOCUMENTS rows of one number are broadcast.
     some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text")
     rows = some.mapInPandas(_silver, "x array<double>, y int")
@@ -289,6 +291,7 @@ def spans(texts: list[str | None], model: Model) -> list[list[tuple[str, int, in
 
 def find(text: Column, model: Model) -> Column:
     """The spans of a text column as an array of SPANS; positions are code points, the end exclusive."""
+    bound_batches()
 
     @F.pandas_udf(SPANS)
     def found(texts: pd.Series) -> pd.Series:
@@ -300,6 +303,7 @@ def find(text: Column, model: Model) -> Column:
 
 def redact(text: Column, model: Model) -> Column:
     """The text with every span, overlapping ones merged, replaced by its kind; null stays null."""
+    bound_batches()
 
     @F.pandas_udf("string")
     def redacted(texts: pd.Series) -> pd.Series:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roamrank.llm.batches import bound_batches
 from roamrank.llm import boosting
 
 MAX_TOXIC, MAX_CLEAN = 6_000, 10_000
@@ -164,6 +165,7 @@ def _train(share: float):
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Hash the sample where it lies, then train on it in one task; its size is bounded by MAX_TOXIC and MAX_CLEAN."""
+    bound_batches(docs.sparkSession)
     sample, share = _sample(docs, labels)
     nothing = Model(np.zeros(0, dtype=np.int64), np.zeros(0), 0.0, 1.0, 0.0)
     if share is None or not 0 < share < 1:
@@ -183,6 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(text: Column, model: Model) -> Column:
     """Probability that a text is toxic."""
+    bound_batches()
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from roamrank.llm.batches import bound_batches
+
 BUNDLE = "ids binary, matrix binary, width int"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows with an id and a vector of finite components; as (vec_id, embedding)."""
+    bound_batches(vectors.sparkSession)
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vectors.select("vec_id", "embedding").where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & finite

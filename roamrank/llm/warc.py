@@ -45,6 +45,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from roamrank.llm.batches import bound_batches
 from roamrank.workspace import new_path
 
 #: What an archive row holds; a reader may ask for any of these columns.
@@ -398,6 +399,7 @@ def _base32(hexed: Column) -> Column:
 def write_pages(pages: DataFrame, path: str | None = None) -> str:
     """Write all pages to archives under ``path``, by default in the shared folder, and return the path."""
     spark = pages.sparkSession
+    bound_batches(spark)
     path = path or new_path(spark, "warc")
     spark.dataSource.register(Warc)
     page_records(pages).write.format("warc").mode("append").save(path)
