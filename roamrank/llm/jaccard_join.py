@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roamrank.llm.batches import bound_batches
+from roamrank.llm.batches import bound_batches, tidy
 from roamrank.operators.joins import lookup_join
 from roamrank.workspace import write_table
 
@@ -225,7 +225,7 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         columns = [np.concatenate([shingle, beyond[m > 1]]), np.concatenate([n, m[m > 1]])]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "shingle bigint, n bigint")
+    counts = docs.select("text").mapInArrow(tidy(count), "shingle bigint, n bigint")
     counts = counts.groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
     top = top.sort_values("shingle")
@@ -279,7 +279,7 @@ def sets(docs: DataFrame) -> DataFrame:
                 )
 
     named = docs.select("doc_id", document_key(docs).alias("key"), "text")
-    return write_table(named.mapInArrow(describe, schema), "sets")
+    return write_table(named.mapInArrow(tidy(describe), schema), "sets")
 
 
 def index(described: DataFrame) -> DataFrame:
@@ -304,7 +304,7 @@ def index(described: DataFrame) -> DataFrame:
             yield _shared(rest)
 
     columns = "shingle bigint, fan int, class bigint, n bigint, place int, part int"
-    return write_table(ordered.mapInPandas(shared, columns), "index")
+    return write_table(ordered.mapInPandas(tidy(shared), columns), "index")
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -370,7 +370,7 @@ def candidates(entries: DataFrame, all_links: bool) -> DataFrame:
         if rest is not None:
             yield from _pairs(rest, np.array([0, len(rest)]), all_links)
 
-    return _oriented(ordered.mapInPandas(pair, "a bigint, na bigint, b bigint, nb bigint"))
+    return _oriented(ordered.mapInPandas(tidy(pair), "a bigint, na bigint, b bigint, nb bigint"))
 
 
 def _pairs(pdf: pd.DataFrame, start: np.ndarray, all_links: bool):
@@ -432,7 +432,7 @@ def links_in_long_lists(found: Sets, entries: DataFrame, all_links: bool) -> Dat
         if rest:
             yield from _links(rest, all_links)
 
-    return _oriented(ordered.mapInArrow(compare, "a bigint, na bigint, b bigint, nb bigint"))
+    return _oriented(ordered.mapInArrow(tidy(compare), "a bigint, na bigint, b bigint, nb bigint"))
 
 
 def _links(parts: list[pa.RecordBatch], all_links: bool):
@@ -556,7 +556,7 @@ class Sets:
                     yield pa.RecordBatch.from_arrays(columns, ["class", "members"])
 
         some = lookup_join(named, chosen, "key", "left_semi").select("key", "text")
-        some = some.mapInArrow(shingle, "class bigint, members array<bigint>")
+        some = some.mapInArrow(tidy(shingle), "class bigint, members array<bigint>")
         return write_table(some, "members").dropDuplicates(["class"])
 
     def overlap(self, pairs: DataFrame) -> DataFrame:
@@ -651,7 +651,7 @@ def components(links: DataFrame) -> DataFrame:
         tied = [(x, root(x)) for x in list(parent)]
         yield pd.DataFrame([t for t in tied if t[0] != t[1]], columns=["u", "v"], dtype="int64")
 
-    edges = write_table(links.select("a", "b").mapInPandas(join_up, "u bigint, v bigint").distinct(), "edges")
+    edges = write_table(links.select("a", "b").mapInPandas(tidy(join_up), "u bigint, v bigint").distinct(), "edges")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from roamrank.llm.batches import bound_batches
+from roamrank.llm.batches import bound_batches, tidy
 from roamrank.workspace import write_table
 
 CAPACITY = 2048
@@ -114,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * keep_ids
-    return docs.select("doc_id", "text").mapInPandas(cut, schema)
+    return docs.select("doc_id", "text").mapInPandas(tidy(cut), schema)
 
 
 @dataclass

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamrank.llm.batches import bound_batches
+from roamrank.llm.batches import bound_batches, give_back, tidy
 from roamrank.llm import boosting
 
 MAX_TOXIC, MAX_CLEAN = 6_000, 10_000
@@ -172,10 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         nothing.shift = 40.0 if share else -40.0
         return nothing
     ranked = sample.select(F.xxhash64("doc_id", F.lit(1)).alias("rank"), "toxic", "text")
-    hashed = ranked.mapInPandas(_hashed, "rank bigint, toxic int, columns array<int>")
+    hashed = ranked.mapInPandas(tidy(_hashed), "rank bigint, toxic int, columns array<int>")
     ordered = hashed.repartition(1).sortWithinPartitions("rank", "toxic", F.hash("columns"))
     found = ordered.mapInArrow(
-        _train(share), "columns array<bigint>, weights array<double>, line array<double>"
+        tidy(_train(share)), "columns array<bigint>, weights array<double>, line array<double>"
     ).collect()
     if not found:
         nothing.shift = float(np.log(share / (1 - share)))
@@ -190,9 +190,13 @@ def score(text: Column, model: Model) -> Column:
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, hasher = model.table(), Hasher()
-        for texts in batches:
-            margins = [model.margin(hasher.columns(t), table) for t in texts]
-            yield pd.Series(model.probability(np.array(margins, dtype=float)))
+        try:
+            for texts in batches:
+                margins = [model.margin(hasher.columns(t), table) for t in texts]
+                yield pd.Series(model.probability(np.array(margins, dtype=float)))
+        finally:
+            del table, hasher
+            give_back()
 
     return scored(text)
 
