@@ -64,6 +64,9 @@ SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none""", re.I)
 NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+# What stands before an attribute, and one with its value; a quote that is never closed isn't a value.
+GAP = re.compile(r"[\s/]*")
+PAIR = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(?!["'])([^\s>]*+)|(.)))?+""", re.S)
 
 #: Prior weights: the bias, then those of ``features``, the first four of which tell of the markup.
 PRIOR = np.array([-2.0, -6.0, -6.0, 4.0, 1.5, 0.9, -3.5, 1.0, 0.3, -0.8, 0.3, 0.5, -1.0])
@@ -84,6 +87,7 @@ class Page:
         self._links = 0
         self._stack = [0]
         self._open: dict[str, int] = {}
+        self._unclosed: set[int] = set()
         self._parse(html)
         self._flush()
 
@@ -166,6 +170,32 @@ class Page:
             while self._pop() != name:
                 pass
 
+    def _tag_end(self, html: str, at: int) -> int:
+        """The sign that ends a tag whose name ends at a place: the first that is in no quoted value.
+
+        If a quote is never closed it's the first of all. Places from which that was
+        found stay known, so many such tags take no longer than one.
+        """
+        first = html.find(">", at)
+        if first < 0 or ('"' not in (tag := html[at:first]) and "'" not in tag):
+            return first
+        passed = []
+        while True:
+            at = GAP.match(html, at).end()
+            if at == len(html):
+                return -1
+            if html[at] == ">":
+                return at
+            if at in self._unclosed:
+                break
+            passed.append(at)
+            pair = PAIR.match(html, at)
+            if pair[5]:
+                break
+            at = pair.end()
+        self._unclosed.update(passed)
+        return first
+
     def _parse(self, html: str) -> None:
         at, n = 0, len(html)
         while at < n:
@@ -188,19 +218,9 @@ class Page:
                     at = lt + 1
                 continue
             self._text(html[at:lt])
-            end = html.find(">", m.end())
+            end = self._tag_end(html, m.end())
             if end < 0:
                 return  # the page breaks off in a tag
-            # A sign within quotes doesn't end the tag; quotes left open do.
-            tries, first = 0, end
-            while tries < 20 and (html.count('"', m.end(), end) % 2 or html.count("'", m.end(), end) % 2):
-                further = html.find(">", end + 1)
-                if further < 0 or further - first > 4096:
-                    end = first
-                    break
-                end, tries = further, tries + 1
-            if tries == 20:
-                end = first
             name, attributes = m[1].lower(), html[m.end() : end]
             at = end + 1
             if html[lt + 1] == "/":

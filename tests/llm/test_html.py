@@ -90,3 +90,29 @@ def test_hard_pages_take_linear_time():
     for page in ("<div>" * 20_000 + "x", "<p>word, word. <b>" * 20_000, '<a "' * 20_000, "<li>x <a href=1>y</a>" * 20_000):
         html_mincut.main_text(page)
     assert time.perf_counter() - start < 30
+
+
+def test_quotes_within_tags():
+    """A tag ends at the first sign outside its quoted values, whatever other quotes they hold."""
+    last = "First sentence. We don't stop here."
+    for tag in (
+        """<img src="d.jpg" alt="It's a dog">""",
+        """<img alt='He said "no'>""",
+        """<img alt="a > b, it's" title='"'>""",
+        "<img alt=it's>",
+        """<img ' alt="x">""",
+        """<img alt="x"title='y'/>""",
+        """<img alt = "it's">""",
+        """<img alt=>""",
+    ):
+        page = f"<p>{tag}{last}</p><p>Last one here.</p>"
+        assert html_mincut.Page(page).texts == [last, "Last one here."], tag
+    assert html_mincut.Page('<p title="never closed>Kept</p><p>And this</p>').texts == ["Kept", "And this"]
+    assert html_mincut.Page("<p>Kept</p><img alt='a>b' src").texts == ["Kept"]
+
+
+def test_open_quotes_take_linear_time():
+    start = time.perf_counter()
+    for piece in (""" b="<a b='>'\"""", """<a b=">' c='""", """<a b='" c=">"""):
+        html_mincut.Page("<a" + piece * 40_000 + ' b="')
+    assert time.perf_counter() - start < 20
