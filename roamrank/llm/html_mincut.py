@@ -49,37 +49,59 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("table ul ol dl tbody thead tfoot select html body div section article".split())
 NOT_MAIN = frozenset("nav aside footer form menu dialog button fieldset head".split())
 MAIN = frozenset(["article", "main"])
-# Words in class, id and role: of parts that are never the article, of parts that
-# are not unless the article lies inside, and of the article's own.
+# Words in class, id and role: of parts that are hardly the article, of parts that
+# are not unless the article lies inside, and of the article's own. A whole token tells
+# of a part, alone or with words that name a piece of it; has-comments doesn't.
 NEVER = re.compile(
     r"comments?|replies|disqus|ads?|adverts?|advertisements?|sponsor(?:ed|s)?|promos?|promotions?|related|recommended|newsletter|"
-    r"subscribe|signup|share|sharing|social|cookies?|consent|gdpr|popup|modal|overlay|breadcrumbs?|pagination|pager"
+    r"subscribe|signup|share|sharing|social|cookies?|consent|gdpr|popup|modal|overlay|breadcrumbs?|pagination|pager|hidden"
 )
 SELDOM = re.compile(
     r"sidebar|side|header|masthead|footer|nav|navbar|navigation|menu|menubar|banner|toolbar|widgets?|notices?|alert|"
     r"contentinfo|complementary|search|login|copyright|disclaimer"
 )
 OFTEN = re.compile(r"article|content|main|story|post|entry|body|text")
+PIECE = re.compile(
+    r"area|bar|block|bottom|box|btn|buttons?|center|container|div|global|group|icons?|inner|items?|js|left|links?|list|"
+    r"mobile|outer|page|panel|primary|right|row|secondary|section|site|slot|top|unit|wrap|wrapper|form"
+)
+OWN = re.compile(r"articles?|content|main|story|stories|posts?|entry|entries|news")  # related-posts, post-comments
 SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none""", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 # What stands before an attribute, and one with its value; a quote that is never closed isn't a value.
 GAP = re.compile(r"[\s/]*")
 PAIR = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(?!["'])([^\s>]*+)|(.)))?+""", re.S)
 
 #: Prior weights: the bias, then those of ``features``, the first four of which tell of the markup.
-PRIOR = np.array([-2.0, -6.0, -6.0, 4.0, 1.5, 0.9, -3.5, 1.0, 0.3, -0.8, 0.3, 0.5, -1.0])
+PRIOR = np.array([-2.0, -6.0, -8.0, 4.0, 1.5, 0.9, -3.5, 1.0, 0.3, -0.8, 0.3, 0.5, -1.0])
 STRUCTURE = slice(1, 5)
 SURE = 25.0
 NEAR = (1.2, 0.8, 0.5, 0.1)  # edges within a parent, its parent, a region, and across regions
 
 
+def names(value: str) -> int:
+    """What names tell: 2 if hardly the article, 1 if not unless it's inside, -1 if the article, 0 if nothing."""
+    found = set()
+    for token in value.split():
+        words = [w.lower() for w in SPLIT.findall(token)]
+        never, seldom, often, piece, own = (
+            [bool(x.fullmatch(w)) for w in words] for x in (NEVER, SELDOM, OFTEN, PIECE, OWN)
+        )
+        if any(never) and all(map(any, zip(never, seldom, piece, own))):
+            found.add(2)
+        elif any(seldom) and all(map(any, zip(seldom, piece))):
+            found.add(1)
+        elif any(often):
+            found.add(-1)
+    return max(found - {-1}, default=-1 if found else 0)
+
+
 class Page:
     """Blocks of a page and the elements they stand in."""
 
     def __init__(self, html: str) -> None:
-        self.parent, self.tag, self.own, self.holds, self.region = [-1], ["#"], [0], [False], [0]
+        self.parent, self.tag, self.own, self.named, self.holds, self.region = [-1], ["#"], [0], [0], [False], [0]
         self.texts: list[str] = []
         self.at: list[int] = []
         self.linked: list[int] = []
@@ -107,30 +129,24 @@ class Page:
                 self._links += len(text)
 
     def _push(self, name: str, attributes: str) -> None:
-        kind = 2 if name in NOT_MAIN else 0
+        kind = 2 if name in NOT_MAIN else int(name == "header")
+        named = 0
         good = name in MAIN
-        if attributes:
-            words: set[str] = set()
-            for m in ATTRIBUTE.finditer(attributes):
-                words.update(w.lower() for w in SPLIT.findall(m[2] or m[3] or m[4] or ""))
-            if words and name not in ("html", "body"):
-                if any(NEVER.fullmatch(w) for w in words) or HIDDEN.search(attributes):
-                    kind = 2
-                elif kind < 2 and any(SELDOM.fullmatch(w) for w in words) and not good:
-                    kind = 1
-                elif any(OFTEN.fullmatch(w) for w in words):
-                    kind = kind or -1
-            elif HIDDEN.search(attributes):
+        if attributes and name not in ("html", "body"):
+            of: dict[str, str] = {}
+            for m in PAIR.finditer(attributes):
+                of.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+            if "hidden" in of or UNSEEN.search(of.get("style", "")):
                 kind = 2
-        if name == "header" and kind < 2:
-            kind = 1
+            named = names(" ".join(of.get(x, "") for x in ("class", "id", "role")))
         up = self._stack[-1]
         here = len(self.tag)
         self.parent.append(up)
         self.tag.append(name)
         self.own.append(kind)
+        self.named.append(named)
         self.holds.append(False)
-        self.region.append(here if kind > 0 or good else self.region[up])
+        self.region.append(here if kind > 0 or named > 0 or good else self.region[up])
         if good or name == "h1":
             while up >= 0 and not self.holds[up]:
                 self.holds[up] = True
@@ -238,14 +254,27 @@ class Page:
         """For each element: is it, by its tag or its names, in a part that isn't the article, and in one that is."""
         many = len(self.tag)
         tag_bad, name_bad, good, often = ([False] * many for _ in range(4))
+        free = [True] * many  # no names speak against it
+        chars = [0] * many
+        main = [tag == "main" for tag in self.tag]
+        for e in range(1, many):
+            up, kind = self.parent[e], self.own[e]
+            tag_bad[e] = tag_bad[up] or kind == 2 or (kind == 1 and not self.holds[e])
+            free[e] = free[up] and self.named[e] <= 0
+        for text, e in zip(self.texts, self.at, strict=True):
+            chars[e] += 0 if tag_bad[e] else len(text)
+        for e in range(many - 1, 0, -1):
+            chars[self.parent[e]] += chars[e]
+            main[self.parent[e]] |= main[e]
+        marked = any(self.tag[e] in MAIN and free[self.parent[e]] and chars[e] for e in range(1, many))
         for e in range(1, many):
-            up, kind, tag = self.parent[e], self.own[e], self.tag[e]
-            bad = kind == 2 or (kind == 1 and not self.holds[e])
-            by_tag = bad and (tag in NOT_MAIN or tag == "header")
-            tag_bad[e] = tag_bad[up] or by_tag
-            name_bad[e] = name_bad[up] or (bad and not by_tag)
+            up, tag, named = self.parent[e], self.tag[e], self.named[e]
+            # Names say nothing of an article, of what it lies in, and of most of the text of a page that marks none.
+            bad = named > 0 and not (tag in MAIN or main[e] or (named == 1 and self.holds[e]))
+            bad = bad and (marked or 2 * chars[e] < chars[0])
+            name_bad[e] = name_bad[up] or bad
             good[e] = good[up] or tag in MAIN
-            often[e] = often[up] or kind == -1
+            often[e] = often[up] or named == -1
         return tag_bad, name_bad, good, often
 
 
@@ -349,10 +378,10 @@ def label(page: Page, weights: np.ndarray) -> list[bool]:
     """Whether each block is content, by the cheapest cut."""
     x = features(page)
     score = x @ weights
-    # What stands in a part that is never the article is boilerplate whatever its text.
-    never = (x[:, 1] > 0) | (x[:, 2] > 0)
+    # What stands in an element that is never the article is boilerplate whatever its text; names only count against it.
+    never = x[:, 1] > 0
     score[never] = -SURE
-    likely = ~never & (x[:, 6] < 0.5)
+    likely = ~never & (x[:, 2] == 0) & (x[:, 6] < 0.5)
     if likely.any() and not (score > 0).any():
         # A page of short texts alone: its own best block sets the scale.
         score[likely] += 0.5 - score[likely].max()

@@ -116,3 +116,41 @@ def test_open_quotes_take_linear_time():
     for piece in (""" b="<a b='>'\"""", """<a b=">' c='""", """<a b='" c=">"""):
         html_mincut.Page("<a" + piece * 40_000 + ' b="')
     assert time.perf_counter() - start < 20
+
+
+LONG = "A paragraph of the article, with many words in it, so that it is surely content."
+
+
+def test_names_do_not_veto_the_article():
+    text = f"<h1>Headline</h1><p>{LONG}</p><p>And {LONG}</p>"
+    other = "<nav><a href=a>Home</a></nav><footer><p>Imprint, and some words more.</p></footer>"
+    want = f"Headline\n{LONG}\nAnd {LONG}"
+    for wrapper in (
+        'article class="post category-social"',
+        'article class="promo"',
+        'main class="has-comments"',
+        'main id="comments"',
+        'div id="page" class="with-related"',
+        'div class="social"',
+        'div class="content no-sidebar"',
+        'div class="sidebar"',
+        'section title="A hidden gem" data-id="ads"',
+    ):
+        inner = text.replace("h1", "h2") if "sidebar" in wrapper else text
+        assert html_mincut.main_text(f"{other}<{wrapper}>{inner}</{wrapper.split()[0]}>{other}") == want, wrapper
+    assert html_mincut.main_text(f'<div class="with-related"><main>{text}</main></div>{other}') == want
+
+
+def test_names_still_count():
+    """Parts named so are left out, beside a marked article even if they are longer than it."""
+    article = f"<article><p>{LONG}</p></article>"
+    for name in ("comments", "post-comments", "related-posts", "shareButtons", "ad-1", "newsletter signup", "cookie-notice"):
+        assert html_mincut.main_text(f'{article}<div class="{name}"><p>{LONG}</p><p>{LONG}</p></div>') == LONG, name
+    assert html_mincut.main_text(f'<div><p>{LONG}</p><p>{LONG}</p></div><div id="comments"><p>{LONG}</p></div>') == f"{LONG}\n{LONG}"
+
+
+def test_the_text_outweighs_a_name():
+    """A long block within an article's part of such a name is content, as no name settles it alone."""
+    text = f"<h1>Headline</h1><p>{LONG}</p>"
+    page = f'<article>{text}<div class="share"><p>Share it</p></div><div class="promo"><p>{(LONG + " ") * 40}</p></div></article>'
+    assert html_mincut.main_text(page) == f"Headline\n{LONG}\n" + " ".join([LONG] * 40)
