@@ -35,7 +35,10 @@ from roamrank.llm.batches import bound_batches
 SAMPLE_PAGES, SAMPLE_BLOCKS = 400, 100
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param keygen".split())
-RAW = frozenset("script style title textarea noscript iframe template xmp noembed noframes svg math select".split())
+RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
+# Elements that aren't shown as text, if their own end tags close them; what is in one left open is judged like any text.
+UNSHOWN = frozenset("noscript template svg select annotation annotation-xml".split())
+FOREIGN = frozenset("svg math annotation annotation-xml".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
@@ -108,19 +111,34 @@ class Page:
         self._buffer: list[str] = []
         self._links = 0
         self._stack = [0]
-        self._open: dict[str, int] = {}
+        self._open: dict[str, list[int]] = {}  # the depths of the open elements of a name
         self._unclosed: set[int] = set()
+        self._inner: list[tuple[int, int, int]] = []  # unshown elements opened in the buffer: number, pieces, links before
+        self._blocks: list[tuple[list[str], int, int]] = []
+        self._before: dict[int, int] = {}  # the block that an unshown element interrupts
+        self._walls: list[int] = []  # the depths of all that are open
         self._parse(html)
         self._flush()
-
-    def _flush(self) -> None:
-        if self._buffer:
-            words = unescape("".join(self._buffer)).split()
+        for pieces, element, links in self._blocks:
+            words = unescape("".join(pieces)).split()
             if words:
                 self.texts.append(" ".join(words))
-                self.at.append(self._stack[-1] if self._stack else 0)
-                self.linked.append(self._links)
-            self._buffer, self._links = [], 0
+                self.at.append(element)
+                self.linked.append(links)
+
+    def _flush(self) -> None:
+        blocks, at = [], self._stack[-1] if self._stack else 0
+        for element, pieces, links in reversed(self._inner):
+            blocks.append((self._buffer[pieces:], at, self._links - links))
+            del self._buffer[pieces:]
+            self._links, at = links, self.parent[element]
+            self._before[element] = len(self._blocks)
+        blocks.append((self._buffer, at, self._links))
+        # Those before the last may go on, so they are kept though they hold nothing yet.
+        self._blocks += [b for b in reversed(blocks) if b[0] or self._inner]
+        for number, (element, _, _) in enumerate(self._inner):
+            self._before[element] += number
+        self._buffer, self._links, self._inner = [], 0, []
 
     def _text(self, text: str) -> None:
         if text:
@@ -151,26 +169,56 @@ class Page:
             while up >= 0 and not self.holds[up]:
                 self.holds[up] = True
                 up = self.parent[up]
+        if name in UNSHOWN:
+            self._walls.append(len(self._stack))
+            self._inner.append((here, len(self._buffer), self._links))
+        self._open.setdefault(name, []).append(len(self._stack))
         self._stack.append(here)
-        self._open[name] = self._open.get(name, 0) + 1
 
-    def _pop(self) -> str:
-        name = self.tag[self._stack.pop()]
-        self._open[name] -= 1
+    def _pop(self, closed: str = "") -> str:
+        element = self._stack.pop()
+        name = self.tag[element]
+        self._open[name].pop()
+        if name in UNSHOWN:
+            self._walls.pop()
+            pieces = links = 0
+            if self._inner and self._inner[-1][0] == element:
+                _, pieces, links = self._inner.pop()
+            if name == closed:
+                if element in self._before:
+                    self._buffer, _, self._links = self._blocks[self._before[element]]
+                    del self._blocks[self._before[element] :]
+                else:
+                    del self._buffer[pieces:]
+                    self._links = links
         return name
 
+    def _pop_inner(self, name: str) -> None:
+        """Close the last open element of a name and what is in it, unless an unshown element began within."""
+        depths = self._open[name]
+        if depths and depths[-1] > self._wall():
+            depth = depths[-1]
+            while len(self._stack) > depth:
+                self._pop()
+
+    def _wall(self) -> int:
+        return self._walls[-1] if self._walls else 0
+
     def _start(self, name: str, attributes: str) -> None:
         if name == "br":
             self._buffer.append(" ")
             return
+        if name == "select":
+            self._flush()
         if name in BLOCK:
             self._flush()
             if self._open.get("p"):  # a paragraph ends where another block begins
-                while self._pop() != "p":
-                    pass
+                self._pop_inner("p")
+            if self._open.get("option") and name not in ("optgroup", "hr"):
+                self._pop_inner("option")
             if name in CLOSES:
                 depth = len(self._stack) - 1
-                while depth > 0 and self.tag[self._stack[depth]] not in SCOPE:
+                while depth > self._wall() and self.tag[self._stack[depth]] not in SCOPE:
                     if self.tag[self._stack[depth]] in CLOSES[name]:
                         while len(self._stack) > depth:
                             self._pop()
@@ -183,7 +231,7 @@ class Page:
         if name in BLOCK:
             self._flush()
         if self._open.get(name):
-            while self._pop() != name:
+            while self._pop(name) != name:
                 pass
 
     def _tag_end(self, html: str, at: int) -> int:
@@ -241,13 +289,13 @@ class Page:
             at = end + 1
             if html[lt + 1] == "/":
                 self._end(name)
-            elif name in RAW and not attributes.endswith("/"):
-                if name in BLOCK or name in ("textarea", "select", "title"):
+            elif name in RAW and not attributes.endswith("/") and not (name == "title" and self._open.get("svg")):
+                if name in ("textarea", "title"):
                     self._flush()
                 close = re.compile(f"</{name}(?=[\\s/>])", re.I).search(html, at)
                 gt = html.find(">", close.end()) if close else -1
                 at = n if gt < 0 else gt + 1
-            else:
+            elif not (name in FOREIGN and attributes.endswith("/")):
                 self._start(name, attributes)
 
     def marks(self) -> tuple[list[bool], list[bool], list[bool], list[bool]]:

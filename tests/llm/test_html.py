@@ -154,3 +154,47 @@ def test_the_text_outweighs_a_name():
     text = f"<h1>Headline</h1><p>{LONG}</p>"
     page = f'<article>{text}<div class="share"><p>Share it</p></div><div class="promo"><p>{(LONG + " ") * 40}</p></div></article>'
     assert html_mincut.main_text(page) == f"Headline\n{LONG}\n" + " ".join([LONG] * 40)
+
+
+def test_formulas_are_text():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2 in TeX</annotation></semantics></math>"
+    page = f"<article><p>Let {formula} hold, as it is said above.</p><p>{LONG}</p></article>"
+    assert html_mincut.main_text(page) == f"Let x=2 hold, as it is said above.\n{LONG}"
+
+
+def test_what_is_not_shown_as_text():
+    """Closed elements are skipped with those within, in the middle of a sentence too."""
+    for part in (
+        "<svg><title>Icon</title><a href=x><text>Mark</text></a></svg>",
+        "<svg><g><svg><text>inner</text></svg><text>outer</text></g></svg>",
+        "<svg/>",
+        "<noscript>Switch on scripts. <b>Now</b></noscript>",
+        "<template><p>A row, and more of it.</p><p>Another</p></template>",
+        "<noscript>Now <template>x<p>A row</template> then<p>off</noscript>",
+    ):
+        page = html_mincut.Page(f"<article><p>Press {part}here, and go on.</p><p>{LONG}</p></article>")
+        assert page.texts == ["Press here, and go on.", LONG] and page.linked == [0, 0], part
+    page = html_mincut.Page("<div>Size <select><option>S<option>M</select><p>Text.</p></div>")
+    assert page.texts == ["Size", "Text."]
+
+
+def test_elements_left_open_lose_nothing():
+    rest = f"<p>{LONG}</p><p>And {LONG}</p></article><footer><p>Imprint, and some words more.</p></footer>"
+    for tag in ("svg", "math", "noscript", "template", "select", "svg><path d='M0'", "annotation"):
+        page = f"<article><p>{LONG}</p><{tag}>{rest}"
+        assert html_mincut.main_text(page) == f"{LONG}\n{LONG}\nAnd {LONG}", tag
+        assert html_mincut.main_text(f"<p>{LONG}</p><div><{tag}></div><p>And {LONG}</p>") == f"{LONG}\nAnd {LONG}", tag
+    assert html_mincut.Page(f"<p>{LONG}</p><script>x<p>{LONG}</p>").texts == [LONG]
+
+
+def test_unshown_elements_take_linear_time():
+    start = time.perf_counter()
+    for page in (
+        "<p>x<template>" * 20_000,
+        "<p><template>" + "<div>x" * 20_000,
+        "<svg>x" * 20_000 + "</svg>" * 20_000,
+        "<p>x<noscript><p>y</noscript>" * 20_000,
+        "x<noscript><p>y</noscript>" * 40_000,
+    ):
+        html_mincut.Page(page)
+    assert time.perf_counter() - start < 20
