@@ -112,3 +112,26 @@ def test_pairs_are_visited_by_summed_distance():
         taken = np.cumsum(n.ravel()[order])
         many = min(30, int(np.searchsorted(taken, enough)) + 1)
         assert sorted(np.flatnonzero(visited.ravel())) == sorted(order[:many])
+
+
+def test_recall_beside_a_vector_that_a_third_share(spark):
+    """The copies use up no more of a query's visit than one vector's answers need."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id")
+    table = table.limit(2000).toPandas()
+    matrix = np.stack(table["embedding"]).astype(float)
+    ids = table["vec_id"].to_numpy()
+    asked = np.flatnonzero(ids % 20 == 0)
+    for shared in (7, 777):
+        copies = [(int(ids.max()) // 20 * 20 + 21 + 2 * i, list(table["embedding"][shared])) for i in range(1000)]
+        rows = [(int(i), list(v)) for i, v in zip(ids, table["embedding"])] + copies
+        found = {}
+        for r in inverted_multi_index.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect():
+            found.setdefault(r["query_id"], set()).add(r["vec_id"])
+        all_ids = np.array([i for i, _ in rows])
+        everything = np.vstack([matrix, np.repeat(matrix[[shared]], len(copies), axis=0)])
+        hits = 0
+        for q in asked:
+            scores = (everything * matrix[q]).sum(axis=1)
+            scores[q] = -np.inf
+            hits += len(set(all_ids[np.lexsort((all_ids, -scores))[:20]].tolist()) & found[ids[q]])
+        assert hits / (20 * len(asked)) >= 0.9
