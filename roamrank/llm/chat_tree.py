@@ -12,8 +12,14 @@ that holds it, and for each conversation the intervals of the pack that make it
 A token may attend to what comes before it in its own conversation's intervals, which
 are those of its ancestors. Positions and intervals count code points. A pack has one
 tree and ends beyond PACK characters; a larger tree goes on in the next pack, where
-the path to its first conversation is written again. Likewise, a conversation longer than
-SEGMENT characters is a chain of segments, so no row and no task's memory grows with it.
+the path to its first conversation is written again.
+
+A conversation longer than SEGMENT characters or SEGMENT_TURNS turns is a chain of
+segments, cut where the same turns are always cut. Segments that go on from the same node
+are a tree of their own, packed like the others and shared likewise. Such a pack names
+the packs and their intervals that lead up to it, in order: the ``ancestors`` of all that it
+holds, to which its tokens attend too. A row grows with its conversation by one such
+reference a segment, no other way. A pack is named by its first conversation and segment.
 
 Turns are ordered by ``turn`` (nulls last), then role and text; null role or text counts
 as empty. Rows with a null conv_id are one conversation with that id. Repeated rows are
@@ -32,12 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamrank.llm.batches import bound_batches
+from roamrank.workspace import write_table
 
 PACK = 200_000
 SEGMENT = 100_000
 SEGMENT_TURNS = 256
-#: Nodes of a conversation's path that it is sorted by; deeper ones by the segment's last.
-PATH = 64
+#: Bytes of each node's hash that paths are sorted by; nodes are compared by all of theirs.
+ORDER = 8
 LEARN = "assistant"
 
 # The escapes. The backslash comes first when escaping.
@@ -46,8 +53,9 @@ PLAIN = {"\\\\": "\\", "\\l": "<", "\\g": ">"}
 TURN = re.compile(r"<turn ([^<>]*)>([^<>]*)</turn>\n")
 
 INTERVAL = "struct<begin:int,end:int>"
+ANCESTORS = f"array<struct<pack:string,intervals:array<{INTERVAL}>>>"
 PACKS = (
-    "text string, nodes array<struct<begin:int,end:int,position:bigint,parent:int>>, "
+    "pack string, text string, nodes array<struct<begin:int,end:int,position:bigint,parent:int>>, "
     f"conversations array<struct<conv_id:bigint,known:boolean,segment:int,intervals:array<{INTERVAL}>>>"
 )
 
@@ -82,12 +90,12 @@ class _Conversation:
 
     def __init__(self, conv_id) -> None:
         self.conv_id, self.segment, self.position = conv_id, 0, 0
-        self.key: list[bytes] | None = None
         self.last = b""
         self.clear()
 
     def clear(self) -> None:
         self.parts, self.nodes, self.chars, self.begin = [], [], 0, self.position
+        self.above = self.last  # the node that the segment goes on from, none for the first
 
     def add(self, role: str, text: str) -> None:
         self.last = _node(self.last, role, text)
@@ -100,15 +108,16 @@ class _Conversation:
         return self.chars >= SEGMENT or len(self.nodes) >= SEGMENT_TURNS
 
     def row(self) -> tuple:
-        if self.key is None:
-            self.key = [*self.nodes[:PATH], self.last]
-        out = (self.conv_id, self.segment, self.begin, self.key, self.nodes, self.parts)
+        key = self.above[:ORDER].rjust(ORDER, b"\0") + b"".join(n[:ORDER] for n in self.nodes)
+        out = (self.conv_id, self.segment, self.begin, key, self.above, self.nodes, self.parts)
         self.segment += 1
         self.clear()
         return out
 
 
-SEGMENTS = "conv_id bigint, segment int, position bigint, key array<binary>, nodes array<binary>, parts array<string>"
+SEGMENTS = (
+    "conv_id bigint, segment int, position bigint, key binary, above binary, nodes array<binary>, parts array<string>"
+)
 
 
 def segments(conversations: DataFrame) -> DataFrame:
@@ -162,10 +171,9 @@ class _Pack:
 
     def add(self, conv_id, segment: int, position: int, nodes: list[bytes], parts: list[str]) -> None:
         shared = 0
-        if segment == 0:
-            while shared < min(len(nodes), len(self.path)) and self.path[shared][0] == nodes[shared]:
-                position += len(parts[shared])
-                shared += 1
+        while shared < min(len(nodes), len(self.path)) and self.path[shared][0] == nodes[shared]:
+            position += len(parts[shared])
+            shared += 1
         self.path = self.path[:shared]
         for node, part in zip(nodes[shared:], parts[shared:], strict=True):
             parent = self.path[-1][1] if self.path else -1
@@ -193,7 +201,9 @@ class _Pack:
         )
 
     def row(self) -> tuple:
-        return ("".join(self.text), self.nodes, self.conversations)
+        first = self.conversations[0]
+        name = f"{first['conv_id'] if first['known'] else 'null'}:{first['segment']}"
+        return (name, "".join(self.text), self.nodes, self.conversations)
 
 
 def packs(conversations: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -201,27 +211,54 @@ def packs(conversations: DataFrame, partitions: int | None = None) -> DataFrame:
     cut = segments(conversations)
     spark = conversations.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The id splits a path that many conversations have in common, the segment a long conversation.
-    order = ("key", "segment", "conv_id")
+    # The node that a segment goes on from and its path are the depth-first order; the id splits a path in common.
+    order = ("key", "conv_id", "segment")
     dealt = cut.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
     def write(batches):
         pack, root = _Pack(), None
         for pdf in batches:
             out = []
-            rows = zip(_ids(pdf["conv_id"]), pdf["segment"], pdf["position"], pdf["nodes"], pdf["parts"], strict=True)
-            for conv_id, segment, position, nodes, parts in rows:
+            rows = zip(
+                _ids(pdf["conv_id"]), pdf["segment"], pdf["position"], pdf["above"], pdf["nodes"], pdf["parts"], strict=True
+            )
+            for conv_id, segment, position, above, nodes, parts in rows:
                 nodes = [bytes(n) for n in nodes]
-                if pack.conversations and (pack.size > PACK or nodes[0] != root):
+                tree = (int(segment), bytes(above) or nodes[0])
+                if pack.conversations and (pack.size > PACK or tree != root):
                     out.append(pack.row())
                     pack = _Pack()
-                root = nodes[0]
+                root = tree
                 pack.add(conv_id, int(segment), int(position), nodes, list(parts))
-            yield _frame(out, "text string, nodes string, conversations string")
+            yield _frame(out, COLUMNS)
         if pack.conversations:
-            yield _frame([pack.row()], "text string, nodes string, conversations string")
+            yield _frame([pack.row()], COLUMNS)
+
+    return _with_ancestors(write_table(dealt.mapInPandas(write, PACKS), "packs"))
+
 
-    return dealt.mapInPandas(write, PACKS)
+COLUMNS = "pack string, text string, nodes string, conversations string"
+
+
+def _with_ancestors(made: DataFrame) -> DataFrame:
+    """The packs with ``ancestors``, those of the earlier segments of the conversation that each is named by."""
+    first = F.col("conversations")[0]
+    deep = first["segment"] > 0
+    own = made.where(deep).select(
+        F.col("pack").alias("_pack"), first["known"].alias("known"), first["conv_id"].alias("conv_id"), first["segment"].alias("_deep")
+    )
+    held = made.select("pack", F.explode("conversations").alias("c")).select(
+        "pack", "c.known", "c.conv_id", "c.segment", "c.intervals"
+    )
+    met = own.join(held, ["known", "conv_id"]).where(F.col("segment") < F.col("_deep"))
+    led = met.groupBy(F.col("_pack").alias("pack")).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("segment", "pack", "intervals"))),
+            lambda x: F.struct(x["pack"].alias("pack"), x["intervals"].alias("intervals")),
+        ).alias("ancestors")
+    )
+    shallow = made.where(~deep).withColumn("ancestors", F.array().cast(ANCESTORS))
+    return shallow.unionByName(made.where(deep).join(led, "pack"))
 
 
 def unpacked(packed: DataFrame) -> DataFrame:

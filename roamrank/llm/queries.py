@@ -20,7 +20,6 @@ from roamrank.llm import (
     toxicity,
     warc,
 )
-from roamrank.workspace import write_table
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,8 +118,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(HARD).alias("text"),
     )
-    packed = write_table(chat_tree.packs(rows.unionByName(added)), "packs")
-    return chat_tree.digests(packed)
+    return chat_tree.digests(chat_tree.packs(rows.unionByName(added)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -104,3 +104,57 @@ def test_template_is_reversible(turns):
 def test_empty_table(spark, rows):
     packed = chat_tree.packs(frame(spark, rows).limit(0))
     assert packed.count() == 0 and chat_tree.digests(packed).count() == 0
+
+
+def paths(rows):
+    """Each conversation's turns as written, and all prefixes of turns."""
+    out = {}
+    for conv_id, _, role, text in sorted(rows, key=lambda r: (r[0], r[1])):
+        out[conv_id] = (*out.get(conv_id, ()), chat_tree.written(role, text))
+    return out, {p[: i + 1] for p in out.values() for i in range(len(p))}
+
+
+def turn_rows(conv_id, *texts):
+    return [(conv_id, t, "assistant" if t % 2 else "user", text) for t, text in enumerate(texts)]
+
+
+def check_trees(packed, rows):
+    """Nodes stand once, and what a token may attend to is all of its conversation up to it."""
+    whole, prefixes = paths(rows)
+    assert sum(len(p["nodes"]) for p in packed) == len(prefixes)
+    assert sum(len(p["text"]) for p in packed) == sum(len(p[-1]) for p in prefixes)
+    text_of = {p["pack"]: p["text"] for p in packed}
+    assert len(text_of) == len(packed)
+    cut = lambda text, intervals: "".join(text[i["begin"] : i["end"]] for i in intervals)
+    seen = {}
+    for p in packed:
+        before = "".join(cut(text_of[a["pack"]], a["intervals"]) for a in p["ancestors"])
+        roots = {n["position"] for n in p["nodes"] if n["parent"] < 0}
+        assert roots == {len(before)}
+        for c in p["conversations"]:
+            upto = before + cut(p["text"], c["intervals"])
+            assert "".join(whole[c["conv_id"]]).startswith(upto)
+            assert len(p["ancestors"]) == c["segment"]
+            seen[c["conv_id"]] = max(seen.get(c["conv_id"], ""), upto, key=len)
+    assert seen == {i: "".join(w) for i, w in whole.items()}
+
+
+def test_long_conversations_share_turns(spark):
+    """Two share 300 turns, of which 44 are in the second segment; two others are copies of 700."""
+    shared = [f"said {t}" for t in range(300)]
+    rows = turn_rows(1, *shared, *(f"one {t}" for t in range(400))) + turn_rows(2, *shared, *(f"two {t}" for t in range(300)))
+    rows += turn_rows(3, *(f"turn {t}" for t in range(700))) + turn_rows(4, *(f"turn {t}" for t in range(700)))
+    rows += turn_rows(5, *shared[:299]) + turn_rows(6, "short", "one")
+    rows += turn_rows(7, "x" * 150_000, "y", "z" * 150_000, "end") + turn_rows(8, "x" * 150_000, "y", "z" * 150_000, "other")
+    packed = chat_tree.packs(frame(spark, rows), partitions=1)
+    check_trees(packed.collect(), rows)
+    assert {r["conv_id"]: tuple(r)[1:] for r in chat_tree.digests(packed).collect()} == expected(rows)
+
+
+def test_deep_branches_are_in_depth_first_order(spark):
+    """Conversations that share more turns than the 64 that order was once known by."""
+    shared = [f"said {t}" for t in range(100)]
+    rows = []
+    for i in range(24):
+        rows += turn_rows(i, *shared, f"branch {i % 3}", f"twig {i % 6}", *(f"leaf {i}" for _ in range(i % 2)))
+    check_trees(chat_tree.packs(frame(spark, rows), partitions=1).collect(), rows)
