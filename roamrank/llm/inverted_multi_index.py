@@ -5,7 +5,8 @@ pair of centroids. A query visits pairs in the order of their summed distances,
 a heap yields, until the pairs visited hold enough rows; those rows are reranked by
 their exact inner product. Rows lie in lists by their first centroid, sorted by the
 second; a list with many rows, as of a vector that a third of all share, is split by
-the hash of the id.
+the hash of the id. Queries of a bundle have near first halves; a bundle meets the lists
+that its visited pairs name, and only products with rows of visited pairs are computed.
 
 The codebooks are fitted on at most SAMPLE rows, those with the smallest hashes; all
 rows are indexed. A query visits pairs with at least LEAST rows and at least the share
@@ -123,28 +124,47 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, visit: float = VISI
 
     def visits(batches):
         for pdf in batches:
-            marks = []
+            marks, asked = [], []
             for row in pdf.itertuples(index=False):
                 _, matrix = V.unbundled(row)
                 far = [-(h @ b.T) for h, b in zip(halves(matrix), books, strict=True)]
                 pairs = [traverse(far[0][q], far[1][q], counted, enough) for q in range(len(matrix))]
                 marks.append(np.packbits(np.array(pairs, dtype=bool)).tobytes())
-            yield pdf.assign(pairs=pd.Series(marks, dtype=object, index=pdf.index))
+                asked.append(lists_named(np.array(pairs, dtype=bool) & (rows_of > 0), begin))
+            more = {"pairs": marks, "asked": asked}
+            yield pdf.assign(**{n: pd.Series(x, dtype=object, index=pdf.index) for n, x in more.items()})
 
-    queries = V.query_bundles(rows, every, QUERIES)
-    probing = queries.mapInPandas(visits, f"block int, {V.BUNDLE}, pairs binary")
+    queries = V.query_bundles(placed, every, QUERIES, "first")
+    probing = queries.mapInPandas(visits, f"block int, {V.BUNDLE}, pairs binary, asked array<int>")
 
     def rerank(batches):
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 yield _answers(row, rows_of.shape, k)
 
-    found = V.meet(probing, write_table(made, "lists"), begin[-1]).mapInPandas(
+    found = V.meet(probing, write_table(made, "lists"), begin[-1], "asked").mapInPandas(
         rerank, "block int, pos int, query_id bigint, vec_id bigint, score double"
     )
     return V.best(found, k).withColumn("rank", F.col("rank").cast("int"))
 
 
+def lists_named(visited: np.ndarray, begin: list[int]) -> list[int]:
+    """The numbers of the lists in which a bundle's visited pairs that have rows lie."""
+    firsts = np.flatnonzero(visited.any(axis=(0, 2)))
+    return [number for first in firsts for number in range(begin[first], begin[first + 1])]
+
+
+def products(queries: np.ndarray, matrix: np.ndarray, second: np.ndarray, visited: np.ndarray) -> np.ndarray:
+    """Inner products of queries with the rows, sorted by ``second``, of the pairs that each visits; -inf elsewhere."""
+    close = np.full((len(queries), len(matrix)), -np.inf)
+    cells, starts = np.unique(second, return_index=True)
+    for cell, start, end in zip(cells, starts, [*starts[1:], len(second)], strict=True):
+        asking = np.flatnonzero(visited[:, cell])
+        if len(asking):
+            close[asking, start:end] = queries[asking] @ matrix[start:end].T
+    return close
+
+
 def _answers(row, shape: tuple[int, int], k: int) -> pd.DataFrame:
     """One list's nearest rows, among the pairs visited, for each query of a bundle."""
     ids, matrix = V.unbundled(row)
@@ -154,7 +174,7 @@ def _answers(row, shape: tuple[int, int], k: int) -> pd.DataFrame:
     second = np.frombuffer(row.second, dtype=np.int32)
     bits = np.unpackbits(np.frombuffer(row.q_pairs, dtype=np.uint8), count=len(query_ids) * shape[0] * shape[1])
     visited = bits.reshape(-1, *shape)[:, row.first, :].astype(bool)
-    close = queries @ matrix.T
+    close = products(queries, matrix, second, visited)
     out = []
     for q in range(len(query_ids)):
         mine = np.flatnonzero(visited[q][second] & (ids != query_ids[q]))

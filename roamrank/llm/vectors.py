@@ -59,11 +59,25 @@ def same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.pad(m, ((0, 0), (0, width - m.shape[1]))) if m.shape[1] < width else m for m in (a, b))
 
 
-def query_bundles(vectors: DataFrame, every: int, size: int) -> DataFrame:
-    """Rows whose id is divisible by ``every``, about ``size`` in a bundle; as (block, BUNDLE)."""
+def query_bundles(vectors: DataFrame, every: int, size: int, near: str | None = None) -> DataFrame:
+    """Rows whose id is divisible by ``every``, about ``size`` in a bundle; as (block, BUNDLE).
+
+    ``near`` is a column of few small numbers, none null; a bundle has rows of one or of neighbouring ones.
+    """
     queries = vectors.where(F.col("vec_id") % every == 0)
-    blocks = 1 + queries.count() // size
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).cast("int"))
+    mixed = F.xxhash64("vec_id", "embedding")
+    if near is None:
+        block = F.pmod(mixed, F.lit(1 + queries.count() // size))
+    else:
+        counts = {r[near]: r["count"] for r in queries.groupBy(near).count().collect()}
+        begin, begins, many = 0, [], []
+        for number in range(max(counts, default=0) + 1):
+            begins.append(begin)
+            many.append(counts.get(number, 0))
+            begin += many[-1]
+        told = [F.get(F.array(*[F.lit(x).cast("bigint") for x in xs]), F.col(near)) for xs in (begins, many)]
+        block = F.floor((told[0] + F.pmod(mixed, told[1])) / size)
+    dealt = queries.withColumn("block", block.cast("int"))
 
     def bundle(pdf):
         pdf = pdf.sort_values("vec_id")
@@ -73,15 +87,15 @@ def query_bundles(vectors: DataFrame, every: int, size: int) -> DataFrame:
     return dealt.groupBy("block").applyInPandas(bundle, f"block int, {BUNDLE}")
 
 
-def meet(queries: DataFrame, lists: DataFrame, n_lists: int) -> DataFrame:
-    """Every bundle of queries beside every list of vectors, by the list's number.
+def meet(queries: DataFrame, lists: DataFrame, n_lists: int, asked: str | None = None) -> DataFrame:
+    """Every bundle of queries beside every list of vectors, or those whose numbers ``asked`` holds.
 
     The queries are the smaller side and are repeated for each list; neither side
     is collected or broadcast, and a row is one pair of bundles.
     """
-    told = [F.col(c).alias(f"q_{c}") for c in queries.columns]
-    each = queries.select(F.explode(F.sequence(F.lit(0), F.lit(max(n_lists - 1, 0)))).alias("list"), *told)
-    return each.join(lists, "list")
+    told = [F.col(c).alias(f"q_{c}") for c in queries.columns if c != asked]
+    numbers = F.col(asked) if asked else F.sequence(F.lit(0), F.lit(max(n_lists - 1, 0)))
+    return queries.select(F.explode(numbers).alias("list"), *told).join(lists, "list")
 
 
 def best(found: DataFrame, k: int) -> DataFrame:

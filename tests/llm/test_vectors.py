@@ -135,3 +135,37 @@ def test_recall_beside_a_vector_that_a_third_share(spark):
             scores[q] = -np.inf
             hits += len(set(all_ids[np.lexsort((all_ids, -scores))[:20]].tolist()) & found[ids[q]])
         assert hits / (20 * len(asked)) >= 0.9
+
+
+def test_only_visited_pairs_are_multiplied():
+    rng = np.random.default_rng(5)
+    queries_, matrix, second = rng.random((7, 4)), rng.random((50, 4)), np.sort(rng.integers(0, 6, 50))
+    visited = rng.random((7, 6)) < 0.4
+    close = inverted_multi_index.products(queries_, matrix, second, visited)
+    asked = visited[:, second]
+    assert np.all(np.isneginf(close) == ~asked) and np.allclose(close[asked], (queries_ @ matrix.T)[asked])
+    pairs = np.zeros((2, 4, 3), dtype=bool)
+    pairs[0, 1, 2] = pairs[1, 3, 0] = True
+    assert inverted_multi_index.lists_named(pairs, [0, 2, 5, 6, 8]) == [2, 3, 4, 6, 7]
+
+
+def test_bundles_meet_the_lists_they_visit(spark, monkeypatch):
+    """Vectors in far clusters: each bundle needs few of the lists."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 1, (16, 8))
+    centres *= 10 / np.linalg.norm(centres, axis=1, keepdims=True)
+    rows = [(i, (centres[i % 16] + rng.normal(0, 0.1, 8)).tolist()) for i in range(3200)]
+    for name, value in (("QUERIES", 10), ("LEAST", 100)):
+        monkeypatch.setattr(inverted_multi_index, name, value)
+    counts, meet = [], inverted_multi_index.V.meet
+
+    def counted(*given):
+        pairs = meet(*given)
+        counts.extend([pairs.count(), given[0].count(), given[1].count()])
+        return pairs
+
+    monkeypatch.setattr(inverted_multi_index.V, "meet", counted)
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = inverted_multi_index.search(table, every=25, visit=0.01).collect()
+    assert counts[0] * 2 < counts[1] * counts[2]
+    assert len(found) == 128 * 20 and all(r["vec_id"] % 16 == r["query_id"] % 16 for r in found)
