@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
 Parquet and hands what it reads back to the next. All but the last return the columns
 of the documents. Nulls, empty tables and repeated rows are as in the operators; other
-columns pass through up to the packing.
+columns pass through up to the packing. Documents without words (null, empty or white
+space only) end at the mixing stage: they have no share of the mix and no place in it.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def personal_data_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def sources_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source's share of the mix in training order; a document taken twice is two rows."""
+    """Each source's share of the mix in training order; a document taken twice is two rows, one without words none."""
     return mixing.training_rows(docs)
 
 

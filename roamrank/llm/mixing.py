@@ -10,7 +10,9 @@ a share of the target, are put into the inverse of the integral, which is the co
 training position. Sorting by position gives the training order.
 
 The last copy within a target may be taken in part, so that every source has its target
-to the word (``whole=False``), or goes in whole if at least half of it does.
+to the word (``whole=False``), or goes in whole if at least half of it does, which is the
+smaller error. The first document with words of a source with a target always goes in,
+so none vanishes.
 
 A word is a run of characters other than ASCII white space; null or empty text has
 none, and such a document is taken with no words and no place. A null source is one
@@ -128,7 +130,8 @@ def mix(
         start = F.col("_begin") + turn * F.col("source_size")
         words = F.greatest(F.lit(0), F.least(F.col("size"), budget - start))
         if whole:
-            words = F.when(words * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0))
+            first = (start == 0) & (F.col("target") > 0)
+            words = F.when((words * 2 >= F.col("size")) | first, F.col("size")).otherwise(F.lit(0))
         at = position(F.least(F.lit(1.0), start / F.col("target")), F.col("slope"))
         return F.struct(at.alias("position"), words.cast("bigint").alias("words"))
 

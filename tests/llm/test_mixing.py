@@ -84,3 +84,18 @@ def test_awkward_rows(spark):
     assert set(docs.columns) <= set(mixed[0].asDict())
     assert mixing.mix(docs.limit(0)).count() == 0
     assert mixing.in_order(mixing.mix(docs.where("doc_id = 2"))).first()["target"] == 0
+
+
+def test_no_source_with_a_target_vanishes(spark):
+    """A source that is one document far longer than its target keeps it, and so does one of a tiny target."""
+    rows = [(i, "a", "word " * 10) for i in range(100)] + [(200, "b", "long " * 1000), (300, "c", "none " * 10)]
+    rows += [(201, "b", None), (202, "b", " \t"), (101, "a", "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    options = {"weights": (100, 1, 0.000001), "slopes": (0.0, 0.0, 0.0), "share": 0.5}
+    taken = mixing.training_rows(docs, **options).collect()
+    assert [r["doc_id"] for r in taken if r["source"] == "b"] == [200]
+    assert [r["doc_id"] for r in taken if r["source"] == "c"] == [300]
+    assert all(r["text"].split() for r in taken)
+    target = {r["source"]: r["target"] for r in mixing.mix(docs, whole=True, **options).collect()}
+    words = sum(len(r["text"].split()) for r in taken if r["source"] == "a")
+    assert abs(words - target["a"]) <= 5
