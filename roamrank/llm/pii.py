@@ -88,7 +88,8 @@ def _emails(text: str) -> list[tuple[int, int]]:
 def strict(kind: str, piece: str) -> bool:
     digits = re.sub("[^0-9]", "", piece)
     if kind == "ip":
-        return all(len(x) < 40 and int(x) <= 255 for x in piece.split("."))
+        values = [x.strip().lstrip("0") for x in piece.split(".")]
+        return all(len(x) <= 3 and int(x or "0") <= 255 for x in values)
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits)
     return kind == "email" or 10 <= len(digits) <= 15

@@ -101,3 +101,12 @@ def test_trees_and_calibration():
     p = 1 / (1 + np.exp(-(slope * margin + shift)))
     cut = boosting.threshold(p, y[400:], 0.98)
     assert y[400:][p >= cut].mean() >= 0.98
+
+
+def test_parts_of_an_ip_count_by_their_value():
+    for zeros in (2, 39, 60, 5000):
+        text = f"at {'0' * zeros}1.2.{'0' * zeros}.255 now"
+        assert ("ip", 3, len(text) - 4) in pii.base_spans(text), zeros
+        assert not any(kind == "ip" for kind, *_ in pii.base_spans(f"at {'0' * zeros}256.2.3.4")), zeros
+    assert pii.strict("ip", "255 . 01.0. 7") and not pii.strict("ip", "1 .2.3. 256")
+    assert ("ip", 0, 7) in pii.base_spans("0.0.0.0") and pii.base_spans("1000.1.1.1") == []
