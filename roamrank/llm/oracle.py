@@ -105,4 +105,30 @@ ORACLE: dict[str, str] = {
             CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op11_fim": r"""
+        WITH own AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+                sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT *, len(lines) AS n,
+                CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(lines) + 1) AS x,
+                CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(lines) + 1) AS y,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                    WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM own
+        ), cut AS (
+            SELECT doc_id, n, form, text, array_to_string(lines[: least(x, y)], '') AS prefix,
+                array_to_string(lines[least(x, y) + 1 : greatest(x, y)], '') AS middle,
+                array_to_string(lines[greatest(x, y) + 1 :], '') AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+            sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM cut
+    """,
 }

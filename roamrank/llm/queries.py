@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from roamrank.llm import (
     chat_tree,
+    fill_middle,
     html_mincut,
     inverted_multi_index,
     jaccard_join,
@@ -121,6 +122,16 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tree.digests(chat_tree.packs(rows.unionByName(added)))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with prefix, middle and suffix reordered, and its text rebuilt from that."""
+    made = fill_middle.transform(read(spark, sf_dir, "documents"))
+    digests = {
+        "output_sha256": F.sha2(F.col("output").cast("binary"), 256),
+        "restored_sha256": F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256),
+    }
+    return made.withColumns(digests).drop("output")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
@@ -132,4 +143,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_jaccard": op9_jaccard,
     "op10_chat": op10_chat,
+    "op11_fim": op11_fim,
 }
