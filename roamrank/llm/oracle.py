@@ -131,4 +131,50 @@ ORACLE: dict[str, str] = {
             sha256(text) AS restored_sha256
         FROM cut
     """,
+    "op12_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), listed AS (
+            SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), words AS MATERIALIZED (
+            SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS place FROM listed
+        ), runs AS MATERIALIZED (
+            SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4,
+                lead(w1, 4) OVER p AS w5
+            FROM words WINDOW p AS (PARTITION BY lang, piece ORDER BY place)
+        ), f AS MATERIALIZED (
+            SELECT lang, w, count(*) AS a FROM (
+                SELECT lang, [w1] AS w FROM runs
+                UNION ALL SELECT lang, [w1, w2] FROM runs WHERE w2 IS NOT NULL
+                UNION ALL SELECT lang, [w1, w2, w3] FROM runs WHERE w3 IS NOT NULL
+                UNION ALL SELECT lang, [w1, w2, w3, w4] FROM runs WHERE w4 IS NOT NULL
+                UNION ALL SELECT lang, [w1, w2, w3, w4, w5] FROM runs WHERE w5 IS NOT NULL)
+            GROUP BY lang, w HAVING count(*) >= 100
+        ), n AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+        candidates AS MATERIALIZED (SELECT * FROM f WHERE len(w) > 1),
+        spans AS (
+            SELECT lang, a AS longer, w[i : j] AS w
+            FROM (SELECT lang, w, a, i, unnest(range(i + 1, len(w) + 1)) AS j
+                FROM (SELECT lang, w, a, unnest(range(1, len(w))) AS i FROM candidates))
+            WHERE j - i + 1 < len(w)
+        ), kept AS (
+            SELECT lang, w, a FROM candidates
+            ANTI JOIN (SELECT lang, w, max(longer) AS longer FROM spans GROUP BY lang, w) s
+            ON s.lang = candidates.lang AND s.w = candidates.w AND 100 * s.longer >= 100 * candidates.a
+        ), cuts AS (SELECT lang, w, a, unnest(range(1, len(w))) AS k FROM kept),
+        scored AS (
+            SELECT c.lang, c.w, c.a, k, x.a AS l, y.a AS r, n,
+                CAST(1000::HUGEINT * c.a * n // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+            FROM cuts c JOIN n ON n.lang = c.lang
+            JOIN f x ON x.lang = c.lang AND x.w = c.w[1 : k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1 :]
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank,
+            array_to_string(w, ' ') AS phrase, a, l, r, n, score
+        FROM best QUALIFY rank <= 2000
+    """,
 }

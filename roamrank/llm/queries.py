@@ -16,6 +16,7 @@ from roamrank.llm import (
     jaccard_join,
     mixing,
     packing,
+    phrase_mining,
     pii,
     topk_blocks,
     toxicity,
@@ -132,6 +133,11 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumns(digests).drop("output")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's phrases that occur most above what their parts suggest."""
+    return phrase_mining.mine(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
@@ -144,4 +150,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard": op9_jaccard,
     "op10_chat": op10_chat,
     "op11_fim": op11_fim,
+    "op12_phrases": op12_phrases,
 }
