@@ -177,4 +177,32 @@ ORACLE: dict[str, str] = {
             array_to_string(w, ' ') AS phrase, a, l, r, n, score
         FROM best QUALIFY rank <= 2000
     """,
+    "op13_repeats": r"""
+        WITH listed AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), words AS MATERIALIZED (
+            SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM listed
+        ), windows AS MATERIALIZED (
+            SELECT r, place, string_agg(word, ' ') OVER run AS words, count(*) OVER run AS n
+            FROM words
+            WINDOW run AS (PARTITION BY r ORDER BY place ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+        ), found AS (
+            SELECT md5(words) AS words FROM windows WHERE n = 35 GROUP BY md5(words) HAVING count(*) > 1
+        ), marked AS (
+            SELECT r, place, CASE WHEN n = 35 AND md5(words) IN (SELECT words FROM found) THEN 1 ELSE 0 END AS repeated
+            FROM windows
+        ), covered AS (
+            SELECT r, place, max(repeated) OVER (
+                PARTITION BY r ORDER BY place ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+            FROM marked
+        ), kept AS (
+            SELECT r, CAST(sum(gone) AS BIGINT) AS n_removed,
+                string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone = 0) AS kept
+            FROM covered JOIN words USING (r, place) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM listed LEFT JOIN kept USING (r)
+    """,
 }

@@ -18,6 +18,7 @@ from roamrank.llm import (
     packing,
     phrase_mining,
     pii,
+    super_kmers,
     topk_blocks,
     toxicity,
     warc,
@@ -138,6 +139,12 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.mine(read(spark, sf_dir, "documents"))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 35 words and more that also stand elsewhere."""
+    kept = super_kmers.without_repeats(read(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
@@ -151,4 +158,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "op11_fim": op11_fim,
     "op12_phrases": op12_phrases,
+    "op13_repeats": op13_repeats,
 }
