@@ -317,8 +317,10 @@ def mine(
     if not scored:
         scored = [_scored(levels[0].limit(0), 2, None, totals, covered_percent)]
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = reduce(DataFrame.unionByName, scored).withColumn("rank", F.row_number().over(best).cast("bigint"))
-    return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranked = reduce(DataFrame.unionByName, scored).withColumn("rank", F.row_number().over(best))
+    # The uncast number, so that Spark limits each task's rows before they are shuffled.
+    ranked = ranked.where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("bigint"))
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def _scored(
