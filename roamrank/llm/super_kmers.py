@@ -8,8 +8,7 @@ windows of a minimiser are sorted as they are, word for word, and counted.
 
 Of texts that are there several times one goes to the buckets, with the weight of two.
 A minimiser with more than ``HOT`` super-k-mers isn't put into one bucket: each of its
-windows travels alone, as a 128-bit digest; digests are counted with partial counts on
-the map side, and the places of repeated ones are found by a join that spreads hot ones.
+windows travels alone, as a 128-bit digest, after each task has counted its own.
 
 Null text counts as no words. Rows with one id and different texts are judged apart, as
 texts are known by their SHA-256; repeated rows repeat each other. Texts shorter than
@@ -43,6 +42,8 @@ HOT = 5_000
 #: About this many bytes of super-k-mers go to a task, of about so many bytes each.
 TASK_BYTES = 64 << 20
 SUPER_KMER_BYTES = 400
+#: Windows that a task looks at together, if their minimisers are hot.
+AT_ONCE = 400_000
 #: Texts with copies that a task remembers to have sent.
 SENT = 100_000
 
@@ -226,25 +227,61 @@ def repeated_in_buckets(packed: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_one_by_one(packed: DataFrame, window: int) -> DataFrame:
-    """The same for super-k-mers of hot minimisers, by their windows' digests."""
+    """The same for super-k-mers of hot minimisers, by their windows' digests.
+
+    What a task has twice is decided there, and one mark of it goes on; the rest is
+    dealt by digest, so a window is there once for each ``AT_ONCE`` of a task at most.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[bytes, tuple | None] = {}
+        out: list[tuple] = []
         for batch in batches:
-            keys, firsts, weights, packs = (batch.column(c).to_pylist() for c in ("key", "first", "weight", "packed"))
-            out = []
-            for key, first, weight, pack in zip(keys, firsts, weights, packs):
+            for key, first, weight, pack in zip(*(batch.column(c).to_pylist() for c in ("key", "first", "weight", "packed"))):
                 begin, end = _edges(pack)
                 for t in range(len(begin) - window + 1):
-                    out.append((xxhash.xxh3_128_digest(pack[begin[t] : end[t + window - 1]]), key, first + t, weight))
-            digests, owners, places, counts = zip(*out) if out else ((), (), (), ())
-            columns = [pa.array(digests, pa.binary()), pa.array(owners, pa.binary())]
-            columns += [pa.array(places, pa.int32()), pa.array(counts, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["digest", "key", "low", "weight"])
-
-    windows = packed.mapInArrow(tidy(split), "digest binary, key binary, low int, weight int")
-    windows = write_table(windows, "hot-windows")
-    repeated = windows.groupBy("digest").agg(F.sum("weight").alias("n")).where("n > 1").select("digest")
-    found = lookup_join(windows.where("weight = 1"), write_table(repeated, "repeated-windows"), "digest", "left_semi")
+                    digest = xxhash.xxh3_128_digest(pack[begin[t] : end[t + window - 1]])
+                    if digest not in kept:
+                        kept[digest] = (key, first + t) if weight == 1 else None
+                        continue
+                    before = kept[digest]
+                    if before:
+                        out.append((None, *before))
+                        kept[digest] = None
+                    if weight == 1:
+                        out.append((None, key, first + t))
+                if len(out) > AT_ONCE // 8:
+                    yield listed(out)
+                    out = []
+                if len(kept) > AT_ONCE:
+                    yield listed([(digest, *(place or (None, None))) for digest, place in kept.items()])
+                    kept = {}
+        yield listed(out)
+        yield listed([(digest, *(place or (None, None))) for digest, place in kept.items()])
+
+    def listed(rows: list[tuple]) -> pa.RecordBatch:
+        digests, keys, lows = zip(*rows) if rows else ((), (), ())
+        columns = [pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(lows, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["digest", "key", "low"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in the order of their digests; one without a key marks a window that is there twice."""
+        now, waiting = None, None
+        for batch in batches:
+            out = []
+            for digest, key, low in zip(*(batch.column(c).to_pylist() for c in ("digest", "key", "low"))):
+                place = (key, low) if key is not None else None
+                if digest != now:
+                    now, waiting = digest, place
+                    continue
+                out += [(None, *p) for p in (waiting, place) if p]
+                waiting = None
+            yield listed(out).drop_columns(["digest"])
+
+    windows = write_table(packed.mapInArrow(tidy(split), "digest binary, key binary, low int"), "hot-windows")
+    dealt = windows.where("digest IS NOT NULL").repartition("digest").sortWithinPartitions("digest")
+    decided = windows.where("digest IS NULL").select("key", "low")
+    found = decided.unionByName(dealt.mapInArrow(tidy(judge), "key binary, low int"))
     return found.select("key", "low", (F.col("low") + window).alias("high"))
 
 

@@ -97,3 +97,11 @@ def test_empty_table_and_wrong_parts(spark):
     assert [tuple(r) for r in without_repeats(documents(spark, [(1, None)])).collect()] == [(1, 0, 0, "")]
     with pytest.raises(ValueError):
         without_repeats(documents(spark, []), 5, 6)
+
+
+def test_windows_alone_in_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(super_kmers, "HOT", 2)
+    monkeypatch.setattr(super_kmers, "AT_ONCE", 50)
+    rows = drawn()
+    got = without_repeats(documents(spark, rows).repartition(3))
+    assert sorted(map(tuple, got.collect()), key=str) == plainly(rows)
