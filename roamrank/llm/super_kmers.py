@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from roamrank.llm.batches import bound_batches, tidy
-from roamrank.llm.texts import Words, buffer_of
+from roamrank.llm.texts import Words, buffer_of, portions
 from roamrank.operators.joins import lookup_join
 from roamrank.workspace import write_table
 
@@ -42,6 +42,8 @@ HOT = 5_000
 #: About this many bytes of super-k-mers go to a task, of about so many bytes each.
 TASK_BYTES = 64 << 20
 SUPER_KMER_BYTES = 400
+#: Bytes of texts that a task works on at a time; each has some forty in arrays beside it.
+PORTION = 1 << 20
 #: Windows that a task looks at together, if their minimisers are hot.
 AT_ONCE = 400_000
 #: Texts with copies that a task remembers to have sent.
@@ -109,7 +111,7 @@ def minimiser_counts(texts: DataFrame, window: int, minimiser: int) -> DataFrame
     minimised = _minimised(window, minimiser)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole, "raw", PORTION)):
             found, counts = np.unique(minimised(batch.column("raw"))[4], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts, pa.int64())], ["minimiser", "n"])
 
@@ -134,7 +136,7 @@ def super_kmers(texts: DataFrame, window: int, minimiser: int) -> DataFrame:
                     sent.add(key)
             return batch if new.all() else batch.filter(pa.array(new))
 
-        for batch in map(news, batches):
+        for batch in (part for whole in batches for part in portions(news(whole), "raw", PORTION)):
             copied = batch.column("copied").to_numpy(zero_copy_only=False)
             words, text, first, last, lowest = minimised(batch.column("raw"))
             spaced, begins = words.spaced()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -17,6 +19,16 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
 
 
+def portions(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts with ``size`` bytes of a column each, or one longer text."""
+    _, starts, ends = buffer_of(batch.column(column))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + size, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 class Words:
     """The words of a batch's texts: runs of bytes that aren't separators, within one text."""
 
