@@ -2,8 +2,8 @@
 
 A window's minimiser is the run of a few words in it that hashes lowest, the first of
 equals. Consecutive windows with the same one travel together as one packed string, a
-super-k-mer, to the bucket of that minimiser: about 50 words for 15 windows instead of
-15 times 35. Equal windows have equal minimisers, so they meet in one bucket; there the
+super-k-mer, to the bucket of that minimiser: about 50 words for 16 windows instead of
+16 times 35. Equal windows have equal minimisers, so they meet in one bucket; there the
 windows of a minimiser are sorted as they are, word for word, and counted.
 
 Of texts that are there several times one goes to the buckets, with the weight of two.
@@ -36,7 +36,7 @@ from roamrank.workspace import write_table
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Words of a window, and of a minimiser.
 WINDOW = 35
-MINIMISER = 7
+MINIMISER = 5
 #: A minimiser with more super-k-mers than this has its windows sent one by one.
 HOT = 5_000
 #: About this many bytes of super-k-mers go to a task, of about so many bytes each.
