@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from roamrank.llm.batches import bound_batches, tidy
 from roamrank.llm.texts import Words, buffer_of, portions
-from roamrank.operators.joins import lookup_join
+from roamrank.operators.joins import fits_broadcast, lookup_join
 from roamrank.workspace import write_table
 
 #: The ASCII white space that parts words.
@@ -119,9 +119,27 @@ def minimiser_counts(texts: DataFrame, window: int, minimiser: int) -> DataFrame
     return counted.groupBy("minimiser").agg(F.sum("n").alias("n"))
 
 
-def super_kmers(texts: DataFrame, window: int, minimiser: int) -> DataFrame:
-    """Packed strings of (key, raw, copied) texts, with the place of the first window in its text."""
+def super_kmers(
+    texts: DataFrame, window: int, minimiser: int, frequent: DataFrame | None = None, hot: bool = False
+) -> DataFrame:
+    """Packed strings of (key, raw, copied) texts, with the place of the first window in its text.
+
+    Those whose minimiser is in ``frequent``, or with ``hot`` off the others. The tasks
+    get the frequent ones whole if they were measured to be small.
+    """
     minimised = _minimised(window, minimiser)
+    told = None
+    if frequent is not None:
+        if not fits_broadcast(frequent):
+            sent = super_kmers(texts, window, minimiser)
+            return lookup_join(sent, frequent, "minimiser", "left_semi" if hot else "left_anti")
+        listed = np.sort(np.array([row[0] for row in frequent.collect()], np.int64))  # measured
+        told = texts.sparkSession.sparkContext.broadcast(listed)
+
+    def wanted(lowest: np.ndarray) -> np.ndarray:
+        known = told.value
+        place = np.minimum(np.searchsorted(known, lowest), max(0, len(known) - 1))
+        return np.flatnonzero((known[place] == lowest) == hot) if len(known) else np.arange(0 if hot else len(lowest))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
@@ -138,7 +156,13 @@ def super_kmers(texts: DataFrame, window: int, minimiser: int) -> DataFrame:
 
         for batch in (part for whole in batches for part in portions(news(whole), "raw", PORTION)):
             copied = batch.column("copied").to_numpy(zero_copy_only=False)
-            words, text, first, last, lowest = minimised(batch.column("raw"))
+            words, *found = minimised(batch.column("raw"))
+            if told is not None:
+                some = wanted(found[-1])
+                found = [values[some] for values in found]
+            text, first, last, lowest = found
+            if not len(text):
+                continue
             spaced, begins = words.spaced()
             for low in range(0, len(text), 20_000):
                 part = slice(low, low + 20_000)
@@ -309,11 +333,10 @@ def repeated_spans(
     frequent = write_table(frequent, "hot-minimisers")
     tasks = max(1, math.ceil((total.get["n"] or 0) * SUPER_KMER_BYTES / TASK_BYTES))
 
-    sent = super_kmers(texts, window, minimiser)
-    cool = lookup_join(sent, frequent, "minimiser", "left_anti")
+    cool = super_kmers(texts, window, minimiser, frequent)
     spans = repeated_in_buckets(cool.repartition(tasks, "minimiser").sortWithinPartitions("minimiser"), window)
     if not frequent.isEmpty():
-        alone = lookup_join(sent, frequent, "minimiser", "left_semi")
+        alone = super_kmers(texts, window, minimiser, frequent, hot=True)
         spans = spans.unionByName(repeated_one_by_one(alone, window))
     placed = F.sort_array(F.collect_list(F.struct("low", "high")))
     covered = F.flatten(F.transform(placed, lambda s: F.array(s["low"], s["high"])))
