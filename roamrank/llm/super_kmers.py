@@ -37,8 +37,9 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Words of a window, and of a minimiser.
 WINDOW = 35
 MINIMISER = 5
-#: A minimiser with more super-k-mers than this has its windows sent one by one.
-HOT = 5_000
+#: A minimiser with more super-k-mers than this has its windows sent one by one: if all
+#: of them differ, the windows of one bucket take up about 100 MB.
+HOT = 20_000
 #: About this many bytes of super-k-mers go to a task, of about so many bytes each.
 TASK_BYTES = 64 << 20
 SUPER_KMER_BYTES = 400
@@ -78,8 +79,7 @@ def _minimised(window: int, minimiser: int) -> Callable:
         if n <= 0:
             none = np.zeros(0, np.int64)
             return words, none, none, none, none
-        codes, known = words.encoded()
-        hashed = np.array([xxhash.xxh3_64_intdigest(w.as_buffer()) for w in known], np.uint64)[codes]
+        hashed = words.hashes()
         runs = len(words) - minimiser + 1
         value = np.zeros(runs, np.uint64)
         for i in range(minimiser):

@@ -105,3 +105,23 @@ def test_windows_alone_in_small_parts(spark, monkeypatch):
     rows = drawn()
     got = without_repeats(documents(spark, rows).repartition(3))
     assert sorted(map(tuple, got.collect()), key=str) == plainly(rows)
+
+
+def test_words_hash_by_their_bytes_alone():
+    import numpy as np
+    import pyarrow as pa
+
+    from roamrank.llm.texts import Words, buffer_of
+
+    rng = random.Random(9)
+    texts = [b" ".join(bytes(rng.choices(b"abc\xc3\x00", k=rng.choice([1, 2, 7, 8, 9, 16, 17, 255, 256, 257, 900]))) for _ in range(50))
+             for _ in range(40)] + [b"", b"abc ab abc"]
+    found = {}
+    words = Words(*buffer_of(pa.array(texts, pa.binary())), super_kmers.SPACES)
+    hashes = words.hashes()
+    listed = [w for t in texts for w in t.split()]
+    assert len(listed) == len(words) == len(hashes)
+    for word, value in zip(listed, hashes.tolist()):
+        assert found.setdefault(word, value) == value
+    assert len(set(found.values())) == len(found)
+    assert np.array_equal(hashes, words.hashes())
