@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from roamrank import sinks
 from roamrank.operators import model, recommend
@@ -89,6 +91,55 @@ def test_agrees_with_mllib(spark):
         assert np.allclose([s for _, s in theirs], [s for _, s in ours[row["user"]]], atol=1e-4)
 
 
+@pytest.mark.parametrize("zeros", [False, True])
+def test_blocks_of_short_vectors_are_left_out(spark, zeros):
+    """Few long vectors, many short ones: most pairs of bundle and block are never met."""
+    rng = np.random.default_rng(11)
+    users = {n: np.abs(rng.normal(size=4)) for n in range(300)}
+    items = {n: np.abs(rng.normal(size=4)) * 0.8**n for n in range(80)}
+    if zeros:
+        users[7], users[8] = np.zeros(4), -users[8]  # equal scores for all, and no bar above zero
+        items[79] = items[78] = np.zeros(4)
+    seen = {(n, i) for n in users for i in items if n % 50 == 3 and i < 60}
+    fitted, visits = factor_model(spark, users, items), Observation()
+    table = spark.createDataFrame(sorted(seen), "user int, item int")
+    got = as_lists(recommend.recommend_topk(fitted, 5, table, chunk_items=8, visits=visits))
+    want = brute_force(users, items, 5, seen)
+    assert {u: [i for i, _ in found] for u, found in got.items()} == {u: [i for i, _ in found] for u, found in want.items()}
+    assert visits.get["pairs"] == 300 * 9 and 0 < visits.get["met"] < 300 * 2
+
+
+def test_short_vectors_in_small_bundles(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "BUNDLE_USERS", 5)
+    rng = np.random.default_rng(12)
+    users = {n: np.abs(rng.normal(size=4)) for n in range(200)}
+    items = {n: np.abs(rng.normal(size=4)) * (3 if n < 12 else 0.3) for n in range(60)}
+    fitted, visits = factor_model(spark, users, items), Observation()
+    got = as_lists(recommend.recommend_topk(fitted, 3, chunk_items=6, visits=visits))
+    assert {u: [i for i, _ in f] for u, f in got.items()} == {u: [i for i, _ in f] for u, f in brute_force(users, items, 3).items()}
+    assert visits.get["met"] <= visits.get["pairs"] / 2
+
+
+def test_tasks_grow_with_users(spark, monkeypatch):
+    """At a fixed number of blocks; each task gets one block and one group of users."""
+    monkeypatch.setattr(recommend, "MOST_SCORES_PER_TASK", 400)
+    monkeypatch.setattr(recommend, "SCORES_PER_TASK", 400)
+    monkeypatch.setattr(recommend, "BUNDLE_USERS", 10)
+    rng = np.random.default_rng(13)
+    items = factor_model(spark, {0: [1.0, 1.0]}, {n: rng.normal(size=2) for n in range(40)}).item_factors
+    cut = recommend._by_length(items.withColumnRenamed("id", "item"), 4)
+    tasks = []
+    for many in (100, 400, 1600):
+        left = spark.range(many).selectExpr(
+            "cast(id as int) user", "array(1D, 1D) features", "array(1) seen", "0D bar", "3 reach"
+        )
+        pairs = recommend._pairs(left, many, [1, 2, 3])
+        met = recommend._meet(pairs, cut.where("block > 0"), many, 10, 3)
+        tasks.append(met.rdd.getNumPartitions())
+        assert met.select(F.sum(F.size("users"))).first()[0] == 3 * many
+    assert tasks[0] < tasks[1] < tasks[2] and tasks[2] >= 3 * 1600 * 10 / 400
+
+
 def test_unknown_area_keeps_its_place(spark):
     fitted = factor_model(spark, {1: [1.0]}, {0: [3.0], 1: [2.0], 2: [1.0]})
     areas = spark.createDataFrame([("A", 0), ("C", 2)], "neighbourhood string, neighbourhood_id bigint")
