@@ -7,7 +7,7 @@ import math
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamrank import store
@@ -109,10 +109,24 @@ def train(ratings: DataFrame, config: AlsConfig) -> FactorModel:
         raise ValueError("no ratings to train on")
     if config.solver == "mllib":
         return FactorModel.from_mllib(fit_mllib(ratings, config))
-    users, items = fit_by_sums(ratings, config.rank, config.iterations, config.reg, config.seed)
+    [(users, items)] = fit_by_sums(ratings, config.rank, config.iterations, config.reg, config.seed)
     return FactorModel(config.rank, users, items, config.solver)
 
 
+def train_with_holdout(ratings: DataFrame, config: AlsConfig, kept: Column) -> tuple[FactorModel, FactorModel]:
+    """The model of all ratings, and the one of those where ``kept`` is true, in the same passes.
+
+    MLlib's solver can't do that and trains twice.
+    """
+    if config.solver != "sums":
+        return train(ratings, config), train(ratings.where(kept), config)
+    if ratings.where(kept).isEmpty():
+        raise ValueError("no ratings to train on")
+    both = fit_by_sums(ratings, config.rank, config.iterations, config.reg, config.seed, kept)
+    whole, part = (FactorModel(config.rank, users, items, config.solver) for users, items in both)
+    return whole, part
+
+
 def predict(model: FactorModel, pairs: DataFrame) -> DataFrame:
     """Append ``prediction``; pairs with an unknown user or item are left out."""
     users = model.user_factors.select(F.col("id").alias("user"), F.col("features").alias("_user"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamrank.functions.expressions import split_bucket
@@ -67,10 +67,15 @@ def to_trainer(ratings: DataFrame) -> TrainerRatings:
     )
 
 
+def kept_to_fit(percent: int = 80, seed: int = 0) -> Column:
+    """Whether a (user, item, rating) is on the first side of ``holdout_split``."""
+    return split_bucket(F.col("user"), F.col("item"), seed) < percent
+
+
 def holdout_split(ratings: DataFrame, percent: int = 80, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Split (user, item, rating) by a hash of the pair; reruns agree."""
-    bucket = split_bucket(F.col("user"), F.col("item"), seed)
-    return ratings.where(bucket < percent), ratings.where(bucket >= percent)
+    kept = kept_to_fit(percent, seed)
+    return ratings.where(kept), ratings.where(~kept)
 
 
 def random_split(ratings: DataFrame, fraction: float = 0.8, seed: int = 0) -> tuple[DataFrame, DataFrame]:

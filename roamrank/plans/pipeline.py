@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamrank import sinks, store
 from roamrank.operators.dims import area_dim, reviewer_dim
-from roamrank.operators.model import AlsConfig, FactorModel, evaluate, train
-from roamrank.operators.ratings import build_ratings, holdout_split, to_trainer
+from roamrank.operators.model import AlsConfig, FactorModel, evaluate, train, train_with_holdout
+from roamrank.operators.ratings import build_ratings, kept_to_fit, to_trainer
 from roamrank.operators.recommend import attach_names, recommend_topk
 from roamrank.operators.visits import (
     join_listing_area,
@@ -125,12 +125,14 @@ def publish(
         ratings = keyed.ratings
         if keyed.users is not None:
             ratings = write_table(ratings, "keyed-ratings")
-        model = train(ratings, config)
+        kept = kept_to_fit(seed=config.seed)
+        # The model of the metric for unseen pairs comes out of the same passes.
+        model, judged = train_with_holdout(ratings, config, kept) if holdout else (train(ratings, config), None)
         model.write_to(version)
         _save_users(keyed.users, spark, version)
         store.point(spark, outputs.model, version)
 
-        metrics = _metrics(model, ratings, version, config, holdout, as_of)
+        metrics = _metrics(model, judged, ratings, ~kept, version, config, as_of)
         if outputs.metrics:
             sinks.write_metrics(metrics, outputs.metrics)
         named = recommend_from(
@@ -186,16 +188,20 @@ def _save_users(users: DataFrame | None, spark: SparkSession, path: str) -> None
 
 
 def _metrics(
-    fitted: FactorModel, ratings: DataFrame, version: str, config: AlsConfig, holdout: bool, as_of
+    fitted: FactorModel,
+    judged: FactorModel | None,
+    ratings: DataFrame,
+    held: Column,
+    version: str,
+    config: AlsConfig,
+    as_of: datetime.date | str | None,
 ) -> DataFrame:
     """One row per sample, held by the driver; the run's id is the name of its model's version."""
-    spark = ratings.sparkSession
     run = (version.rpartition("/")[2], as_of)
     rows = evaluate(fitted, ratings, config, "train", *run)
-    if holdout:
-        fit_on, held = holdout_split(ratings, seed=config.seed)
-        rows = rows.union(evaluate(train(fit_on, config), held, config, "holdout", *run))
-    return spark.createDataFrame(rows.collect(), rows.schema)
+    if judged is not None:
+        rows = rows.union(evaluate(judged, ratings.where(held), config, "holdout", *run))
+    return ratings.sparkSession.createDataFrame(rows.collect(), rows.schema)
 
 
 def recommend_from(

@@ -96,6 +96,73 @@ def test_lists_in_parts_and_many_items_train_the_same_model(planted, monkeypatch
             assert all(np.allclose(mine[n], theirs[n], atol=1e-9) for n in mine)
 
 
+@pytest.mark.parametrize("way", ["beside", "parts", "buckets"])
+def test_holdout_model_in_the_same_passes(planted, monkeypatch, way):
+    """Both models are those that two fits give, cold ids included."""
+    config = AlsConfig(seed=6, rank=3, iterations=2)
+    # One user and one item have no rating kept, and few of the others' are.
+    kept = (F.col("user") != 5) & (F.col("item") != 7) & ratings.kept_to_fit(30, 6)
+    alone = model.train(planted, config), model.train(planted.where(kept), config)
+    if way != "beside":
+        monkeypatch.setattr(normal_equations, "RATINGS_PER_LIST", 10)
+    if way == "buckets":
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    both = model.train_with_holdout(planted, config, kept)
+    for one, other in zip(alone, both):
+        for mine, theirs in ((one.user_factors, other.user_factors), (one.item_factors, other.item_factors)):
+            mine, theirs = ({r["id"]: r["features"] for r in side.collect()} for side in (mine, theirs))
+            assert mine.keys() == theirs.keys()
+            assert all(np.allclose(mine[n], theirs[n], atol=1e-8) for n in mine)
+    assert 5 not in {r["id"] for r in both[1].user_factors.collect()}
+    assert 7 not in {r["id"] for r in both[1].item_factors.collect()}
+
+
+def test_a_round_writes_factors_and_no_ratings(spark, planted, tmp_path, monkeypatch):
+    """What further rounds write is as many numbers as there are ids, however many ratings there are."""
+    wrote = {}
+    for name in ("write_table",):
+        plain = getattr(normal_equations, name)
+
+        def counted(df, label, plain=plain):
+            stored = plain(df, label)
+            wrote[label] = wrote.get(label, 0) + sum(
+                stored.agg(F.sum(F.size(f.name) if f.dataType.typeName() == "array" else F.lit(1))).first()[0] or 0
+                for f in stored.schema.fields
+            )
+            return stored
+
+        monkeypatch.setattr(normal_equations, name, counted)
+    totals = []
+    for rounds in (1, 4):
+        wrote.clear()
+        model.train(planted, AlsConfig(seed=6, rank=3, iterations=rounds))
+        totals.append(dict(wrote))
+    assert totals[0]["rating-lists"] == totals[1]["rating-lists"] > planted.count()
+    # The first step's and the last's; those between go from the driver to the tasks.
+    assert totals[1]["item-factors"] == 2 * totals[0]["item-factors"] == 2 * 40 * 4
+    assert totals[0]["user-factors"] == totals[1]["user-factors"] == 300 * 4
+
+
+def test_lists_meet_factors_in_their_buckets_without_a_shuffle(spark, planted, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    plans = []
+    meet = normal_equations.met_in_buckets
+
+    def noted(*args):
+        met = meet(*args)
+        plans.append(met._jdf.queryExecution().executedPlan().toString())
+        return met
+
+    monkeypatch.setattr(normal_equations, "met_in_buckets", noted)
+    try:
+        model.train(planted, AlsConfig(seed=6, rank=2, iterations=2))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 3 and all("Join" in p and "Exchange" not in p for p in plans)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("roamrank_")]
+
+
 def test_same_seed_same_model(planted):
     config = AlsConfig(seed=9)
     once, again = (model.train(planted.repartition(n), config) for n in (2, 7))
