@@ -1,0 +1,109 @@
+"""Quoted line breaks in files that are read in byte ranges."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from roamrank.sources import csv, ranges
+from tests.conftest import rows
+
+SCHEMA = StructType([StructField("id", LongType()), StructField("text", StringType()), StructField("piece", StringType())])
+
+
+@pytest.fixture
+def small_ranges(spark):
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+
+    def cut(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "1")
+
+    yield cut
+    for name in names:
+        spark.conf.unset(name)
+
+
+def drawn(seed, records, end="\n"):
+    rng = random.Random(seed)
+    bits = ["a", "bc ", "é", ",", "\n", '""', "日本", '"",""', '\n""\n', " ", "\n\n", "id,text,piece"]
+
+    def field():
+        if rng.random() < 0.4:
+            return rng.choice(["", "plain", '5" pipe', "it's", " x", '1"2"3', "x" * 50])
+        return '"' + "".join(rng.choice(bits) for _ in range(rng.randrange(12))) + '"'
+
+    lines = ["id,text,piece"]
+    for n in range(records):
+        lines.append(f"{rng.choice([n, n, n, 'bad'])},{field()},{field()}" + ("" if rng.random() < 0.95 else ",more"))
+        if rng.random() < 0.05:
+            lines.append("")
+    return end.join(lines) + (end if seed % 2 else "")
+
+
+def by_one_task(spark, path):
+    full = StructType(SCHEMA.fields + [StructField(csv.CORRUPT, StringType())])
+    read = spark.read.schema(full).option("header", True).option("columnNameOfCorruptRecord", csv.CORRUPT)
+    return rows(read.option("multiLine", True).option("escape", '"').csv(path).cache().select(*full.names))
+
+
+@pytest.mark.parametrize("size", [60, 900])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rows_are_those_of_the_multi_line_reader(spark, tmp_path, small_ranges, seed, size):
+    path = str(tmp_path / "files")
+    (tmp_path / "files").mkdir()
+    for n, records in enumerate((60, 1, 0)):
+        (tmp_path / "files" / f"{n}.csv").write_bytes(drawn(seed + 10 * n, records).encode())
+    want = by_one_task(spark, path)
+    small_ranges(size)
+    landed = csv.land_csv(spark, path, SCHEMA)
+    got = landed.good.withColumn(csv.CORRUPT, F.lit(None).cast("string")).unionByName(landed.quarantined)
+    assert rows(got.select(*SCHEMA.names, csv.CORRUPT)) == want
+    if size == 60:
+        assert ranges.lines(spark, path).rdd.getNumPartitions() > 20
+
+
+def test_windows_line_ends(spark, tmp_path, small_ranges):
+    small_ranges(60)
+    text = 'id,text,piece\r\n1,"a\r\nb",x\r\n\r\n2,"c, ""d""",\r\n3,,"\r\n\r\n"\r\n'
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    landed = csv.land_csv(spark, str(tmp_path / "a.csv"), SCHEMA)
+    assert rows(landed.good) == [(1, "a\r\nb", "x"), (2, 'c, "d"', None), (3, None, "\r\n\r\n")]
+
+
+def test_field_over_many_ranges(spark, tmp_path, small_ranges):
+    small_ranges(100)
+    long = "\n".join(f"line {n}, with a comma" for n in range(60))
+    (tmp_path / "a.csv").write_text(f'id,text,piece\n1,"{long}",x\n2,y,"{long}"\n3,z,w\n')
+    landed = csv.land_csv(spark, str(tmp_path / "a.csv"), SCHEMA)
+    assert rows(landed.good) == [(1, long, "x"), (2, "y", long), (3, "z", "w")]
+
+
+def test_states_of_ranges(spark):
+    """Composed in order, whatever a range does: set, hand on or turn the state."""
+    texts = ["id,text,piece", '1,"a', "b", "c", 'd","e', 'f",', '2,x,"', '"', "3,y,z", '4,"', "q"]
+    read = spark.createDataFrame([("f", n, 1, t) for n, t in enumerate(texts)], "file string, start bigint, size bigint, line string")
+    got = dict(rows(ranges.states(read).select("start", "inside")))
+    step, inside, want = ranges._stepper(), False, {}
+    for n, text in enumerate(texts):
+        want[n] = inside
+        inside = step(text, inside)
+    assert got == want and True in want.values()
+
+
+def test_other_ranges_the_second_time_are_an_error(spark):
+    found = spark.createDataFrame([("f", 0, 10), ("f", 10, 5)], "file string, start bigint, size bigint")
+    same = [("f", 0, ranges.RANGE, "10"), ("f", 10, ranges.RANGE, "5"), ("f", 10, ranges.ENDS, "x")]
+    kind = "file string, start bigint, piece int, text string"
+    ranges.check_ranges(found, spark.createDataFrame(same, kind))
+    for other in (same[:1], [("f", 0, ranges.RANGE, "15")]):
+        with pytest.raises(RuntimeError, match="other ranges"):
+            ranges.check_ranges(found, spark.createDataFrame(other, kind))
+
+
+def test_header_is_checked_in_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text,piece\n1,x,y\n")
+    (tmp_path / "b.csv").write_text("id,piece,text\n1,x,y\n")
+    with pytest.raises(Exception, match="header"):
+        csv.land_csv(spark, str(tmp_path), SCHEMA)
