@@ -185,6 +185,43 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
 
 
+def test_a_failing_job_leaves_the_result_that_was_there(spark, tmp_path):
+    path = str(tmp_path / "result")
+    first = spark.createDataFrame([(n, f"R{n}", ["A"], "2019-07-01") for n in range(5)], RESULT)
+    sinks.write_result(first, path)
+    broken = first.withColumn("reviewerName", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_result(broken, path)
+    assert rows(spark.read.parquet(path)) == rows(first)
+    assert [p.name for p in tmp_path.iterdir()] == ["result"]
+    # A result may be made from the one that it replaces.
+    sinks.write_result(sinks.read_result(spark, path).where("reviewerId > 2"), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_a_run_that_ends_between_the_renames(spark, tmp_path):
+    path = str(tmp_path / "result")
+    first = spark.createDataFrame([(1, "R", ["A"], "2019-07-01")], RESULT)
+    sinks.write_result(first, path)
+    (tmp_path / "result").rename(tmp_path / ".result.old")
+    assert rows(sinks.read_result(spark, path)) == rows(first)
+    (tmp_path / "result").rename(tmp_path / ".result.old")
+    sinks.write_result(first.limit(0), path)
+    assert spark.read.parquet(path).count() == 0 and [p.name for p in tmp_path.iterdir()] == ["result"]
+
+
+def test_metrics_once_per_run(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    kind = "sample string, mse double, run_id string"
+    for mse in (0.5, 0.25):
+        sinks.write_metrics(spark.createDataFrame([("train", mse, "007"), ("holdout", 2 * mse, "007")], kind), path)
+    sinks.write_metrics(spark.createDataFrame([("train", 0.75, "008"), ("train", 1.0, None)], kind), path)
+    sinks.write_metrics(spark.createDataFrame([("train", 1.0, None)], kind), path)
+    got = rows(sinks.read_metrics(spark, path).select("run_id", "sample", "mse"))
+    one = ("train", 1.0)
+    assert got == sorted([("007", "train", 0.25), ("007", "holdout", 0.5), ("008", "train", 0.75), (None, *one), (None, *one)], key=str)
+
+
 def test_one_pass_however_many_blocks(spark):
     """More blocks of items are more rows to join, not more jobs."""
     rng = np.random.default_rng(4)
