@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 import math
 from dataclasses import asdict, dataclass, replace
 
@@ -14,11 +15,15 @@ from roamrank import store
 from roamrank.functions.expressions import dot, run_date
 from roamrank.operators.joins import lookup_join
 from roamrank.operators.normal_equations import fit_by_sums
-from roamrank.workspace import shared_dir, sized
+from roamrank.workspace import file_system, shared_dir, sized
 
 # Ratings that one block of MLlib's ALS should hold, if that is the solver asked for.
 RATINGS_PER_BLOCK = 1_000_000
 MIN_BLOCKS = 10
+# Where MLlib's RDD-based matrix factorization stores a model, and as what.
+RDD_METADATA, RDD_USERS, RDD_PRODUCTS = "metadata", "data/user", "data/product"
+RDD_CLASS = "org.apache.spark.mllib.recommendation.MatrixFactorizationModel"
+RDD_VERSION = "1.0"
 
 
 @dataclass(frozen=True)
@@ -54,8 +59,12 @@ class FactorModel:
         """Replace what is stored at ``path``, on any file system Spark writes to."""
         spark = self.user_factors.sparkSession
         version = store.new_version(path)
-        self.write_to(version)
-        store.point(spark, path, version)
+        store.lease(spark, version)
+        try:
+            self.write_to(version)
+            store.point(spark, path, version)
+        finally:
+            store.release(spark, version)
 
     def write_to(self, folder: str) -> None:
         """Write to a folder that isn't there yet."""
@@ -67,7 +76,34 @@ class FactorModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FactorModel:
-        return cls.read_from(spark, store.current(spark, path))
+        """A model that ``save`` or ``publish`` stored, or MLlib's trainer of RDDs."""
+        version = store.current(spark, path, must=False)
+        if version is not None:
+            return cls.read_from(spark, version)
+        place, system = file_system(spark, f"{path}/{RDD_METADATA}")
+        if system.exists(place):
+            return cls.from_rdd_layout(spark, path)
+        raise FileNotFoundError(f"no model at {path}")
+
+    @classmethod
+    def from_rdd_layout(cls, spark: SparkSession, path: str) -> FactorModel:
+        """The factors of a model as MLlib's RDD-based matrix factorization stores it.
+
+        A line of JSON tells its class, the layout's version and the rank; users and
+        products are Parquet tables of (id, features).
+        """
+        first = spark.read.text(f"{path}/{RDD_METADATA}").first()
+        about = json.loads(first["value"]) if first else {}
+        if (about.get("class"), about.get("version")) != (RDD_CLASS, RDD_VERSION):
+            raise ValueError(f"{path} holds {about.get('class')!r}, version {about.get('version')!r}")
+        rank = int(about["rank"])
+        sides = []
+        for name in (RDD_USERS, RDD_PRODUCTS):
+            rows = spark.read.parquet(f"{path}/{name}")
+            sides.append(rows.select(F.col("id").cast("int").alias("id"), F.col("features").cast("array<double>").alias("features")))
+            if not sides[-1].where(F.size("features") != rank).isEmpty():
+                raise ValueError(f"{path}/{name} has vectors that aren't of rank {rank}")
+        return cls(rank, *sides, "mllib")
 
     @classmethod
     def read_from(cls, spark: SparkSession, folder: str) -> FactorModel:

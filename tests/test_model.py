@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
+from roamrank import store
 from roamrank.functions.expressions import start_factors
 from roamrank.operators import joins, model, normal_equations, ratings
 from roamrank.operators.model import AlsConfig, FactorModel
@@ -217,3 +218,60 @@ def test_unknown_solver(planted):
     with pytest.raises(ValueError, match="unknown solver"):
         model.train(planted, AlsConfig(seed=1, solver="other"))
 
+
+
+def test_model_of_the_rdd_trainers_layout(spark, tmp_path):
+    (tmp_path / "metadata").mkdir()
+    about = '{"class":"org.apache.spark.mllib.recommendation.MatrixFactorizationModel","version":"1.0","rank":2}'
+    (tmp_path / "metadata" / "part-00000").write_text(about + "\n")
+    kind = "id int, features array<double>"
+    spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, 0.0])], kind).write.parquet(str(tmp_path / "data" / "user"))
+    spark.createDataFrame([(7, [3.0, 1.0])], kind).write.parquet(str(tmp_path / "data" / "product"))
+    loaded = FactorModel.load(spark, str(tmp_path))
+    assert loaded.rank == 2
+    pairs = spark.createDataFrame([(1, 7, 1.0), (2, 7, 1.0), (3, 7, 1.0)], RATED)
+    assert rows(model.predict(loaded, pairs).select("user", "prediction")) == [(1, 5.0), (2, 1.5)]
+    for wrong in (about.replace('"1.0"', '"9.9"'), about.replace('"rank":2', '"rank":3'), "{}"):
+        (tmp_path / "metadata" / "part-00000").write_text(wrong)
+        (tmp_path / "metadata" / ".part-00000.crc").unlink(missing_ok=True)
+        with pytest.raises(ValueError):
+            FactorModel.load(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        FactorModel.load(spark, str(tmp_path / "nothing"))
+
+
+def test_runs_at_once_on_one_model_path(spark, planted, tmp_path, monkeypatch):
+    """A run keeps its tables while it writes, and one that began earlier doesn't go before a later one."""
+    path = str(tmp_path / "model")
+    fitted = model.train(planted, AlsConfig(seed=3, rank=2))
+    slow = store.new_version(path)
+    store.lease(spark, slow)
+    fitted.user_factors.write.parquet(f"{slow}/user_factors")
+    for _ in range(3):
+        fitted.save(path)
+    newest = store.current(spark, path)
+    assert len(spark.read.parquet(f"{slow}/user_factors").columns) == 2
+    fitted.item_factors.write.parquet(f"{slow}/item_factors")
+    assert not store.point(spark, path, slow)
+    assert store.current(spark, path) == newest
+    assert spark.read.parquet(f"{slow}/item_factors").count() == 40
+    store.release(spark, slow)
+    fitted.save(path)
+    left = {p.name for p in (tmp_path / "model").iterdir() if p.is_dir()}
+    assert slow.rpartition("/")[2] not in left and len(left) == 2
+    # A lease that nobody gave back runs out.
+    dead = store.new_version(path)
+    store.lease(spark, dead)
+    fitted.user_factors.write.parquet(f"{dead}/user_factors")
+    monkeypatch.setattr(store, "LEASE_SECONDS", 0)
+    fitted.save(path)
+    fitted.save(path)
+    assert dead.rpartition("/")[2] not in {p.name for p in (tmp_path / "model").iterdir()}
+    assert not [p for p in (tmp_path / "model").iterdir() if p.name.startswith((".lease", ".lock"))]
+
+
+def test_a_lock_of_a_run_that_died(spark, tmp_path):
+    path = str(tmp_path / "model")
+    place, system = store._lock(spark, path)
+    again, _ = store._lock(spark, path, wait=0.3)
+    assert system.exists(again)
