@@ -296,6 +296,24 @@ def queries() -> dict[str, str]:
             *rank2,
             _predicted("ratings"),
         ),
+        "metrics_rerun": _sql(
+            f"SELECT run_id, 'train' AS sample, mse, n FROM (SELECT {MSE} FROM predicted) AS metric,"
+            " (VALUES ('first'), ('second')) AS runs(run_id)",
+            *rank2,
+            _predicted("ratings"),
+        ),
+        "predict_from_rdd_layout": _sql(
+            'SELECT u AS "user", i AS item, rating, round(prediction, 4) AS prediction FROM predicted',
+            *rank2,
+            _predicted("ratings"),
+        ),
+        "route_reviews": _sql(
+            "SELECT listing_id, date, person AS reviewer_id,"
+            " CASE WHEN s_acctbal >= 0 THEN CAST(s_nationkey AS BIGINT) END AS neighbourhood_id,"
+            " CASE WHEN person IS NULL THEN 'null_key' WHEN s_acctbal >= 0 THEN 'used' ELSE 'unmatched' END AS route"
+            " FROM (SELECT *, CASE WHEN l_linestatus <> 'F' OR l_orderkey % 5 <> 0 THEN reviewer_id END AS person"
+            " FROM reviews) AS told JOIN supplier ON listing_id = s_suppkey"
+        ),
         # Invariants: SQL states what must hold for whom; it doesn't refit.
         "als_normal_equations": _sql(
             "SELECT u AS reviewer_id, TRUE AS ok FROM (SELECT DISTINCT u FROM ratings) AS rated"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -346,6 +347,39 @@ def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("sample", F.round("mse", 6).alias("mse"), "n", "seed", "solver")
 
 
+def metrics_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that writes its metric twice, and another run: a row for each run."""
+    rated = tables.trainer_ratings(spark, sf_dir)
+    fitted, path = model.train(rated, EXACT), new_path(spark, "metrics")
+    for run in ("first", "first", "second"):
+        sinks.write_metrics(model.evaluate(fitted, rated, EXACT, "train", run_id=run), path)
+    return sinks.read_metrics(spark, path).select("run_id", "sample", F.round("mse", 6).alias("mse"), "n")
+
+
+def predict_from_rdd_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs predicted with a model stored as MLlib's trainer of RDDs does it."""
+    rated, fitted = _exact_model(spark, sf_dir)
+    path = new_path(spark, "rdd-model")
+    about = {"class": model.RDD_CLASS, "version": model.RDD_VERSION, "rank": fitted.rank}
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/{model.RDD_METADATA}")
+    fitted.user_factors.write.parquet(f"{path}/{model.RDD_USERS}")
+    fitted.item_factors.write.parquet(f"{path}/{model.RDD_PRODUCTS}")
+    loaded = FactorModel.load(spark, path)
+    return _wide(model.predict(loaded, rated)).withColumn("prediction", F.round("prediction", 4))
+
+
+def route_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each review goes when only suppliers out of debt are listed and some reviews lack a person."""
+    solvent = tables.read(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+    listed = solvent.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("bigint").alias("neighbourhood_id"))
+    lines = tables.order_lines(spark, sf_dir)
+    person = F.when((F.col("l_linestatus") != "F") | (F.col("l_orderkey") % 5 != 0), F.col("c_custkey"))
+    reviews = lines.select(F.col("l_suppkey").alias("listing_id"), "date", person.alias("reviewer_id"))
+    routed = visits.route_reviews(listed, reviews, frequencies=tables.listing_frequencies(spark, sf_dir))
+    stored = visits.store_routes(routed)
+    return tables.date_text(stored.select("listing_id", "date", "reviewer_id", "neighbourhood_id", "route"))
+
+
 def als_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invariant: MLlib's user factors solve their equations, ridge scaled by n."""
     rated = tables.trainer_ratings(spark, sf_dir)
@@ -480,6 +514,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_parquet_overwrite": sink_parquet_overwrite,
     "preview_recommendations": preview_recommendations,
     "metrics_table": metrics_table,
+    "metrics_rerun": metrics_rerun,
+    "predict_from_rdd_layout": predict_from_rdd_layout,
+    "route_reviews": route_reviews,
     "als_normal_equations": als_normal_equations,
     "model_roundtrip": model_roundtrip,
     "evaluate_full": evaluate_full,

@@ -30,11 +30,14 @@ def build_ratings(listing_area: DataFrame, reviews: DataFrame, **options) -> Dat
     Both columns are ids, so the shuffle carries two numbers and a count for
     each pair that a map task saw.
     """
-    return (
-        area_of_reviews(listing_area, reviews, **options)
-        .groupBy("reviewer_id", "neighbourhood_id")
-        .agg(F.count("*").cast("double").alias("rating"))
-    )
+    return count_ratings(area_of_reviews(listing_area, reviews, **options))
+
+
+def count_ratings(visits: DataFrame) -> DataFrame:
+    """The same from visits that know their area."""
+    # The names of the columns.
+    pairs = visits.groupBy("reviewer_id", "neighbourhood_id")
+    return pairs.agg(F.count("*").cast("double").alias("rating"))
 
 
 @dataclass(frozen=True)

@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 from roamrank import sinks, store
 from roamrank.operators.dims import area_dim, reviewer_dim
 from roamrank.operators.model import AlsConfig, FactorModel, evaluate, train, train_with_holdout
-from roamrank.operators.ratings import build_ratings, kept_to_fit, to_trainer
+from roamrank.operators.ratings import count_ratings, kept_to_fit, to_trainer
 from roamrank.operators.recommend import attach_names, recommend_topk
 from roamrank.operators.visits import (
+    MALFORMED,
+    NULL_KEY,
+    UNMATCHED,
+    USED,
     join_listing_area,
-    join_reviews,
+    rejected,
+    route_listings,
+    route_reviews,
+    store_routes,
     unmatched_listings,
-    unmatched_reviews,
 )
 from roamrank.sources import csv
 from roamrank.workspace import scratch_tables, sized, write_table
@@ -98,89 +104,105 @@ def publish(
     holdout: bool = True,
     as_of: datetime.date | str | None = None,
 ) -> Published:
-    """The same from DataFrames in the scans' form, best stored ones: the reviews
-    are read twice, for ratings and for names.
+    """The same from DataFrames in the scans' form.
 
-    Ratings are written once and the model is stored before use, so no later
+    The reviews are read once: each is routed to the ratings, to the unmatched or to
+    those without a key, and stored with its area. Ratings are written once and the model is stored before use, so no later
     step goes back to the reviews or refits after losing executors. Names and
     id mappings are stored beside the model: it can't be read without them.
     """
     spark = reviews.sparkSession
     with scratch_tables(spark):
         version = store.new_version(outputs.model)
-        reviews, no_review = csv.split_null_keys(reviews, *csv.REVIEW_KEYS)
-        listings, no_listing = csv.split_null_keys(listings, *csv.LISTING_KEYS)
-        areas, no_area = csv.split_null_keys(areas, *csv.AREA_KEYS)
-        area_dim(areas).write.parquet(f"{version}/areas")
-        dim = sized(spark.read.parquet(f"{version}/areas"))
-        # Used for the ratings and the rejects, so it is joined and measured once.
-        listing_area = write_table(join_listing_area(listings, dim), "listing-area")
-        if outputs.rejects:
-            for name, lost in (("reviews", no_review), ("listings", no_listing), ("areas", no_area)):
-                lost.write.mode("overwrite").parquet(f"{outputs.rejects}/null_keys_{name}")
-            _write_unmatched(listings, dim, listing_area, reviews, outputs.rejects)
-
-        counted = write_table(build_ratings(listing_area, reviews), "ratings")
-        keyed = to_trainer(counted)
-        ratings = keyed.ratings
-        if keyed.users is not None:
-            ratings = write_table(ratings, "keyed-ratings")
-        kept = kept_to_fit(seed=config.seed)
-        # The model of the metric for unseen pairs comes out of the same passes.
-        model, judged = train_with_holdout(ratings, config, kept) if holdout else (train(ratings, config), None)
-        model.write_to(version)
-        _save_users(keyed.users, spark, version)
-        store.point(spark, outputs.model, version)
-
-        metrics = _metrics(model, judged, ratings, ~kept, version, config, as_of)
-        if outputs.metrics:
-            sinks.write_metrics(metrics, outputs.metrics)
-        named = recommend_from(
-            outputs.model, reviewer_dim(reviews), k, ratings if exclude_seen else None, as_of
-        )
-        return Published(sinks.write_result(named, outputs.result), metrics)
+        store.lease(spark, version)
+        try:
+            return _publish(
+                reviews, listings, areas, outputs, version, config, k, exclude_seen, holdout, as_of
+            )
+        finally:
+            store.release(spark, version)
+
+
+def _publish(
+    reviews: DataFrame,
+    listings: DataFrame,
+    areas: DataFrame,
+    outputs: Outputs,
+    version: str,
+    config: AlsConfig,
+    k: int,
+    exclude_seen: bool,
+    holdout: bool,
+    as_of: datetime.date | str | None,
+) -> Published:
+    spark = reviews.sparkSession
+    listings, no_listing = csv.split_null_keys(listings, *csv.LISTING_KEYS)
+    areas, no_area = csv.split_null_keys(areas, *csv.AREA_KEYS)
+    area_dim(areas).write.parquet(f"{version}/areas")
+    dim = sized(spark.read.parquet(f"{version}/areas"))
+    # Used for the ratings and the rejects, so it is joined and measured once.
+    listing_area = write_table(join_listing_area(listings, dim), "listing-area")
+    # The only pass over the reviews.
+    routed = store_routes(route_reviews(listing_area, reviews))
+    if outputs.rejects:
+        lost = {
+            "null_keys_reviews": rejected(routed, NULL_KEY),
+            "unmatched_reviews": rejected(routed, UNMATCHED),
+            "null_keys_listings": no_listing,
+            "null_keys_areas": no_area,
+            "unmatched_listings": unmatched_listings(listings, dim),
+        }
+        for name, rows in lost.items():
+            rows.write.mode("overwrite").parquet(f"{outputs.rejects}/{name}")
+
+    counted = write_table(count_ratings(routed.where(F.col("route") == USED)), "ratings")
+    keyed = to_trainer(counted)
+    ratings = keyed.ratings
+    if keyed.users is not None:
+        ratings = write_table(ratings, "keyed-ratings")
+    kept = kept_to_fit(seed=config.seed)
+    # The model of the metric for unseen pairs comes out of the same passes.
+    model, judged = train_with_holdout(ratings, config, kept) if holdout else (train(ratings, config), None)
+    model.write_to(version)
+    _save_users(keyed.users, spark, version)
+    store.point(spark, outputs.model, version)
+
+    metrics = _metrics(model, judged, ratings, ~kept, version, config, as_of)
+    if outputs.metrics:
+        sinks.write_metrics(metrics, outputs.metrics)
+    known = routed.where(F.col("route") != NULL_KEY)
+    named = _recommend(version, reviewer_dim(known), k, ratings if exclude_seen else None, as_of)
+    return Published(sinks.write_result(named, outputs.result), metrics)
 
 
 def record_balance(
     reviews: csv.Landed, listings: csv.Landed, areas: csv.Landed
 ) -> DataFrame:
-    """Where the records of each input went: (input, read, used, malformed, null_key, unmatched)."""
-    good_reviews, null_reviews = csv.split_null_keys(reviews.good, *csv.REVIEW_KEYS)
-    good_listings, null_listings = csv.split_null_keys(listings.good, *csv.LISTING_KEYS)
-    good_areas, null_areas = csv.split_null_keys(areas.good, *csv.AREA_KEYS)
-    dim = write_table(area_dim(good_areas), "areas")
-    listing_area = write_table(join_listing_area(good_listings, dim), "listing-area")
-    used_reviews = join_reviews(listing_area, csv.scan_reviews(good_reviews))
-    lost_reviews = unmatched_reviews(listing_area, csv.scan_reviews(good_reviews))
-    lost_listings = unmatched_listings(good_listings, dim)
-
-    def counted(name: str, landed: csv.Landed, used: DataFrame, null: DataFrame, lost: DataFrame | None):
-        parts = {"used": used, "malformed": landed.quarantined, "null_key": null, "unmatched": lost}
-        rows = landed.good.select(F.lit("read").alias("part")).unionByName(
-            landed.quarantined.select(F.lit("read").alias("part"))
-        )
-        for part, frame in parts.items():
-            if frame is not None:
-                rows = rows.unionByName(frame.select(F.lit(part).alias("part")))
-        count = lambda part: F.count(F.when(F.col("part") == part, 1)).alias(part)
-        return rows.agg(*[count(part) for part in ("read", *parts)]).withColumn("input", F.lit(name))
+    """Where the records of each input went: (input, read, used, malformed, null_key, unmatched).
+
+    Each input is read once, its records routed by left joins and counted by route.
+    """
+    dim = write_table(area_dim(csv.split_null_keys(areas.good, *csv.AREA_KEYS)[0]), "areas")
+    routed_listings = write_table(route_listings(dim, csv.scan_listings(listings.good)), "routed-listings")
+    used = routed_listings.where(F.col("route") == USED).drop("route")
+    routed_reviews = route_reviews(used, csv.scan_reviews(reviews.good))
+    no_area = F.col("neighbourhood").isNull()
+    routed_areas = areas.good.select(F.when(no_area, NULL_KEY).otherwise(USED).alias("route"))
+
+    def counted(name: str, landed: csv.Landed, routed: DataFrame) -> DataFrame:
+        malformed = landed.quarantined.select(F.lit(MALFORMED).alias("route"))
+        rows = routed.select("route").unionByName(malformed)
+        count = lambda route: F.count(F.when(F.col("route") == route, 1)).alias(route)
+        parts = [count(route) for route in (USED, MALFORMED, NULL_KEY, UNMATCHED)]
+        return rows.agg(F.count("*").alias("read"), *parts).withColumn("input", F.lit(name))
 
     return (
-        counted("reviews", reviews, used_reviews, null_reviews, lost_reviews)
-        .unionByName(counted("listings", listings, listing_area, null_listings, lost_listings))
-        .unionByName(counted("areas", areas, good_areas, null_areas, None))
+        counted("reviews", reviews, routed_reviews)
+        .unionByName(counted("listings", listings, routed_listings))
+        .unionByName(counted("areas", areas, routed_areas))
     )
 
 
-def _write_unmatched(
-    listings: DataFrame, dim: DataFrame, listing_area: DataFrame, reviews: DataFrame, path: str
-) -> None:
-    lost = unmatched_listings(listings, dim)
-    lost.write.mode("overwrite").parquet(f"{path}/unmatched_listings")
-    lost = unmatched_reviews(listing_area, reviews)
-    lost.write.mode("overwrite").parquet(f"{path}/unmatched_reviews")
-
-
 def _save_users(users: DataFrame | None, spark: SparkSession, path: str) -> None:
     if users is None:
         users = spark.createDataFrame([], "reviewer_id bigint, user bigint")
@@ -212,8 +234,13 @@ def recommend_from(
     as_of: datetime.date | str | None = None,
 ) -> DataFrame:
     """Named recommendations from a model that ``publish`` stored."""
+    return _recommend(store.current(reviewers.sparkSession, path), reviewers, k, seen, as_of)
+
+
+def _recommend(
+    version: str, reviewers: DataFrame, k: int, seen: DataFrame | None, as_of: datetime.date | str | None
+) -> DataFrame:
     spark = reviewers.sparkSession
-    version = store.current(spark, path)
     users = spark.read.parquet(f"{version}/users")
     # Scoring is the costly part: written, it isn't repeated for the joins below.
     best = write_table(recommend_topk(FactorModel.read_from(spark, version), k, seen), "best")
