@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roamrank.operators.dims import area_dim
 from roamrank.operators.joins import fits_broadcast, lookup_join
@@ -16,8 +17,15 @@ from roamrank.operators.visits import join_listing_area, join_reviews
 from roamrank.workspace import write_table
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in its files once, which takes a job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:

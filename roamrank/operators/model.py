@@ -103,17 +103,15 @@ class FactorModel:
             sides.append(rows.select(F.col("id").cast("int").alias("id"), F.col("features").cast("array<double>").alias("features")))
             if not sides[-1].where(F.size("features") != rank).isEmpty():
                 raise ValueError(f"{path}/{name} has vectors that aren't of rank {rank}")
-        return cls(rank, *sides, "mllib")
+        return cls(rank, *sides, "mllib_rdd")
 
     @classmethod
     def read_from(cls, spark: SparkSession, folder: str) -> FactorModel:
-        about = spark.read.parquet(f"{folder}/about").first()
-        return cls(
-            about["rank"],
-            spark.read.parquet(f"{folder}/user_factors"),
-            spark.read.parquet(f"{folder}/item_factors"),
-            about["solver"],
-        )
+        about = spark.read.schema("rank int, solver string").parquet(f"{folder}/about").first()
+        # Said here, because to look a schema up takes a job.
+        kind = f"id int, features array<{'float' if about['solver'] == 'mllib' else 'double'}>"
+        sides = [spark.read.schema(kind).parquet(f"{folder}/{side}_factors") for side in ("user", "item")]
+        return cls(about["rank"], *sides, about["solver"])
 
 
 def fit_mllib(ratings: DataFrame, config: AlsConfig) -> ALSModel:
@@ -167,6 +165,7 @@ def predict(model: FactorModel, pairs: DataFrame) -> DataFrame:
     """Append ``prediction``; pairs with an unknown user or item are left out."""
     users = model.user_factors.select(F.col("id").alias("user"), F.col("features").alias("_user"))
     items = model.item_factors.select(F.col("id").alias("item"), F.col("features").alias("_item"))
+    users = sized(users, at_most=model.user_factors)
     items = sized(items, at_most=model.item_factors)
     known = lookup_join(lookup_join(pairs, items, "item"), users, "user")
     score = dot(F.col("_user"), F.col("_item"), model.rank)

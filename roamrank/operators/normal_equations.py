@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from roamrank.functions.expressions import start_factors
 from roamrank.operators import joins
 from roamrank.operators.joins import SALT, HotKeys, hot_keys, lookup_join
-from roamrank.workspace import new_path, write_table
+from roamrank.workspace import new_path, sized, write_table
 
 # Ratings in one list, about; a person with more has several.
 RATINGS_PER_LIST = 500_000
@@ -212,7 +212,7 @@ class Trainer:
         if self.models == 1:
             return factors
         own = factors.select("id", F.slice("features", number * self.rank + 1, self.rank).alias("features"))
-        return own.where(~F.isnan(F.col("features")[0]))
+        return sized(own.where(~F.isnan(F.col("features")[0])), at_most=factors)
 
 
 def rating_lists(ratings: DataFrame, trainer: Trainer) -> tuple[DataFrame, bool]:

@@ -29,6 +29,11 @@ from roamrank.sources import csv
 from roamrank.workspace import scratch_tables, sized, write_table
 
 
+# Tables beside a stored model.
+AREAS = "neighbourhood string, neighbourhood_id bigint"
+USERS = "reviewer_id bigint, user bigint"
+
+
 @dataclass(frozen=True)
 class Inputs:
     """CSV paths: a file, a folder, a glob, or a list of them each."""
@@ -139,7 +144,7 @@ def _publish(
     listings, no_listing = csv.split_null_keys(listings, *csv.LISTING_KEYS)
     areas, no_area = csv.split_null_keys(areas, *csv.AREA_KEYS)
     area_dim(areas).write.parquet(f"{version}/areas")
-    dim = sized(spark.read.parquet(f"{version}/areas"))
+    dim = sized(spark.read.schema(AREAS).parquet(f"{version}/areas"))
     # Used for the ratings and the rejects, so it is joined and measured once.
     listing_area = write_table(join_listing_area(listings, dim), "listing-area")
     # The only pass over the reviews.
@@ -205,7 +210,7 @@ def record_balance(
 
 def _save_users(users: DataFrame | None, spark: SparkSession, path: str) -> None:
     if users is None:
-        users = spark.createDataFrame([], "reviewer_id bigint, user bigint")
+        users = spark.createDataFrame([], USERS)
     users.write.parquet(f"{path}/users")
 
 
@@ -241,9 +246,9 @@ def _recommend(
     version: str, reviewers: DataFrame, k: int, seen: DataFrame | None, as_of: datetime.date | str | None
 ) -> DataFrame:
     spark = reviewers.sparkSession
-    users = spark.read.parquet(f"{version}/users")
+    users = spark.read.schema(USERS).parquet(f"{version}/users")
     # Scoring is the costly part: written, it isn't repeated for the joins below.
     best = write_table(recommend_topk(FactorModel.read_from(spark, version), k, seen), "best")
-    areas = spark.read.parquet(f"{version}/areas")
+    areas = sized(spark.read.schema(AREAS).parquet(f"{version}/areas"))
     mapping = None if users.isEmpty() else users
     return attach_names(best, areas, reviewers, mapping, as_of)

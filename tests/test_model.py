@@ -231,6 +231,8 @@ def test_model_of_the_rdd_trainers_layout(spark, tmp_path):
     assert loaded.rank == 2
     pairs = spark.createDataFrame([(1, 7, 1.0), (2, 7, 1.0), (3, 7, 1.0)], RATED)
     assert rows(model.predict(loaded, pairs).select("user", "prediction")) == [(1, 5.0), (2, 1.5)]
+    loaded.save(str(tmp_path / "again"))
+    assert rows(FactorModel.load(spark, str(tmp_path / "again")).user_factors) == rows(loaded.user_factors)
     for wrong in (about.replace('"1.0"', '"9.9"'), about.replace('"rank":2', '"rank":3'), "{}"):
         (tmp_path / "metadata" / "part-00000").write_text(wrong)
         (tmp_path / "metadata" / ".part-00000.crc").unlink(missing_ok=True)
