@@ -150,7 +150,8 @@ class WarcWriter(DataSourceArrowWriter):
         store, folder = _store(self.path)
         store.create_dir(folder, recursive=True)
         names = sorted(f for m in messages if m is not None for f in m.files)
-        with store.open_output_stream(f"{folder}/{MANIFEST}", compression=None) as out:
+        # One for each commit, so that a later one adds to what is there.
+        with store.open_output_stream(f"{folder}/{MANIFEST}-{uuid.uuid4().hex}", compression=None) as out:
             out.write(json.dumps(names).encode())
 
     def abort(self, messages: list) -> None:
@@ -270,13 +271,18 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Files]:
         store, folder = _store(self.path)
-        if store.get_file_info(f"{folder}/{MANIFEST}").type == pafs.FileType.File:
-            with store.open_input_stream(f"{folder}/{MANIFEST}", compression=None) as f:
-                names = json.loads(f.read())
-            found = store.get_file_info([f"{folder}/{n}" for n in names])
-        else:
-            found = store.get_file_info(pafs.FileSelector(folder))
-            found = [f for f in found if f.path.endswith(".warc.gz")]
+        found = store.get_file_info(pafs.FileSelector(folder))
+        manifests = [f for f in found if f.base_name.startswith(MANIFEST)]
+        found = [f for f in found if f.path.endswith(".warc.gz")]
+        if manifests:
+            names: set[str] = set()
+            for manifest in manifests:
+                with store.open_input_stream(manifest.path, compression=None) as f:
+                    names.update(json.loads(f.read()))
+            missing = names - {f.base_name for f in found}
+            if missing:
+                raise FileNotFoundError(f"{self.path} lacks {len(missing)} archives, {min(missing)} among them")
+            found = [f for f in found if f.base_name in names]
         planned, size = [], 0
         for f in sorted(found, key=lambda f: f.path):
             if not planned or size + f.size > PARTITION_BYTES:
@@ -306,8 +312,10 @@ class WarcReader(DataSourceReader):
             with store.open_input_file(path) as file:
                 for header, payload in records(file, self._wanted, with_payload):
                     if payload is not None and header["warc-type"] == "response":
+                        # The header is optional, and other digests are as good.
+                        kind, _, told = header.get("warc-payload-digest", "").partition(":")
                         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                        if header["warc-payload-digest"] != f"sha1:{digest}":
+                        if kind.lower() == "sha1" and len(told) == len(digest) and told.upper() != digest:
                             raise ValueError(f"{header['warc-record-id']} doesn't match its digest")
                     elif payload is not None:
                         payload = None  # a revisit has none of its own

@@ -117,3 +117,30 @@ def test_a_broken_archive_is_an_error():
 def test_empty_table(spark, pages, tmp_path):
     path = warc.write_pages(pages.limit(0), str(tmp_path / "none"))
     assert warc.scan(spark, path).count() == 0
+
+
+def test_a_second_write_adds_to_the_first(spark, pages, tmp_path):
+    path = warc.write_pages(pages, str(tmp_path / "both"))
+    warc.write_pages(pages.withColumn("page_id", F.col("page_id") + 100), path)
+    assert warc.scan(spark, path).count() == 2 * len(ROWS)
+    ids = {r["id"] for r in warc.scan(spark, path).select(warc.page_id(F.col("record_id")).alias("id")).collect()}
+    assert {5, 105, 9, 109} <= ids
+    next(pathlib.Path(path).glob("*.warc.gz")).unlink()
+    with pytest.raises(Exception, match="lacks"):
+        warc.scan(spark, path).count()
+
+
+def test_foreign_responses_with_other_digests_or_none(spark, tmp_path):
+    plain = gzip.decompress(record(1, b"body"))
+    line = next(x for x in plain.split(b"\r\n") if x.lower().startswith(b"warc-payload-digest"))
+    right = b"WARC-Payload-Digest: sha1:" + digest("body").lower().encode()
+    others = [plain.replace(line + b"\r\n", b""), plain.replace(line, b"WARC-Payload-Digest: sha256:abc"), plain.replace(line, right)]
+    folder = tmp_path / "foreign"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in others))
+    got = warc.scan(spark, str(folder)).collect()
+    assert [bytes(r["payload"]) for r in got] == [b"body"] * 3
+    assert got[0]["payload_digest"] is None and got[1]["payload_digest"] == "abc"
+    (folder / "a.warc.gz").write_bytes(gzip.compress(plain.replace(line, right.replace(right[-3:], b"aaa"))))
+    with pytest.raises(Exception, match="digest"):
+        warc.scan(spark, str(folder)).collect()
