@@ -106,16 +106,25 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     if any(_nested(f.dataType) for f in df.schema.fields):
         df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        stored = spark.read.schema(df.schema).parquet(path)
+        stored._path = path
+        return stored
     fixed, varying = row_bytes(df)
     size = Observation()
     total = F.sum(sum(varying, F.lit(fixed).cast("bigint")))
     df.observe(size, total.alias("bytes")).write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
-    stored._payload_bytes = size.get["bytes"] or 0
+    stored._payload_bytes, stored._path = size.get["bytes"] or 0, path
     return stored
 
 
+def drop_table(stored: DataFrame) -> None:
+    """Delete a table of ``write_table`` that nothing reads any more, before the session ends."""
+    place, system = file_system(stored.sparkSession, stored._path)
+    system.delete(place, True)
+    system.cancelDeleteOnExit(place)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the paths handed out inside the block when it ends.
