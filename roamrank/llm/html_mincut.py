@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamrank.llm.batches import bound_batches
+from roamrank.llm.batches import bound_batches, give_back, tidy
 
 SAMPLE_PAGES, SAMPLE_BLOCKS = 400, 100
 
@@ -52,6 +52,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("table ul ol dl tbody thead tfoot select html body div section article".split())
 NOT_MAIN = frozenset("nav aside footer form menu dialog button fieldset head".split())
 MAIN = frozenset(["article", "main"])
+FORMS = frozenset("form fieldset dialog button".split())  # may be around a whole page
+IN_HEAD = frozenset("title meta link style script base basefont noscript template".split())
 # Words in class, id and role: of parts that are hardly the article, of parts that
 # are not unless the article lies inside, and of the article's own. A whole token tells
 # of a part, alone or with words that name a piece of it; has-comments doesn't.
@@ -142,12 +144,14 @@ class Page:
 
     def _text(self, text: str) -> None:
         if text:
+            if self._open.get("head") and not text.isspace():
+                self._end_head()
             self._buffer.append(text)
             if self._open.get("a"):
                 self._links += len(text)
 
     def _push(self, name: str, attributes: str) -> None:
-        kind = 2 if name in NOT_MAIN else int(name == "header")
+        kind = 3 if name in NOT_MAIN else int(name == "header")
         named = 0
         good = name in MAIN
         if attributes and name not in ("html", "body"):
@@ -201,6 +205,11 @@ class Page:
             while len(self._stack) > depth:
                 self._pop()
 
+    def _end_head(self) -> None:
+        """What can't be in a head ends it, as its end tag may be left out."""
+        self._flush()
+        self._pop_inner("head")
+
     def _wall(self) -> int:
         return self._walls[-1] if self._walls else 0
 
@@ -208,6 +217,8 @@ class Page:
         if name == "br":
             self._buffer.append(" ")
             return
+        if name not in IN_HEAD and self._open.get("head"):
+            self._end_head()
         if name == "select":
             self._flush()
         if name in BLOCK:
@@ -298,16 +309,52 @@ class Page:
             elif not (name in FOREIGN and attributes.endswith("/")):
                 self._start(name, attributes)
 
+    def _vetoes(self) -> tuple[list[bool], list[bool]]:
+        """For each element: does its tag, or that it's hidden, settle that it's not the article, or only speak against it.
+
+        A tag settles nothing where the article lies inside: a form around the page, a navigation left open.
+        """
+        many = len(self.tag)
+        inside, below = ([False] * many for _ in range(2))
+        free = [True] * many
+        articles, outside, every = ([0] * many for _ in range(3))
+        shut = [k == 2 or (k == 3 and t not in FORMS) or (k == 1 and not h) for k, t, h in zip(self.own, self.tag, self.holds)]
+        for e in range(1, many):
+            up, kind = self.parent[e], self.own[e]
+            free[e] = free[up] and self.named[e] <= 0
+            inside[e] = kind != 2 and ((self.tag[e] in MAIN and free[up]) or (inside[up] and kind != 3 and not shut[e]))
+            below[e] = below[up] or shut[e]
+        for text, e in zip(self.texts, self.at, strict=True):
+            every[e] += len(text)
+            articles[e] += len(text) if inside[e] else 0
+            outside[e] += 0 if below[e] else len(text)
+        for e in range(many - 1, 0, -1):
+            for chars in (articles, outside, every):
+                chars[self.parent[e]] += chars[e]
+        against = [False] * many
+        for e in range(1, many):
+            if self.own[e] == 3:
+                if self.tag[e] not in FORMS:
+                    against[e] = 2 * articles[e] > every[0]
+                    shut[e] = not against[e]
+                elif articles[0]:
+                    shut[e] = 2 * articles[e] <= articles[0]
+                else:
+                    shut[e] = 2 * outside[e] <= outside[0]
+        return shut, against
+
     def marks(self) -> tuple[list[bool], list[bool], list[bool], list[bool]]:
         """For each element: is it, by its tag or its names, in a part that isn't the article, and in one that is."""
         many = len(self.tag)
-        tag_bad, name_bad, good, often = ([False] * many for _ in range(4))
+        tag_bad, name_bad, wary, good, often = ([False] * many for _ in range(5))
+        shut, against = self._vetoes()
         free = [True] * many  # no names speak against it
         chars = [0] * many
         main = [tag == "main" for tag in self.tag]
         for e in range(1, many):
-            up, kind = self.parent[e], self.own[e]
-            tag_bad[e] = tag_bad[up] or kind == 2 or (kind == 1 and not self.holds[e])
+            up = self.parent[e]
+            tag_bad[e] = tag_bad[up] or shut[e]
+            wary[e] = (wary[up] or against[e]) and self.tag[e] not in MAIN
             free[e] = free[up] and self.named[e] <= 0
         for text, e in zip(self.texts, self.at, strict=True):
             chars[e] += 0 if tag_bad[e] else len(text)
@@ -323,7 +370,7 @@ class Page:
             name_bad[e] = name_bad[up] or bad
             good[e] = good[up] or tag in MAIN
             often[e] = often[up] or named == -1
-        return tag_bad, name_bad, good, often
+        return tag_bad, [a or b for a, b in zip(name_bad, wary, strict=True)], good, often
 
 
 SENTENCE = re.compile(r"[.!?…:;\"'”»)]$")
@@ -484,7 +531,7 @@ def fit(pages: DataFrame) -> np.ndarray:
                     out += x[:: 1 + len(x) // SAMPLE_BLOCKS].tolist()
             yield pd.DataFrame({"x": pd.Series(out, dtype=object)})
 
-    found = some.mapInPandas(rows, "x array<double>").collect()
+    found = some.mapInPandas(tidy(rows), "x array<double>").collect()
     if not found:
         return PRIOR
     x = np.array(sorted(tuple(r["x"]) for r in found))
@@ -509,8 +556,11 @@ def text_of(html: Column, weights: np.ndarray) -> Column:
 
     @F.pandas_udf("string")
     def extracted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for pages in batches:
-            yield pd.Series([main_text(h, weights) for h in pages], dtype=object)
+        try:
+            for pages in batches:
+                yield pd.Series([main_text(h, weights) for h in pages], dtype=object)
+        finally:
+            give_back()
 
     return extracted(html)
 

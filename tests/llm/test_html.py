@@ -198,3 +198,35 @@ def test_unshown_elements_take_linear_time():
     ):
         html_mincut.Page(page)
     assert time.perf_counter() - start < 20
+
+
+def test_no_tag_vetoes_what_the_article_lies_in():
+    """Forms around a page, and heads and navigations that are left open."""
+    article = f"<article><h1>Headline</h1><p>{LONG}</p><p>And {LONG}</p></article>"
+    plain = f"<div><h1>Headline</h1><p>{LONG}</p><p>And {LONG}</p></div>"
+    nav, footer = "<nav><a href=a>Home</a> <a href=b>News</a></nav>", "<footer><p>Imprint, and some words more.</p></footer>"
+    want = f"Headline\n{LONG}\nAnd {LONG}"
+    for body in (f"{nav}{article}{footer}", f"{nav}{plain}{footer}"):
+        alone = html_mincut.main_text(body)
+        assert f"{LONG}\nAnd {LONG}" in alone
+        for before, after in (
+            ("<html><head><title>T</title><meta charset=utf-8><body>", "</body></html>"),
+            ("<head><title>T</title><style>p {}</style>", ""),
+            ("<body><form id=aspnetForm action=x>", "</form></body>"),
+            ("<fieldset>", "</fieldset>"),
+            ("<form><fieldset>", "</fieldset></form>"),
+            ("<dialog open>", "</dialog>"),
+        ):
+            assert html_mincut.main_text(f"{before}{body}{after}") == alone, before
+    for before in ("<nav><a href=a>Home</a> <a href=b>News</a>", "<aside><p>Read this too.</p>", "<footer><a href=a>Top</a>"):
+        assert html_mincut.main_text(f"{before}{article}{footer}") == want, before
+    assert html_mincut.main_text(f"<head><title>T</title>{LONG}<p>And {LONG}</p>") == f"{LONG}\nAnd {LONG}"
+
+
+def test_tags_still_veto_their_own_text():
+    teaser = "<article><h3>Other</h3><p>A teaser, and some words of it.</p></article>"
+    for tag in ("aside", "nav", "footer", "form", "fieldset"):
+        part = f"<{tag}><p>{LONG}</p></{tag}>"
+        assert html_mincut.main_text(f"<article><p>{LONG}</p>{part}<p>And {LONG}</p></article>") == f"{LONG}\nAnd {LONG}", tag
+        assert html_mincut.main_text(f"<article><p>{LONG}</p></article>{part}") == LONG, tag
+    assert html_mincut.main_text(f"<div><p>{LONG}</p><p>And {LONG}</p></div><aside>{teaser}</aside>") == f"{LONG}\nAnd {LONG}"
