@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamrank.llm.batches import bound_batches
+from roamrank.llm.batches import bound_batches, give_back, tidy
 from roamrank.llm import boosting
 
 KINDS = ("email", "ip", "card", "phone")
@@ -249,7 +251,7 @@ def fit(docs: DataFrame, seed: int = 7) -> Model:
     bound_batches(docs.sparkSession)
     # At most SAMPLE_DOCUMENTS rows of one number are broadcast.
     some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    rows = some.mapInPandas(_silver, "x array<double>, y int")
+    rows = some.mapInPandas(tidy(_silver), "x array<double>, y int")
     rows = rows.orderBy(F.xxhash64("x", "y"), "x", "y").limit(SAMPLE_CANDIDATES).collect()
     drawn_x, drawn_y = _drawn(seed, 2400)
     x = np.asarray(drawn_x + [list(r["x"]) for r in rows], dtype=float)
@@ -273,10 +275,12 @@ def spans(texts: list[str | None], model: Model) -> list[list[tuple[str, int, in
         base = base_spans(text) if text and MAYBE.search(text) else []
         result.append([(k, s, e, True, 1.0) for k, s, e in base])
         if text and MAYBE.search(text):
-            ends = np.array([e for _, _, e in base], dtype=np.int64)
-            starts = np.array([s for _, s, _ in base], dtype=np.int64)
+            starts = [s for _, s, _ in base]
+            # Of the spans up to each, the furthest end.
+            ends = np.maximum.accumulate([e for _, _, e in base]).tolist() if base else []
             for kind, s, e in candidates(text):
-                if not len(base) or not np.any((starts < e) & (ends > s)):
+                before = bisect_left(starts, e)
+                if not before or ends[before - 1] <= s:
                     open_.append((i, kind, s, e))
                     x.append(features(text, kind, s, e))
     if open_:
@@ -284,8 +288,10 @@ def spans(texts: list[str | None], model: Model) -> list[list[tuple[str, int, in
         kept = [(-p, *c) for p, c in zip(score, open_, strict=True) if p >= model.cuts[c[1]]]
         taken: dict[int, list[tuple[int, int]]] = {}
         for p, i, kind, s, e in sorted(kept, key=lambda c: (c[0], c[1], c[3], -c[4], c[2])):
-            if all(e <= a or s >= b for a, b in taken.get(i, ())):
-                taken.setdefault(i, []).append((s, e))
+            own = taken.setdefault(i, [])  # in order, and apart from each other
+            at = bisect_left(own, (s, e))
+            if (at == 0 or own[at - 1][1] <= s) and (at == len(own) or own[at][0] >= e):
+                own.insert(at, (s, e))
                 result[i].append((kind, s, e, False, float(-p)))
     return [sorted(r, key=lambda s: (s[1], KINDS.index(s[0]), s[2])) for r in result]
 
@@ -295,30 +301,43 @@ def find(text: Column, model: Model) -> Column:
     bound_batches()
 
     @F.pandas_udf(SPANS)
-    def found(texts: pd.Series) -> pd.Series:
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("kind", "start", "end", "base", "score")
-        return pd.Series([[dict(zip(names, s, strict=True)) for s in row] for row in spans(list(texts), model)], dtype=object)
+
+        def named(texts: pd.Series) -> pd.Series:
+            return pd.Series([[dict(zip(names, s, strict=True)) for s in row] for row in spans(list(texts), model)], dtype=object)
+
+        try:
+            yield from map(named, batches)
+        finally:
+            give_back()
 
     return found(text)
 
 
+def _without(text: str | None, row: list[tuple[str, int, int, bool, float]]) -> str | None:
+    if not row:
+        return text
+    parts, done = [], 0
+    for kind, start, end, _, _ in row:
+        if start >= done:
+            parts += [text[done:start], f"<{kind}>"]
+        done = max(done, end)
+    return "".join([*parts, text[done:]])
+
+
 def redact(text: Column, model: Model) -> Column:
     """The text with every span, overlapping ones merged, replaced by its kind; null stays null."""
     bound_batches()
 
     @F.pandas_udf("string")
-    def redacted(texts: pd.Series) -> pd.Series:
-        out = []
-        for text, row in zip(texts, spans(list(texts), model), strict=True):
-            if row:
-                parts, done = [], 0
-                for kind, start, end, _, _ in row:
-                    if start >= done:
-                        parts += [text[done:start], f"<{kind}>"]
-                    done = max(done, end)
-                text = "".join([*parts, text[done:]])
-            out.append(text)
-        return pd.Series(out, dtype=object)
+    def redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                rows = spans(list(texts), model)
+                yield pd.Series([_without(t, row) for t, row in zip(texts, rows, strict=True)], dtype=object)
+        finally:
+            give_back()
 
     return redacted(text)
 

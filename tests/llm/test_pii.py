@@ -3,6 +3,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -110,3 +111,34 @@ def test_parts_of_an_ip_count_by_their_value():
         assert not any(kind == "ip" for kind, *_ in pii.base_spans(f"at {'0' * zeros}256.2.3.4")), zeros
     assert pii.strict("ip", "255 . 01.0. 7") and not pii.strict("ip", "1 .2.3. 256")
     assert ("ip", 0, 7) in pii.base_spans("0.0.0.0") and pii.base_spans("1000.1.1.1") == []
+
+
+class _Certain:
+    """Takes every candidate, later ones rather than earlier ones."""
+
+    cuts = dict.fromkeys(pii.KINDS, 0.0)
+
+    def score(self, x):
+        return np.linspace(0.1, 0.9, len(x))
+
+
+def test_spans_overlap_nothing_chosen_before():
+    rng = random.Random(5)
+    pieces = ["555-123-4567", "+1 555 123 4567", "1.2.3.4", "a@b.co", "a at b dot co", "4111 1111 1111 1111", "x", "12"]
+    for _ in range(200):
+        text = rng.choice([" ", "", "-"]).join(rng.choice(pieces) for _ in range(rng.randrange(1, 12)))
+        base = pii.base_spans(text)
+        open_ = [c for c in pii.candidates(text) if all(c[2] <= s or c[1] >= e for _, s, e in base)]
+        score = _Certain().score(open_)
+        taken = []
+        for _, (kind, s, e) in sorted(zip(-score, open_), key=lambda c: (c[0], c[1][1], -c[1][2], c[1][0])):
+            if all(e <= a or s >= b for _, a, b in taken):
+                taken.append((kind, s, e))
+        assert sorted(x[:3] for x in pii.spans([text], _Certain())[0]) == sorted([*base, *taken])
+
+
+def test_many_spans_take_linear_time():
+    start = time.perf_counter()
+    for piece in ("call 555-123-4567 now, ", "call +1 555 123 4567; ", "+15551234567, 555-123-4567; "):
+        assert len(pii.spans([piece * 50_000], _Certain())[0]) >= 50_000
+    assert time.perf_counter() - start < 60
