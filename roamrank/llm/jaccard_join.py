@@ -17,10 +17,12 @@ hashing: a shingle is a 48-bit hash and a set's class a 64-bit one.
 4.  What is left are pairs between components. In short lists, a set that is linked to
     another takes over that one's answers: what two such reference sets share, and what
     each lacks of its own, bounds what the pair shares. Only where the bounds don't
-    decide are its sets compared. Long lists get their sets, which are compared by
-    products of blocks, and return links alone, so that a group of copies that are near
-    but not near enough makes no rows for its pairs. With ``all_links`` pairs within
-    components go the same ways, and all links result.
+    decide are its sets compared. Long lists get their prefixes first: a pair is looked
+    at in the list of its first common shingle alone, and only sets with a partner there
+    that the prefixes allow are sent as a whole. These are compared by products of
+    blocks, and return links alone, so that a group of copies that are near but not near
+    enough makes no rows for its pairs. With ``all_links`` pairs within components go
+    the same ways, and all links result.
 
 Frequencies, components, links and sets are tables; only shingles that are frequent, at
 most FREQUENT of them, come to the driver, and they only set the order. Lists with
@@ -37,7 +39,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -49,7 +51,7 @@ from pyspark.sql.window import Window
 
 from roamrank.llm.batches import bound_batches, tidy
 from roamrank.operators.joins import lookup_join
-from roamrank.workspace import write_table
+from roamrank.workspace import drop_table, write_table
 
 SHINGLE = 5
 PERCENT = 80
@@ -348,11 +350,15 @@ def open_lists(lists: DataFrame, nodes: DataFrame, all_links: bool) -> DataFrame
     known = lookup_join(lists, nodes.withColumnRenamed("root", "component"), "class", "left")
     known = known.withColumn("component", F.coalesce("component", "class"))
     known = write_table(known.drop("part", "fan"), "lists")
+    drop_table(lists)
     wide = known.groupBy("shingle").agg(
         F.count("*").alias("many"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     wide = write_table(wide.where("many > 1" if all_links else "low < high").select("shingle", "many"), "open-lists")
-    return write_table(lookup_join(known, wide, "shingle"), "open-entries")
+    entries = write_table(lookup_join(known, wide, "shingle"), "open-entries")
+    drop_table(known)
+    drop_table(wide)
+    return entries
 
 
 def candidates(entries: DataFrame, all_links: bool) -> DataFrame:
@@ -408,52 +414,104 @@ def links_in_long_lists(found: Sets, entries: DataFrame, all_links: bool) -> Dat
         "shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "n", "place", "class",
         "component", "own",
     )
-    members = found.whole(dealt.select("class").distinct())
-    met = dealt.join(members, "class").repartition("shingle", "i", "j")
-    ordered = met.sortWithinPartitions("shingle", "i", "j", "n", "class").select(
-        "shingle", "i", "j", "class", "n", "place", "component", "own", "members"
-    )
+    key = ["shingle", "i", "j"]
+    columns = [*key, "class", "n", "place", "component", "own"]
 
-    def compare(batches):
-        rest: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
-            start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-            for a, b in zip(start, np.r_[start[1:], len(keys)], strict=True):
-                if last is not None and tuple(keys[a]) != last:
-                    yield from _links(rest, all_links)
-                    rest = []
-                last = tuple(keys[a])
-                # Copied, so that a list's rows don't hold the batch they came in.
-                rest.append(batch.take(pa.array(np.arange(a, b))))
-        if rest:
-            yield from _links(rest, all_links)
-
-    return _oriented(ordered.mapInArrow(tidy(compare), "a bigint, na bigint, b bigint, nb bigint"))
-
-
-def _links(parts: list[pa.RecordBatch], all_links: bool):
-    """Links of one list, sorted by size; blocks that can have none are skipped."""
-    table = pa.Table.from_batches(parts)
-    kind, n, place, component, own = (table.column(c).to_numpy() for c in ("class", "n", "place", "component", "own"))
-    across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-    members = table.column("members").combine_chunks()
-    members = members.chunk(0) if isinstance(members, pa.ChunkedArray) else members
-    owner = np.repeat(np.arange(len(n)), members.value_lengths().to_numpy())
-    token, column, times = np.unique(members.flatten().to_numpy(), return_inverse=True, return_counts=True)
-    # Only what several sets hold can be shared.
+    def by_list(judge):
+        """``judge`` over each list's rows, which may go on in the next batch."""
+
+        def lists(batches):
+            rest: list[pa.RecordBatch] = []
+            last = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                keys = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
+                start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+                for a, b in zip(start, np.r_[start[1:], len(keys)], strict=True):
+                    if last is not None and tuple(keys[a]) != last:
+                        yield from judge(pa.Table.from_batches(rest), all_links)
+                        rest = []
+                    last = tuple(keys[a])
+                    # Copied, so that a list's rows don't hold the batch they came in.
+                    rest.append(batch.take(pa.array(np.arange(a, b))))
+            if rest:
+                yield from judge(pa.Table.from_batches(rest), all_links)
+
+        return tidy(lists)
+
+    def beside(rows: DataFrame, sets_: DataFrame, name: str) -> DataFrame:
+        met = rows.join(sets_, "class").repartition(*key)
+        return met.sortWithinPartitions(*key, "n", "class").select(*columns, name)
+
+    kinds = "shingle bigint, i int, j int, class bigint, n bigint, place int, component bigint, own int"
+    likely = beside(dealt, found.prefixes(dealt.select("class").distinct()), "prefix").mapInArrow(by_list(_likely), kinds)
+    likely = found.keep(write_table(likely, "likely"))
+    met = beside(likely, found.whole(likely.select("class").distinct()), "members")
+    links = _oriented(met.mapInArrow(by_list(_links), "a bigint, na bigint, b bigint, nb bigint"))
+    links = write_table(links, "long-links")
+    found.drop()
+    return links
+
+
+def _several(lists: pa.ChunkedArray, upto: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Who holds which of the values that several of the lists hold, by value; of each list its first ones, if told."""
+    lists = lists.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    many = lists.value_lengths().to_numpy()
+    owner, values = np.repeat(np.arange(len(many)), many), lists.flatten().to_numpy()
+    if upto is not None:
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+        early = place < upto[owner]
+        owner, values = owner[early], values[early]
+    column, times = np.unique(values, return_inverse=True, return_counts=True)[1:]
     several = times[column] > 1
     owner, column = owner[several], np.unique(column[several], return_inverse=True)[1]
     order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    shared = np.zeros((len(n), len(n)), dtype=np.float32)
+    return owner[order], column[order]
+
+
+def _blocks(n: int, owner: np.ndarray, column: np.ndarray) -> Iterator[np.ndarray]:
+    """Who holds what as matrices of COLUMNS values each."""
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         some = slice(np.searchsorted(column, low), np.searchsorted(column, low + COLUMNS))
-        held = np.zeros((len(n), COLUMNS), dtype=np.float32)
+        held = np.zeros((n, COLUMNS), dtype=np.float32)
         held[owner[some], column[some] - low] = 1
+        yield held
+
+
+def _likely(table: pa.Table, all_links: bool) -> Iterator[pa.RecordBatch]:
+    """The rows of a list, sorted by size, that have a partner for whose pair the list is the first
+    common one, and for which what they share of their prefixes and what lies beyond is enough."""
+    kind, n, place, component, own = (table.column(c).to_numpy() for c in ("class", "n", "place", "component", "own"))
+    across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+    prefixes = [np.asarray(x) for x in table.column("prefix").to_numpy()]
+    shared, before = (np.zeros((len(n), len(n)), dtype=np.float32) for _ in range(2))
+    for held in _blocks(len(n), *_several(table.column("prefix"))):
+        shared += held @ held.T
+    for held in _blocks(len(n), *_several(table.column("prefix"), place)):
+        before += held @ held.T
+    ends = np.array([x[-1] for x in prefixes])
+    # What each set has beyond the end of the other's prefix, or of its own if that comes first.
+    beyond = np.array([n[a] - np.searchsorted(x, ends, "right") for a, x in enumerate(prefixes)])
+    shared += np.minimum(beyond, beyond.T)
+    good = np.zeros(len(n), dtype=bool)
+    for a in range(len(n)):
+        pair = (before[a] == 0) & (shared[a] >= least_overlap(n[a] + n)) & (kind != kind[a])
+        if across:
+            pair &= own != own[a]
+        if not all_links:
+            pair &= component != component[a]
+        good[a] = pair.any()
+    yield from table.filter(pa.array(good)).drop_columns(["prefix"]).combine_chunks().to_batches()
+
+
+def _links(table: pa.Table, all_links: bool) -> Iterator[pa.RecordBatch]:
+    """Links of one list, sorted by size; blocks that can have none are skipped."""
+    kind, n, place, component, own = (table.column(c).to_numpy() for c in ("class", "n", "place", "component", "own"))
+    across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+    shared = np.zeros((len(n), len(n)), dtype=np.float32)
+    for held in _blocks(len(n), *_several(table.column("members"))):
         starts = np.arange(0, len(n), BLOCK)
         left = np.maximum.reduceat(n - place, starts)
         for a in range(len(starts)):
@@ -508,10 +566,29 @@ def _tree(linked: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.nda
 
 @dataclass
 class Sets:
-    """The described documents, and ways to fetch prefixes and whole sets of some classes."""
+    """The described documents, and ways to fetch prefixes and whole sets of some classes.
+
+    Tables that are written on the way are kept until ``drop``, which is for when the
+    results that come of them are written.
+    """
 
     docs: DataFrame
     described: DataFrame
+    held: list[DataFrame] = field(default_factory=list)
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.held.append(table)
+        return table
+
+    def drop(self) -> None:
+        while self.held:
+            drop_table(self.held.pop())
+
+    def prefixes(self, needed: DataFrame) -> DataFrame:
+        """(class, prefix) of some classes."""
+        needed = self.keep(write_table(needed, "classes"))
+        some = self.described.where("prefix IS NOT NULL").select("class", "prefix")
+        return lookup_join(some, needed, "class", "left_semi").dropDuplicates(["class"])
 
     def _classes(self, pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
@@ -527,9 +604,7 @@ class Sets:
 
         Up to the smaller of the prefixes' ends both sets are known.
         """
-        some = self.described.where("prefix IS NOT NULL").select("class", "prefix")
-        some = lookup_join(some, write_table(self._classes(pairs), "classes"), "class", "left_semi").dropDuplicates(["class"])
-        beside = self._beside(pairs, some, "prefix")
+        beside = self._beside(pairs, self.prefixes(self._classes(pairs)), "prefix")
         end = F.least(F.element_at("prefix_a", -1), F.element_at("prefix_b", -1))
         beyond = [
             F.col(f"n{s}") - F.size(F.filter(f"prefix_{s}", lambda x: x <= F.col("_end"))) for s in ("a", "b")
@@ -543,8 +618,9 @@ class Sets:
 
     def whole(self, needed: DataFrame) -> DataFrame:
         """(class, members): the sets of some classes, each from one document's text."""
-        chosen = lookup_join(self.described.select("class", "key"), write_table(needed, "classes"), "class")
-        chosen = write_table(chosen.groupBy("class").agg(F.min("key").alias("key")).select("key"), "chosen")
+        needed = self.keep(write_table(needed, "classes"))
+        chosen = lookup_join(self.described.select("class", "key"), needed, "class")
+        chosen = self.keep(write_table(chosen.groupBy("class").agg(F.min("key").alias("key")).select("key"), "chosen"))
         named = self.docs.select(document_key(self.docs).alias("key"), "text")
 
         def shingle(batches):
@@ -557,7 +633,7 @@ class Sets:
 
         some = lookup_join(named, chosen, "key", "left_semi").select("key", "text")
         some = some.mapInArrow(tidy(shingle), "class bigint, members array<bigint>")
-        return write_table(some, "members").dropDuplicates(["class"])
+        return self.keep(write_table(some, "members")).dropDuplicates(["class"])
 
     def overlap(self, pairs: DataFrame) -> DataFrame:
         """Pairs with ``overlap``, found from the whole sets of the classes they name."""
@@ -568,8 +644,10 @@ class Sets:
     def compare(self, pairs: DataFrame) -> DataFrame:
         """The linked ones of the pairs, with their overlap."""
         need = _least(F.col("na") + F.col("nb"))
-        likely = write_table(self.most(pairs).where(F.col("most") >= need).drop("most"), "likely")
-        return write_table(self.overlap(likely).where(F.col("overlap") >= need), "links")
+        likely = self.keep(write_table(self.most(pairs).where(F.col("most") >= need).drop("most"), "likely"))
+        links = write_table(self.overlap(likely).where(F.col("overlap") >= need), "links")
+        self.drop()
+        return links
 
 
 def by_reference(found: Sets, pairs: DataFrame, links: DataFrame) -> DataFrame:
@@ -606,19 +684,20 @@ def by_reference(found: Sets, pairs: DataFrame, links: DataFrame) -> DataFrame:
         (F.col("nra") - F.col("oa") + F.col("nrb") - F.col("ob")).alias("lacking"),
         _least(F.col("na") + F.col("nb")).alias("need"),
     )
-    told = write_table(told, "referred")
+    told = found.keep(write_table(told, "referred"))
     keys = ["ra", "rb"]
     # Sets with one reference share at most its size.
     asked = told.where("ra < rb").groupBy("ra", "rb").agg(
         F.first("nra").alias("na"), F.first("nrb").alias("nb"), F.min(F.col("need") - F.col("beyond")).alias("enough")
     ).withColumnsRenamed({"ra": "a", "rb": "b"})
-    open_ = found.most(write_table(asked, "asked")).where("most >= enough").drop("most", "enough")
-    answers = found.overlap(write_table(open_, "open")).select(
+    open_ = found.most(found.keep(write_table(asked, "asked"))).where("most >= enough").drop("most", "enough")
+    answers = found.overlap(found.keep(write_table(open_, "open"))).select(
         F.col("a").alias("ra"), F.col("b").alias("rb"), F.col("overlap").alias("shared")
     )
     same = told.where("ra = rb").select("a", "na", "b", "nb", "beyond", "lacking", "need", F.col("nra").alias("shared"))
     judged = told.where("ra < rb").join(answers, keys).select(*same.columns).unionByName(same)
     judged = write_table(judged.where(F.col("shared") + F.col("beyond") >= F.col("need")), "judged")
+    found.drop()
     columns = ["a", "na", "b", "nb"]
     sure = judged.where(F.col("shared") - F.col("lacking") >= F.col("need")).select(*columns)
     unsure = judged.where(F.col("shared") - F.col("lacking") < F.col("need")).select(*columns)
@@ -682,7 +761,7 @@ def join(docs: DataFrame, all_links: bool = False) -> Join:
     lists = index(described)
     found = Sets(docs, described)
     columns = ["a", "na", "b", "nb"]
-    links = found.compare(write_table(neighbours(lists), "neighbours"))
+    links = found.compare(found.keep(write_table(neighbours(lists), "neighbours")))
     nodes = components(links)
     entries = open_lists(lists, nodes, all_links)
     pairs = write_table(candidates(entries, all_links), "candidates")

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 
 from roamrank.llm import jaccard_join
@@ -133,3 +134,31 @@ def test_smallest_root_of_long_chains(spark):
     for i in range(n):
         start = max([0, *[c + 1 for c in cuts if c < i]])
         assert roots.get(i, i) == start
+
+
+def test_long_lists_send_on_whom_prefixes_allow():
+    """Each linked pair passes in the list of its first common shingle, and few others do."""
+    rng = random.Random(17)
+    base = sorted(rng.sample(range(10_000), 120))
+    kept = [sorted({x for x in base if rng.random() > p} | set(rng.sample(range(10_000), rng.randrange(9)))) for p in [0.01, 0.06, 0.2] * 15]
+    lists = {}
+    for k, own in enumerate(kept):
+        prefix = own[: jaccard_join.prefix_length(len(own))]
+        for place, shingle in enumerate(prefix):
+            lists.setdefault(shingle, []).append((len(own), k, place, prefix))
+    links = {
+        (a, b) for a, b in itertools.combinations(range(len(kept)), 2)
+        if 100 * len(set(kept[a]) & set(kept[b])) >= 80 * len(set(kept[a]) | set(kept[b]))
+    }
+    assert links
+    sent, passed = 0, {}
+    for shingle, rows in lists.items():
+        n, kind, place, prefix = zip(*sorted(rows))
+        columns = {"i": [0] * len(n), "j": [0] * len(n), "class": kind, "n": n, "place": place, "component": kind}
+        table = pa.table({**columns, "own": [0] * len(n), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
+        for batch in jaccard_join._likely(table, False):
+            passed.setdefault(shingle, set()).update(batch.column("class").to_pylist())
+            sent += batch.num_rows
+    for a, b in links:
+        assert {a, b} <= passed[min(set(kept[a]) & set(kept[b]))]
+    assert sent < sum(map(len, lists.values())) / 2
