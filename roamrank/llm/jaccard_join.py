@@ -2,7 +2,7 @@
 
 A document's set is that of its SHINGLE-word shingles. Two documents are linked if their
 sets' intersection is at least PERCENT hundredths of their union. The sets are exact but for
-hashing: a shingle is a 48-bit hash and a set's class a 64-bit one.
+hashing: a shingle is a 62-bit hash and a set's class a 64-bit one.
 
 1.  Documents with equal sets are one class; only classes are compared.
 2.  Shingles are put in one order for all, frequent ones last. Sets that are linked
@@ -60,7 +60,7 @@ OFTEN, FREQUENT = 20, 1_000_000
 #: A list with more entries than SHORT is compared as a whole, and in parts of LIST.
 SHORT, LIST = 32, 1_000
 BLOCK, COLUMNS = 64, 512
-LAST = 1 << 48  # added to a frequent shingle's hash
+LAST = 1 << 62  # added to a frequent shingle's hash
 #: Bytes of text that are hashed at a time, and shingles that are counted together.
 CHUNK = 1 << 19
 COUNTED = 2_000_000
@@ -155,7 +155,7 @@ class Shingler:
     def _shingles(self, words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         many = np.bincount(owner, minlength=n)
         begin = np.cumsum(many) - many
-        found = []
+        values, owners = [], []
         for width in range(1, SHINGLE + 1):
             if width < SHINGLE:  # a short text is one shingle
                 at = begin[many == width]
@@ -165,11 +165,16 @@ class Shingler:
             h = np.full(len(at), width, dtype=np.uint64)
             for k in range(width):
                 h += words[at + k] * PLACES[k]
-            found.append((owner[at].astype(np.uint64) << np.uint64(48)) | (_mixed(h) >> np.uint64(16)))
-        keys = np.sort(np.concatenate(found))
-        keys = keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
-        starts = np.searchsorted(keys, np.arange(n + 1, dtype=np.uint64) << np.uint64(48))
-        return (keys & np.uint64(LAST - 1)).astype(np.int64), starts
+            values.append((_mixed(h) >> np.uint64(2)).astype(np.int64))
+            owners.append(owner[at].astype(np.uint16))
+        values, owner = np.concatenate(values), np.concatenate(owners)
+        order = np.argsort(values)
+        order = order[np.argsort(owner[order], kind="stable")]
+        values, owner = values[order], owner[order]
+        if len(values):
+            once = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])]
+            values, owner = values[once], owner[once]
+        return values, np.searchsorted(owner, np.arange(n + 1))
 
 
 def class_of(own: np.ndarray) -> int:
