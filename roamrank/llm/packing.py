@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from roamrank.llm.batches import bound_batches, tidy
+from roamrank.llm.batches import bound_batches, give_back, tidy
 from roamrank.workspace import write_table
 
 CAPACITY = 2048
@@ -212,9 +213,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     inside = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = dealt.withColumn("_rank", F.row_number().over(inside) - 1).join(offsets, ["length", "_bucket"])
 
-    @F.pandas_udf("sequence_id bigint, offset bigint")
-    def place(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
-        length, rank = lengths.to_numpy(), ranks.to_numpy()
+    def placed_at(length: np.ndarray, rank: np.ndarray) -> pd.DataFrame:
         out = np.zeros((2, len(length)), dtype=np.int64)
         for value in np.unique(length):
             mine = np.flatnonzero(length == value)
@@ -225,6 +224,14 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             out[1, mine] = offset[run] + slot * value
         return pd.DataFrame({"sequence_id": out[0], "offset": out[1]})
 
+    @F.pandas_udf("sequence_id bigint, offset bigint")
+    def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        try:
+            for lengths, ranks in batches:
+                yield placed_at(lengths.to_numpy(), ranks.to_numpy())
+        finally:
+            give_back()
+
     placed = ranked.withColumn("_place", place("length", F.col("_before") + F.col("_rank")))
     return placed.select(*cut.columns, "_place.sequence_id", "_place.offset")
 
