@@ -10,16 +10,19 @@ order of the tree, and one pass writes each node's text when it comes first. Out
 packs: a text, the position at which each of its nodes begins in every conversation
 that holds it, and for each conversation the intervals of the pack that make it up.
 A token may attend to what comes before it in its own conversation's intervals, which
-are those of its ancestors. Positions and intervals count code points. A pack has one
-tree and ends beyond PACK characters; a larger tree goes on in the next pack, where
-the path to its first conversation is written again.
+are those of its ancestors. Positions and intervals count code points. Conversations
+with one path are one entry with a list of ids. A pack has one tree and ends beyond PACK
+characters or HELD ids and intervals; a larger tree goes on in the next pack, where
+the path to its first conversation is written again. So a pack is bounded, however
+many conversations are copies of one.
 
 A conversation longer than SEGMENT characters or SEGMENT_TURNS turns is a chain of
 segments, cut where the same turns are always cut. Segments that go on from the same node
-are a tree of their own, packed like the others and shared likewise. Such a pack names
-the packs and their intervals that lead up to it, in order: the ``ancestors`` of all that it
-holds, to which its tokens attend too. A row grows with its conversation by one such
-reference a segment, no other way. A pack is named by its first conversation and segment.
+are a tree of their own, packed like the others and shared likewise. Such a pack names the
+pack ``above`` it and the intervals there that lead up to it, to which the tokens of all that
+it holds attend too, and to what that pack in turn names. That is one reference a pack, so
+they grow with the segments alone; ``lineage`` follows them. A pack is named by its first
+conversation and segment.
 
 Turns are ordered by ``turn`` (nulls last), then role and text; null role or text counts
 as empty. Rows with a null conv_id are one conversation with that id. Repeated rows are
@@ -41,6 +44,10 @@ from roamrank.llm.batches import bound_batches
 from roamrank.workspace import write_table
 
 PACK = 200_000
+#: Ids and intervals of a pack.
+HELD = 20_000
+#: Characters of conversations cut out of their packs at a time.
+CUT_CHARS = 4 << 20
 SEGMENT = 100_000
 SEGMENT_TURNS = 256
 #: Bytes of each node's hash that paths are sorted by; nodes are compared by all of theirs.
@@ -53,10 +60,10 @@ PLAIN = {"\\\\": "\\", "\\l": "<", "\\g": ">"}
 TURN = re.compile(r"<turn ([^<>]*)>([^<>]*)</turn>\n")
 
 INTERVAL = "struct<begin:int,end:int>"
-ANCESTORS = f"array<struct<pack:string,intervals:array<{INTERVAL}>>>"
+ABOVE = f"struct<pack:string,intervals:array<{INTERVAL}>>"
 PACKS = (
     "pack string, text string, nodes array<struct<begin:int,end:int,position:bigint,parent:int>>, "
-    f"conversations array<struct<conv_id:bigint,known:boolean,segment:int,intervals:array<{INTERVAL}>>>"
+    f"conversations array<struct<ids:array<bigint>,known:boolean,segment:int,intervals:array<{INTERVAL}>>>"
 )
 
 
@@ -168,12 +175,21 @@ class _Pack:
         self.nodes: list[dict] = []
         self.conversations: list[dict] = []
         self.path: list[tuple[bytes, int]] = []  # node and its number in the pack
+        self.held = 0
+
+    def full(self) -> bool:
+        return self.size > PACK or self.held >= HELD
 
     def add(self, conv_id, segment: int, position: int, nodes: list[bytes], parts: list[str]) -> None:
         shared = 0
         while shared < min(len(nodes), len(self.path)) and self.path[shared][0] == nodes[shared]:
             position += len(parts[shared])
             shared += 1
+        known, own_id = conv_id is not None, 0 if conv_id is None else conv_id
+        if self.conversations and shared == len(nodes) == len(self.path) and self.conversations[-1]["known"] == known:
+            self.conversations[-1]["ids"].append(own_id)
+            self.held += 1
+            return
         self.path = self.path[:shared]
         for node, part in zip(nodes[shared:], parts[shared:], strict=True):
             parent = self.path[-1][1] if self.path else -1
@@ -193,16 +209,17 @@ class _Pack:
                 own.append([at["begin"], at["end"]])
         self.conversations.append(
             {
-                "conv_id": 0 if conv_id is None else conv_id,
-                "known": conv_id is not None,
+                "ids": [own_id],
+                "known": known,
                 "segment": segment,
                 "intervals": [{"begin": a, "end": b} for a, b in own],
             }
         )
+        self.held += 1 + len(own)
 
     def row(self) -> tuple:
         first = self.conversations[0]
-        name = f"{first['conv_id'] if first['known'] else 'null'}:{first['segment']}"
+        name = f"{first['ids'][0] if first['known'] else 'null'}:{first['segment']}"
         return (name, "".join(self.text), self.nodes, self.conversations)
 
 
@@ -225,7 +242,7 @@ def packs(conversations: DataFrame, partitions: int | None = None) -> DataFrame:
             for conv_id, segment, position, above, nodes, parts in rows:
                 nodes = [bytes(n) for n in nodes]
                 tree = (int(segment), bytes(above) or nodes[0])
-                if pack.conversations and (pack.size > PACK or tree != root):
+                if pack.conversations and (pack.full() or tree != root):
                     out.append(pack.row())
                     pack = _Pack()
                 root = tree
@@ -234,46 +251,61 @@ def packs(conversations: DataFrame, partitions: int | None = None) -> DataFrame:
         if pack.conversations:
             yield _frame([pack.row()], COLUMNS)
 
-    return _with_ancestors(write_table(dealt.mapInPandas(write, PACKS), "packs"))
+    return _with_above(write_table(dealt.mapInPandas(write, PACKS), "packs"))
 
 
 COLUMNS = "pack string, text string, nodes string, conversations string"
 
 
-def _with_ancestors(made: DataFrame) -> DataFrame:
-    """The packs with ``ancestors``, those of the earlier segments of the conversation that each is named by."""
+def _with_above(made: DataFrame) -> DataFrame:
+    """The packs with ``above``: the pack that holds the segment before that of the conversation that names each."""
     first = F.col("conversations")[0]
     deep = first["segment"] > 0
     own = made.where(deep).select(
-        F.col("pack").alias("_pack"), first["known"].alias("known"), first["conv_id"].alias("conv_id"), first["segment"].alias("_deep")
+        F.col("pack").alias("_pack"),
+        first["known"].alias("known"),
+        first["ids"][0].alias("conv_id"),
+        (first["segment"] - 1).alias("segment"),
     )
     held = made.select("pack", F.explode("conversations").alias("c")).select(
-        "pack", "c.known", "c.conv_id", "c.segment", "c.intervals"
+        "pack", "c.known", "c.segment", "c.intervals", F.explode("c.ids").alias("conv_id")
     )
-    met = own.join(held, ["known", "conv_id"]).where(F.col("segment") < F.col("_deep"))
-    led = met.groupBy(F.col("_pack").alias("pack")).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("segment", "pack", "intervals"))),
-            lambda x: F.struct(x["pack"].alias("pack"), x["intervals"].alias("intervals")),
-        ).alias("ancestors")
+    # A conversation's segment is in one pack and names at most one, so this is row to row.
+    led = own.join(held, ["known", "conv_id", "segment"]).select(
+        F.col("_pack").alias("pack"), F.struct("pack", "intervals").alias("above")
     )
-    shallow = made.where(~deep).withColumn("ancestors", F.array().cast(ANCESTORS))
+    shallow = made.where(~deep).withColumn("above", F.lit(None).cast(ABOVE))
     return shallow.unionByName(made.where(deep).join(led, "pack"))
 
 
+def lineage(above: dict[str, dict | None], pack: str) -> list[dict]:
+    """The references that lead up to a pack, the first segment's first; ``above`` holds those of its tree's packs."""
+    found = []
+    while (now := above[pack]) is not None:
+        found.append(now)
+        pack = now["pack"]
+    return found[::-1]
+
+
 def unpacked(packed: DataFrame) -> DataFrame:
     """The formatted text of every conversation's segment, cut out of its pack by its intervals."""
+    schema = "conv_id bigint, segment int, formatted string"
 
     def cut(batches):
         for pdf in batches:
-            out = []
+            out, size = [], 0
             for text, held in zip(pdf["text"], pdf["conversations"], strict=True):
                 for c in held:
                     own = "".join(text[i["begin"] : i["end"]] for i in c["intervals"])
-                    out.append((c["conv_id"] if c["known"] else None, c["segment"], own))
-            yield _frame(out, "conv_id bigint, segment int, formatted string")
-
-    return packed.select("text", "conversations").mapInPandas(cut, "conv_id bigint, segment int, formatted string")
+                    for conv_id in c["ids"]:
+                        out.append((int(conv_id) if c["known"] else None, c["segment"], own))
+                        size += len(own)
+                        if size > CUT_CHARS:
+                            yield _frame(out, schema)
+                            out, size = [], 0
+            yield _frame(out, schema)
+
+    return packed.select("text", "conversations").mapInPandas(cut, schema)
 
 
 DIGESTS = (

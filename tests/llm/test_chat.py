@@ -124,18 +124,21 @@ def check_trees(packed, rows):
     assert sum(len(p["nodes"]) for p in packed) == len(prefixes)
     assert sum(len(p["text"]) for p in packed) == sum(len(p[-1]) for p in prefixes)
     text_of = {p["pack"]: p["text"] for p in packed}
+    above = {p["pack"]: p["above"] for p in packed}
     assert len(text_of) == len(packed)
     cut = lambda text, intervals: "".join(text[i["begin"] : i["end"]] for i in intervals)
     seen = {}
     for p in packed:
-        before = "".join(cut(text_of[a["pack"]], a["intervals"]) for a in p["ancestors"])
+        led = chat_tree.lineage(above, p["pack"])
+        before = "".join(cut(text_of[a["pack"]], a["intervals"]) for a in led)
         roots = {n["position"] for n in p["nodes"] if n["parent"] < 0}
         assert roots == {len(before)}
         for c in p["conversations"]:
             upto = before + cut(p["text"], c["intervals"])
-            assert "".join(whole[c["conv_id"]]).startswith(upto)
-            assert len(p["ancestors"]) == c["segment"]
-            seen[c["conv_id"]] = max(seen.get(c["conv_id"], ""), upto, key=len)
+            assert len(led) == c["segment"]
+            for i in c["ids"]:
+                assert "".join(whole[i]).startswith(upto)
+                seen[i] = max(seen.get(i, ""), upto, key=len)
     assert seen == {i: "".join(w) for i, w in whole.items()}
 
 
@@ -158,3 +161,37 @@ def test_deep_branches_are_in_depth_first_order(spark):
     for i in range(24):
         rows += turn_rows(i, *shared, f"branch {i % 3}", f"twig {i % 6}", *(f"leaf {i}" for _ in range(i % 2)))
     check_trees(chat_tree.packs(frame(spark, rows), partitions=1).collect(), rows)
+
+
+def test_references_grow_with_segments(spark):
+    """A conversation of n segments has n - 1 references, its copies none of their own."""
+    for n in (10, 20, 40):
+        texts = [f"turn {t}" for t in range(n * chat_tree.SEGMENT_TURNS)]
+        rows = turn_rows(1, *texts) + turn_rows(2, *texts)
+        packed = chat_tree.packs(frame(spark, rows), partitions=1).collect()
+        assert sum(p["above"] is not None for p in packed) == n - 1
+        assert sum(len(c["intervals"]) for p in packed for c in p["conversations"]) == n
+        assert [list(c["ids"]) for p in packed for c in p["conversations"]] == [[1, 2]] * n
+
+
+def test_packs_are_bounded_where_a_third_of_all_are_copies(spark, monkeypatch):
+    monkeypatch.setattr(chat_tree, "HELD", 50)
+    rows = [r for i in range(300) for r in turn_rows(i, "same", "answer")]
+    rows += [r for i in range(300, 900) for r in turn_rows(i, f"own {i % 200}", f"answer {i}")]
+    rows += [(None, 0, "user", "same"), (None, 1, "assistant", "answer")]
+    table = chat_tree.packs(frame(spark, rows), partitions=2)
+    packed = table.collect()
+    for p in packed:
+        held = p["conversations"]
+        assert sum(len(c["ids"]) for c in held) <= 50
+        assert sum(len(c["ids"]) + len(c["intervals"]) for c in held) <= 50 + 3
+    copies = [c for p in packed for c in p["conversations"] if c["ids"][0] < 300 and c["known"]]
+    assert sorted(i for c in copies for i in c["ids"]) == list(range(300)) and len(copies) <= 300 / 49 + 2
+    assert {r["conv_id"]: tuple(r)[1:] for r in chat_tree.digests(table).collect()} == expected(rows)
+
+
+def test_equal_conversations_are_cut_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(chat_tree, "CUT_CHARS", 100)
+    rows = [r for i in range(40) for r in turn_rows(i, "same " * 5, "answer")]
+    got = {r["conv_id"]: tuple(r)[1:] for r in chat_tree.digests(chat_tree.packs(frame(spark, rows))).collect()}
+    assert got == expected(rows)
