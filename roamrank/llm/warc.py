@@ -4,7 +4,8 @@ Archives hold one gzip member for each record; a member states its compressed le
 in its header, so a reader can step over it. A scan plans its partitions from the
 files' sizes, takes filters on record type and the other header columns, reads a
 record's header first, and inflates the payload only if the record is wanted and the
-requested schema has a payload column. Files are reached through ``pyarrow.fs``, so a
+requested schema has a payload column. Archives without compression (``.warc``) are read
+likewise, and a block that isn't wanted is stepped over by its length. Files are reached through ``pyarrow.fs``, so a
 path may be in any store that it knows; it must be one that all executors reach.
 
 ``write_pages``: a null html is an empty payload, a null url leaves out the header,
@@ -46,7 +47,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from roamrank.llm.batches import bound_batches
-from roamrank.workspace import new_path
+from roamrank.operators.joins import lookup_join
+from roamrank.workspace import new_path, write_table
 
 #: What an archive row holds; a reader may ask for any of these columns.
 SCHEMA = (
@@ -184,6 +186,45 @@ class Input:
             self.data, self.at = b"", 0
 
 
+def _header(head: bytes) -> dict:
+    lines = head.decode("utf-8", "replace").split("\r\n")
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+
+
+def _payload(header: dict, block: bytes, whole: int) -> bytes:
+    """What of a record's payload is in ``block``, the begin of ``whole`` bytes; its length goes to the header."""
+    http, end, payload = block.partition(b"\r\n\r\n")
+    told = re.search(rb"(?im)^content-length: *(\d+)", http)
+    header["payload-length"] = int(told[1]) if told else whole - len(http) - len(end)
+    return payload
+
+
+def plain_records(file, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | None]]:
+    """``records`` of an archive without compression."""
+    source = Input(file)
+    while source.fill(1):
+        while (end := source.data.find(b"\r\n\r\n", source.at)) < 0:
+            if not source.fill(len(source.data) - source.at + 1):
+                raise ValueError("a record without a header")
+        header = _header(source.data[source.at : end])
+        source.at = end + 4
+        limit = int(header["content-length"])
+        if wanted(header):
+            have = limit if with_payload else min(limit, 4096)
+            whole = source.fill(have)
+            while whole and have < limit and b"\r\n\r\n" not in source.data[source.at : source.at + have]:
+                have = min(limit, 2 * have)
+                whole = source.fill(have)
+            if not whole:
+                raise ValueError("an archive ends within a record")
+            payload = _payload(header, source.data[source.at : source.at + have], limit)
+            yield header, (payload if with_payload else None)
+        source.skip(limit)
+        if not source.fill(4) or source.data[source.at : source.at + 4] != b"\r\n\r\n":
+            raise ValueError("an archive ends within a record")
+        source.at += 4
+
+
 def records(file, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | None]]:
     """The header of every wanted record, and its payload if asked for.
 
@@ -222,8 +263,7 @@ def records(file, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | No
                 raise ValueError("a record without a header")
             text += got
         head, _, rest = text.partition(b"\r\n\r\n")
-        lines = head.decode("utf-8", "replace").split("\r\n")
-        header = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+        header = _header(head)
         take = wanted(header)
         if take:
             limit = int(header["content-length"])
@@ -232,10 +272,10 @@ def records(file, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | No
             # A revisit's block is an HTTP header, which tells the payload's length.
             while have < limit and (with_payload or b"\r\n\r\n" not in b"".join(parts)):
                 parts.append(more(1 << 16))
+                if not parts[-1]:
+                    raise ValueError("a record is shorter than its header says")
                 have += len(parts[-1])
-            http, _, payload = b"".join(parts)[:limit].partition(b"\r\n\r\n")
-            told = re.search(rb"(?im)^content-length: *(\d+)", http)
-            header["payload-length"] = int(told[1]) if told else len(payload)
+            payload = _payload(header, b"".join(parts)[:limit], limit)
             yield header, (payload if with_payload else None)
         if inflater.eof:
             source.at -= len(inflater.unused_data)
@@ -273,7 +313,7 @@ class WarcReader(DataSourceReader):
         store, folder = _store(self.path)
         found = store.get_file_info(pafs.FileSelector(folder))
         manifests = [f for f in found if f.base_name.startswith(MANIFEST)]
-        found = [f for f in found if f.path.endswith(".warc.gz")]
+        found = [f for f in found if f.path.endswith((".warc.gz", ".warc"))]
         if manifests:
             names: set[str] = set()
             for manifest in manifests:
@@ -310,7 +350,8 @@ class WarcReader(DataSourceReader):
         rows, size = [], 0
         for path in partition.paths:
             with store.open_input_file(path) as file:
-                for header, payload in records(file, self._wanted, with_payload):
+                read = records if path.endswith(".gz") else plain_records
+                for header, payload in read(file, self._wanted, with_payload):
                     if payload is not None and header["warc-type"] == "response":
                         # The header is optional, and other digests are as good.
                         kind, _, told = header.get("warc-payload-digest", "").partition(":")
@@ -380,9 +421,9 @@ def page_records(pages: DataFrame, date: str = "2000-01-01T00:00:00Z") -> DataFr
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     own = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
     firsts = own.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    # Only payloads that occur more than once are looked up. A payload with a
-    # third of all rows is one row here, and its pages are split by the join.
-    joined = own.join(firsts.where("n > 1").select("sha1", "first"), "sha1", "left")
+    # Only digests that occur more than once are looked up, so payloads are shuffled only if those are many.
+    repeated = write_table(firsts.where("n > 1").select("sha1", "first"), "repeated")
+    joined = lookup_join(own, repeated, "sha1", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit(PAGE), F.coalesce(c.cast("string"), F.lit("")))
     return joined.select(

@@ -144,3 +144,46 @@ def test_foreign_responses_with_other_digests_or_none(spark, tmp_path):
     (folder / "a.warc.gz").write_bytes(gzip.compress(plain.replace(line, right.replace(right[-3:], b"aaa"))))
     with pytest.raises(Exception, match="digest"):
         warc.scan(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize("payload", [True, False])
+def test_archives_without_compression(payload):
+    """Records as from gzip members; blocks that aren't wanted are never read."""
+    many = [record(i, b"x" * 50_000 * i) for i in range(4)] + [record(4, b"", "revisit"), record(5, b"a\r\n\r\nb")]
+    plain = b"".join(gzip.decompress(m) for m in many)
+    wanted = lambda h: h["warc-record-id"] != "<r2>"
+    assert list(warc.plain_records(io.BytesIO(plain), wanted, payload)) == list(
+        warc.records(io.BytesIO(b"".join(many)), wanted, payload)
+    )
+    big = gzip.decompress(record(1, b"y" * 20_000_000)) + gzip.decompress(record(2, b"last"))
+    file = Counting(big)
+    assert [h["payload-length"] for h, _ in warc.plain_records(file, lambda h: h["warc-record-id"] == "<r2>", payload)] == [4]
+    assert file.taken < len(big) / 2
+    for cut in (10, 60_000, len(plain) - 2):
+        with pytest.raises(ValueError):
+            list(warc.plain_records(io.BytesIO(plain[:cut]), lambda h: True, True))
+
+
+def test_lengths_of_foreign_payloads_without_an_http_length():
+    plain = gzip.decompress(record(1, b"z" * 300_000))
+    told = b"Content-Length: 300000\r\n\r\n"
+    other = plain.replace(told, b"Server: x".ljust(len(told) - 4) + b"\r\n\r\n")
+    assert len(other) == len(plain) and other != plain
+    for payload in (True, False):
+        for read, data in ((warc.records, gzip.compress(other)), (warc.plain_records, other)):
+            ((header, _),) = read(io.BytesIO(data), lambda h: True, payload)
+            assert header["payload-length"] == 300_000
+
+
+def test_compressed_and_plain_archives_in_one_folder(spark, tmp_path):
+    bare = lambda i, p: gzip.decompress(record(i, p)).replace(b"WARC-Payload-Digest: sha1:X\r\n", b"")
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(bare(1, b"one")) + gzip.compress(bare(2, b"two")))
+    (tmp_path / "b.warc").write_bytes(bare(3, b"three"))
+    (tmp_path / "c.txt").write_bytes(b"none")
+    got = warc.scan(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r["payload"]) for r in got) == [b"one", b"three", b"two"]
+
+
+def test_payloads_are_not_shuffled(spark, pages):
+    plan = warc.page_records(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
