@@ -8,7 +8,8 @@ each row scored without having been trained on, and shifted to the share of toxi
 
 It may learn from rows whose crc32(doc_id as text) mod 3 is not 1 and is fitted on a
 bounded sample of them: the MAX_TOXIC toxic and MAX_CLEAN clean ids with the
-smallest hashes. Null or empty texts have the score of the bias alone; without
+smallest hashes, each once: of several rows with an id the smallest text trains, nulls
+last. Null or empty texts have the score of the bias alone; without
 labels of both kinds every score is the share of toxic ones among those there are (0
 if none). A null doc_id is never held out and never trains. Of several labels for a
 document the largest counts. Repeated rows get equal scores; whole texts are read.
@@ -126,7 +127,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None
     ]
     # MAX_TOXIC + MAX_CLEAN rows of two numbers at most.
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    return docs.select("doc_id", "text").join(chosen, "doc_id"), share
+    found = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # Repeated rows are combined before the shuffle, so the bound on ids is one on rows.
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), share
 
 
 def _hashed(batches):

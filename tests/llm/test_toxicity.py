@@ -1,6 +1,8 @@
+import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +80,71 @@ def test_columns_by_hand():
     one, two = (hasher.columns(t) for t in ("A b, c!", "a  B c"))
     assert one.tolist() == two.tolist() and len(one) == 3 + 2 + 1
     assert hasher.columns(None).size == hasher.columns(" ;").size == 0
+
+
+def plain_columns(text):
+    """Distinct columns of a text, a number at a time."""
+    ids = [zlib.crc32(w.encode()) for w in toxicity.WORDS.findall((text or "").lower())]
+    wide = (1 << 64) - 1
+    mixed = list(ids)
+    mixed += [(a * 0x9E3779B97F4A7C15 & wide) ^ b for a, b in zip(ids, ids[1:])]
+    mixed += [(a * 0xC2B2AE3D27D4EB4F & wide) ^ (b + 0x5851F42D) for a, b in zip(ids, ids[2:])]
+    return sorted({((m * 0xD6E8FEB86659FD93 & wide) >> 32) % toxicity.SPACE for m in mixed})
+
+
+def plain_ftrl(rows):
+    """FTRL-proximal as published, a coordinate at a time: weights by column, the bias under None."""
+    z, n = {}, {}
+
+    def weight(i):
+        l1, pull = (0.0 if i is None else toxicity.L1), z.get(i, 0.0)
+        if abs(pull) <= l1:
+            return 0.0
+        return -(pull - math.copysign(l1, pull)) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for columns, label in rows:
+            w = {i: weight(i) for i in [*columns, None]}
+            g = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w.values()))))) - label
+            for i, own in w.items():
+                before = n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(before)) / toxicity.ALPHA * own
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_columns_equal_plain_ones():
+    hasher = toxicity.Hasher()
+    for text in ("", "one", "one two", "One, two; THREE four one two", "é ß 日本 x_y 12"):
+        assert np.unique(hasher.columns(text)).tolist() == plain_columns(text)
+
+
+def test_scores_equal_those_of_plain_ftrl(spark, planted):
+    """The query's model and scores, against a model trained a coordinate at a time."""
+    docs, labels = planted
+    model = toxicity.fit(docs, labels)
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id", F.lit(1)).alias("rank")).collect()
+    ordered = sorted((r for r in texts if not held(r["doc_id"])), key=lambda r: r["rank"])
+    weights = plain_ftrl([(plain_columns(r["text"]), truth[r["doc_id"]]) for r in ordered])
+    bias = weights.pop(None)
+    assert model.bias == pytest.approx(bias, abs=1e-3)
+    got = dict(zip(model.columns.tolist(), model.weights.tolist(), strict=True))
+    assert all(got.get(i, 0.0) == pytest.approx(weights.get(i, 0.0), abs=1e-3) for i in {*got, *weights})
+    scores = {r["doc_id"]: r["score"] for r in toxicity.judge(docs, labels, model).collect()}
+    for r in texts:
+        margin = bias + sum(weights.get(c, 0.0) for c in plain_columns(r["text"]))
+        expected = 1 / (1 + math.exp(-(model.slope * margin + model.shift)))
+        assert scores[r["doc_id"]] == pytest.approx(expected, abs=5e-3)
+
+
+def test_an_id_trains_once_however_often_it_is_repeated(spark, planted):
+    docs, labels = planted
+    one = next(r["doc_id"] for r in docs.orderBy("doc_id").collect() if not held(r["doc_id"]))
+    again = docs.where(F.col("doc_id") == one).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("_n")
+    repeated = docs.unionByName(again).unionByName(again.limit(1).withColumn("text", F.lit(None).cast("string")))
+    sample, _ = toxicity._sample(repeated, labels)
+    assert sample.count() == sample.select("doc_id").distinct().count() == sum(not held(i) for i in range(1, 901))
+    a, b = toxicity.fit(docs, labels), toxicity.fit(repeated, labels)
+    assert a.columns.tolist() == b.columns.tolist() and a.weights.tolist() == b.weights.tolist()
+    assert (a.bias, a.slope, a.shift) == (b.bias, b.slope, b.shift)
