@@ -6,7 +6,8 @@ Which bins arise depends only on how many pieces there are of each length, so th
 packing is worked out from that histogram (one number for each length up to the
 capacity, whatever the corpus), a whole run of equal bins at a time. Each piece then
 finds its place by its rank among the pieces of its length, and ranks come from
-counts of bounded buckets, so no length, however frequent, is in one task.
+counts of bounded buckets, so no length, however frequent, is in one task, and no
+row that is repeated: buckets depend on the place of a row in its written table, too.
 
 Null text counts as empty; a document without tokens is its end token. Null and
 repeated ids are packed like others, one row each; equal pieces may swap places.
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -197,16 +198,22 @@ def _places(bins: list[Bins], capacity: int):
     return {length: np.array(rows, dtype=np.int64).T for length, rows in enumerate(found) if rows}
 
 
+def _bucket(buckets: int) -> Column:
+    """Where a piece is ranked. Equal rows differ in where they lie, which is the same at each reading."""
+    lies = (F.col("_metadata.file_name"), F.floor(F.col("_metadata.row_index") / BUCKET))
+    return F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", *lies), F.lit(buckets))
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give every piece a ``sequence_id`` and its ``offset`` there; ``cut`` has the columns of ``pieces``.
 
-    ``cut`` is read three times, so it should be a written table.
+    ``cut`` is read three times, so it has to be a table of ``write_table``.
     """
     # One row for each length, at most ``capacity`` of them, comes to the driver.
     counts = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = _places(plan(counts, capacity), capacity)
     buckets = 1 + sum(counts.values()) // BUCKET
-    dealt = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    dealt = cut.withColumn("_bucket", _bucket(buckets))
     sizes = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

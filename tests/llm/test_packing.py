@@ -137,3 +137,20 @@ def test_awkward_rows(spark, tokenizer):
     assert sum(r["doc_id"] is None for r in rows) == 2
     assert sum(r["doc_id"] == 5 for r in rows) == 3
     assert packing.pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_repeated_rows_are_ranked_in_several_tasks(spark, tokenizer, monkeypatch):
+    """One row 3,000 times: no bucket holds much more than its share, and all of them are packed."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(packing, "BUCKET", 100)
+    docs = documents(spark, [(7, "the same text again")]).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(3000))))
+    docs = docs.repartition(4, "_n").drop("_n")
+    cut = packing.write_table(packing.pieces(docs, PATH, 256, False), "pieces")
+    sizes = [r["count"] for r in cut.groupBy(packing._bucket(31).alias("b")).count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) > 10 and max(sizes) <= 1000
+    rows = packing.pack(cut, 256).collect()
+    ids = [*ids_of(tokenizer, "the same text again"), 0]
+    assert len(rows) == len({(r["sequence_id"], r["offset"]) for r in rows}) == 3000
+    assert all(r["length"] == len(ids) and r["offset"] % len(ids) == 0 for r in rows)
+    assert len({r["sequence_id"] for r in rows}) == -(-3000 // (256 // len(ids)))
