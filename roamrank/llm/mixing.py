@@ -22,7 +22,8 @@ the input stay; those that are added replace columns of the same name.
 
 A source's order is cut into buckets of about BUCKET rows by the hash, and a word count
 before a row is that before its bucket plus that within it, so a source with a third of
-all rows is as many tasks as its rows ask for.
+all rows is as many tasks as its rows ask for. Rows of an id that has more than BUCKET,
+as null may, come last in their bucket and are parted by a hash of their texts, so only rows that repeat id and text stay together. Reruns part them alike.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roamrank.operators.joins import lookup_join
+from roamrank.operators.joins import FAN_OUT, HotKeys, hot_keys, lookup_join
 from roamrank.workspace import write_table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,6 +88,15 @@ def position(share: Column, slope: Column) -> Column:
     return F.when(slope == 0, share).otherwise(root)
 
 
+def _parted(rows: DataFrame, hot: HotKeys) -> DataFrame:
+    """``rows`` with ``_part``: 0, or for an id with many rows one of the parts that these ask for."""
+    if hot.table is None:
+        return rows.withColumn("_part", F.lit(0).cast("bigint"))
+    found = lookup_join(rows, hot.table, "_hash", "left")
+    part = F.when(F.col(FAN_OUT).isNull(), 0).otherwise(1 + F.pmod("_salt", FAN_OUT))
+    return found.withColumn("_part", part.cast("bigint")).drop(FAN_OUT)
+
+
 def mix(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -102,26 +112,28 @@ def mix(
     ``light`` only doc_id and source are kept of the input, and texts are read once.
     """
     kept = [] if light else [F.struct(*[c for c in docs.columns if c not in ADDED]).alias("_document")]
-    own = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), *kept)
+    own = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.col("text").alias("_text"), *kept)
     own = own.withColumn("_key", _key(F.col("source"))).withColumn("_hash", _hash(F.col("doc_id")))
+    own = own.withColumn("_salt", F.xxhash64("size", F.col("_text"))).drop("_text")
     # What the plan reads again and again is small; texts are read once more, at the end.
-    slim = write_table(own.select("doc_id", "source", "size", "_key", "_hash"), "sizes")
+    slim = write_table(own.select("doc_id", "source", "size", "_key", "_hash", "_salt"), "sizes")
+    hot = hot_keys(slim, "_hash", BUCKET)
     sources = targets(slim, weights, slopes, share, cap)
     sources = write_table(sources.withColumn("_key", _key(F.col("source"))).drop("source"), "sources")
     told = sources.select("_key", "source_id", "source_size", "rows", "slope", "target")
     bucket = F.shiftright("_hash", 20) * (1 + F.floor(F.col("rows") / BUCKET))
     bucket = F.shiftright(bucket, 32).alias("_bucket")
     sums = (
-        lookup_join(slim, told.select("_key", "source_id", "rows"), "_key")
-        .groupBy("source_id", bucket)
+        _parted(lookup_join(slim, told.select("_key", "source_id", "rows"), "_key"), hot)
+        .groupBy("source_id", bucket, "_part")
         .agg(F.sum("size").alias("_words"))
     )
-    earlier = Window.partitionBy("source_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select("source_id", "_bucket", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_begin"))
+    earlier = Window.partitionBy("source_id").orderBy("_bucket", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select("source_id", "_bucket", "_part", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_begin"))
     begins = write_table(begins, "buckets")
-    placed = lookup_join(slim if light else own, told, "_key").withColumn("_bucket", bucket)
-    inside = Window.partitionBy("source_id", "_bucket").orderBy("_hash", "doc_id", "size")
-    placed = placed.join(begins, ["source_id", "_bucket"])
+    placed = _parted(lookup_join(slim if light else own, told, "_key").withColumn("_bucket", bucket), hot)
+    inside = Window.partitionBy("source_id", "_bucket", "_part").orderBy("_hash", "doc_id", "size", "_salt")
+    placed = placed.join(begins, ["source_id", "_bucket", "_part"])
     within = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = placed.withColumn("_begin", F.col("_begin") + within)
     budget = F.floor(F.col("target")).cast("bigint")

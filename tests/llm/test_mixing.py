@@ -99,3 +99,26 @@ def test_no_source_with_a_target_vanishes(spark):
     target = {r["source"]: r["target"] for r in mixing.mix(docs, whole=True, **options).collect()}
     words = sum(len(r["text"].split()) for r in taken if r["source"] == "a")
     assert abs(words - target["a"]) <= 5
+
+
+@pytest.mark.parametrize("light", [False, True])
+def test_rows_without_an_id_are_placed_in_parts(spark, monkeypatch, light):
+    """A third of all rows have no id: no window has them all, targets are met to the word, and reruns agree."""
+    monkeypatch.setattr(mixing, "BUCKET", 20)
+    rng = random.Random(8)
+    rows = [(i if i % 3 else None, words(rng, rng.randrange(0, 30)), "ab"[i % 2]) for i in range(900)]
+    docs = documents(spark, rows)
+    found = []
+    parted = mixing._parted
+    monkeypatch.setattr(mixing, "_parted", lambda *a: found.append(parted(*a)) or found[-1])
+    mixed = mixing.mix(docs, light=light).collect()
+    sizes = found[-1].groupBy("source_id", "_bucket", "_part").count().collect()
+    assert max(r["count"] for r in sizes) <= 60 and sum(r["count"] for r in sizes) == 900
+    assert len(mixed) == 900
+    for s in "ab":
+        own = [r for r in mixed if r["source"] == s]
+        assert sum(r["taken"] for r in own) == int(own[0]["target"] + 1e-9)
+        starts = sorted((c["position"], c["words"]) for r in own for c in r["copies"])
+        assert len({at for at, _ in starts}) == len(starts)  # no two begin at one place
+    told = lambda rows: sorted(((r["doc_id"], r["size"], r["taken"], str(r["copies"])) for r in rows), key=str)
+    assert told(mixing.mix(docs.repartition(5), light=light).collect()) == told(mixed)
