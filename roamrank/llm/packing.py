@@ -36,8 +36,8 @@ CAPACITY = 2048
 END = 0
 #: Pieces of a length that are ranked together, about.
 BUCKET = 20_000
-#: Words, and parts of words, that a task's tokenizer remembers before it starts over.
-WORDS, PARTS = 150_000, 250_000
+#: Words, and runs of signs after words, that a task's tokenizer remembers before it starts over.
+WORDS, SIGNS = 400_000, 10_000
 
 # A run of basic Latin or Latin-1 letters, then ASCII signs but the apostrophe:
 # the two parts are tokens of their own, and neither changes under NFC.
@@ -54,6 +54,7 @@ class Encoder(dict):
 
     The tokenizer drops white space and works on each word alone, so a word's ids are
     remembered. Words of plain letters go straight to its model, others through all of it.
+    A word with capitals or signs is its letters in lower case, a word too, and the signs.
     """
 
     def __init__(self, path: str) -> None:
@@ -61,31 +62,36 @@ class Encoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
         # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
         # others in order for the characters from 256.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
+    def _model(self, part: str) -> bytes:
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _signs(self, signs: str) -> bytes:
+        found = self.signs.get(signs)
         if found is None:
-            if len(self.parts) > PARTS:
-                self.parts.clear()
-            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(spelled)]
-            found = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.signs) > SIGNS:
+                self.signs.clear()
+            found = self.signs[signs] = self._model(signs)
         return found
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > WORDS:
             self.clear()
         m = PLAIN.fullmatch(word) if len(word) < 200 else None
-        if m:
-            ids = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"")
-        else:
+        if not m:
             ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        elif (letters := m[1].lower()) == word:
+            ids = self._model(word)
+        else:
+            ids = self[letters] + (self._signs(m[2]) if m[2] else b"")
         self[word] = ids
         return ids
 
