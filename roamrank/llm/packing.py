@@ -21,9 +21,12 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,62 +39,113 @@ CAPACITY = 2048
 END = 0
 #: Pieces of a length that are ranked together, about.
 BUCKET = 20_000
-#: Words, and parts of words, that a task's tokenizer remembers before it starts over.
-WORDS, PARTS = 150_000, 250_000
-
-# A run of basic Latin or Latin-1 letters, then ASCII signs but the apostrophe:
-# the two parts are tokens of their own, and neither changes under NFC.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Parts of words that a task's tokenizer remembers before it starts over, and how many it learns at a time.
+PARTS, TOGETHER = 400_000, 1_000
+#: Characters from which on a word isn't remembered.
+LONG = 200
+
+# Basic Latin and Latin-1 letters, and ASCII signs but the apostrophe: a run of the
+# former, then one of the latter, are tokens of their own, and neither changes under NFC.
+LETTERS = "".join(c for c in map(chr, [*range(65, 91), *range(97, 123), *range(192, 256)]) if c not in "×÷")
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*$"
 # The characters of Unicode's White_Space property.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 SPACES = re.compile("[" + "".join(map(chr, WHITE)) + "]+")
-# White space to str.split, but not to the tokenizer.
-ODD = re.compile("[" + "".join(map(chr, range(28, 32))) + "]")
+# White space to Arrow, but not to the tokenizer.
+ODD = r"[\x1c-\x1f]"
+
+
+def _gather(pool: np.ndarray, lengths: np.ndarray, taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``pool``, which lie there one after another, in the order ``taken``, and where each ends."""
+    starts = np.cumsum(lengths) - lengths
+    many = lengths[taken]
+    ends = np.cumsum(many)
+    at = np.repeat(starts[taken] - (ends - many), many)
+    at += np.arange(len(at))
+    return pool[at], ends
 
 
-class Encoder(dict):
-    """White-space separated words of a text to token ids, as little-endian 32-bit words.
+class Encoder:
+    """Texts to token ids, as little-endian 32-bit words.
 
-    The tokenizer drops white space and works on each word alone, so a word's ids are
-    remembered. Words of plain letters go straight to its model, others through all of it.
+    The tokenizer drops white space and works on each word alone, so only the different
+    words of a batch are looked at, and of these the different parts: letters in lower
+    case and the signs after them. The ids of parts are remembered. New parts go straight
+    to the tokenizer's model, many at a time, words of any other form through all of it.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.parts: dict[str, bytes] = {"": b""}
         # The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
-        # others in order for the characters from 256.
+        # others in order for the characters from 256. Spaces go between parts.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
-        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            if len(self.parts) > PARTS:
-                self.parts.clear()
-            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(spelled)]
-            found = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden) if b != 32}
+
+    def _learn(self, parts: list[str]) -> Iterator[bytes]:
+        """Ids of letters in lower case, and of signs."""
+        for first in range(0, len(parts), TOGETHER):
+            some = parts[first : first + TOGETHER]
+            spelled = " ".join(some)
+            if not spelled.isascii():
+                spelled = spelled.encode().decode("latin-1").translate(self.alphabet)
+            found = self.model.encode(spelled, add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            ends = 4 * (np.flatnonzero(np.diff(found.word_ids, append=-1)) + 1)
+            start = 0
+            for _, end in zip(some, ends.tolist(), strict=True):
+                yield ids[start:end]
+                start = end
+
+    def _ids(self, parts: list[str], whole: set[int]) -> list[bytes]:
+        """Ids of each part; those numbered in ``whole`` are words for the whole tokenizer."""
+        found = list(map(self.parts.get, parts))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.parts) + len(new) > PARTS:
+            self.parts = {"": b""}
+        plain = [i for i in new if i not in whole] if whole else new
+        for i, ids in zip(plain, self._learn([parts[i] for i in plain]), strict=True):
+            found[i] = self.parts[parts[i]] = ids
+        for i in whole.intersection(new):
+            ids = self.tokenizer.encode(parts[i], add_special_tokens=False).ids
+            found[i] = np.array(ids, dtype="<u4").tobytes()
+            if len(parts[i]) < LONG:
+                self.parts[parts[i]] = found[i]
         return found
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > WORDS:
-            self.clear()
-        m = PLAIN.fullmatch(word) if len(word) < 200 else None
-        if m:
-            ids = self._part(m[1].lower()) + (self._part(m[2]) if m[2] else b"")
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text; null is empty."""
+        texts = pc.fill_null(texts, "")
+        if pc.any(pc.match_substring_regex(texts, ODD)).as_py():
+            split = pa.array([SPACES.split(text) for text in texts.to_pylist()], pa.list_(texts.type))
         else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self[word] = ids
-        return ids
+            split = pc.utf8_split_whitespace(texts)
+        told = split.values.dictionary_encode()
+        words = told.dictionary
+        plain = pc.and_(pc.match_substring_regex(words, PLAIN), pc.less(pc.utf8_length(words), LONG))
+        letters = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(words, SIGNS)), words)
+        signs = pc.if_else(plain, pc.utf8_ltrim(words, LETTERS), "")
+        parts = pa.concat_arrays([letters, signs]).dictionary_encode()
+        first, second = parts.indices.to_numpy().reshape(2, -1)
+        whole = set(first[~plain.to_numpy(zero_copy_only=False)].tolist())
+        found = self._ids(parts.dictionary.to_pylist(), whole)
+
+        pool = np.frombuffer(b"".join(found), dtype="<u4")
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool, ends = _gather(pool, lengths, np.stack([first, second], axis=1).ravel())
+        pool, ends = _gather(pool, np.diff(ends[1::2], prepend=0), told.indices.to_numpy())
+        ids = pool.tobytes()
+        bounds = (4 * np.concatenate([[0], ends])[split.offsets.to_numpy()]).tolist()
+        return [ids[start:end] for start, end in pairwise(bounds)]
 
     def encode(self, text: str) -> bytes:
-        words = [w for w in SPACES.split(text) if w] if ODD.search(text) else text.split()
-        return b"".join(map(self.__getitem__, words))
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
@@ -104,19 +158,27 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
     def cut(batches):
         encoder = Encoder(tokenizer)
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = (encoder.encode(text) if text else b"") + struct.pack("<I", END)
+            for row, ids in enumerate(encoder.encode_all(batch.column("text"))):
+                ids += struct.pack("<I", END)
                 for piece, at in enumerate(range(0, len(ids), size)):
                     part = ids[at : at + size]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-            yield out if keep_ids else out.drop(columns="ids")
+                    rows.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
+            if rows:
+                row, piece, start, length, crc32, part = zip(*rows, strict=True)
+                columns = {
+                    "doc_id": batch.column("doc_id").take(pa.array(row)),
+                    "piece": pa.array(piece, pa.int32()),
+                    "start": pa.array(start, pa.int64()),
+                    "length": pa.array(length, pa.int64()),
+                    "ids_crc32": pa.array(crc32, pa.int64()),
+                }
+                yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(part, pa.binary())} if keep_ids else {}))
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * keep_ids
-    return docs.select("doc_id", "text").mapInPandas(tidy(cut), schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), schema)
 
 
 @dataclass

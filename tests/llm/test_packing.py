@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,6 +47,48 @@ def test_ids_of_the_given_texts(spark, tokenizer, encoder):
         assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids_of(tokenizer, text)
 
 
+class Counted:
+    """The tokenizer's model, and how often it is asked."""
+
+    def __init__(self, model):
+        self.model, self.calls = model, []
+
+    def __getattr__(self, name):
+        def asked(*args, **named):
+            self.calls.append(args[0])
+            return getattr(self.model, name)(*args, **named)
+
+        return asked
+
+
+def test_new_words_go_to_the_model_together_and_once(tokenizer):
+    rng = random.Random(3)
+    letters = ["".join(rng.choice("abcdefghiéü") for _ in range(9)) for _ in range(500)]
+    text = " ".join(f"{w} {w.capitalize()}, {w.upper()}! {w}" for w in letters)
+    encoder = packing.Encoder(PATH)
+    encoder.model = Counted(encoder.model)
+    assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == ids_of(tokenizer, text)
+    assert len(encoder.model.calls) == 1
+    encoder.encode(text)
+    assert len(encoder.model.calls) == 1
+
+
+@pytest.mark.parametrize("parts", [0, 40, 400_000])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_batches_of_texts(tokenizer, monkeypatch, parts, kind):
+    """The ids don't depend on the batch, on what is remembered or on how much is learned at a time."""
+    monkeypatch.setattr(packing, "PARTS", parts)
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    rng = random.Random(5)
+    odd = ["a\x1cb a\x1db", "it's it's <|endoftext|>x <|ENDOFTEXT|>", "Öl, öl; ÖL*** ×a÷ ÿ Ÿ", "z" * 300 + "," + " é" * 30]
+    plain = [None, "", "  \u3000 ", " a  b ", *[words(rng, 40) for _ in range(20)], "don't A1b2 é! ...", odd[1], odd[2], odd[3]]
+    encoder = packing.Encoder(PATH)
+    for texts in ([], [None, ""], plain, odd + plain, plain[::-1]):
+        array = pa.array(["not this one", *texts], kind).slice(1)
+        found = [np.frombuffer(ids, dtype="<u4").tolist() for ids in encoder.encode_all(array)]
+        assert found == [ids_of(tokenizer, text) for text in texts]
+
+
 def one_by_one(counts, capacity):
     """The same packing, a bin at a time."""
     left = dict(counts)
@@ -154,3 +197,10 @@ def test_repeated_rows_are_ranked_in_several_tasks(spark, tokenizer, monkeypatch
     assert len(rows) == len({(r["sequence_id"], r["offset"]) for r in rows}) == 3000
     assert all(r["length"] == len(ids) and r["offset"] % len(ids) == 0 for r in rows)
     assert len({r["sequence_id"] for r in rows}) == -(-3000 // (256 // len(ids)))
+
+
+def test_large_ids_beside_null_ids(spark):
+    """No id becomes a floating-point number on its way."""
+    docs = spark.createDataFrame([(2**53 + 1, "a b"), (None, "c"), (-(2**62) - 1, None)], "doc_id bigint, text string")
+    rows = packing.pack_documents(docs.coalesce(1), PATH, keep_ids=False).collect()
+    assert {r["doc_id"] for r in rows} == {2**53 + 1, None, -(2**62) - 1}
