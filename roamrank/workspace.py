@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of rows in memory that are worth a task of their own.
+TASK_BYTES = 4 << 20
+
 _scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
 
 
@@ -97,6 +100,15 @@ def sized(df: DataFrame, at_most: DataFrame | None = None) -> DataFrame:
     return df
 
 
+def gathered(df: DataFrame, most: int) -> DataFrame:
+    """``df`` in no more partitions than ``most`` bytes, about those of its rows, and the cores ask for.
+
+    A shuffle has as many tasks as the session says, and each would write a file,
+    wherever adaptive execution doesn't merge them. Partitions are merged, never parted.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-most // TASK_BYTES)))
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written files.
 

@@ -136,6 +136,39 @@ def test_smallest_root_of_long_chains(spark):
         assert roots.get(i, i) == start
 
 
+def test_roots_by_rounds_and_in_one_task_are_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    pairs = [(rng.randrange(-900, 900), rng.randrange(-900, 900)) for _ in range(1100)]
+    links = spark.createDataFrame([p for p in pairs if p[0] != p[1]], "a bigint, b bigint").repartition(13)
+    at_once = sorted(map(tuple, jaccard_join.components(links).collect()))
+    monkeypatch.setattr(jaccard_join, "JOINED", 100)
+    assert sorted(map(tuple, jaccard_join.components(links).collect())) == at_once
+    assert len({c for c, _ in at_once}) == len(at_once) and all(r < c for c, r in at_once)
+    assert jaccard_join.components(links.limit(0)).count() == 0
+
+
+def test_tasks_follow_the_rows_not_the_setting(spark, rows):
+    """With hundreds of shuffle partitions that nothing merges, few of the tasks write files or run Python."""
+    held = {"spark.sql.shuffle.partitions": "101", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    docs, context = documents(spark, rows), spark.sparkContext
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        context.setJobGroup("held", "held")
+        sets, _, component = brute(rows)
+        expected = {c if s else r[0] for r, s, c in zip(rows, sets, component)}
+        assert {r["doc_id"] for r in jaccard_join.distinct_documents(docs).collect()} == expected
+        jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup("held")]
+        stages = {i for j in jobs for i in j.stageIds}
+        tasks = sum(x.numCompletedTasks for i in stages if (x := context.statusTracker().getStageInfo(i)))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < tasks < 5_500, tasks
+
+
 def test_long_lists_send_on_whom_prefixes_allow():
     """Each linked pair passes in the list of its first common shingle, and few others do."""
     rng = random.Random(17)
