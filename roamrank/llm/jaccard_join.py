@@ -61,7 +61,7 @@ OFTEN, FREQUENT = 20, 1_000_000
 SHORT, LIST = 32, 1_000
 BLOCK, COLUMNS = 64, 512
 #: Edges that are joined up in one task.
-JOINED = 250_000
+JOINED = 100_000
 LAST = 1 << 62  # added to a frequent shingle's hash
 #: Bytes of text that are hashed at a time, and shingles that are counted together.
 CHUNK = 1 << 19
@@ -754,8 +754,10 @@ def components(links: DataFrame) -> DataFrame:
                 a, b = root(a), root(b)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-        tied = [(x, root(x)) for x in list(parent)]
-        yield pd.DataFrame([t for t in tied if t[0] != t[1]], columns=["u", "v"], dtype="int64")
+        nodes = np.fromiter(parent, np.int64, len(parent))
+        roots = np.fromiter(map(root, nodes.tolist()), np.int64, len(nodes))
+        tied = nodes != roots
+        yield pd.DataFrame({"u": nodes[tied], "v": roots[tied]})
 
     def joined_up(pairs: DataFrame) -> DataFrame:
         return write_table(pairs.mapInPandas(tidy(join_up), "u bigint, v bigint"), "edges")

@@ -41,6 +41,8 @@ END = 0
 BUCKET = 20_000
 #: Parts of words that a task's tokenizer remembers before it starts over, and how many it learns at a time.
 PARTS, TOGETHER = 400_000, 1_000
+#: Bytes of text that are encoded at a time, or one longer text.
+PORTION = 2 << 20
 #: Characters from which on a word isn't remembered.
 LONG = 200
 
@@ -61,11 +63,23 @@ def _gather(pool: np.ndarray, lengths: np.ndarray, taken: np.ndarray) -> tuple[n
     starts = np.cumsum(lengths) - lengths
     many = lengths[taken]
     ends = np.cumsum(many)
-    at = np.repeat(starts[taken] - (ends - many), many)
-    at += np.arange(len(at))
+    kind = np.int32 if max(len(pool), many.sum()) < 1 << 31 else np.int64
+    at = np.repeat((starts[taken] - (ends - many)).astype(kind), many)
+    at += np.arange(len(at), dtype=kind)
     return pool[at], ends
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with PORTION bytes of text each: what encoding needs beside them is many times as much."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
+    low = 0
+    while low < len(ends):
+        done = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + PORTION, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 class Encoder:
     """Texts to token ids, as little-endian 32-bit words.
 
@@ -126,7 +140,8 @@ class Encoder:
             split = pa.array([SPACES.split(text) for text in texts.to_pylist()], pa.list_(texts.type))
         else:
             split = pc.utf8_split_whitespace(texts)
-        told = split.values.dictionary_encode()
+        told, offsets = split.values.dictionary_encode(), split.offsets.to_numpy()
+        del split
         words = told.dictionary
         plain = pc.and_(pc.match_substring_regex(words, PLAIN), pc.less(pc.utf8_length(words), LONG))
         letters = pc.if_else(plain, pc.utf8_lower(pc.utf8_rtrim(words, SIGNS)), words)
@@ -141,7 +156,7 @@ class Encoder:
         pool, ends = _gather(pool, lengths, np.stack([first, second], axis=1).ravel())
         pool, ends = _gather(pool, np.diff(ends[1::2], prepend=0), told.indices.to_numpy())
         ids = pool.tobytes()
-        bounds = (4 * np.concatenate([[0], ends])[split.offsets.to_numpy()]).tolist()
+        bounds = (4 * np.concatenate([[0], ends])[offsets]).tolist()
         return [ids[start:end] for start, end in pairwise(bounds)]
 
     def encode(self, text: str) -> bytes:
@@ -158,7 +173,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
     def cut(batches):
         encoder = Encoder(tokenizer)
-        for batch in batches:
+        give_back()  # what reading the tokenizer's file needed
+        for batch in (part for whole in batches for part in _portions(whole)):
             rows = []
             for row, ids in enumerate(encoder.encode_all(batch.column("text"))):
                 ids += struct.pack("<I", END)

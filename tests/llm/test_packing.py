@@ -204,3 +204,13 @@ def test_large_ids_beside_null_ids(spark):
     docs = spark.createDataFrame([(2**53 + 1, "a b"), (None, "c"), (-(2**62) - 1, None)], "doc_id bigint, text string")
     rows = packing.pack_documents(docs.coalesce(1), PATH, keep_ids=False).collect()
     assert {r["doc_id"] for r in rows} == {2**53 + 1, None, -(2**62) - 1}
+
+
+def test_batches_are_encoded_in_portions(monkeypatch):
+    monkeypatch.setattr(packing, "PORTION", 10)
+    texts = ["a" * 4, None, "b" * 6, "c", "", "d" * 30, "e", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())})
+    parts = list(packing._portions(batch.slice(1)))
+    assert [x for part in parts for x in part.column("doc_id").to_pylist()] == list(range(1, len(texts)))
+    assert [part.column("text").to_pylist() for part in parts] == [[None, "b" * 6, "c", ""], ["d" * 30], ["e", None]]
+    assert not list(packing._portions(batch.slice(0, 0)))
