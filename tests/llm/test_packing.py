@@ -206,11 +206,8 @@ def test_large_ids_beside_null_ids(spark):
     assert {r["doc_id"] for r in rows} == {2**53 + 1, None, -(2**62) - 1}
 
 
-def test_batches_are_encoded_in_portions(monkeypatch):
-    monkeypatch.setattr(packing, "PORTION", 10)
-    texts = ["a" * 4, None, "b" * 6, "c", "", "d" * 30, "e", None]
-    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())})
-    parts = list(packing._portions(batch.slice(1)))
-    assert [x for part in parts for x in part.column("doc_id").to_pylist()] == list(range(1, len(texts)))
-    assert [part.column("text").to_pylist() for part in parts] == [[None, "b" * 6, "c", ""], ["d" * 30], ["e", None]]
-    assert not list(packing._portions(batch.slice(0, 0)))
+def test_runs_are_gathered_in_the_order_asked_for():
+    pool, ends = packing._gather(np.arange(10, dtype="<u4"), np.array([3, 0, 5, 2]), np.array([2, 1, 0, 2, 3]))
+    assert pool.tolist() == [3, 4, 5, 6, 7, 0, 1, 2, 3, 4, 5, 6, 7, 8, 9] and ends.tolist() == [5, 5, 8, 13, 15]
+    pool, ends = packing._gather(np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert not len(pool) and not len(ends)
