@@ -36,8 +36,21 @@ def stacked(embeddings) -> np.ndarray:
 
 
 def sample(vectors: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of at most ``n`` rows, those with the smallest hashes."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", F.hash("embedding")).limit(n).collect()
+    """Ids and vectors of at most ``n`` rows, those with the smallest hashes.
+
+    Hashes are first counted by powers of two, from the smallest possible one: at most 64 numbers.
+    Only rows up to the power with the ``n``-th row are ranked, mostly fewer than ``2 * n``.
+    """
+    place = F.xxhash64("vec_id").cast("double") + F.lit(2.0**63)
+    power = F.floor(F.log2(F.greatest(place, F.lit(1.0)))).cast("int")
+    last, many = 0, 0
+    for last, count in sorted(map(tuple, vectors.groupBy(power).agg(F.count("*")).collect())):
+        many += count
+        if many >= n:
+            break
+    low = vectors.where(power <= last).orderBy(F.xxhash64("vec_id"), "vec_id", F.hash("embedding")).limit(n)
+    # Collected as it is, a sorted limit sends the driver ``n`` rows of each partition.
+    rows = low.coalesce(1).collect()
     ids = np.array([r["vec_id"] for r in rows], dtype=np.int64)
     return ids, stacked([r["embedding"] for r in rows])
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roamrank.llm import inverted_multi_index, queries, topk_blocks
+from roamrank.llm import inverted_multi_index, queries, topk_blocks, vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, list string, block string, score string"
 
@@ -71,6 +71,39 @@ def test_equal_query_rows(spark):
     assert found == sorted([(0, 1, 2, 256 * 768), (0, 2, 1, 256 * 512)] * 2)
 
 
+@pytest.fixture
+def results_of_2_mb(spark):
+    """Jobs whose tasks together send the driver more than 2 MB fail."""
+    conf, key = spark.sparkContext._jsc.sc().conf(), "spark.driver.maxResultSize"
+    before = conf.get(key, "1g")
+    conf.set(key, "2m")
+    yield
+    conf.set(key, before)
+
+
+def test_the_driver_gets_the_sample_alone_from_many_partitions(spark, results_of_2_mb):
+    wide = F.transform(F.sequence(F.lit(1), F.lit(500)), lambda i: (F.col("id") % 997 / i).cast("float"))
+    table = spark.range(0, 3200, 1, 32).select(F.col("id").alias("vec_id"), wide.alias("embedding"))
+    ids, matrix = vectors.sample(table, 100)  # 100 rows of each partition have 6.4 MB
+    hashes = [tuple(r) for r in table.select(F.xxhash64("vec_id"), "vec_id").collect()]
+    assert ids.tolist() == [i for _, i in sorted(hashes)[:100]]
+    assert np.allclose(matrix[:, 0], ids % 997) and matrix.shape == (100, 500)
+
+
+def test_sample_of_repeated_ids_of_few_and_of_none(spark):
+    rows = [(i, [float(i)]) for i in range(40)]
+    hashes = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").select(F.xxhash64("vec_id"), "vec_id")
+    order = [i for _, i in sorted(map(tuple, hashes.collect()))]
+    for repeated in (order[0], order[5], order[39]):
+        all_rows = rows + [(repeated, [float(repeated)])] * 200
+        table = spark.createDataFrame(all_rows, "vec_id bigint, embedding array<float>").repartition(16)
+        expected = [i for i in order for _ in range(201 if i == repeated else 1)]
+        for n in (1, 7, 100, 1000):
+            ids, matrix = vectors.sample(table, n)
+            assert ids.tolist() == expected[:n] and matrix[:, 0].tolist() == expected[:n]
+    assert len(vectors.sample(table.limit(0), 5)[0]) == 0
+
+
 def test_neighbours_on_small_tables_are_exact(spark, rows, monkeypatch):
     monkeypatch.setattr(inverted_multi_index, "LIST", 100)
     monkeypatch.setattr(inverted_multi_index, "QUERIES", 7)
