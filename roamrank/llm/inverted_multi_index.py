@@ -169,7 +169,7 @@ def _answers(row, shape: tuple[int, int], k: int) -> pd.DataFrame:
     """One list's nearest rows, among the pairs visited, for each query of a bundle."""
     ids, matrix = V.unbundled(row)
     query_ids = np.frombuffer(row.q_ids, dtype=np.int64)
-    queries = np.frombuffer(row.q_matrix).reshape(-1, row.q_width)
+    queries = V.unpacked(row.q_matrix, row.q_width)
     queries, matrix = V.same_width(queries, matrix)
     second = np.frombuffer(row.second, dtype=np.int32)
     bits = np.unpackbits(np.frombuffer(row.q_pairs, dtype=np.uint8), count=len(query_ids) * shape[0] * shape[1])

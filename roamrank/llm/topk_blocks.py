@@ -35,7 +35,7 @@ SEEDS = 2048
 
 def integers(matrix: np.ndarray) -> np.ndarray:
     """floor(SCALE * x) as whole doubles."""
-    return np.floor(SCALE * matrix)
+    return np.floor(SCALE * matrix) + 0.0  # no -0.0
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> bool:
@@ -84,8 +84,8 @@ def lists(rows: DataFrame) -> tuple[DataFrame, int, np.ndarray, np.ndarray]:
         ids, matrix = ids[order], matrix[order]
         starts = np.arange(0, len(ids), BLOCK)
         row = V.bundled(ids, matrix)
-        row["greatest"] = np.maximum.reduceat(matrix, starts).tobytes()
-        row["smallest"] = np.minimum.reduceat(matrix, starts).tobytes()
+        row["greatest"] = V.packed(np.maximum.reduceat(matrix, starts))
+        row["smallest"] = V.packed(np.minimum.reduceat(matrix, starts))
         return pd.DataFrame([{"list": pdf["list"].iloc[0], **row}])
 
     schema = f"list int, {V.BUNDLE}, greatest binary, smallest binary"
@@ -100,9 +100,16 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     queries = V.query_bundles(rows, every, QUERIES)
 
     def score(batches):
+        held = None
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                yield from _answers(row, seed_ids, seeds, k)
+                if held is None or held.block != row.q_block:
+                    if held is not None:
+                        yield held.answers()
+                    held = _Bundle(row, seed_ids, seeds, k)
+                held.take(row)
+        if held is not None:
+            yield held.answers()
 
     found = V.meet(queries, write_table(made, "lists"), n_lists).mapInPandas(
         score, "block int, pos int, query_id bigint, vec_id bigint, score bigint"
@@ -110,40 +117,51 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     return V.best(found, k).withColumn("rank", F.col("rank").cast("int"))
 
 
-def _answers(row, seed_ids: np.ndarray, seeds: np.ndarray, k: int):
-    """One list's best rows for each query of a bundle."""
-    ids, matrix = V.unbundled(row)
-    query_ids = np.frombuffer(row.q_ids, dtype=np.int64)
-    queries = integers(np.frombuffer(row.q_matrix).reshape(-1, row.q_width))
-    greatest = np.frombuffer(row.greatest).reshape(-1, row.width)
-    smallest = np.frombuffer(row.smallest).reshape(-1, row.width)
-    queries, matrix = V.same_width(queries, matrix)
-    greatest, smallest = (V.same_width(m, matrix)[0] for m in (greatest, smallest))
-    floor_ = _seeded(query_ids, *V.same_width(queries, seeds), seed_ids, k)
-    bounds = products(np.maximum(queries, 0), greatest) + products(np.minimum(queries, 0), smallest)
-    out = []
-    for q in range(len(query_ids)):
-        kth, best_scores, best_ids = floor_[q], np.zeros(0), np.zeros(0, dtype=np.int64)
-        order = np.argsort(-bounds[q].astype(float), kind="stable")
-        for at in range(0, len(order), 4):
-            blocks = order[at : at + 4]
-            if kth is not None:
-                blocks = [b for b in blocks if bounds[q, b] >= kth]
-            if not len(blocks):
-                break  # the others' bounds are lower still
-            rows = np.concatenate([np.arange(b * BLOCK, min(len(ids), (b + 1) * BLOCK)) for b in blocks])
-            scores = products(matrix[rows], queries[q : q + 1])[:, 0]
-            keep = ids[rows] != query_ids[q]
-            if kth is not None:
-                keep &= scores >= kth
-            all_scores = np.concatenate([best_scores, scores[keep]])
-            all_ids = np.concatenate([best_ids, ids[rows][keep]])
-            first = np.lexsort((all_ids, -all_scores))[:k]
-            best_scores, best_ids = all_scores[first], all_ids[first]
-            if len(first) == k:
-                kth = best_scores[-1] if kth is None else max(kth, best_scores[-1])
-        out += [(row.q_block, q, query_ids[q], i, int(s)) for i, s in zip(best_ids, best_scores, strict=True)]
-    yield pd.DataFrame(out, columns=["block", "pos", "query_id", "vec_id", "score"])
+class _Bundle:
+    """The best rows for each query of a bundle, from the lists that it has met so far."""
+
+    def __init__(self, row, seed_ids: np.ndarray, seeds: np.ndarray, k: int):
+        self.block, self.k = row.q_block, k
+        self.query_ids = np.frombuffer(row.q_ids, dtype=np.int64)
+        self.queries = integers(V.unpacked(row.q_matrix, row.q_width))
+        self.kth = _seeded(self.query_ids, *V.same_width(self.queries, seeds), seed_ids, k)
+        self.best = [(np.zeros(0), np.zeros(0, dtype=np.int64))] * len(self.query_ids)
+
+    def take(self, row) -> None:
+        ids, matrix = V.unbundled(row)
+        greatest, smallest = V.unpacked(row.greatest, row.width), V.unpacked(row.smallest, row.width)
+        queries, matrix = V.same_width(self.queries, matrix)
+        greatest, smallest = (V.same_width(m, matrix)[0] for m in (greatest, smallest))
+        bounds = products(np.maximum(queries, 0), greatest) + products(np.minimum(queries, 0), smallest)
+        for q in range(len(self.query_ids)):
+            kth, (best_scores, best_ids) = self.kth[q], self.best[q]
+            order = np.argsort(-bounds[q].astype(float), kind="stable")
+            for at in range(0, len(order), 4):
+                blocks = order[at : at + 4]
+                if kth is not None:
+                    blocks = [b for b in blocks if bounds[q, b] >= kth]
+                if not len(blocks):
+                    break  # the others' bounds are lower still
+                rows = np.concatenate([np.arange(b * BLOCK, min(len(ids), (b + 1) * BLOCK)) for b in blocks])
+                scores = products(matrix[rows], queries[q : q + 1])[:, 0]
+                keep = ids[rows] != self.query_ids[q]
+                if kth is not None:
+                    keep &= scores >= kth
+                all_scores = np.concatenate([best_scores, scores[keep]])
+                all_ids = np.concatenate([best_ids, ids[rows][keep]])
+                first = np.lexsort((all_ids, -all_scores))[: self.k]
+                best_scores, best_ids = all_scores[first], all_ids[first]
+                if len(first) == self.k:
+                    kth = best_scores[-1] if kth is None else max(kth, best_scores[-1])
+            self.kth[q], self.best[q] = kth, (best_scores, best_ids)
+
+    def answers(self) -> pd.DataFrame:
+        out = [
+            (self.block, q, query_id, i, int(s))
+            for q, query_id in enumerate(self.query_ids)
+            for s, i in zip(*self.best[q], strict=True)
+        ]
+        return pd.DataFrame(out, columns=["block", "pos", "query_id", "vec_id", "score"])
 
 
 def _seeded(query_ids, queries, seeds, seed_ids, k) -> list:

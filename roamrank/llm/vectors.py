@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 from roamrank.llm.batches import bound_batches
 
 BUNDLE = "ids binary, matrix binary, width int"
+#: Lists that a bundle of queries meets in one task.
+GROUP = 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -55,16 +57,31 @@ def sample(vectors: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return ids, stacked([r["embedding"] for r in rows])
 
 
+def packed(matrix: np.ndarray) -> bytes:
+    """Doubles as the smallest kind of number that keeps all their bits; the first byte names the kind."""
+    matrix = np.ascontiguousarray(matrix, dtype=np.float64)
+    for kind in "hf":
+        with np.errstate(all="ignore"):
+            small = matrix.astype(kind)
+        if small.astype(np.float64).tobytes() == matrix.tobytes():
+            return kind.encode() + small.tobytes()
+    return b"d" + matrix.tobytes()
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data[1:], dtype=chr(data[0])).astype(np.float64).reshape(-1, width)
+
+
 def bundled(ids: np.ndarray, matrix: np.ndarray) -> dict:
     return {
         "ids": np.ascontiguousarray(ids, dtype=np.int64).tobytes(),
-        "matrix": np.ascontiguousarray(matrix, dtype=np.float64).tobytes(),
+        "matrix": packed(matrix),
         "width": matrix.shape[1],
     }
 
 
 def unbundled(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.matrix).reshape(-1, row.width)
+    return np.frombuffer(row.ids, dtype=np.int64), unpacked(row.matrix, row.width)
 
 
 def same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +120,19 @@ def query_bundles(vectors: DataFrame, every: int, size: int, near: str | None =
 def meet(queries: DataFrame, lists: DataFrame, n_lists: int, asked: str | None = None) -> DataFrame:
     """Every bundle of queries beside every list of vectors, or those whose numbers ``asked`` holds.
 
-    The queries are the smaller side and are repeated for each list; neither side
-    is collected or broadcast, and a row is one pair of bundles.
+    The queries are the smaller side. They are repeated for each list that they ask for, or for
+    some lists in a row where they meet all, at most GROUP and few enough for all cores; a bundle
+    meets these one after another. Neither side is collected or broadcast, and a row is one pair of bundles.
     """
     told = [F.col(c).alias(f"q_{c}") for c in queries.columns if c != asked]
-    numbers = F.col(asked) if asked else F.sequence(F.lit(0), F.lit(max(n_lists - 1, 0)))
-    return queries.select(F.explode(numbers).alias("list"), *told).join(lists, "list")
+    if asked:
+        return queries.select(F.explode(asked).alias("list"), *told).join(lists, "list")
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    size = max(1, min(GROUP, n_lists // (4 * cores)))
+    # The rows made of one row are in memory together, so they must not be one for each list.
+    groups = F.explode(F.sequence(F.lit(0), F.lit(max(n_lists - 1, 0) // size)))
+    grouped = lists.withColumn("lists", F.floor(F.col("list") / size).cast("int"))
+    return queries.select(groups.alias("lists"), *told).join(grouped, "lists").drop("lists")
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
